@@ -1,0 +1,21 @@
+"""Size-checked broadcast.
+
+A side is broadcast only after a bounded count proves it small; above the
+bound it is returned unchanged and Catalyst/AQE pick a shuffle join.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_MAX_ROWS = 100_000
+
+
+def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
+    # limit keeps the check cheap even when the frame is large
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
