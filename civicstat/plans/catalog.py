@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from civicstat.functions.scalar import round_half_even
-from civicstat.operators import biometric, growth
+from civicstat.operators import anomaly, biometric, growth
 from civicstat.sources.tables import Facts
 
 # Registered low-performer threshold. Rates here are ratios of daily sums
@@ -98,3 +98,35 @@ def q_privacy_gate(spark, sf_dir):
 @register("daily_cumulative")
 def q_daily_cumulative(spark, sf_dir):
     return growth.daily_cumulative(Facts(spark, sf_dir).enrollments)
+
+
+# ---------------------------------------------------------------- anomalies
+@register("anomaly_series")
+def q_anomaly_series(spark, sf_dir):
+    return anomaly.anomaly_series(Facts(spark, sf_dir).enrollments)
+
+
+@register("anomaly_zscore")
+def q_anomaly_zscore(spark, sf_dir):
+    return stable(anomaly.flagged(Facts(spark, sf_dir).enrollments, "z_score"))
+
+
+@register("anomaly_iqr")
+def q_anomaly_iqr(spark, sf_dir):
+    return stable(anomaly.flagged(Facts(spark, sf_dir).enrollments, "iqr"))
+
+
+@register("anomaly_rolling")
+def q_anomaly_rolling(spark, sf_dir):
+    return stable(anomaly.flagged(Facts(spark, sf_dir).enrollments, "rolling_deviation"))
+
+
+@register("anomaly_report")
+def q_anomaly_report(spark, sf_dir):
+    rep = anomaly.anomaly_report(Facts(spark, sf_dir).enrollments)
+    return rep.withColumn("detection_methods", F.array_join("detection_methods", ","))
+
+
+@register("distinct_scopes")
+def q_distinct_scopes(spark, sf_dir):
+    return anomaly.distinct_scopes(Facts(spark, sf_dir).enrollments)

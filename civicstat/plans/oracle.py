@@ -107,11 +107,8 @@ def growth_sql(kinds, scope=(), monthly_cte=None, min_count=100) -> str:
                     f"FROM enrollments GROUP BY ALL)")
     else:
         ctes.append(monthly_cte)
-    ctes.append(f"m AS (SELECT * FROM m0 WHERE {'1=1' if not min_count else ''}"
-                + (f"(SUM(age_0_5 + age_5_17 + age_18_greater) OVER ({part})) >= {min_count}" if min_count else "")
-                + ")" if False else
-                f"m AS (SELECT * FROM (SELECT *, SUM(age_0_5 + age_5_17 + age_18_greater) OVER ({part}) AS _t "
-                f"FROM m0) WHERE _t >= {min_count or 0})")
+    ctes.append(f"m AS (SELECT * EXCLUDE (_t) FROM (SELECT *, SUM(age_0_5 + age_5_17 + age_18_greater) "
+                f"OVER ({part}) AS _t FROM m0) WHERE _t >= {min_count or 0})")
     selects = []
     for kind in kinds:
         n, label = PERIOD_SQL[kind]
@@ -178,3 +175,60 @@ FROM (SELECT state, district, CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY
 LEFT JOIN (SELECT state, district, date,
                   CAST(coalesce(SUM(age_0_5 + age_5_17 + age_18_greater), 0) AS BIGINT) AS daily_total
            FROM enrollments GROUP BY 1, 2, 3) d USING (state, district, date)""")
+
+# ---------------------------------------------------------------- anomalies
+ANOMALY = """
+daily AS (SELECT state, district, date,
+                 CAST(SUM(age_0_5 + age_5_17 + age_18_greater) AS DOUBLE) AS daily_enrollments
+          FROM enrollments GROUP BY 1, 2, 3),
+series AS (SELECT state, district, date, daily_enrollments FROM (
+             SELECT *, row_number() OVER (PARTITION BY state, district ORDER BY date DESC) AS rn FROM daily)
+           WHERE rn <= 150),
+st AS (SELECT *, count(*) OVER p AS n, avg(daily_enrollments) OVER p AS mu,
+              stddev_pop(daily_enrollments) OVER p AS sd,
+              quantile_cont(daily_enrollments, 0.25) OVER p AS q1,
+              quantile_cont(daily_enrollments, 0.75) OVER p AS q3,
+              avg(daily_enrollments) OVER (PARTITION BY state, district ORDER BY date
+                                           ROWS BETWEEN 29 PRECEDING AND CURRENT ROW) AS rolling_mean,
+              row_number() OVER (PARTITION BY state, district ORDER BY date) AS pos
+       FROM series WINDOW p AS (PARTITION BY state, district)),
+det AS (SELECT *, abs(daily_enrollments - mu) / nullif(sd, 0) AS z_score,
+               q1 - 1.5 * (q3 - q1) AS lower_bound, q3 + 1.5 * (q3 - q1) AS upper_bound,
+               abs((daily_enrollments - rolling_mean) / nullif(rolling_mean, 0)) AS deviation_pct
+        FROM st),
+flags AS (SELECT *, coalesce(n >= 3 AND z_score > 3.0, false) AS is_z,
+                 coalesce(n >= 5 AND (daily_enrollments < lower_bound OR daily_enrollments > upper_bound), false) AS is_iqr,
+                 coalesce(n >= 30 AND pos > 30 AND deviation_pct > 0.5, false) AS is_roll
+          FROM det)
+"""
+
+SQL["anomaly_series"] = with_roles("SELECT * FROM series", ANOMALY)
+
+SQL["anomaly_zscore"] = with_roles(f"""
+SELECT state, district, date, daily_enrollments AS value, {r6('z_score')} AS z_score, 'z_score' AS method
+FROM flags WHERE is_z""", ANOMALY)
+
+SQL["anomaly_iqr"] = with_roles(f"""
+SELECT state, district, date, daily_enrollments AS value, {r6('lower_bound')} AS lower_bound,
+       {r6('upper_bound')} AS upper_bound, 'iqr' AS method
+FROM flags WHERE is_iqr""", ANOMALY)
+
+SQL["anomaly_rolling"] = with_roles(f"""
+SELECT state, district, date, daily_enrollments AS value, {r6('rolling_mean')} AS rolling_mean,
+       {r6('deviation_pct')} AS deviation_pct, 'rolling_deviation' AS method
+FROM flags WHERE is_roll""", ANOMALY)
+
+ANOMALY_REPORT = ANOMALY + """,
+report AS (
+  SELECT date, state, district, 'daily_enrollments' AS metric_name, daily_enrollments AS anomaly_value,
+         round_even(CASE WHEN is_z THEN least(10.0, z_score) ELSE 5.0 END * 100, 0) / 100 AS severity_score,
+         CASE WHEN (CASE WHEN is_roll THEN daily_enrollments < rolling_mean ELSE daily_enrollments < mu END)
+              THEN 'drop' ELSE 'spike' END AS anomaly_type,
+         concat_ws(',', CASE WHEN is_z THEN 'z_score' END, CASE WHEN is_iqr THEN 'iqr' END,
+                   CASE WHEN is_roll THEN 'rolling_deviation' END) AS detection_methods
+  FROM flags WHERE CAST(is_z AS INTEGER) + CAST(is_iqr AS INTEGER) + CAST(is_roll AS INTEGER) >= 2)
+"""
+
+SQL["anomaly_report"] = with_roles("SELECT * FROM report", ANOMALY_REPORT)
+
+SQL["distinct_scopes"] = with_roles("SELECT DISTINCT state, district FROM enrollments")
