@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from civicstat.functions.scalar import round_half_even
-from civicstat.operators import anomaly, biometric, growth
+from civicstat.operators import anomaly, biometric, forecast, growth, risk, saturation
 from civicstat.sources.tables import Facts
 
 # Registered low-performer threshold. Rates here are ratios of daily sums
@@ -130,3 +130,79 @@ def q_anomaly_report(spark, sf_dir):
 @register("distinct_scopes")
 def q_distinct_scopes(spark, sf_dir):
     return anomaly.distinct_scopes(Facts(spark, sf_dir).enrollments)
+
+
+# ---------------------------------------------------------------- forecasting
+@register("monthly_series")
+def q_monthly_series(spark, sf_dir):
+    return forecast.monthly_series(Facts(spark, sf_dir).enrollments)
+
+
+@register("monthly_interpolated")
+def q_monthly_interpolated(spark, sf_dir):
+    # district scope: the level where months can be missing
+    return stable(forecast.monthly_interpolated(Facts(spark, sf_dir).enrollments,
+                                                scope="district", national=False))
+
+
+@register("backtest_split")
+def q_backtest_split(spark, sf_dir):
+    s = forecast.monthly_interpolated(Facts(spark, sf_dir).enrollments)
+    return forecast.backtest_split(s)
+
+
+@register("forecast")
+def q_forecast(spark, sf_dir):
+    s = forecast.monthly_interpolated(Facts(spark, sf_dir).enrollments)
+    return forecast.forecast(s)
+
+
+@register("forecast_backtest")
+def q_forecast_backtest(spark, sf_dir):
+    s = forecast.monthly_interpolated(Facts(spark, sf_dir).enrollments)
+    return forecast.forecast_backtest(s)
+
+
+# ---------------------------------------------------------------- risk
+# Registered risk-label threshold. The reference labels a month high-risk
+# when the rate three months later is below 60; monthly rates here are
+# ratios of sums with a median near 245, and 60 leaves 34 / 3 / 0 positive
+# rows at sf0.001 / 0.01 / 0.1 (one class: no model can be trained). 250
+# splits the labels about evenly at every scale.
+RISK_THRESHOLD = 250.0
+
+
+def _training(spark, sf_dir):
+    f = Facts(spark, sf_dir)
+    return risk.training_set(f.enrollments, f.biometric, f.demographic)
+
+
+@register("training_set")
+def q_training_set(spark, sf_dir):
+    return _training(spark, sf_dir)
+
+
+@register("risk_features")
+def q_risk_features(spark, sf_dir):
+    return stable(risk.risk_features(_training(spark, sf_dir), risk_threshold=RISK_THRESHOLD))
+
+
+@register("risk_features_latest")
+def q_risk_features_latest(spark, sf_dir):
+    return stable(risk.latest_features(_training(spark, sf_dir)))
+
+
+@register("risk_scores")
+def q_risk_scores(spark, sf_dir):
+    train = _training(spark, sf_dir)
+    model, info = risk.train_model(risk.risk_features(train, risk_threshold=RISK_THRESHOLD))
+    if model is None:
+        return spark.createDataFrame([], "state string, district string, risk_score double, "
+                                         "risk_category string, top_factors array<string>")
+    return risk.predict_risk(model, risk.latest_features(train)) \
+        .withColumn("top_factors", F.array_join("top_factors", ","))
+
+
+@register("saturation")
+def q_saturation(spark, sf_dir):
+    return saturation.saturation(Facts(spark, sf_dir).enrollments)

@@ -232,3 +232,88 @@ report AS (
 SQL["anomaly_report"] = with_roles("SELECT * FROM report", ANOMALY_REPORT)
 
 SQL["distinct_scopes"] = with_roles("SELECT DISTINCT state, district FROM enrollments")
+
+# ---------------------------------------------------------------- forecasting
+MONTHLY = """
+msum AS (SELECT coalesce(state, 'All India') AS state, ds, CAST(coalesce(SUM(y), 0) AS DOUBLE) AS y
+         FROM (SELECT state, CAST(date_trunc('month', date) AS DATE) AS ds,
+                      age_0_5 + age_5_17 + age_18_greater AS y FROM enrollments)
+         GROUP BY GROUPING SETS ((state, ds), (ds))),
+mcal AS (SELECT state, CAST(unnest(generate_series(lo, hi, INTERVAL 1 MONTH)) AS DATE) AS ds
+         FROM (SELECT state, min(ds) AS lo, max(ds) AS hi FROM msum GROUP BY 1)),
+mser AS (SELECT c.state, c.ds, s.y FROM mcal c LEFT JOIN msum s USING (state, ds))
+"""
+
+
+def interp_sql(src: str, key: str) -> str:
+    return f"""
+ip AS (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY ds) AS pos FROM {src}),
+iq AS (SELECT *,
+        last_value(y IGNORE NULLS) OVER (PARTITION BY {key} ORDER BY ds ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS py,
+        last_value(CASE WHEN y IS NOT NULL THEN pos END IGNORE NULLS) OVER (PARTITION BY {key} ORDER BY ds ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS pp,
+        first_value(y IGNORE NULLS) OVER (PARTITION BY {key} ORDER BY ds ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS ny,
+        first_value(CASE WHEN y IS NOT NULL THEN pos END IGNORE NULLS) OVER (PARTITION BY {key} ORDER BY ds ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS np
+       FROM ip),
+interp AS (SELECT {key}, ds, CASE WHEN y IS NOT NULL THEN y
+                                  WHEN py IS NOT NULL AND ny IS NOT NULL THEN py + (ny - py) * (pos - pp) / (np - pp)
+                                  WHEN py IS NOT NULL THEN py ELSE 0.0 END AS y FROM iq)
+"""
+
+
+SQL["monthly_series"] = with_roles("SELECT state, ds, y FROM mser", MONTHLY)
+
+SQL["monthly_interpolated"] = with_roles(f"SELECT district, ds, {r6('y')} AS y FROM interp", """
+dsum AS (SELECT district, CAST(date_trunc('month', date) AS DATE) AS ds,
+                CAST(coalesce(SUM(age_0_5 + age_5_17 + age_18_greater), 0) AS DOUBLE) AS y
+         FROM enrollments GROUP BY 1, 2),
+dcal AS (SELECT district, CAST(unnest(generate_series(lo, hi, INTERVAL 1 MONTH)) AS DATE) AS ds
+         FROM (SELECT district, min(ds) AS lo, max(ds) AS hi FROM dsum GROUP BY 1)),
+dser AS (SELECT c.district, c.ds, s.y FROM dcal c LEFT JOIN dsum s USING (district, ds)),""" + interp_sql("dser", "district"))
+
+SQL["backtest_split"] = with_roles("""
+SELECT state, ds, y, CASE WHEN rn <= 3 THEN 'test' ELSE 'train' END AS split
+FROM (SELECT *, row_number() OVER (PARTITION BY state ORDER BY ds DESC) AS rn,
+             count(*) OVER (PARTITION BY state) AS n FROM interp) t
+WHERE n >= 12""", MONTHLY + "," + interp_sql("mser", "state"))
+
+# ---------------------------------------------------------------- risk
+TRAINING = """
+tr AS (SELECT CAST(date_trunc('month', e.date) AS DATE) AS month, e.state, e.district,
+              CAST(SUM(e.v) AS BIGINT) AS enrollments, CAST(SUM(b.v) AS BIGINT) AS biometric_attempts,
+              CAST(SUM(d.v) AS BIGINT) AS demo_updates
+       FROM (SELECT date, state, district, SUM(age_5_17 + age_18_greater) AS v FROM enrollments GROUP BY ALL) e
+       LEFT JOIN (SELECT date, state, district, SUM(bio_age_5_17 + bio_age_17_) AS v FROM biometric GROUP BY ALL) b
+         USING (date, state, district)
+       LEFT JOIN (SELECT date, state, district, SUM(demo_age_5_17 + demo_age_17_) AS v FROM demographic GROUP BY ALL) d
+         USING (date, state, district)
+       GROUP BY ALL),
+fb AS (SELECT *, CASE WHEN enrollments > 0 THEN biometric_attempts / enrollments * 100 ELSE 0.0 END AS success_rate,
+              CASE WHEN enrollments > 0 THEN demo_updates / enrollments ELSE 0.0 END AS update_freq,
+              CAST(enrollments AS DOUBLE) AS density FROM tr),
+feat AS (SELECT *,
+  avg(success_rate) OVER (w ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS roll_success_3m,
+  avg(update_freq) OVER (w ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS roll_update_3m,
+  avg(success_rate) OVER (w ROWS BETWEEN 5 PRECEDING AND CURRENT ROW) AS roll_success_6m,
+  avg(update_freq) OVER (w ROWS BETWEEN 5 PRECEDING AND CURRENT ROW) AS roll_update_6m,
+  avg(success_rate) OVER (w ROWS BETWEEN 11 PRECEDING AND CURRENT ROW) AS roll_success_12m,
+  avg(update_freq) OVER (w ROWS BETWEEN 11 PRECEDING AND CURRENT ROW) AS roll_update_12m,
+  coalesce(CAST(enrollments AS DOUBLE) / nullif(lag(enrollments) OVER w, 0) - 1, 0.0) AS growth_rate,
+  lead(success_rate, 3) OVER w AS target_rate,
+  row_number() OVER (PARTITION BY state, district ORDER BY month DESC) AS newest
+  FROM fb WINDOW w AS (PARTITION BY state, district ORDER BY month))
+"""
+
+FEATURE_COLS = ["success_rate", "update_freq", "density", "growth_rate", "roll_success_3m", "roll_success_6m",
+                "roll_success_12m", "roll_update_3m", "roll_update_6m", "roll_update_12m"]
+_F = ", ".join(f"{r6(c)} AS {c}" for c in FEATURE_COLS)
+
+SQL["training_set"] = with_roles("SELECT * FROM tr", TRAINING)
+
+SQL["risk_features"] = with_roles(f"""
+SELECT month, state, district, enrollments, biometric_attempts, demo_updates, {_F},
+       {r6('target_rate')} AS target_rate, CAST(target_rate < 250.0 AS INTEGER) AS is_high_risk
+FROM feat WHERE target_rate IS NOT NULL""", TRAINING)
+
+SQL["risk_features_latest"] = with_roles(f"""
+SELECT month, state, district, enrollments, biometric_attempts, demo_updates, {_F}
+FROM feat WHERE newest = 1""", TRAINING)
