@@ -20,7 +20,7 @@ def col_(c: str | Column) -> Column:
 
 def parse_date(c: str | Column) -> Column:
     """Day-month-year text to DATE; anything else becomes NULL."""
-    return F.try_to_date(col_(c), F.lit(DATE_PATTERN))
+    return F.try_to_date(col_(c), DATE_PATTERN)
 
 
 def strip_ws(c: str | Column) -> Column:

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from civicstat.functions.scalar import round_half_even
 from civicstat.operators import anomaly, biometric, forecast, growth, risk, saturation
+from civicstat.sources import ingest
 from civicstat.sources.tables import Facts
 
 # Registered low-performer threshold. Rates here are ratios of daily sums
@@ -206,3 +207,29 @@ def q_risk_scores(spark, sf_dir):
 @register("saturation")
 def q_saturation(spark, sf_dir):
     return saturation.saturation(Facts(spark, sf_dir).enrollments)
+
+
+# ---------------------------------------------------------------- ETL
+def _classified_enrollments(spark, sf_dir):
+    """The enrollments role rendered as the raw CSV text the ETL reads."""
+    raw = ingest.raw_text_view(Facts(spark, sf_dir).enrollments)
+    return ingest.classify(raw, "enrollment")
+
+
+@register("clean_enrollments")
+def q_clean_enrollments(spark, sf_dir):
+    return ingest.clean_rows(_classified_enrollments(spark, sf_dir))
+
+
+@register("quality_report")
+def q_quality_report(spark, sf_dir):
+    c = _classified_enrollments(spark, sf_dir)
+    rules = ingest.rule_names(["date", "state", "district", "pincode", *growth.AGE_COLS], "enrollment")
+    rep = ingest.quality_report(c, "enrollment", rules)
+    return rep.withColumn("errors", ingest.errors_text("errors"))
+
+
+@register("quarantine")
+def q_quarantine(spark, sf_dir):
+    q = ingest.quarantine_rows(_classified_enrollments(spark, sf_dir))
+    return q.select(F.to_json("raw").alias("raw"), F.array_join("reasons", ",").alias("reasons"))

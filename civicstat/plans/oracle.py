@@ -317,3 +317,56 @@ FROM feat WHERE target_rate IS NOT NULL""", TRAINING)
 SQL["risk_features_latest"] = with_roles(f"""
 SELECT month, state, district, enrollments, biometric_attempts, demo_updates, {_F}
 FROM feat WHERE newest = 1""", TRAINING)
+
+# ---------------------------------------------------------------- ETL
+# Title case as Python's str.title(): every run of letters gets an upper-case
+# first letter (tokens = optional non-letters followed by letters).
+def title_sql(x: str) -> str:
+    s = f"lower(regexp_replace({x}, '^\\s+|\\s+$', '', 'g'))"
+    pre = "regexp_extract(t, '^[^\\p{L}]*')"
+    return (f"array_to_string(list_transform(regexp_extract_all({s}, '[^\\p{{L}}]*\\p{{L}}+|[^\\p{{L}}]+'), "
+            f"lambda t: {pre} || upper(substr(t, length({pre}) + 1, 1)) || substr(t, length({pre}) + 2)), '')")
+
+
+RAW_TEXT = """
+raw AS (SELECT strftime(date, '%d-%m-%Y') AS date, state, district, pincode,
+               CAST(age_0_5 AS VARCHAR) AS age_0_5, CAST(age_5_17 AS VARCHAR) AS age_5_17,
+               CAST(age_18_greater AS VARCHAR) AS age_18_greater FROM enrollments),
+parsed AS (SELECT try_strptime(date, '%d-%m-%Y')::DATE AS p_date, """ + title_sql("state") + """ AS p_state,
+          """ + title_sql("district") + """ AS p_district,
+          CASE WHEN regexp_full_match(split_part(pincode, '.', 1), '[0-9]{6}')
+               THEN CAST(split_part(pincode, '.', 1) AS INTEGER) END AS p_pincode,
+          pincode AS r_pincode,
+          CASE WHEN TRY_CAST(age_0_5 AS DOUBLE) >= 0 AND isfinite(TRY_CAST(age_0_5 AS DOUBLE)) THEN TRY_CAST(age_0_5 AS DOUBLE) END AS p_a,
+          CASE WHEN TRY_CAST(age_5_17 AS DOUBLE) >= 0 AND isfinite(TRY_CAST(age_5_17 AS DOUBLE)) THEN TRY_CAST(age_5_17 AS DOUBLE) END AS p_b,
+          CASE WHEN TRY_CAST(age_18_greater AS DOUBLE) >= 0 AND isfinite(TRY_CAST(age_18_greater AS DOUBLE)) THEN TRY_CAST(age_18_greater AS DOUBLE) END AS p_c,
+          date AS r_date, state AS r_state, district AS r_district, age_0_5 AS r_a, age_5_17 AS r_b, age_18_greater AS r_c
+   FROM raw),
+cls AS (SELECT *, (p_date IS NULL) AS bad_date, (r_pincode IS NOT NULL AND p_pincode IS NULL) AS bad_pin,
+               (p_a IS NULL) AS bad_a, (p_b IS NULL) AS bad_b, (p_c IS NULL) AS bad_c FROM parsed)
+"""
+
+SQL["clean_enrollments"] = with_roles("""
+SELECT p_date AS date, p_state AS state, p_district AS district, p_pincode AS pincode,
+       p_a AS age_0_5, p_b AS age_5_17, p_c AS age_18_greater
+FROM cls WHERE NOT (bad_date OR bad_pin OR bad_a OR bad_b OR bad_c)""", RAW_TEXT)
+
+SQL["quality_report"] = with_roles("""
+SELECT 'enrollment' AS dataset, count(*) AS total_rows,
+       count(*) FILTER (WHERE NOT (bad_date OR bad_pin OR bad_a OR bad_b OR bad_c)) AS valid_rows,
+       concat_ws(';',
+         CASE WHEN count(*) FILTER (WHERE bad_a) > 0 THEN 'invalid_numeric_age_0_5=' || count(*) FILTER (WHERE bad_a) END,
+         CASE WHEN count(*) FILTER (WHERE bad_c) > 0 THEN 'invalid_numeric_age_18_greater=' || count(*) FILTER (WHERE bad_c) END,
+         CASE WHEN count(*) FILTER (WHERE bad_b) > 0 THEN 'invalid_numeric_age_5_17=' || count(*) FILTER (WHERE bad_b) END,
+         CASE WHEN count(*) FILTER (WHERE bad_date) > 0 THEN 'invalid_date=' || count(*) FILTER (WHERE bad_date) END,
+         CASE WHEN count(*) FILTER (WHERE bad_pin) > 0 THEN 'invalid_pincode=' || count(*) FILTER (WHERE bad_pin) END
+       ) AS errors
+FROM cls""", RAW_TEXT)
+
+SQL["quarantine"] = with_roles("""
+SELECT to_json({'date': r_date, 'state': r_state, 'district': r_district, 'pincode': r_pincode,
+                'age_0_5': r_a, 'age_5_17': r_b, 'age_18_greater': r_c}) AS raw,
+       concat_ws(',', CASE WHEN bad_date THEN 'invalid_date' END, CASE WHEN bad_pin THEN 'invalid_pincode' END,
+                 CASE WHEN bad_a THEN 'invalid_numeric_age_0_5' END, CASE WHEN bad_b THEN 'invalid_numeric_age_5_17' END,
+                 CASE WHEN bad_c THEN 'invalid_numeric_age_18_greater' END) AS reasons
+FROM cls WHERE bad_date OR bad_pin OR bad_a OR bad_b OR bad_c""", RAW_TEXT)
