@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from civicstat.functions.scalar import round_half_even
-from civicstat.operators import anomaly, biometric, forecast, growth, risk, saturation
+from civicstat.operators import anomaly, biometric, cases, forecast, growth, risk, saturation
 from civicstat.sources import ingest
 from civicstat.sources.tables import Facts
 
@@ -233,3 +233,71 @@ def q_quality_report(spark, sf_dir):
 def q_quarantine(spark, sf_dir):
     q = ingest.quarantine_rows(_classified_enrollments(spark, sf_dir))
     return q.select(F.to_json("raw").alias("raw"), F.array_join("reasons", ",").alias("reasons"))
+
+
+# ---------------------------------------------------------------- cases and text rows
+def _alerts(spark, sf_dir):
+    return anomaly.anomaly_report(Facts(spark, sf_dir).enrollments)
+
+
+@register("case_text")
+def q_case_text(spark, sf_dir):
+    c = cases.alert_cases(_alerts(spark, sf_dir))
+    return c.select("case_id", "text", F.col("metadata")["type"].alias("meta_type"),
+                    F.col("metadata")["severity"].alias("meta_severity"),
+                    F.col("metadata")["date"].alias("meta_date"))
+
+
+@register("similar_cases_exact")
+def q_similar_cases_exact(spark, sf_dir):
+    emb = Facts(spark, sf_dir).table("embeddings", "vec_id", "embedding")
+    nn = cases.similar_cases(emb, emb, self_search=True, query_id="vec_id", index_id="vec_id", vec="embedding")
+    return stable(nn.select(F.col("query_id").alias("vec_id"), "nn_rank", "neighbor_id", "distance"))
+
+
+@register("explanation_requests")
+def q_explanation_requests(spark, sf_dir):
+    return cases.explanation_requests(cases.alert_cases(_alerts(spark, sf_dir)))
+
+
+def _low(spark, sf_dir):
+    f = Facts(spark, sf_dir)
+    return biometric.low_performers(biometric.success_rates(f.enrollments, f.biometric),
+                                    threshold=LOW_PERFORMER_THRESHOLD)
+
+
+@register("insight_requests")
+def q_insight_requests(spark, sf_dir):
+    f = Facts(spark, sf_dir)
+    enr = growth.scope_totals(f.enrollments, ("state",)).withColumnRenamed("total", "total_enrollments")
+    low = _low(spark, sf_dir).groupBy("state").agg(F.count(F.lit(1)).alias("low_performing_districts"))
+    al = _alerts(spark, sf_dir).groupBy("state").agg(
+        F.count(F.lit(1)).alias("anomaly_alerts"),
+        F.count_if(F.col("anomaly_type") == "spike").alias("spikes"),
+        F.count_if(F.col("anomaly_type") == "drop").alias("drops"))
+    m = (enr.join(low, "state", "left").join(al, "state", "left")
+         .fillna(0, ["low_performing_districts", "anomaly_alerts", "spikes", "drops"])
+         .select("state", "total_enrollments", "low_performing_districts", "anomaly_alerts", "spikes", "drops"))
+    return cases.insight_requests(m)
+
+
+@register("insight_parse")
+def q_insight_parse(spark, sf_dir):
+    conv = Facts(spark, sf_dir).table("conversations", "conv_id", "turn", "role", "text") \
+        .filter(F.col("role") == "assistant")
+    p = cases.parse_insights(conv)
+    return p.select("conv_id", "turn", "parsed_ok", "executive_summary",
+                    F.array_join("key_findings", "|").alias("key_findings"),
+                    F.array_join("risk_alerts", "|").alias("risk_alerts"),
+                    F.array_join("recommendations", "|").alias("recommendations"))
+
+
+@register("problem_districts")
+def q_problem_districts(spark, sf_dir):
+    p = cases.problem_districts(_low(spark, sf_dir), _alerts(spark, sf_dir))
+    return p.withColumn("issues", F.array_join("issues", "|"))
+
+
+@register("policy_requests")
+def q_policy_requests(spark, sf_dir):
+    return cases.policy_requests(cases.problem_districts(_low(spark, sf_dir), _alerts(spark, sf_dir)))

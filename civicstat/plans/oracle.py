@@ -370,3 +370,107 @@ SELECT to_json({'date': r_date, 'state': r_state, 'district': r_district, 'pinco
                  CASE WHEN bad_a THEN 'invalid_numeric_age_0_5' END, CASE WHEN bad_b THEN 'invalid_numeric_age_5_17' END,
                  CASE WHEN bad_c THEN 'invalid_numeric_age_18_greater' END) AS reasons
 FROM cls WHERE bad_date OR bad_pin OR bad_a OR bad_b OR bad_c""", RAW_TEXT)
+
+# ---------------------------------------------------------------- cases and text rows
+CASES = ANOMALY_REPORT + """,
+cases AS (
+  SELECT state || '|' || district || '|' || strftime(date, '%Y-%m-%d') AS case_id, state, district,
+         strftime(date, '%Y-%m-%d') AS d, anomaly_type, anomaly_value, severity_score,
+         'Anomaly in ' || district || ', ' || state || ': ' || anomaly_type || ' in ' || metric_name
+           || ' confirmed by ' || replace(detection_methods, ',', ', ') || '. Severity: '
+           || CAST(severity_score AS VARCHAR) AS text,
+         [severity_score / 10.0, ln(1.0 + anomaly_value) / 10.0,
+          CASE WHEN anomaly_type = 'spike' THEN 1.0 ELSE 0.0 END,
+          len(string_split(detection_methods, ',')) / 3.0] AS vec
+  FROM report)
+"""
+
+SQL["case_text"] = with_roles("""
+SELECT case_id, text, anomaly_type AS meta_type, CAST(severity_score AS VARCHAR) AS meta_severity, d AS meta_date
+FROM cases""", CASES)
+
+SQL["similar_cases_exact"] = with_roles(f"""
+SELECT vec_id, nn_rank, neighbor_id, {r6('dist')} AS distance FROM (
+  SELECT a.vec_id, b.vec_id AS neighbor_id,
+         list_distance(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) AS dist,
+         row_number() OVER (PARTITION BY a.vec_id ORDER BY
+           list_distance(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), b.vec_id) AS nn_rank
+  FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id) t
+WHERE nn_rank <= 3""")
+
+_EXPLAIN = ("You are an expert analyst. Explain the following new anomaly based on similar past cases.\\n\\n"
+            "SIMILAR PAST CASES:\\n{context}\\n\\nNEW ANOMALY:\\n{query}\\n\\nTASK:\\n"
+            "1. Suggest likely root causes.\\n2. Recommend resolution steps based on past patterns.\\n\\n"
+            "Provide a concise explanation.")
+
+SQL["explanation_requests"] = with_roles(f"""
+SELECT q.case_id, q.state, q.district, q.d AS date, q.query, coalesce(c.context, '') AS context,
+       replace(replace(e'{_EXPLAIN}', '{{context}}', coalesce(c.context, '')), '{{query}}', q.query) AS prompt
+FROM (SELECT case_id, state, district, d,
+             'Anomaly: ' || anomaly_type || ' in ' || district || ' with value ' || CAST(anomaly_value AS VARCHAR) || '.' AS query
+      FROM cases) q
+LEFT JOIN (
+  SELECT query_id, string_agg('- ' || text, e'\\n' ORDER BY nn_rank) AS context FROM (
+    SELECT a.case_id AS query_id, b.text,
+           row_number() OVER (PARTITION BY a.case_id ORDER BY list_distance(a.vec, b.vec), b.case_id) AS nn_rank
+    FROM cases a JOIN cases b ON a.case_id <> b.case_id) t
+  WHERE nn_rank <= 3 GROUP BY 1) c ON q.case_id = c.query_id""", CASES)
+
+_INSIGHT = ("You are an expert analyst for India''s Aadhaar enrollment system.\\n\\n"
+            "Analyze the following metrics data and provide a professional, data-driven report.\\n\\n"
+            "DATA:\\n{metrics_data}\\n\\nTASK:\\n1. Write a 3-sentence executive summary for policymakers.\\n"
+            "2. List 3 key findings with supporting data.\\n3. Identify top 2 risks requiring immediate attention.\\n"
+            "4. Suggest 3 actionable recommendations.")
+
+LOW_600 = JOINED_DAILY + """,
+low AS (SELECT state, district, avg_rate AS success_rate FROM (
+          SELECT state, district, (AVG(success_rate_5_17) + AVG(success_rate_17_plus)) / 2 AS avg_rate
+          FROM rates GROUP BY 1, 2) WHERE avg_rate < 600.0)
+"""
+
+SQL["insight_requests"] = with_roles(f"""
+SELECT state, metrics_data, replace(e'{_INSIGHT}', '{{metrics_data}}', metrics_data) AS prompt FROM (
+  SELECT t.state, to_json({{'state': t.state, 'total_enrollments': CAST(t.total AS BIGINT),
+           'low_performing_districts': CAST(coalesce(l.n, 0) AS BIGINT), 'anomaly_alerts': CAST(coalesce(a.n, 0) AS BIGINT),
+           'spikes': CAST(coalesce(a.spikes, 0) AS BIGINT), 'drops': CAST(coalesce(a.drops, 0) AS BIGINT)}})::VARCHAR AS metrics_data
+  FROM (SELECT state, coalesce(SUM(age_0_5), 0) + coalesce(SUM(age_5_17), 0) + coalesce(SUM(age_18_greater), 0) AS total
+        FROM enrollments GROUP BY 1) t
+  LEFT JOIN (SELECT state, count(*) AS n FROM low GROUP BY 1) l USING (state)
+  LEFT JOIN (SELECT state, count(*) AS n, count(*) FILTER (WHERE anomaly_type = 'spike') AS spikes,
+                    count(*) FILTER (WHERE anomaly_type = 'drop') AS drops FROM report GROUP BY 1) a USING (state)) x
+""", ANOMALY_REPORT + "," + LOW_600)
+
+SQL["insight_parse"] = with_roles("""
+SELECT conv_id, turn, false AS parsed_ok,
+       'Automated insight generation failed. Please review the raw data.' AS executive_summary,
+       'Error processing data for insights.' AS key_findings, 'System error in AI module.' AS risk_alerts,
+       'Check Ollama service status.|Verify data format.' AS recommendations
+FROM conversations WHERE role = 'assistant' AND NOT coalesce(json_valid(text), false)""")
+
+PROBLEMS = ANOMALY_REPORT + "," + LOW_600 + """,
+issues AS (
+  SELECT state, district, printf('Low biometric success (%.0f%%)', success_rate) AS issue FROM low
+  UNION ALL
+  SELECT state, district, 'Unusual spike in anomalies (' || n || ')' FROM
+    (SELECT state, district, count(*) FILTER (WHERE anomaly_type = 'spike') AS n FROM report GROUP BY 1, 2) WHERE n > 0
+  UNION ALL
+  SELECT state, district, 'High drop in enrollments (' || n || ')' FROM
+    (SELECT state, district, count(*) FILTER (WHERE anomaly_type = 'drop') AS n FROM report GROUP BY 1, 2) WHERE n > 0),
+problems AS (SELECT state, district, list(issue ORDER BY issue) AS issues FROM issues GROUP BY 1, 2)
+"""
+
+SQL["problem_districts"] = with_roles(
+    "SELECT state, district, array_to_string(issues, '|') AS issues FROM problems", PROBLEMS)
+
+_POLICY = ("You are a policy expert for digital inclusion in India.\\n\\n"
+           "Analyze the following problem districts and suggest interventions.\\n\\n"
+           "PROBLEM DISTRICTS:\\n{problem_districts}\\n\\nTASK:\\n"
+           "For each district, provide a targeted recommendation considering:\\n1. Infrastructure constraints\\n"
+           "2. Literacy levels\\n3. Geographic accessibility\\n4. Budget efficiency")
+
+SQL["policy_requests"] = with_roles(f"""
+SELECT state, problem_districts, n_districts,
+       replace(e'{_POLICY}', '{{problem_districts}}', problem_districts) AS prompt FROM (
+  SELECT state, to_json(list({{'district': district, 'state': state, 'issues': issues}} ORDER BY district))::VARCHAR
+           AS problem_districts, count(*) AS n_districts
+  FROM problems GROUP BY 1) t""", PROBLEMS)
