@@ -1,13 +1,12 @@
 """Calendar helpers: period starts/labels and per-scope densification.
 
-Calendars are generated with ``sequence`` + ``explode`` from each scope's
-own min/max, so they are as small as (scopes × periods) and never depend
-on the size of the fact table.
+Calendars are generated with ``sequence`` + ``explode`` over aggregates
+(scopes × periods), so they never depend on the size of the fact table.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # months per period kind
@@ -36,13 +35,23 @@ def scope_calendar(bounds: DataFrame, keys: list[str], lo: str, hi: str,
 
 def densify(agg: DataFrame, keys: list[str], time_col: str, step: str,
             fill: dict | None = None) -> DataFrame:
-    """Left-join a per-scope calendar (min..max of ``time_col``) to ``agg``.
+    """Fill the missing steps between each scope's first and last ``time_col``.
 
-    Missing periods get NULL measures, or the values in ``fill``.
+    One window pass, no self-join: every row is expanded to the steps up to
+    (not including) the next present row of its scope, so the aggregate is
+    read once. Generated rows get NULL measures, or the values in ``fill``.
+    A scope partition holds one row per present period, never raw facts.
     """
-    bounds = agg.groupBy(*keys).agg(F.min(time_col).alias("_lo"), F.max(time_col).alias("_hi"))
-    cal = scope_calendar(bounds, keys, "_lo", "_hi", time_col, step)
-    out = cal.join(agg, on=[*keys, time_col], how="left")
-    if fill:
-        out = out.fillna(fill)
-    return out
+    w = (Window.partitionBy(*keys) if keys else Window.partitionBy()).orderBy(time_col)
+    nxt = F.lead(time_col).over(w)
+    span = F.when(F.col("_next").isNull(), F.array(F.col(time_col))).otherwise(
+        F.expr(f"sequence({time_col}, _next - interval {step}, interval {step})"))
+    measures = [c for c in agg.columns if c not in (*keys, time_col)]
+    x = (agg.withColumn("_next", nxt)
+         .select(*keys, *measures, F.posexplode(span.alias("_span")).alias("_pos", "_t")))
+    gen = F.col("_pos") > 0
+    cols = []
+    for m in measures:
+        dflt = F.lit((fill or {}).get(m)) if fill and m in fill else F.lit(None)
+        cols.append(F.when(gen, dflt.cast(agg.schema[m].dataType)).otherwise(F.col(m)).alias(m))
+    return x.select(*keys, F.col("_t").alias(time_col), *cols)

@@ -28,15 +28,23 @@ def strip_ws(c: str | Column) -> Column:
     return F.regexp_replace(col_(c), r"^\s+|\s+$", "")
 
 
+# private-use marker inserted after every non-letter; removed afterwards
+_MARK = "\ue000"
+
+
 def title_case(c: str | Column) -> Column:
     """Python-style ``str.strip().title()``; NULL stays NULL.
 
     Every run of letters gets an upper-case first letter and lower-case
-    rest, so ``24-parganas`` → ``24-Parganas`` (``initcap`` keeps it lower).
+    rest, so ``24-parganas`` → ``24-Parganas`` (``initcap`` alone keeps it
+    lower, as it splits words on spaces only). A space is put after every
+    non-letter, ``initcap`` capitalises the letter that follows it, and the
+    inserted spaces are removed again: three built-in string functions,
+    all inside whole-stage codegen.
     """
-    parts = F.split(F.lower(strip_ws(c)), r"(?<!\p{L})(?=\p{L})")
-    cased = F.transform(parts, lambda x: F.concat(F.upper(F.left(x, F.lit(1))), F.substring(x, 2, 1 << 30)))
-    return F.array_join(cased, "")
+    s = F.lower(strip_ws(c))
+    marked = F.regexp_replace(s, r"(\P{L})", "$1" + _MARK + " ")
+    return F.regexp_replace(F.initcap(marked), _MARK + " ", "")
 
 
 def pincode(c: str | Column) -> Column:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from civicstat.functions.scalar import iso_date
 from civicstat.operators.neighbors import nearest
 from civicstat.schemas import INSIGHT_RECORD, POLICY_RESPONSE
+from civicstat.session import checkpoint_dir
 
 UNKNOWN = "Unknown"
 K_SIMILAR = 3
@@ -91,7 +92,14 @@ def similar_cases(queries: DataFrame, index: DataFrame, k: int = K_SIMILAR, self
 
 
 def explanation_requests(cases: DataFrame, k: int = K_SIMILAR) -> DataFrame:
-    """Q26: per case, its k most similar other cases as context + prompt text."""
+    """Q26: per case, its k most similar other cases as context + prompt text.
+
+    The case table is read four times (queries, index, texts, output), so
+    it is checkpointed once to the shared checkpoint folder — the same role
+    as the reference's persisted case index.
+    """
+    checkpoint_dir(cases.sparkSession)
+    cases = cases.checkpoint(eager=True)
     nn = similar_cases(cases, cases, k, self_search=True)
     texts = cases.select(F.col("case_id").alias("neighbor_id"), F.col("text").alias("_nt"))
     ctx = (nn.join(texts, "neighbor_id")

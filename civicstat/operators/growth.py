@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from civicstat.functions.calendar import PERIOD_MONTHS, densify, period_end, period_start
+from civicstat.functions.calendar import densify, period_end, period_start
 from civicstat.functions.scalar import (date_range_filter, iso_date, optional_filter,
                                         round_half_even, safe_ratio, total)
 
@@ -57,13 +57,39 @@ def monthly_age_sums(enr: DataFrame, scope=()) -> DataFrame:
         *[F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c) for c in AGE_COLS])
 
 
-def period_sums(monthly: DataFrame, scope, kind: str) -> DataFrame:
-    """A1: roll monthly sums up to the period and zero-fill empty periods."""
-    p = monthly if kind == "month" else (
-        monthly.groupBy(*scope, period_start(F.col("pstart"), kind).alias("pstart"))
-        .agg(*[F.sum(c).alias(c) for c in AGE_COLS]))
-    step = f"{PERIOD_MONTHS[kind]} months"
-    return densify(p, list(scope), "pstart", step, fill={c: 0 for c in AGE_COLS})
+def _all_periods(monthly: DataFrame, scope, kinds) -> DataFrame:
+    """A1 for every period kind in one pass.
+
+    The monthly sums are zero-filled once (``densify``), then each month row
+    is fanned out to the periods it belongs to and summed. Quarter and year
+    bins of a gap-free month calendar are exactly the zero-filled quarter
+    and year calendars, so no further densification is needed.
+    """
+    dense = densify(monthly, list(scope), "pstart", "1 month", fill={c: 0 for c in AGE_COLS})
+    tags = F.array(*[F.struct(F.lit(label).alias("period"), F.lit(kind).alias("kind"),
+                              period_start(F.col("pstart"), kind).alias("p"),
+                              period_end(period_start(F.col("pstart"), kind), kind).alias("pend"))
+                     for label, kind in kinds])
+    fanned = dense.select(*scope, *AGE_COLS, F.explode(tags).alias("_t"))
+    return fanned.groupBy(*scope, F.col("_t.period").alias("period"), F.col("_t.pend").alias("pend")) \
+        .agg(*[F.sum(c).alias(c) for c in AGE_COLS])
+
+
+def _growth_rows(monthly: DataFrame, scope, kinds) -> DataFrame:
+    allp = _all_periods(monthly, scope, kinds)
+    long = allp.unpivot([*scope, "period", "pend"], AGE_COLS, "age_group", "value")
+    w = Window.partitionBy(*scope, "period", "age_group").orderBy("pend")
+    out = (long.withColumn("prev", F.lag("value", 1).over(w))
+           .withColumn("pct", safe_ratio(F.col("value") - F.col("prev"), F.col("prev")) * 100)
+           .filter(F.col("pct").isNotNull()))
+    return out.select(
+        *scope, "period", iso_date("pend").alias("date"), "age_group",
+        round_half_even("pct").cast("long").alias("growth_rate_pct"),
+        (F.col("value") - F.col("prev")).cast("long").alias("absolute_change"))
+
+
+def _kinds(periods):
+    return [(lab, k) for lab, k in PERIOD_LABELS if periods is None or lab in periods or k in periods]
 
 
 def growth_rates(enr: DataFrame, scope=(), state=None, district=None, start=None, end=None,
@@ -77,23 +103,7 @@ def growth_rates(enr: DataFrame, scope=(), state=None, district=None, start=None
     scope = list(scope)
     enr = scoped_input(enr, state, district, start, end)
     monthly = _compliant(monthly_age_sums(enr, scope), scope, min_count)
-    labels = [(lab, k) for lab, k in PERIOD_LABELS if periods is None or lab in periods or k in periods]
-    frames = []
-    for label, kind in labels:
-        p = period_sums(monthly, scope, kind)
-        frames.append(p.select(*scope, F.lit(label).alias("period"),
-                               period_end(F.col("pstart"), kind).alias("pend"), *AGE_COLS))
-    allp = reduce(DataFrame.unionByName, frames)
-    long = allp.unpivot([*scope, "period", "pend"], AGE_COLS, "age_group", "value")
-    w = Window.partitionBy(*scope, "period", "age_group").orderBy("pend")
-    prev = F.lag("value", 1).over(w)
-    out = (long.withColumn("prev", prev)
-           .withColumn("pct", safe_ratio(F.col("value") - F.col("prev"), F.col("prev")) * 100)
-           .filter(F.col("pct").isNotNull()))
-    return out.select(
-        *scope, "period", iso_date("pend").alias("date"), "age_group",
-        round_half_even("pct").cast("long").alias("growth_rate_pct"),
-        (F.col("value") - F.col("prev")).cast("long").alias("absolute_change"))
+    return _growth_rows(monthly, scope, _kinds(periods))
 
 
 def growth_rollup(enr: DataFrame, min_count: int = DEFAULT_MIN_COUNT, periods=None) -> DataFrame:
@@ -115,24 +125,7 @@ def growth_rollup(enr: DataFrame, min_count: int = DEFAULT_MIN_COUNT, periods=No
                          F.coalesce("district", F.lit("*")).alias("district"),
                          "pstart", *AGE_COLS)
     scope = ["level", "state", "district"]
-    monthly = _compliant(monthly, scope, min_count)
-    frames = []
-    for label, kind in PERIOD_LABELS:
-        if periods is not None and label not in periods and kind not in periods:
-            continue
-        p = period_sums(monthly, scope, kind)
-        frames.append(p.select(*scope, F.lit(label).alias("period"),
-                               period_end(F.col("pstart"), kind).alias("pend"), *AGE_COLS))
-    allp = reduce(DataFrame.unionByName, frames)
-    long = allp.unpivot([*scope, "period", "pend"], AGE_COLS, "age_group", "value")
-    w = Window.partitionBy(*scope, "period", "age_group").orderBy("pend")
-    out = (long.withColumn("prev", F.lag("value", 1).over(w))
-           .withColumn("pct", safe_ratio(F.col("value") - F.col("prev"), F.col("prev")) * 100)
-           .filter(F.col("pct").isNotNull()))
-    return out.select(
-        *scope, "period", iso_date("pend").alias("date"), "age_group",
-        round_half_even("pct").cast("long").alias("growth_rate_pct"),
-        (F.col("value") - F.col("prev")).cast("long").alias("absolute_change"))
+    return _growth_rows(_compliant(monthly, scope, min_count), scope, _kinds(periods))
 
 
 def seasonality(enr: DataFrame, scope=("state",), state=None,

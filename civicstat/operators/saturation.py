@@ -11,10 +11,14 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from civicstat.functions.calendar import densify
+from civicstat.functions.scalar import optional_filter, total
 from civicstat.operators import growth, tsmodels
 
 # t90 = t0 − ln(1/0.9 − 1)/k; remaining days → months of 30 days
@@ -55,9 +59,20 @@ def _fit_group(key, pdf):
 
 def saturation(enr: DataFrame, state=None, district=None,
                min_count: int = growth.DEFAULT_MIN_COUNT) -> DataFrame:
-    """Q4 for every district (or the one asked for); privacy gate applied first."""
-    cum = growth.daily_cumulative(enr, ("state", "district"), state, district)
-    gate = growth.privacy_gate(enr, ("state", "district"), min_count) \
-        .filter(F.col("status") == "compliant").select("state", "district")
-    cum = cum.join(gate, ["state", "district"], "left_semi")
-    return cum.groupBy("state", "district").applyInPandas(_fit_group, SCHEMA)
+    """Q4 for every district (or the one asked for).
+
+    One aggregate of the fact gives both the daily totals and the privacy
+    gate (P14, Σ of the age columns per district, as a window over the
+    daily rows); then zero-fill, running sum and one fit per district.
+    """
+    keys = ["state", "district"]
+    enr = optional_filter(enr, state=state, district=district)
+    daily = enr.groupBy(*keys, "date").agg(
+        F.coalesce(F.sum(total(*growth.AGE_COLS)), F.lit(0)).cast("long").alias("daily_total"),
+        reduce(lambda a, b: a + b, [F.coalesce(F.sum(c), F.lit(0)) for c in growth.AGE_COLS]).alias("_gate"))
+    daily = (daily.withColumn("_gate", F.sum("_gate").over(Window.partitionBy(*keys)))
+             .filter(F.col("_gate") >= min_count).drop("_gate"))
+    dense = densify(daily, keys, "date", "1 day", fill={"daily_total": 0})
+    run = Window.partitionBy(*keys).orderBy("date").rowsBetween(Window.unboundedPreceding, 0)
+    cum = dense.withColumn("cumulative_total", F.sum("daily_total").over(run))
+    return cum.groupBy(*keys).applyInPandas(_fit_group, SCHEMA)
