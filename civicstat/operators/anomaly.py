@@ -121,9 +121,20 @@ def flagged(enr: DataFrame, method: str, scope=SCOPE, days: int = 90) -> DataFra
         *scope, "date", F.col(METRIC).alias("value"), *detail[1], F.lit(method).alias("method"))
 
 
-def distinct_scopes(enr: DataFrame, scope=SCOPE) -> DataFrame:
-    """The contexts a daily scan covers (all of them, deviation D7)."""
-    return enr.select(*scope).distinct()
+def distinct_scopes(enr: DataFrame, scope=SCOPE, limit: int | None = None) -> DataFrame:
+    """The contexts a daily scan covers — all of them by default
+    (deviation D7); ``limit`` keeps the first n in key order."""
+    d = enr.select(*scope).distinct()
+    return d.orderBy(*scope).limit(limit) if limit else d
+
+
+def daily_scan(enr: DataFrame, alerts_path: str, run_date: str | None = None, days: int = 90) -> DataFrame:
+    """Q13: the report for every district in one job, appended to the alert
+    table (S11, the run date's partition is replaced on re-run)."""
+    from civicstat.sources.sinks import append_alerts
+    report = anomaly_report(enr, SCOPE, days)
+    append_alerts(report, alerts_path, run_date)
+    return report
 
 
 def alerts_for_table(report: DataFrame) -> DataFrame:

@@ -65,6 +65,13 @@ def q_repeat_attempts(spark, sf_dir):
     return biometric.repeat_attempts(f.enrollments, f.biometric)
 
 
+@register("enrollments_base")
+def q_enrollments_base(spark, sf_dir):
+    """The enrollments role with the derived total."""
+    e = Facts(spark, sf_dir).enrollments
+    return e.withColumn("total", F.col("age_0_5") + F.col("age_5_17") + F.col("age_18_greater"))
+
+
 # ---------------------------------------------------------------- growth
 @register("growth_monthly")
 def q_growth_monthly(spark, sf_dir):

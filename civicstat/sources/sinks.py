@@ -58,6 +58,21 @@ def jdbc_append(df: DataFrame, url: str, table: str, props: dict | None = None)
     w.save()
 
 
+def write_fact(df: DataFrame, path: str) -> None:
+    """Physical layout of a fact table: Parquet partitioned by year (date
+    range filters prune partitions), rows sorted by state, district, date
+    inside each file (row-group min/max statistics then skip most groups
+    for a state/district filter, as the reference's indexes did).
+
+    Range partitioning on (year, state, district, date) splits a district
+    that holds a large share of the rows into date ranges over many tasks
+    instead of one writer."""
+    (df.withColumn("year", F.year("date"))
+     .repartitionByRange("year", "state", "district", "date")
+     .sortWithinPartitions("state", "district", "date")
+     .write.mode("overwrite").partitionBy("year").parquet(path))
+
+
 def append_alerts(alerts: DataFrame, path: str, run_date: str | None = None) -> None:
     """Alerts partitioned by detection date; re-running a day replaces
     only that day's partition (dynamic partition overwrite)."""

@@ -38,7 +38,7 @@ def geo(spark: SparkSession, sf_dir: str) -> DataFrame:
     """nation ⋈ region → (nationkey, state, district); a fixed-size dimension."""
     nation = read(spark, sf_dir, "nation", "n_nationkey", "n_name", "n_regionkey")
     region = read(spark, sf_dir, "region", "r_regionkey", "r_name")
-    g = (nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey)
+    g = (nation.join(region, nation.n_regionkey == region.r_regionkey)
          .select(F.col("n_nationkey").alias("nationkey"),
                  F.col("r_name").alias("state"),
                  F.col("n_name").alias("district")))

@@ -49,3 +49,11 @@ def test_series_is_daily_totals_latest_first(spark):
 def test_short_series_flags_nothing(spark):
     rows = [(dt.date(2024, 1, 1), "S", "D", None, 1, 1, 1), (dt.date(2024, 1, 2), "S", "D", None, 100, 1, 1)]
     assert anomaly.anomaly_report(spark.createDataFrame(rows, ENR)).count() == 0
+
+
+def test_daily_scan_appends(spark, scratch):
+    df, _ = _series(spark)
+    path = scratch + "/alerts"
+    n = anomaly.daily_scan(df, path, "2024-04-01").count()
+    anomaly.daily_scan(df, path, "2024-04-01")
+    assert spark.read.parquet(path).count() == n > 0

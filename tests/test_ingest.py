@@ -107,3 +107,21 @@ def test_incremental_stream(spark, scratch):
     bad = sum(1 for _, x in EDGE if x)
     assert clean.count() == len(EDGE) - bad + 1
     assert spark.read.parquet(f"{out}/enrollment_quarantine").count() == bad
+
+
+def test_fact_layout_and_recommendations(spark, scratch):
+    rows = [(dt.date(2023 + i % 2, 1 + i % 12, 1), "S", f"D{i % 3}", None, 1, 2, 3) for i in range(40)]
+    df = spark.createDataFrame(rows, "date date, state string, district string, pincode string, "
+                                     "age_0_5 int, age_5_17 int, age_18_greater int")
+    path = os.path.join(scratch, "fact")
+    sinks.write_fact(df, path)
+    back = spark.read.parquet(path)
+    assert back.count() == 40 and set(r.year for r in back.select("year").distinct().collect()) == {2023, 2024}
+    recs = spark.createDataFrame([("A", "r", "q", "i", "High"), ("B", "r2", "q2", "i2", "Low")],
+                                 "district string, recommendation string, rationale string, "
+                                 "impact_estimate string, priority string")
+    rp = os.path.join(scratch, "recs")
+    sinks.store_recommendations(recs, rp)
+    out = sinks.list_recommendations(spark, rp).collect()
+    assert {r.district for r in out} == {"A", "B"}
+    assert all(r.state == "Unknown" and r.issue_type == "Combined Issues" for r in out)
