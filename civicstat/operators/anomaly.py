@@ -56,27 +56,27 @@ def with_detectors(series: DataFrame, scope=SCOPE, value: str = METRIC,
     std = F.stddev_pop(v).over(whole)
     q1 = F.percentile(v, 0.25).over(whole)
     q3 = F.percentile(v, 0.75).over(whole)
-    out = (series
-           .withColumn("_n", n)
-           .withColumn("series_mean", mean)
-           # std 0 → NULL z (scipy gives NaN), never flagged
-           .withColumn("z_score", F.try_divide(F.abs(v - F.col("series_mean")), std))
-           .withColumn("_q1", q1).withColumn("_q3", q3)
-           .withColumn("lower_bound", F.col("_q1") - IQR_K * (F.col("_q3") - F.col("_q1")))
-           .withColumn("upper_bound", F.col("_q3") + IQR_K * (F.col("_q3") - F.col("_q1")))
-           .withColumn("rolling_mean", F.avg(v).over(ordered.rowsBetween(-(window - 1), 0)))
-           .withColumn("_pos", F.row_number().over(ordered))
-           .withColumn("deviation_pct", F.abs(F.try_divide(v - F.col("rolling_mean"), F.col("rolling_mean")))))
-    return (out
-            .withColumn("is_z", F.coalesce((F.col("_n") >= Z_MIN_ROWS) & (F.col("z_score") > z_threshold),
-                                           F.lit(False)))
-            .withColumn("is_iqr", F.coalesce((F.col("_n") >= IQR_MIN_ROWS)
-                                             & ((v < F.col("lower_bound")) | (v > F.col("upper_bound"))),
-                                             F.lit(False)))
-            # the first `window` rows are skipped, the first full window included
-            .withColumn("is_roll", F.coalesce((F.col("_n") >= window) & (F.col("_pos") > window)
-                                              & (F.col("deviation_pct") > ROLL_DEVIATION), F.lit(False)))
-            .drop("_q1", "_q3", "_pos"))
+    # three projections (window stats, derived values, flags) instead of a
+    # chain of single-column steps
+    out = series.withColumns({
+        "_n": n, "series_mean": mean, "_std": std, "_q1": q1, "_q3": q3,
+        "rolling_mean": F.avg(v).over(ordered.rowsBetween(-(window - 1), 0)),
+        "_pos": F.row_number().over(ordered)})
+    iqr = F.col("_q3") - F.col("_q1")
+    out = out.withColumns({
+        # std 0 → NULL z (scipy gives NaN), never flagged
+        "z_score": F.try_divide(F.abs(v - F.col("series_mean")), F.col("_std")),
+        "lower_bound": F.col("_q1") - IQR_K * iqr,
+        "upper_bound": F.col("_q3") + IQR_K * iqr,
+        "deviation_pct": F.abs(F.try_divide(v - F.col("rolling_mean"), F.col("rolling_mean")))})
+    return out.withColumns({
+        "is_z": F.coalesce((F.col("_n") >= Z_MIN_ROWS) & (F.col("z_score") > z_threshold), F.lit(False)),
+        "is_iqr": F.coalesce((F.col("_n") >= IQR_MIN_ROWS)
+                             & ((v < F.col("lower_bound")) | (v > F.col("upper_bound"))), F.lit(False)),
+        # the first `window` rows are skipped, the first full window included
+        "is_roll": F.coalesce((F.col("_n") >= window) & (F.col("_pos") > window)
+                              & (F.col("deviation_pct") > ROLL_DEVIATION), F.lit(False)),
+    }).drop("_q1", "_q3", "_pos", "_std")
 
 
 def detection_methods(is_z: Column, is_iqr: Column, is_roll: Column) -> Column:

@@ -54,17 +54,17 @@ def risk_features(train: DataFrame, with_target: bool = True,
     """
     w = Window.partitionBy("state", "district").orderBy("month")
     enr = F.col("enrollments")
-    out = (train
-           .withColumn("success_rate", F.when(enr > 0, F.col("biometric_attempts") / enr * 100)
-                       .otherwise(F.lit(0.0)))
-           .withColumn("update_freq", F.when(enr > 0, F.col("demo_updates") / enr).otherwise(F.lit(0.0)))
-           .withColumn("density", enr.cast("double")))
+    out = train.withColumns({
+        "success_rate": F.when(enr > 0, F.col("biometric_attempts") / enr * 100).otherwise(F.lit(0.0)),
+        "update_freq": F.when(enr > 0, F.col("demo_updates") / enr).otherwise(F.lit(0.0)),
+        "density": enr.cast("double")})
+    cols = {}
     for n in WINDOWS:
         frame = w.rowsBetween(-(n - 1), 0)
-        out = (out.withColumn(f"roll_success_{n}m", F.avg("success_rate").over(frame))
-               .withColumn(f"roll_update_{n}m", F.avg("update_freq").over(frame)))
-    prev = F.lag(enr, 1).over(w)
-    out = out.withColumn("growth_rate", F.coalesce(F.try_divide(enr.cast("double"), prev) - 1, F.lit(0.0)))
+        cols[f"roll_success_{n}m"] = F.avg("success_rate").over(frame)
+        cols[f"roll_update_{n}m"] = F.avg("update_freq").over(frame)
+    cols["growth_rate"] = F.coalesce(F.try_divide(enr.cast("double"), F.lag(enr, 1).over(w)) - 1, F.lit(0.0))
+    out = out.withColumns(cols)
     if with_target:
         out = (out.withColumn("target_rate", F.lead("success_rate", TARGET_SHIFT).over(w))
                .filter(F.col("target_rate").isNotNull())
