@@ -1,7 +1,7 @@
 """Benchmark the headline queries; prints one JSON line.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_QUERIES (comma list, default HEADLINE), BENCH_RUNS (default 2).
+BENCH_QUERIES (comma list, default HEADLINE), BENCH_RUNS (default 3).
 Each query is run to completion with the ``noop`` sink (full computation,
 nothing collected); ``queries`` holds the best run, ``first_run`` the cold one.
 """
@@ -35,7 +35,7 @@ def main() -> None:
     spark = build_session(f"local[{cpus}]", shuffle_partitions=max(2 * cpus, 8), app_name="civicstat-bench")
     # warm-up: JVM, Python workers and parquet footers
     QUERIES["privacy_gate"](spark, sf_dir).write.format("noop").mode("overwrite").save()
-    runs = int(os.environ.get("BENCH_RUNS", "2"))
+    runs = int(os.environ.get("BENCH_RUNS", "3"))
     times, first = {}, {}
     for name in names:
         best = None

@@ -44,7 +44,10 @@ def title_case(c: str | Column) -> Column:
     """
     s = F.lower(strip_ws(c))
     marked = F.regexp_replace(s, r"(\P{L})", "$1" + _MARK + " ")
-    return F.regexp_replace(F.initcap(marked), _MARK + " ", "")
+    slow = F.regexp_replace(F.initcap(marked), _MARK + " ", "")
+    # initcap alone is already right unless a letter follows a character
+    # that is neither a letter nor a space (one regex find instead of a replace)
+    return F.when(s.rlike(r"[^\p{L} ]\p{L}"), slow).otherwise(F.initcap(s))
 
 
 def pincode(c: str | Column) -> Column:
