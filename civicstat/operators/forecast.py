@@ -97,6 +97,13 @@ BACKTEST_SCHEMA = T.StructType([
 ])
 
 
+def mape(df: DataFrame, actual: str = "y", predicted: str = "yhat", keys=()) -> DataFrame:
+    """A14 as a Spark aggregate: mean |(y − ŷ)/y| over rows with y ≠ 0 (D8);
+    no usable row → NULL."""
+    err = F.abs(F.try_divide(F.col(actual) - F.col(predicted), F.col(actual)))
+    return df.groupBy(*keys).agg(F.avg(F.when(F.col(actual) != 0, err)).alias("mape"))
+
+
 def _mape(actual: np.ndarray, pred) -> float:
     """A14 with D8: months whose actual is 0 are left out; none left → inf."""
     if pred is None:

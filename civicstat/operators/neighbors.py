@@ -3,7 +3,8 @@
 Queries and index rows are hashed into ``tq`` and ``ti`` tiles. Each
 (query tile, index tile) pair is one cogroup: the query rows of the tile
 are replicated to every index tile and vice versa, so a group holds at
-most ``tile_rows`` rows of each side no matter how large the tables are.
+most ``tile_rows`` rows of each side no matter how large the tables are
+(replication factor ceil(n / tile_rows), e.g. 62× for 2M vectors).
 Inside a group numpy computes the distance block and keeps only the k
 best per query (ties broken by neighbour id); the final top-k per query
 is a ``row_number() <= k`` over at most ``ti · k`` candidates. No pair
@@ -20,41 +21,70 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-DEFAULT_TILE_ROWS = 4096
+# Tile size trades replication for memory: each side is copied
+# ceil(n / tile_rows) times, and a group holds tile_rows vectors per side
+# plus a QUERY_CHUNK × tile_rows distance block (256 × 32768 doubles = 64 MiB).
+DEFAULT_TILE_ROWS = 32768
+QUERY_CHUNK = 256
+SPARE = 4  # extra fast-formula candidates re-checked exactly
 # candidates within this relative margin of the k-th distance are re-checked
 # with the exact formula, so float noise of the fast formula cannot drop a tie
 TIE_MARGIN = 1e-9
 
 
+def _exact_rows(qb, iq, i_ids, cand_idx, valid):
+    """Exact distances of candidate columns, invalid ones → inf."""
+    diff = iq[cand_idx] - qb[:, None, :]
+    exact = np.sqrt(np.einsum("qmd,qmd->qm", diff, diff))
+    return np.where(valid, exact, np.inf)
+
+
 def _top_k_block(q_ids, q_vecs, i_ids, i_vecs, k, exclude_self):
+    """Top-k per query of one tile pair, vectorised per chunk of queries.
+
+    The fast formula |q|² + |i|² − 2 q·i picks ``k + SPARE`` candidates;
+    their distances are recomputed exactly and sorted by (distance, id).
+    Only a row whose fast distances tie beyond the spare candidates falls
+    back to checking every index row within the tie margin.
+    """
     out_q, out_n, out_d = [], [], []
     if len(q_ids) == 0 or len(i_ids) == 0:
         return out_q, out_n, out_d
     iq = np.asarray(i_vecs, dtype=np.float64)
     i_norm = np.einsum("ij,ij->i", iq, iq)
     i_ids = np.asarray(i_ids)
-    for start in range(0, len(q_ids), 512):
-        qb = np.asarray(q_vecs[start:start + 512], dtype=np.float64)
-        qid = np.asarray(q_ids[start:start + 512])
+    n_i = len(i_ids)
+    for start in range(0, len(q_ids), QUERY_CHUNK):
+        qb = np.asarray(q_vecs[start:start + QUERY_CHUNK], dtype=np.float64)
+        qid = np.asarray(q_ids[start:start + QUERY_CHUNK])
         d2 = np.einsum("ij,ij->i", qb, qb)[:, None] + i_norm[None, :] - 2.0 * qb @ iq.T
         if exclude_self:
             d2[qid[:, None] == i_ids[None, :]] = np.inf
-        kk = min(k, d2.shape[1])
-        part = np.partition(d2, kk - 1, axis=1)[:, kk - 1]
-        for r in range(len(qid)):
-            lim = part[r]
-            if not np.isfinite(lim):
-                cand = np.flatnonzero(np.isfinite(d2[r]))
-            else:
-                cand = np.flatnonzero(d2[r] <= lim + TIE_MARGIN * max(abs(lim), 1.0) + 1e-12)
-            if cand.size == 0:
-                continue
-            diff = iq[cand] - qb[r]
-            exact = np.sqrt(np.einsum("ij,ij->i", diff, diff))
-            order = np.lexsort((i_ids[cand], exact))[:k]
-            out_q.extend([qid[r]] * len(order))
-            out_n.extend(i_ids[cand][order].tolist())
-            out_d.extend(exact[order].tolist())
+        m = min(n_i, k + SPARE)
+        cand = np.argpartition(d2, m - 1, axis=1)[:, :m] if m < n_i else np.tile(np.arange(n_i), (len(qid), 1))
+        cd2 = np.take_along_axis(d2, cand, axis=1)
+        kth = np.sort(cd2, axis=1)[:, min(k, m) - 1]
+        limit = kth + TIE_MARGIN * np.maximum(np.abs(kth), 1.0) + 1e-12
+        # rows whose ties may reach beyond the m candidates
+        overflow = (m < n_i) & ((d2 <= limit[:, None]).sum(axis=1) > m)
+        exact = _exact_rows(qb, iq, i_ids, cand, np.isfinite(cd2))
+        ids = i_ids[cand]
+        order = np.lexsort((ids, exact), axis=1)[:, :k]
+        nid = np.take_along_axis(ids, order, axis=1)
+        dist = np.take_along_axis(exact, order, axis=1)
+        qrep = np.repeat(qid[:, None], order.shape[1], axis=1)
+        keep = np.isfinite(dist) & ~overflow[:, None]
+        out_q.extend(qrep[keep].tolist())
+        out_n.extend(nid[keep].tolist())
+        out_d.extend(dist[keep].tolist())
+        for r in np.flatnonzero(overflow):  # rare: ties beyond the spare candidates
+            c = np.flatnonzero(d2[r] <= limit[r])
+            e = _exact_rows(qb[r:r + 1], iq, i_ids, c[None, :], np.isfinite(d2[r, c])[None, :])[0]
+            o = np.lexsort((i_ids[c], e))[:k]
+            o = o[np.isfinite(e[o])]
+            out_q.extend([qid[r]] * len(o))
+            out_n.extend(i_ids[c][o].tolist())
+            out_d.extend(e[o].tolist())
     return out_q, out_n, out_d
 
 

@@ -150,3 +150,24 @@ class Facts:
 
     def table(self, name: str, *cols: str) -> DataFrame:
         return read(self.spark, self.sf_dir, name, *cols)
+
+
+def scan_sql(spark: SparkSession, view: str, state=None, district=None, start=None, end=None) -> DataFrame:
+    """S10 as SQL with bound parameters (no values pasted into the text):
+    the enrollments columns of ``view`` for an optional scope and date range."""
+    where, args = ["1 = 1"], {}
+    if state:
+        where.append("state = :state")
+        args["state"] = state
+    if district:
+        where.append("district = :district")
+        args["district"] = district
+    if start:
+        where.append("date >= CAST(:start AS DATE)")
+        args["start"] = str(start)
+    if end:
+        where.append("date <= CAST(:end AS DATE)")
+        args["end"] = str(end)
+    q = (f"SELECT date, state, district, age_0_5, age_5_17, age_18_greater FROM {view} "
+         f"WHERE {' AND '.join(where)}")
+    return spark.sql(q, args=args)

@@ -69,3 +69,10 @@ def test_models_recover_trend_directly():
     p, lo, hi = tsmodels.additive_forecast(y, ds, 3)
     assert np.allclose(p, [1300, 1310, 1320], atol=15)
     assert np.all(lo <= p) and np.all(p <= hi)
+
+
+def test_mape_aggregate(spark):
+    df = spark.createDataFrame([("S", 100.0, 90.0), ("S", 0.0, 5.0), ("S", 50.0, 55.0), ("T", 0.0, 1.0)],
+                               "state string, y double, yhat double")
+    out = {r.state: r.mape for r in forecast.mape(df, keys=["state"]).collect()}
+    assert abs(out["S"] - 0.1) < 1e-12 and out["T"] is None

@@ -79,3 +79,12 @@ def test_saturation_recovers_logistic(spark):
     assert r.estimated_saturation_count >= total * 0.99
     assert 80 <= r.current_penetration <= 100
     assert r.months_to_90_percent >= 0
+
+
+def test_parameterised_sql_scan(spark):
+    from civicstat.sources.tables import scan_sql
+    rows = [(dt.date(2024, 1, d), "S1" if d % 2 else "S2", "D", None, 1, 1, 1) for d in range(1, 11)]
+    spark.createDataFrame(rows, ENR).createOrReplaceTempView("enr_scan_test")
+    out = scan_sql(spark, "enr_scan_test", state="S1", start="2024-01-03", end="2024-01-07").collect()
+    assert sorted(r.date.day for r in out) == [3, 5, 7]
+    assert scan_sql(spark, "enr_scan_test", state="x' OR '1'='1").count() == 0

@@ -17,3 +17,15 @@ def test_exact_knn_matches_brute_force_across_tiles(spark):
     for q in range(len(vecs)):
         order = np.lexsort((np.arange(len(vecs)), d[q]))[:3]
         assert [n for _, n in sorted(res[q])] == order.tolist()
+
+
+def test_many_exact_ties_fall_back_correctly(spark):
+    # 20 identical vectors: every query has 19 tied neighbours (beyond the spare candidates)
+    vecs = [[1.0, 2.0]] * 20 + [[5.0, 5.0], [6.0, 6.0]]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vecs)], "id long, vec array<double>")
+    got = {}
+    for r in nearest(df, df, k=3, exclude_self=True).collect():
+        got.setdefault(r.query_id, []).append((r.nn_rank, r.neighbor_id))
+    assert [n for _, n in sorted(got[0])] == [1, 2, 3]
+    assert [n for _, n in sorted(got[5])] == [0, 1, 2]
+    assert [n for _, n in sorted(got[21])][0] == 20
