@@ -109,7 +109,10 @@ def explanation_requests(cases: DataFrame, k: int = K_SIMILAR) -> DataFrame:
                    F.array_join(F.transform("_c", lambda x: F.concat(F.lit("- "), x["_nt"])), "\n")
                    .alias("context")))
     q = cases.select("case_id", "state", "district", "date", query_text(cases).alias("query"))
-    out = q.join(ctx, "case_id", "left").withColumn("context", F.coalesce("context", F.lit("")))
+    out = q.join(ctx, "case_id", "left").withColumns({
+        # no similar case (empty index): the reference's message, empty context
+        "note": F.when(F.col("context").isNull(), F.lit(NO_INDEX_MESSAGE)),
+        "context": F.coalesce("context", F.lit(""))})
     prompt = F.replace(F.replace(F.lit(EXPLAIN_TEMPLATE), F.lit("{context}"), F.col("context")),
                        F.lit("{query}"), F.col("query"))
     return out.withColumn("prompt", prompt)

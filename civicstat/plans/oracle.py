@@ -396,8 +396,8 @@ SQL["similar_cases_exact"] = with_roles(f"""
 SELECT vec_id, nn_rank, neighbor_id, {r6('dist')} AS distance FROM (
   SELECT a.vec_id, b.vec_id AS neighbor_id,
          list_distance(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) AS dist,
-         row_number() OVER (PARTITION BY a.vec_id ORDER BY
-           list_distance(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), b.vec_id) AS nn_rank
+         CAST(row_number() OVER (PARTITION BY a.vec_id ORDER BY
+           list_distance(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), b.vec_id) AS INTEGER) AS nn_rank
   FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id) t
 WHERE nn_rank <= 3""")
 
@@ -408,6 +408,7 @@ _EXPLAIN = ("You are an expert analyst. Explain the following new anomaly based
 
 SQL["explanation_requests"] = with_roles(f"""
 SELECT q.case_id, q.state, q.district, q.d AS date, q.query, coalesce(c.context, '') AS context,
+       CASE WHEN c.context IS NULL THEN 'No knowledge base available yet. Please index historical anomalies.' END AS note,
        replace(replace(e'{_EXPLAIN}', '{{context}}', coalesce(c.context, '')), '{{query}}', q.query) AS prompt
 FROM (SELECT case_id, state, district, d,
              'Anomaly: ' || anomaly_type || ' in ' || district || ' with value ' || CAST(anomaly_value AS VARCHAR) || '.' AS query

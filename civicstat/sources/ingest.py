@@ -32,13 +32,14 @@ def read_raw_csv(spark: SparkSession, paths, schema=None) -> DataFrame:
     if schema is not None:
         reader = reader.schema(schema)
     df = reader.csv(paths if isinstance(paths, (list, tuple)) else [paths])
-    return df.withColumn("source_file", F.col("_metadata.file_path"))
+    return df.withColumns({"source_file": F.col("_metadata.file_path"),
+                           "source_block": F.col("_metadata.file_block_start")})
 
 
 def metric_columns(columns, dataset: str) -> list[str]:
     """Metric columns found by name pattern, as in the reference ETL."""
     pat = METRIC_PATTERN[dataset]
-    return [c for c in columns if pat in c and c != "source_file"]
+    return [c for c in columns if pat in c and not c.startswith("source_")]
 
 
 def rule_names(columns, dataset: str) -> list[str]:
@@ -78,20 +79,20 @@ def classify(raw: DataFrame, dataset: str) -> DataFrame:
         out.append(v.alias(m))
         checks.append(F.when(v.isNull(), F.lit(f"invalid_numeric_{m}")))
     reasons = F.array_compact(F.array(*checks)) if checks else F.array().cast("array<string>")
-    raw_struct = F.struct(*[F.col(c) for c in cols if c != "source_file"])
-    extra = [F.col("source_file")] if "source_file" in cols else []
+    raw_struct = F.struct(*[F.col(c) for c in cols if not c.startswith("source_")])
+    extra = [F.col(c) for c in ("source_file", "source_block") if c in cols]
     return raw.select(*out, reasons.alias("reasons"), raw_struct.alias("raw"), *extra)
 
 
 def clean_rows(classified: DataFrame) -> DataFrame:
     """P5: rows that break no rule, parsed columns only (S4 content)."""
-    drop = [c for c in ("reasons", "raw", "source_file") if c in classified.columns]
+    drop = [c for c in ("reasons", "raw", "source_file", "source_block") if c in classified.columns]
     return classified.filter(F.size("reasons") == 0).drop(*drop)
 
 
 def quarantine_rows(classified: DataFrame) -> DataFrame:
     """Every rejected row with its raw text, reasons and file."""
-    keep = ["raw", "reasons"] + (["source_file"] if "source_file" in classified.columns else [])
+    keep = ["raw", "reasons"] + [c for c in ("source_file", "source_block") if c in classified.columns]
     return classified.filter(F.size("reasons") > 0).select(*keep)
 
 
@@ -99,7 +100,8 @@ def quarantine_sample(quarantine: DataFrame, per_rule: int = SAMPLE_PER_RULE) ->
     """The reference's error log: the first few rejects per (file, rule)."""
     from pyspark.sql import Window
     exploded = quarantine.select("*", F.explode("reasons").alias("rule"))
-    w = Window.partitionBy("source_file", "rule").orderBy(F.monotonically_increasing_id())
+    order = [F.col("source_block")] if "source_block" in quarantine.columns else []
+    w = Window.partitionBy("source_file", "rule").orderBy(*order, F.monotonically_increasing_id())
     return exploded.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= per_rule).drop("_rn")
 
 

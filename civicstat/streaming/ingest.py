@@ -28,7 +28,8 @@ def start_ingest(spark: SparkSession, in_dir: str, out_dir: str, dataset: str, c
     schema = text_schema(columns)
     rules = rule_names(list(columns), dataset)
     stream = (spark.readStream.option("header", True).schema(schema).csv(in_dir)
-              .withColumn("source_file", F.col("_metadata.file_path")))
+              .withColumns({"source_file": F.col("_metadata.file_path"),
+                            "source_block": F.col("_metadata.file_block_start")}))
     classified = classify(stream, dataset)
     ckpt = checkpoint or f"{checkpoint_dir(spark)}/ingest-{dataset}"
 
