@@ -19,20 +19,21 @@ from civicstat.session import checkpoint_dir
 UNKNOWN = "Unknown"
 K_SIMILAR = 3
 
-# Fixed texts of the request templates and of the insight fallback record.
+# Fixed texts of the request templates (country and system names left out)
+# and of the insight fallback record.
 EXPLAIN_TEMPLATE = (
     "You are an expert analyst. Explain the following new anomaly based on similar past cases.\n\n"
     "SIMILAR PAST CASES:\n{context}\n\nNEW ANOMALY:\n{query}\n\nTASK:\n"
     "1. Suggest likely root causes.\n2. Recommend resolution steps based on past patterns.\n\n"
     "Provide a concise explanation.")
 INSIGHT_TEMPLATE = (
-    "You are an expert analyst for India's Aadhaar enrollment system.\n\n"
+    "You are an expert analyst for a national identity enrollment system.\n\n"
     "Analyze the following metrics data and provide a professional, data-driven report.\n\n"
     "DATA:\n{metrics_data}\n\nTASK:\n1. Write a 3-sentence executive summary for policymakers.\n"
     "2. List 3 key findings with supporting data.\n3. Identify top 2 risks requiring immediate attention.\n"
     "4. Suggest 3 actionable recommendations.")
 POLICY_TEMPLATE = (
-    "You are a policy expert for digital inclusion in India.\n\n"
+    "You are a policy expert for digital inclusion.\n\n"
     "Analyze the following problem districts and suggest interventions.\n\n"
     "PROBLEM DISTRICTS:\n{problem_districts}\n\nTASK:\n"
     "For each district, provide a targeted recommendation considering:\n1. Infrastructure constraints\n"

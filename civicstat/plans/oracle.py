@@ -420,7 +420,7 @@ LEFT JOIN (
     FROM cases a JOIN cases b ON a.case_id <> b.case_id) t
   WHERE nn_rank <= 3 GROUP BY 1) c ON q.case_id = c.query_id""", CASES)
 
-_INSIGHT = ("You are an expert analyst for India''s Aadhaar enrollment system.\\n\\n"
+_INSIGHT = ("You are an expert analyst for a national identity enrollment system.\\n\\n"
             "Analyze the following metrics data and provide a professional, data-driven report.\\n\\n"
             "DATA:\\n{metrics_data}\\n\\nTASK:\\n1. Write a 3-sentence executive summary for policymakers.\\n"
             "2. List 3 key findings with supporting data.\\n3. Identify top 2 risks requiring immediate attention.\\n"
@@ -466,7 +466,7 @@ problems AS (SELECT state, district, list(issue ORDER BY issue) AS issues FROM i
 SQL["problem_districts"] = with_roles(
     "SELECT state, district, array_to_string(issues, '|') AS issues FROM problems", PROBLEMS)
 
-_POLICY = ("You are a policy expert for digital inclusion in India.\\n\\n"
+_POLICY = ("You are a policy expert for digital inclusion.\\n\\n"
            "Analyze the following problem districts and suggest interventions.\\n\\n"
            "PROBLEM DISTRICTS:\\n{problem_districts}\\n\\nTASK:\\n"
            "For each district, provide a targeted recommendation considering:\\n1. Infrastructure constraints\\n"
