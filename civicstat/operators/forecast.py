@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from civicstat.functions.calendar import densify
 from civicstat.functions.scalar import total
 from civicstat.operators import tsmodels
+from civicstat.session import ship_package
 
 AGE_COLS = ["age_0_5", "age_5_17", "age_18_greater"]
 NATIONAL = "All India"
@@ -173,12 +174,14 @@ def _backtest_group(key, pdf):
 
 def forecast(series: DataFrame, scope: str = "state") -> DataFrame:
     """Q15–Q18: backtest both models, keep the better, refit, forecast 6 months."""
+    ship_package(series.sparkSession)
     s = series.select(F.col(scope).alias("state"), "ds", "y")
     return s.groupBy("state").applyInPandas(_forecast_group, FORECAST_SCHEMA)
 
 
 def forecast_backtest(series: DataFrame, scope: str = "state") -> DataFrame:
     """Q17: holdout MAPE of each candidate model per series."""
+    ship_package(series.sparkSession)
     s = series.select(F.col(scope).alias("state"), "ds", "y")
     return s.groupBy("state").applyInPandas(_backtest_group, BACKTEST_SCHEMA)
 

@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from civicstat.session import ship_package
+
 # Tile size trades replication for memory: each side is copied
 # ceil(n / tile_rows) times, and a group holds tile_rows vectors per side
 # plus a QUERY_CHUNK × tile_rows distance block (256 × 32768 doubles = 64 MiB).
@@ -115,6 +117,7 @@ def nearest(queries: DataFrame, index: DataFrame, k: int = 3, query_id: str = "i
                                       list(ip["v"]), k, exclude_self)
         return pd.DataFrame({"query_id": qid, "neighbor_id": nid, "distance": dist})
 
+    ship_package(queries.sparkSession)
     cand = q.groupBy("qt", "it").cogroup(i.groupBy("qt", "it")).applyInPandas(block, schema)
     w = Window.partitionBy("query_id").orderBy("distance", "neighbor_id")
     return (cand.withColumn("nn_rank", F.row_number().over(w))

@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from civicstat.functions.calendar import densify
 from civicstat.functions.scalar import optional_filter, total
 from civicstat.operators import growth, tsmodels
+from civicstat.session import ship_package
 
 # t90 = t0 − ln(1/0.9 − 1)/k; remaining days → months of 30 days
 TARGET_SHARE = 0.9
@@ -75,4 +76,5 @@ def saturation(enr: DataFrame, state=None, district=None,
     dense = densify(daily, keys, "date", "1 day", fill={"daily_total": 0})
     run = Window.partitionBy(*keys).orderBy("date").rowsBetween(Window.unboundedPreceding, 0)
     cum = dense.withColumn("cumulative_total", F.sum("daily_total").over(run))
+    ship_package(enr.sparkSession)
     return cum.groupBy(*keys).applyInPandas(_fit_group, SCHEMA)

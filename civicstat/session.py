@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -38,10 +39,38 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
 
 
 def apply_conf(spark: SparkSession) -> None:
-    """Pin the runtime settings the operators depend on (safe on any session)."""
+    """Pin the runtime settings the operators depend on (safe on any session)
+    and make the package importable by the Python workers."""
     for k in ("spark.sql.session.timeZone",
               "spark.sql.sources.partitionOverwriteMode"):
         spark.conf.set(k, BASE_CONF[k])
+    ship_package(spark)
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers (once per app).
+
+    Grouped pandas functions are pickled by module reference, so every
+    worker must be able to import ``civicstat``; ``addPyFile`` distributes a
+    zip of the package with the job, as on any cluster.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    out = os.path.join(tempfile.mkdtemp(prefix="civicstat-pyfiles-"), "civicstat.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for base, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(base, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(out)
+    _SHIPPED.add(sc.applicationId)
 
 
 def checkpoint_dir(spark: SparkSession) -> str:

@@ -39,3 +39,20 @@ def test_matches_duckdb_oracle(spark, name):
         return sorted(tuple(str(r[names.index(c)]) for c in cols) for r in rows)
     srows = [tuple(r) for r in sdf.collect()]
     assert key(srows, sdf.columns) == key(cur.fetchall(), dcols)
+
+
+def test_python_stages_run_outside_repo_dir(scratch):
+    # workers must import the package even when the driver runs elsewhere
+    import os
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = (
+        "import sys; sys.path.insert(0, %r)\n"
+        "from pyspark.sql import SparkSession\n"
+        "s = SparkSession.builder.master('local[2]').config('spark.ui.enabled','false').getOrCreate()\n"
+        "import __spark_entry__ as e\n"
+        "print('ROWS', e.queries()['forecast_backtest'](s, %r).count())\n" % (root, SF))
+    out = subprocess.run([sys.executable, "-c", code], cwd=scratch, capture_output=True, text=True, timeout=600)
+    assert "ROWS" in out.stdout, out.stderr[-2000:]
+    assert int(out.stdout.split("ROWS")[1].split()[0]) > 0
