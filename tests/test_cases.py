@@ -40,3 +40,17 @@ def test_explanation_requests_context(spark):
     r = out["2024-01-01"]
     assert r.context.count("\n") == 2 and r.context.startswith("- Anomaly in D, S")
     assert "NEW ANOMALY:\nAnomaly: spike in D with value 100.0." in r.prompt
+
+
+def test_insight_and_policy_requests(spark):
+    import json
+    m = spark.createDataFrame([("S1", 10, 2), ("S2", 5, 0)], "state string, total bigint, alerts bigint")
+    req = {r.state: r for r in cases.insight_requests(m).collect()}
+    assert json.loads(req["S1"].metrics_data) == {"state": "S1", "total": 10, "alerts": 2}
+    assert req["S1"].metrics_data in req["S1"].prompt and "{metrics_data}" not in req["S1"].prompt
+    probs = spark.createDataFrame([("S1", "B", ["x"]), ("S1", "A", ["y", "z"]), ("S2", "C", ["w"])],
+                                  "state string, district string, issues array<string>")
+    pol = {r.state: r for r in cases.policy_requests(probs).collect()}
+    items = json.loads(pol["S1"].problem_districts)
+    assert [i["district"] for i in items] == ["A", "B"] and pol["S1"].n_districts == 2
+    assert pol["S2"].n_districts == 1

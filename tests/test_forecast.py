@@ -76,3 +76,12 @@ def test_mape_aggregate(spark):
                                "state string, y double, yhat double")
     out = {r.state: r.mape for r in forecast.mape(df, keys=["state"]).collect()}
     assert abs(out["S"] - 0.1) < 1e-12 and out["T"] is None
+
+
+def test_forecast_nested_contract(spark):
+    rows = [("S", (pd.Timestamp("2022-01-01") + pd.DateOffset(months=i)).date(), 500.0 + 5 * i) for i in range(20)]
+    df = spark.createDataFrame(rows, "state string, ds date, y double")
+    nested = forecast.forecast_nested(forecast.forecast(df)).collect()
+    assert len(nested) == 1
+    months = [f.month for f in nested[0].forecast]
+    assert months == sorted(months) and len(months) == 6
