@@ -36,23 +36,27 @@ def main() -> None:
     # warm-up: JVM, Python workers and parquet footers
     QUERIES["privacy_gate"](spark, sf_dir).write.format("noop").mode("overwrite").save()
     runs = int(os.environ.get("BENCH_RUNS", "3"))
-    times, first = {}, {}
+    times, first, errors = {}, {}, {}
     for name in names:
         best = None
-        for i in range(runs):
-            t0 = time.perf_counter()
-            QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-            dt = time.perf_counter() - t0
-            if i == 0:
-                first[name] = round(dt, 3)
-            best = dt if best is None else min(best, dt)
-        times[name] = round(best, 3)
+        try:
+            for i in range(runs):
+                t0 = time.perf_counter()
+                QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+                dt = time.perf_counter() - t0
+                if i == 0:
+                    first[name] = round(dt, 3)
+                best = dt if best is None else min(best, dt)
+            times[name] = round(best, 3)
+        except Exception as e:  # noqa: BLE001 - record and keep benchmarking
+            errors[name] = f"{type(e).__name__}: {str(e)[:200]}"
     spark.stop()
     m = re.search(r"sf([0-9.]+)$", sf_dir)
     print(json.dumps({"metric": "headline_queries_total", "value": round(sum(times.values()), 3),
                       "unit": "sec", "queries": times, "sf": float(m.group(1)) if m else sf_dir,
                       "runs": runs, "aggregate": "best of runs per query",
-                      "first_run_total": round(sum(first.values()), 3), "first_run": first}))
+                      "first_run_total": round(sum(first.values()), 3), "first_run": first,
+                      **({"errors": errors} if errors else {})}))
 
 
 if __name__ == "__main__":
