@@ -85,3 +85,15 @@ def test_forecast_nested_contract(spark):
     assert len(nested) == 1
     months = [f.month for f in nested[0].forecast]
     assert months == sorted(months) and len(months) == 6
+
+
+def test_constant_and_zero_series_do_not_fail(spark):
+    rows = [("Z", (pd.Timestamp("2022-01-01") + pd.DateOffset(months=i)).date(), 0.0) for i in range(15)]
+    rows += [("C", (pd.Timestamp("2022-01-01") + pd.DateOffset(months=i)).date(), 7.0) for i in range(15)]
+    out = forecast.forecast(spark.createDataFrame(rows, "state string, ds date, y double")).collect()
+    by = {}
+    for r in out:
+        by.setdefault(r.state, []).append(r)
+    assert set(by) == {"Z", "C"}
+    c = [r for r in by["C"] if r.error is None]
+    assert len(c) == 6 and all(r.predicted == 7 for r in c)
