@@ -116,39 +116,50 @@ def _mape(actual: np.ndarray, pred) -> float:
     return float(np.mean(np.abs((actual[ok] - pred[ok]) / actual[ok])))
 
 
-def _fit(model: str, y: np.ndarray, ds: pd.Series, steps: int):
+def _fit(model: str, y: np.ndarray, ds: pd.Series, steps: int, reg: np.ndarray | None = None):
     """A failed fit of either model is a missing candidate (MAPE = inf), as
-    in the reference, never a failed task."""
+    in the reference, never a failed task. ``reg`` covers history + steps."""
     try:
         if model == "ARIMA":
             return tsmodels.arima_forecast(y, steps)
-        return tsmodels.additive_forecast(y, ds, steps)
+        return tsmodels.additive_forecast(y, ds, steps, regressor=reg)
     except Exception:  # noqa: BLE001
         return None
 
 
-def _backtest(y: np.ndarray, ds: pd.Series, test: int):
+def _backtest(y: np.ndarray, ds: pd.Series, test: int, reg: np.ndarray | None = None):
     train_y, test_y = y[:-test], y[-test:]
     out = {}
     for model in ("ARIMA", "Additive"):
-        f = _fit(model, train_y, ds.iloc[:-test], test)
+        f = _fit(model, train_y, ds.iloc[:-test], test, None if reg is None else reg[:len(y)])
         out[model] = _mape(test_y, None if f is None else f[0])
     return out
 
 
+def _split_regressor(pdf):
+    """History rows (y present) and, when a holiday column came along, the
+    regressor over history + the future rows (y NULL)."""
+    pdf = pdf.sort_values("ds")
+    hist = pdf[pdf["_future"] == 0] if "_future" in pdf else pdf
+    reg = pdf["holidays"].fillna(0).to_numpy(dtype=float) if "holidays" in pdf else None
+    return hist, reg
+
+
 def _forecast_group(key, pdf):
     state = key[0]
-    pdf = pdf.sort_values("ds")
+    pdf, reg = _split_regressor(pdf)
     y = pdf["y"].to_numpy(dtype=float)
     ds = pd.to_datetime(pdf["ds"])
     if len(y) < MIN_MONTHS:
         return pd.DataFrame([{"state": state, "month": None, "predicted": None, "lower": None,
                               "upper": None, "model_used": None, "mape": None,
                               "error": "Insufficient data (need at least 12 months)"}])
-    scores = _backtest(y, ds, TEST_MONTHS)
+    if reg is not None and len(reg) < len(y) + HORIZON:
+        reg = None  # calendar does not cover the horizon: no regressor
+    scores = _backtest(y, ds, TEST_MONTHS, reg)
     # the additive model wins only when strictly better (ties → ARIMA)
     best = "Additive" if scores["Additive"] < scores["ARIMA"] else "ARIMA"
-    final = _fit(best, y, ds, HORIZON)
+    final = _fit(best, y, ds, HORIZON, reg)
     if final is None:
         return pd.DataFrame([{"state": state, "month": None, "predicted": None, "lower": None,
                               "upper": None, "model_used": None, "mape": None,
@@ -166,18 +177,38 @@ def _forecast_group(key, pdf):
 
 
 def _backtest_group(key, pdf):
-    pdf = pdf.sort_values("ds")
+    pdf, reg = _split_regressor(pdf)
     y = pdf["y"].to_numpy(dtype=float)
     if len(y) < MIN_MONTHS:
         return pd.DataFrame(columns=["state", "model", "mape"])
-    scores = _backtest(y, pd.to_datetime(pdf["ds"]), TEST_MONTHS)
+    scores = _backtest(y, pd.to_datetime(pdf["ds"]), TEST_MONTHS, reg)
     return pd.DataFrame({"state": key[0], "model": list(scores), "mape": list(scores.values())})
 
 
-def forecast(series: DataFrame, scope: str = "state") -> DataFrame:
-    """Q15–Q18: backtest both models, keep the better, refit, forecast 6 months."""
+def with_holidays(series: DataFrame, holidays: DataFrame, scope: str = "state",
+                  horizon: int = HORIZON) -> DataFrame:
+    """Attach a national holiday count per month (``holidays``: ds, holidays)
+    and append the ``horizon`` future months of each series (y NULL) so the
+    additive model can use the regressor ahead. The calendar is small
+    (months) and joined by month."""
+    last = series.groupBy(scope).agg(F.max("ds").alias("_last"))
+    fut = last.select(scope, F.explode(F.sequence(F.add_months("_last", 1), F.add_months("_last", horizon),
+                                                  F.expr("interval 1 month"))).alias("ds"))
+    rows = (series.select(scope, "ds", "y", F.lit(0).alias("_future"))
+            .unionByName(fut.select(scope, "ds", F.lit(None).cast("double").alias("y"), F.lit(1).alias("_future"))))
+    return rows.join(holidays.select("ds", F.col("holidays").cast("double")), "ds", "left")
+
+
+def forecast(series: DataFrame, scope: str = "state", holidays: DataFrame | None = None) -> DataFrame:
+    """Q15–Q18: backtest both models, keep the better, refit, forecast 6 months.
+
+    ``holidays`` (optional calendar: ds month start, holidays count) adds a
+    holiday-count regressor to the additive model.
+    """
     ship_package(series.sparkSession)
     s = series.select(F.col(scope).alias("state"), "ds", "y")
+    if holidays is not None:
+        s = with_holidays(s, holidays, "state")
     return s.groupBy("state").applyInPandas(_forecast_group, FORECAST_SCHEMA)
 
 

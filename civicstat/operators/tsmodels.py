@@ -121,8 +121,11 @@ def arima_forecast(y: np.ndarray, steps: int, max_p: int = 3, max_q: int = 2):
 
 
 # ----------------------------------------------------------- additive model
-def _additive_design(t: np.ndarray, months: np.ndarray, changepoints: np.ndarray, order: int):
+def _additive_design(t: np.ndarray, months: np.ndarray, changepoints: np.ndarray, order: int,
+                     extra: np.ndarray | None = None):
     cols = [np.ones_like(t), t]
+    if extra is not None:
+        cols.append(np.asarray(extra, dtype=float))
     cols += [np.maximum(0.0, t - c) for c in changepoints]
     ang = 2 * np.pi * (months - 1) / 12.0
     for k in range(1, order + 1):
@@ -131,8 +134,12 @@ def _additive_design(t: np.ndarray, months: np.ndarray, changepoints: np.ndarray
 
 
 def additive_forecast(y: np.ndarray, ds: pd.Series, steps: int, n_changepoints: int = 5,
-                      order: int = 3, ridge: float = 1.0):
-    """Piecewise-linear trend + yearly Fourier terms, ridge fit; 80 % interval."""
+                      order: int = 3, ridge: float = 1.0, regressor: np.ndarray | None = None):
+    """Piecewise-linear trend + yearly Fourier terms, ridge fit; 80 % interval.
+
+    ``regressor`` (optional, length n + steps) is an extra column such as the
+    number of holidays in each month; its future values must be known.
+    """
     y = np.asarray(y, dtype=float)
     n = len(y)
     scale = max(np.abs(y).max(), 1.0)
@@ -140,17 +147,20 @@ def additive_forecast(y: np.ndarray, ds: pd.Series, steps: int, n_changepoints:
     months = pd.DatetimeIndex(ds).month.to_numpy()
     ncp = min(n_changepoints, max(n // 4, 0))
     cps = np.linspace(0, 0.8, ncp + 2)[1:-1] if ncp else np.array([])
-    X = _additive_design(t, months, cps, order)
+    reg_hist = None if regressor is None else np.asarray(regressor, dtype=float)[:n]
+    reg_fut = None if regressor is None else np.asarray(regressor, dtype=float)[n:n + steps]
+    X = _additive_design(t, months, cps, order, reg_hist)
+    off = 2 + (regressor is not None)
     pen = np.zeros(X.shape[1])
-    pen[2:2 + len(cps)] = ridge
-    pen[2 + len(cps):] = ridge * 0.01
+    pen[off:off + len(cps)] = ridge
+    pen[off + len(cps):] = ridge * 0.01
     beta = np.linalg.solve(X.T @ X + np.diag(pen), X.T @ (y / scale))
     resid = y / scale - X @ beta
     sigma = float(np.sqrt(resid @ resid / max(n - X.shape[1], 1)))
     last = pd.Timestamp(pd.DatetimeIndex(ds)[-1])
     fut = pd.DatetimeIndex([last + pd.DateOffset(months=i + 1) for i in range(steps)])
     tf = (n - 1 + np.arange(1, steps + 1)) / max(n - 1, 1)
-    Xf = _additive_design(tf, fut.month.to_numpy(), cps, order)
+    Xf = _additive_design(tf, fut.month.to_numpy(), cps, order, reg_fut)
     pred = Xf @ beta * scale
     width = Z80 * sigma * scale * np.sqrt(1 + np.arange(1, steps + 1) / n)
     return pred, pred - width, pred + width

@@ -97,3 +97,16 @@ def test_constant_and_zero_series_do_not_fail(spark):
     assert set(by) == {"Z", "C"}
     c = [r for r in by["C"] if r.error is None]
     assert len(c) == 6 and all(r.predicted == 7 for r in c)
+
+
+def test_holiday_regressor(spark):
+    # December has 3 holidays and a dip of 300; the regressor lets the additive model see it
+    months = [(pd.Timestamp("2020-01-01") + pd.DateOffset(months=i)) for i in range(48)]
+    rows = [("S", m.date(), 1000.0 + 5 * i - (300.0 if m.month == 12 else 0.0)) for i, m in enumerate(months)]
+    cal = [((pd.Timestamp("2020-01-01") + pd.DateOffset(months=i)).date(),
+            3 if (pd.Timestamp("2020-01-01") + pd.DateOffset(months=i)).month == 12 else 0) for i in range(60)]
+    df = spark.createDataFrame(rows, "state string, ds date, y double")
+    hol = spark.createDataFrame(cal, "ds date, holidays int")
+    out = forecast.forecast(df, holidays=hol).orderBy("month").collect()
+    assert len(out) == 6 and all(r.error is None for r in out)
+    assert all(r.lower <= r.predicted <= r.upper for r in out)
