@@ -122,7 +122,8 @@ def explanation_requests(cases: DataFrame, k: int = K_SIMILAR) -> DataFrame:
 def insight_requests(metrics: DataFrame, scope=("state",)) -> DataFrame:
     """Q27: per scope, all metric columns → JSON text → prompt text."""
     scope = list(scope)
-    payload = F.to_json(F.struct(*[F.col(c) for c in metrics.columns]))
+    # unknown metrics are sent as JSON null rather than left out
+    payload = F.to_json(F.struct(*[F.col(c) for c in metrics.columns]), {"ignoreNullFields": "false"})
     return metrics.select(*scope, payload.alias("metrics_data")).withColumn(
         "prompt", F.replace(F.lit(INSIGHT_TEMPLATE), F.lit("{metrics_data}"), F.col("metrics_data")))
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -277,14 +277,20 @@ def _low(spark, sf_dir):
 def q_insight_requests(spark, sf_dir):
     f = Facts(spark, sf_dir)
     enr = growth.scope_totals(f.enrollments, ("state",)).withColumnRenamed("total", "total_enrollments")
+    g = growth.growth_rates(f.enrollments, scope=("state",), periods=["month"])
+    latest = (g.withColumn("_rn", F.row_number().over(
+        Window.partitionBy("state", "age_group").orderBy(F.desc("date")))).filter("_rn = 1")
+        .groupBy("state").pivot("age_group", growth.AGE_COLS).agg(F.first("growth_rate_pct"))
+        .select("state", *[F.col(c).alias(f"mom_growth_pct_{c}") for c in growth.AGE_COLS]))
     low = _low(spark, sf_dir).groupBy("state").agg(F.count(F.lit(1)).alias("low_performing_districts"))
     al = _alerts(spark, sf_dir).groupBy("state").agg(
         F.count(F.lit(1)).alias("anomaly_alerts"),
         F.count_if(F.col("anomaly_type") == "spike").alias("spikes"),
         F.count_if(F.col("anomaly_type") == "drop").alias("drops"))
-    m = (enr.join(low, "state", "left").join(al, "state", "left")
+    m = (enr.join(latest, "state", "left").join(low, "state", "left").join(al, "state", "left")
          .fillna(0, ["low_performing_districts", "anomaly_alerts", "spikes", "drops"])
-         .select("state", "total_enrollments", "low_performing_districts", "anomaly_alerts", "spikes", "drops"))
+         .select("state", "total_enrollments", *[f"mom_growth_pct_{c}" for c in growth.AGE_COLS],
+                 "low_performing_districts", "anomaly_alerts", "spikes", "drops"))
     return cases.insight_requests(m)
 
 

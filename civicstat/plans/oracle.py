@@ -432,17 +432,27 @@ low AS (SELECT state, district, avg_rate AS success_rate FROM (
           FROM rates GROUP BY 1, 2) WHERE avg_rate < 600.0)
 """
 
+_MOM = growth_sql(["month"], scope=("state",))
+_MOM_CTES = _MOM[len("WITH "):_MOM.index("\nSELECT ")].replace(ROLES, "", 1).lstrip(",\n")
+_MOM_BODY = _MOM[_MOM.index("\nSELECT ") + 1:]
+
 SQL["insight_requests"] = with_roles(f"""
 SELECT state, metrics_data, replace(e'{_INSIGHT}', '{{metrics_data}}', metrics_data) AS prompt FROM (
   SELECT t.state, to_json({{'state': t.state, 'total_enrollments': CAST(t.total AS BIGINT),
+           'mom_growth_pct_age_0_5': g.a, 'mom_growth_pct_age_5_17': g.b, 'mom_growth_pct_age_18_greater': g.c,
            'low_performing_districts': CAST(coalesce(l.n, 0) AS BIGINT), 'anomaly_alerts': CAST(coalesce(a.n, 0) AS BIGINT),
            'spikes': CAST(coalesce(a.spikes, 0) AS BIGINT), 'drops': CAST(coalesce(a.drops, 0) AS BIGINT)}})::VARCHAR AS metrics_data
   FROM (SELECT state, coalesce(SUM(age_0_5), 0) + coalesce(SUM(age_5_17), 0) + coalesce(SUM(age_18_greater), 0) AS total
         FROM enrollments GROUP BY 1) t
+  LEFT JOIN (SELECT state, max(CASE WHEN age_group = 'age_0_5' THEN growth_rate_pct END) AS a,
+                    max(CASE WHEN age_group = 'age_5_17' THEN growth_rate_pct END) AS b,
+                    max(CASE WHEN age_group = 'age_18_greater' THEN growth_rate_pct END) AS c
+             FROM (SELECT *, row_number() OVER (PARTITION BY state, age_group ORDER BY date DESC) AS rn FROM mom)
+             WHERE rn = 1 GROUP BY 1) g USING (state)
   LEFT JOIN (SELECT state, count(*) AS n FROM low GROUP BY 1) l USING (state)
   LEFT JOIN (SELECT state, count(*) AS n, count(*) FILTER (WHERE anomaly_type = 'spike') AS spikes,
                     count(*) FILTER (WHERE anomaly_type = 'drop') AS drops FROM report GROUP BY 1) a USING (state)) x
-""", ANOMALY_REPORT + "," + LOW_600)
+""", ANOMALY_REPORT + "," + LOW_600 + "," + _MOM_CTES + ",\nmom AS (" + _MOM_BODY + ")")
 
 SQL["insight_parse"] = with_roles("""
 SELECT conv_id, turn, false AS parsed_ok,
