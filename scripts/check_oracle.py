@@ -37,8 +37,6 @@ def norm(v):
         return "[" + ",".join(norm(x) for x in v) + "]"
     if hasattr(v, "tolist"):
         return norm(v.tolist())
-    if isinstance(v, int):
-        return repr(float(v)) if False else str(v)
     return str(v)
 
 
