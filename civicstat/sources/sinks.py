@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from civicstat.schemas import POLICY_RECOMMENDATION
@@ -35,15 +36,21 @@ def new_rows(source: DataFrame, target: DataFrame) -> DataFrame:
 def load_parquet(spark: SparkSession, source_path: str, target_path: str) -> DataFrame:
     """Append the rows of a Parquet file that the target lacks.
 
-    Returns a one-row summary (file, total_rows, inserted, errors, status)
-    built from ``Observation`` metrics of the same write job.
+    Returns a one-row summary (file, total_rows, inserted, errors, status).
+    The rows to insert are persisted on disk once so that counting and
+    writing them do not repeat the anti-join. (``Observation`` would count
+    during the write, but in Spark 4.1 a session that used one can no longer
+    serialise later ML evaluation tasks, so it is not used here.)
     """
     src = spark.read.parquet(source_path)
     total = src.count()
     todo = new_rows(src, spark.read.parquet(target_path)) if table_exists(spark, target_path) else src
-    obs = Observation("load")
-    todo.observe(obs, F.count(F.lit(1)).alias("inserted")).write.mode("append").parquet(target_path)
-    inserted = obs.get.get("inserted", 0)
+    todo = todo.persist(StorageLevel.DISK_ONLY)
+    try:
+        inserted = todo.count()
+        todo.write.mode("append").parquet(target_path)
+    finally:
+        todo.unpersist()
     return spark.createDataFrame(
         [(source_path, total, inserted, 0, "Completed")],
         "file string, total_rows long, inserted long, errors long, status string")
