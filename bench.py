@@ -33,8 +33,9 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     names = [q for q in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if q]
     spark = build_session(f"local[{cpus}]", shuffle_partitions=max(2 * cpus, 8), app_name="civicstat-bench")
-    # warm-up: JVM, Python workers and parquet footers
-    QUERIES["privacy_gate"](spark, sf_dir).write.format("noop").mode("overwrite").save()
+    # warm-up (not timed): JVM code paths of scans, joins, windows, Python workers
+    for w in ("privacy_gate", "repeat_attempts", "anomaly_series", "forecast_backtest"):
+        QUERIES[w](spark, sf_dir).write.format("noop").mode("overwrite").save()
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     times, first, errors = {}, {}, {}
     for name in names:
