@@ -78,22 +78,26 @@ def classify(raw: DataFrame, dataset: str) -> DataFrame:
         v = nonneg_number(m)
         out.append(v.alias(m))
         checks.append(F.when(v.isNull(), F.lit(f"invalid_numeric_{m}")))
-    reasons = F.array_compact(F.array(*checks)) if checks else F.array().cast("array<string>")
+    # array_except drops the NULL entries without a lambda (stays in codegen);
+    # ``valid`` is the same test as an empty array, cheap enough to filter on
+    no_reason = F.array(F.lit(None).cast("string"))
+    reasons = F.array_except(F.array(*checks), no_reason) if checks else F.array().cast("array<string>")
+    valid = F.coalesce(*checks).isNull() if checks else F.lit(True)
     raw_struct = F.struct(*[F.col(c) for c in cols if not c.startswith("source_")])
     extra = [F.col(c) for c in ("source_file", "source_block") if c in cols]
-    return raw.select(*out, reasons.alias("reasons"), raw_struct.alias("raw"), *extra)
+    return raw.select(*out, reasons.alias("reasons"), valid.alias("valid"), raw_struct.alias("raw"), *extra)
 
 
 def clean_rows(classified: DataFrame) -> DataFrame:
     """P5: rows that break no rule, parsed columns only (S4 content)."""
-    drop = [c for c in ("reasons", "raw", "source_file", "source_block") if c in classified.columns]
-    return classified.filter(F.size("reasons") == 0).drop(*drop)
+    drop = [c for c in ("reasons", "valid", "raw", "source_file", "source_block") if c in classified.columns]
+    return classified.filter(F.col("valid")).drop(*drop)
 
 
 def quarantine_rows(classified: DataFrame) -> DataFrame:
     """Every rejected row with its raw text, reasons and file."""
     keep = ["raw", "reasons"] + [c for c in ("source_file", "source_block") if c in classified.columns]
-    return classified.filter(F.size("reasons") > 0).select(*keep)
+    return classified.filter(~F.col("valid")).select(*keep)
 
 
 def quarantine_sample(quarantine: DataFrame, per_rule: int = SAMPLE_PER_RULE) -> DataFrame:
@@ -112,7 +116,7 @@ def quality_report(classified: DataFrame, dataset: str, rules: list[str]) -> Dat
     """
     counts = [F.count_if(F.array_contains("reasons", r)).alias(r) for r in rules]
     agg = classified.agg(F.count(F.lit(1)).alias("total_rows"),
-                         F.count_if(F.size("reasons") == 0).alias("valid_rows"), *counts)
+                         F.count_if(F.col("valid")).alias("valid_rows"), *counts)
     if rules:
         m = F.map_from_arrays(F.array(*[F.lit(r) for r in rules]), F.array(*[F.col(r) for r in rules]))
         errors = F.map_filter(m, lambda k, v: v > 0)
