@@ -80,8 +80,14 @@ def with_detectors(series: DataFrame, scope=SCOPE, value: str = METRIC,
 
 
 def detection_methods(is_z: Column, is_iqr: Column, is_roll: Column) -> Column:
+    """Names of the methods that flagged the day, in method order (no lambda)."""
     flags = [is_z, is_iqr, is_roll]
-    return F.array_compact(F.array(*[F.when(f, F.lit(m)) for f, m in zip(flags, METHOD_ORDER)]))
+    named = F.array(*[F.when(f, F.lit(m)) for f, m in zip(flags, METHOD_ORDER)])
+    return F.array_except(named, F.array(F.lit(None).cast("string")))
+
+
+def n_methods(is_z: Column, is_iqr: Column, is_roll: Column) -> Column:
+    return is_z.cast("int") + is_iqr.cast("int") + is_roll.cast("int")
 
 
 def anomaly_report(enr: DataFrame, scope=SCOPE, days: int = 90, state=None,
@@ -98,8 +104,8 @@ def anomaly_report(enr: DataFrame, scope=SCOPE, days: int = 90, state=None,
         .otherwise(F.col(METRIC) < F.col("series_mean"))
     severity = F.when(F.col("is_z"), F.least(F.lit(MAX_SEVERITY), F.col("z_score"))) \
         .otherwise(F.lit(DEFAULT_SEVERITY))
-    return (d.withColumn("detection_methods", methods)
-            .filter(F.size("detection_methods") >= 2)
+    return (d.filter(n_methods(F.col("is_z"), F.col("is_iqr"), F.col("is_roll")) >= 2)
+            .withColumn("detection_methods", methods)
             .select("date", *scope,
                     F.lit(METRIC).alias("metric_name"),
                     F.col(METRIC).alias("anomaly_value"),
