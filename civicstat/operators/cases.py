@@ -128,9 +128,16 @@ def insight_requests(metrics: DataFrame, scope=("state",)) -> DataFrame:
         "prompt", F.replace(F.lit(INSIGHT_TEMPLATE), F.lit("{metrics_data}"), F.col("metrics_data")))
 
 
+def json_payload(c: Column) -> Column:
+    """The JSON inside a markdown code fence (```json … ```) when there is
+    one, else the whole text — responses are often wrapped that way."""
+    fenced = F.regexp_extract(c, r"(?s)```(?:json)?\s*(.*?)\s*```", 1)
+    return F.when(fenced != "", fenced).otherwise(c)
+
+
 def parse_insights(responses: DataFrame, text_col: str = "text") -> DataFrame:
     """Q28: typed parse of response texts; anything unusable → fallback record."""
-    parsed = F.from_json(F.col(text_col), INSIGHT_RECORD)
+    parsed = F.from_json(json_payload(F.col(text_col)), INSIGHT_RECORD)
     ok = (parsed.isNotNull() & parsed["executive_summary"].isNotNull() & parsed["key_findings"].isNotNull()
           & parsed["risk_alerts"].isNotNull() & parsed["recommendations"].isNotNull())
     fallback = F.struct(F.lit(FALLBACK_SUMMARY).alias("executive_summary"),
@@ -168,6 +175,6 @@ def policy_requests(problems: DataFrame) -> DataFrame:
 
 def explode_policy(responses: DataFrame, text_col: str = "text") -> DataFrame:
     """Q30: recommendations[] of each response → one row each; bad JSON → none."""
-    parsed = F.from_json(F.col(text_col), POLICY_RESPONSE)
+    parsed = F.from_json(json_payload(F.col(text_col)), POLICY_RESPONSE)
     return (responses.select(F.explode_outer(parsed["recommendations"]).alias("r"))
             .filter(F.col("r").isNotNull()).select("r.*"))

@@ -54,3 +54,13 @@ def test_insight_and_policy_requests(spark):
     items = json.loads(pol["S1"].problem_districts)
     assert [i["district"] for i in items] == ["A", "B"] and pol["S1"].n_districts == 2
     assert pol["S2"].n_districts == 1
+
+
+def test_fenced_json_responses(spark):
+    body = ('{"executive_summary": "s", "key_findings": ["a"], "risk_alerts": ["r"], '
+            '"recommendations": ["x"]}')
+    df = spark.createDataFrame([(1, "Here you go:\n```json\n" + body + "\n```\nThanks"), (2, "```\nnot json\n```")],
+                               "id int, text string")
+    rows = {r.id: r for r in cases.parse_insights(df).collect()}
+    assert rows[1].parsed_ok and rows[1].executive_summary == "s"
+    assert not rows[2].parsed_ok
