@@ -76,17 +76,19 @@ def ship_package(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only when the session has none (tests, local runs) a private scratch
-    folder is created and registered, so lineage cuts never land on a
-    machine-local path on a cluster that configured one.
+    Without one a local session (tests, trial runs) gets a private scratch
+    folder; on a cluster that is an error, because a machine-local folder is
+    not visible to the other executors.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if not sc.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="civicstat-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(d)
-    return d
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() if not spark.conf.get("spark.checkpoint.dir", None) else d
 
 
 MAX_SHUFFLE_PARTITIONS = 100_000

@@ -11,8 +11,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def spark():
     from civicstat.session import build_session
     s = build_session("local[4]", shuffle_partitions=8, app_name="civicstat-tests")
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="civicstat-test-ckpt-"))
     yield s
     s.stop()
 
