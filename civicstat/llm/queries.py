@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from civicstat.llm import bpe, chat, mixing, rules
+from civicstat.llm import bpe, chat, mixing, quality, rules, toxicity
 from civicstat.llm.common import table
 
 
@@ -15,12 +15,18 @@ def _on(name: str, digest: Callable[[DataFrame], DataFrame]) -> Callable[[SparkS
     return lambda spark, sf_dir: digest(table(spark, sf_dir, name))
 
 
+def _labelled(digest: Callable[[DataFrame, DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def _bpe(documents: DataFrame) -> DataFrame:
     return bpe.bpe_digest(documents, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_formatting": _on("conversations", chat.chat_digest),
+    "op2_quality_classifier": _labelled(quality.quality_digest),
+    "op5_toxicity": _labelled(toxicity.toxicity_digest),
     "op6_quality_rules": _on("documents", rules.rules_digest),
     "op8_mixing": _on("documents", mixing.mix_digest),
     "op10_byte_bpe": _on("documents", _bpe),
