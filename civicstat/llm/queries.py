@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from civicstat.llm import bpe, chat, mixing, quality, rules, simhash, toxicity
+from civicstat.llm import bpe, chat, mixing, quality, rules, simhash, substrings, toxicity
 from civicstat.llm.common import table
 
 
@@ -26,6 +26,7 @@ def _bpe(documents: DataFrame) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_formatting": _on("conversations", chat.chat_digest),
     "op2_quality_classifier": _labelled(quality.quality_digest),
+    "op3_substring_dedup": _on("documents", substrings.substring_digest),
     "op4_simhash": _on("documents", simhash.simhash_digest),
     "op5_toxicity": _labelled(toxicity.toxicity_digest),
     "op6_quality_rules": _on("documents", rules.rules_digest),
