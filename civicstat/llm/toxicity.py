@@ -124,17 +124,26 @@ def log_ratios(tables: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
 
 def count_grams(rows: DataFrame) -> DataFrame:
     """(label, half, gram, n) of ``rows`` (text, label, half)."""
+    def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[np.ndarray, np.ndarray]]:
+        if len(parts) < 2:
+            return parts
+        g, at = np.unique(np.concatenate([g for g, _ in parts]), return_inverse=True)
+        return [(g, np.bincount(at, np.concatenate([n for _, n in parts]), len(g)).astype(np.int64))]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: list[list[tuple[np.ndarray, np.ndarray]]] = [[], [], [], []]
         for b in batches:
             texts = b.column(0).to_pylist()
             group = (b.column(1).to_numpy() * 2 + b.column(2).to_numpy()).tolist()
             for k in range(4):
                 own = [grams(t) for t, g in zip(texts, group) if g == k]
                 if own:
-                    g, n = np.unique(np.concatenate(own), return_counts=True)
-                    yield pa.RecordBatch.from_pydict({
-                        "label": pa.array(np.full(len(g), k // 2, np.int32)), "half": pa.array(np.full(len(g), k % 2, np.int32)),
-                        "gram": pa.array(g.astype(np.int32)), "n": pa.array(n.astype(np.int64))})
+                    sums[k] = merged([*sums[k], np.unique(np.concatenate(own), return_counts=True)])
+        for k, parts in enumerate(sums):
+            for g, n in parts:
+                yield pa.RecordBatch.from_pydict({
+                    "label": pa.array(np.full(len(g), k // 2, np.int32)), "half": pa.array(np.full(len(g), k % 2, np.int32)),
+                    "gram": pa.array(g.astype(np.int32)), "n": pa.array(n.astype(np.int64))})
 
     return (rows.mapInArrow(run, "label int, half int, gram int, n bigint")
             .groupBy("label", "half", "gram").agg(F.sum("n").alias("n")))
@@ -167,7 +176,9 @@ def classify(docs: DataFrame, labels: DataFrame, half: Column) -> DataFrame:
     spark = docs.sparkSession
     prepare(spark)
     known = labels.withColumn("half", half.cast("int"))
-    seen = count_grams(docs.join(known, docs["doc_id"] == known["id"]).select("text", "label", "half")).toArrow()
+    # labels grow with the corpus: a shuffle at every size, never a broadcast
+    rows = docs.join(known.hint("merge"), docs["doc_id"] == known["id"]).select("text", "label", "half")
+    seen = count_grams(rows).toArrow()
     label, side, gram, n = (seen.column(i).to_numpy() for i in range(4))
     if not {0, 1} <= set(np.unique(label).tolist()):
         only = float(label.max()) if len(label) else 0.0
