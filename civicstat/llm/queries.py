@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from civicstat.llm import bpe, chat, mixing, quality, rules, simhash, substrings, toxicity
+from civicstat.llm import bpe, chat, mixing, quality, rules, simhash, substrings, topk, toxicity
 from civicstat.llm.common import table
 
 
@@ -31,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_toxicity": _labelled(toxicity.toxicity_digest),
     "op6_quality_rules": _on("documents", rules.rules_digest),
     "op8_mixing": _on("documents", mixing.mix_digest),
+    "op9_exact_top_k": _on("embeddings", topk.topk_digest),
     "op10_byte_bpe": _on("documents", _bpe),
 }
 
@@ -38,4 +39,5 @@ SQL: dict[str, str] = {
     "op1_chat_formatting": chat.SQL,
     "op6_quality_rules": rules.SQL,
     "op8_mixing": mixing.SQL,
+    "op9_exact_top_k": topk.SQL,
 }

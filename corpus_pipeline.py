@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from civicstat.llm import bpe, common, mixing, rules
+from civicstat.llm import bpe, common, mixing, rules, simhash, substrings
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -19,6 +19,24 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return found.where(F.col(f"{verdict}.kept")).select(*docs.columns)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates: the one with the smallest id."""
+    return simhash.one_of_each(docs)
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the words of repeated windows. A text that loses no
+    word stays as it is; the others are their words joined by one space, with
+    n_chars counted again."""
+    found, d = substrings.dedup(docs)
+    cut = F.col(f"{d}.n_removed") > 0
+    found = found.withColumn("text", F.when(cut, F.col(f"{d}.kept")).otherwise(F.col("text")))
+    if "n_chars" in docs.columns:
+        n = F.length("text").cast(docs.schema["n_chars"].dataType)
+        found = found.withColumn("n_chars", F.when(cut, n).otherwise(F.col("n_chars")))
+    return found.select(*docs.columns)
+
+
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
     mixed, m = mixing.mix(docs)
@@ -34,6 +52,8 @@ def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality_rules", quality_rules),
+    ("near_duplicates", near_duplicates),
+    ("substring_dedup", substring_dedup),
     ("source_mixing", source_mixing),
     ("byte_bpe", byte_bpe),
 ]
