@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from civicstat.llm import bpe, chat, mixing, quality, rules, simhash, substrings, topk, toxicity
+from civicstat.llm import bpe, chat, language, mixing, quality, rules, simhash, substrings, topk, toxicity
 from civicstat.llm.common import table
 
 
@@ -30,6 +30,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_simhash": _on("documents", simhash.simhash_digest),
     "op5_toxicity": _labelled(toxicity.toxicity_digest),
     "op6_quality_rules": _on("documents", rules.rules_digest),
+    "op7_language_id": _on("documents", language.language_digest),
     "op8_mixing": _on("documents", mixing.mix_digest),
     "op9_exact_top_k": _on("embeddings", topk.topk_digest),
     "op10_byte_bpe": _on("documents", _bpe),
