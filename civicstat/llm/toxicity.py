@@ -59,9 +59,12 @@ def _symbol_of() -> np.ndarray:
 
 def grams(text: str | None) -> np.ndarray:
     """The five-gram that ends at each symbol of a whole text, as a number;
-    symbols before a word's boundary count as boundaries."""
+    symbols before a word's boundary count as boundaries. A text without a
+    letter is one boundary."""
     s = _symbol_of()[np.frombuffer(f"{text or ''} ".encode("utf-32-le", "surrogatepass"), np.uint32)].astype(np.int32)
     s = s[(s > 0) | (np.concatenate([[0], s[:-1]]) > 0)]
+    if not len(s):
+        return np.zeros(1, np.int32)
     out, inside = s.copy(), np.ones(len(s), bool)
     for i in range(1, min(ORDER, len(s) + 1)):
         before = np.concatenate([np.zeros(i, np.int32), s[:-i]])
@@ -177,8 +180,8 @@ def classify(docs: DataFrame, labels: DataFrame, half: Column) -> DataFrame:
     prepare(spark)
     known = labels.withColumn("half", half.cast("int"))
     # labels grow with the corpus: a shuffle at every size, never a broadcast
-    rows = docs.join(known.hint("merge"), docs["doc_id"] == known["id"]).select("text", "label", "half")
-    seen = count_grams(rows).toArrow()
+    own = docs.select("doc_id", "text")
+    seen = count_grams(own.join(known.hint("merge"), own["doc_id"] == known["id"]).select("text", "label", "half")).toArrow()
     label, side, gram, n = (seen.column(i).to_numpy() for i in range(4))
     if not {0, 1} <= set(np.unique(label).tolist()):
         only = float(label.max()) if len(label) else 0.0
