@@ -9,10 +9,11 @@ piece once with its smallest document, and backward search over the shard's
 index finds for every window of a piece the smallest document that has it.
 
 A key with many different pieces (a passage in very many documents, each
-piece with other words around it) would fill a shard. Its pieces fall apart
-into single windows that are keyed by the hash of the whole window; windows
-of one document are done, the rest are indexed like other pieces. So no key
-holds more than ``most_pieces`` pieces, however common a passage is.
+piece with other words around it) would fill a shard. Its pieces are cut again
+by the keys of longer shingles, which other words reach sooner, and at last
+into single windows keyed by all their words. Each time, what occurs in one
+document only is done. So no key holds more than ``most_pieces`` pieces in a
+shard, however common a passage is.
 """
 
 from __future__ import annotations
@@ -30,7 +31,8 @@ from civicstat.llm.common import cut, fresh, prepare
 from civicstat.llm.fmindex import Index
 
 WINDOW = 50
-SHINGLE = 8
+#: Words of the shingles that give the keys, one after another for crowded keys.
+SHINGLES = (8, 25, WINDOW)
 #: Windows of one piece; longer stretches are split.
 PIECE = 64
 MOST_PIECES = 256
@@ -72,11 +74,11 @@ def _smallest(x: np.ndarray, size: int) -> np.ndarray:
     return x if h == size else np.minimum(x[:len(x) - size + h], x[size - h:])
 
 
-def pieces_of(words: list[bytes], window: int = WINDOW) -> tuple[np.ndarray, ...]:
+def pieces_of(words: list[bytes], window: int = WINDOW, shingle: int = SHINGLES[0]) -> tuple[np.ndarray, ...]:
     """Key, hash of the words, first word and number of windows of each piece."""
     if len(words) < window:
         return tuple(np.zeros(0, k) for k in (np.uint64, np.uint64, np.int64, np.int64))
-    shingle = min(SHINGLE, window)
+    shingle = min(shingle, window)
     h = _hashes(words)
     key = _smallest(_windows(h, shingle), window - shingle + 1)
     new = np.concatenate([[True], key[1:] != key[:-1]])
@@ -115,27 +117,43 @@ def _find(docs: DataFrame, window: int) -> DataFrame:
 
 
 def _extract(docs: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
-    """The words of the wanted pieces and, of pieces under hot keys, a hash of each window."""
-    lists = wanted.groupBy("id", "mark").agg(F.collect_list(F.struct("key", "piece", "start", "n", "hot")).alias("ps"))
-    rows = docs.join(lists, ["id", "mark"]).select("id", "mark", "text", "ps")
-    kinds = pa.schema([("key", pa.int64()), ("piece", pa.int64()), ("id", pa.int64()), ("mark", pa.int64()),
-                       ("start", pa.int32()), ("words", pa.binary()), ("hashes", pa.list_(pa.int64()))])
+    """(key, piece, id, hi, words) of the ``wanted`` pieces."""
+    lists = wanted.groupBy("id", "mark").agg(F.collect_list(F.struct("key", "piece", "start", "n", "hi")).alias("ps"))
+    rows = docs.join(lists, ["id", "mark"]).select("id", "text", "ps")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for i, mark, text, ps in zip(*(b.column(k).to_pylist() for k in range(4))):
-                words, out, hashes = _words(text), [], None
-                for p in sorted(ps, key=lambda p: p["start"]):
-                    a, e = p["start"], p["start"] + p["n"]
-                    if p["hot"] and hashes is None:
-                        hashes = _windows(_hashes(words), window).view(np.int64)
-                    out.append({"key": p["key"], "piece": p["piece"], "id": i, "mark": mark, "start": a,
-                                "words": b" ".join(words[a:e + window - 1]),
-                                "hashes": hashes[a:e].tolist() if p["hot"] else None})
-                if out:
-                    yield pa.RecordBatch.from_pylist(out, kinds)
+            out: list[tuple] = []
+            for i, text, ps in zip(*(b.column(k).to_pylist() for k in range(3))):
+                words = _words(text)
+                out += [(p["key"], p["piece"], i, p["hi"], b" ".join(words[p["start"]:p["start"] + p["n"] + window - 1]))
+                        for p in ps]
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), [pa.int64()] * 4 + [pa.binary()])],
+                                                 ["key", "piece", "id", "hi", "words"])
 
-    return rows.mapInArrow(run, "key bigint, piece bigint, id bigint, mark bigint, start int, words binary, hashes array<bigint>")
+    return rows.mapInArrow(run, "key bigint, piece bigint, id bigint, hi bigint, words binary")
+
+
+def _cut_again(pieces: DataFrame, window: int, shingle: int) -> DataFrame:
+    """``pieces`` (key, piece, id, hi, words) as smaller pieces with keys of
+    longer shingles: key, piece, id, hi, at, key2, piece2, words."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if not b.num_rows:
+                continue
+            rows = [w.split() for w in b.column(4).to_pylist()]
+            found = [pieces_of(w, window, shingle) for w in rows]
+            sizes = [len(f[0]) for f in found]
+            key, piece, start, n = (np.concatenate(x) for x in zip(*found))
+            words = [b" ".join(w[a:a + k + window - 1]) for w, f in zip(rows, found) for a, k in zip(f[2].tolist(), f[3].tolist())]
+            own = [np.repeat(b.column(k).to_numpy(), sizes) for k in range(4)]
+            yield pa.RecordBatch.from_arrays(
+                [*map(pa.array, own), pa.array(start.astype(np.int32)), pa.array(key.view(np.int64)),
+                 pa.array(piece.view(np.int64)), pa.array(words, pa.binary())],
+                ["key", "piece", "id", "hi", "at", "key2", "piece2", "words"])
+
+    return pieces.mapInArrow(run, "key bigint, piece bigint, id bigint, hi bigint, at int, key2 bigint, piece2 bigint, words binary")
 
 
 def _search(pieces: DataFrame, window: int, shard_words: int) -> DataFrame:
@@ -179,6 +197,27 @@ def _search(pieces: DataFrame, window: int, shard_words: int) -> DataFrame:
     return rows.mapInArrow(run, "key bigint, piece bigint, owners array<struct<at:int,n:int,first:bigint>>")
 
 
+def _owners(pieces: DataFrame, window: int, most_pieces: int, shard_words: int, shingles: tuple) -> DataFrame:
+    """(key, piece, owners) of the distinct ``pieces`` (key, piece, id, hi,
+    words); id and hi are the smallest and largest document of a piece."""
+    crowded = pieces.groupBy("key").agg(F.count("*").alias("many")).where(F.col("many") > most_pieces).select("key")
+    if not shingles or crowded.isEmpty():
+        return _search(pieces, window, shard_words)
+    crowded = cut(crowded)
+    found = _search(pieces.join(crowded, "key", "left_anti"), window, shard_words)
+    again = cut(_cut_again(pieces.join(crowded, "key"), window, shingles[0]))
+    shared = (again.groupBy("key2").agg(F.min("id").alias("lo"), F.max("hi").alias("top"))
+              .where(F.col("lo") < F.col("top")).select("key2"))
+    smaller = (again.join(shared, "key2").groupBy(F.col("key2").alias("key"), F.col("piece2").alias("piece"))
+               .agg(F.min("id").alias("id"), F.max("hi").alias("hi"), F.first("words").alias("words")))
+    below = _owners(cut(smaller), window, most_pieces, shard_words, shingles[1:]).select(
+        F.col("key").alias("key2"), F.col("piece").alias("piece2"), "owners")
+    moved = F.expr("transform(owners, o -> struct(o.at + at AS at, o.n AS n, o.first AS first))")
+    back = (again.join(below, ["key2", "piece2"]).select("key", "piece", moved.alias("owners"))
+            .groupBy("key", "piece").agg(F.flatten(F.collect_list("owners")).alias("owners")))
+    return found.unionByName(back)
+
+
 def repeated_spans(docs: DataFrame, window: int = WINDOW, most_pieces: int = MOST_PIECES,
                    shard_words: int = SHARD_WORDS) -> DataFrame:
     """(id, mark, spans: array of start, stop in words) of the documents of
@@ -189,34 +228,14 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, most_pieces: int = MOS
     shared = (found.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
               .where(F.col("lo") < F.col("hi")).select("key"))
     some = cut(found.join(shared, "key"))
-    each = some.groupBy("key", "piece").agg(F.min("id").alias("lo"))
-    kinds = each.groupBy("key").agg((F.count("*") > most_pieces).alias("hot"))
-    some = cut(some.join(each, ["key", "piece"]).join(kinds, "key")
-               .select("key", "piece", "id", "mark", "start", "n", "hot", (F.col("id") == F.col("lo")).alias("first")))
-
-    taken = cut(_extract(docs, some.where("hot OR first"), window))
-    cold = taken.where(F.col("hashes").isNull()).dropDuplicates(["key", "piece"])
-    windows = (taken.where(F.col("hashes").isNotNull())
-               .select("id", "mark", F.col("start").alias("piece_start"), F.posexplode("hashes").alias("at", "key")))
-    again = (windows.groupBy("key").agg(F.min(F.struct("id", "mark", "piece_start", "at")).alias("w"), F.max("id").alias("hi"))
-             .where(F.col("w.id") < F.col("hi")).select("key", "w.*"))
-    again = cut(again)
-    hot = (again.withColumnRenamed("key", "window_key").join(
-        taken.where(F.col("hashes").isNotNull()).select("id", "mark", F.col("start").alias("piece_start"), "words"),
-        ["id", "mark", "piece_start"])
-        .dropDuplicates(["window_key"])
-        .select(F.col("window_key").alias("key"), F.col("window_key").alias("piece"), "id",
-                F.concat_ws(" ", F.slice(F.split(F.col("words").cast("string"), " "), F.col("at") + 1, window))
-                .cast("binary").alias("words")))
-    owners = cut(_search(cold.select("key", "piece", "id", "words").unionByName(hot), window, shard_words))
-
-    places = some.where(~F.col("hot")).select("key", "piece", "id", "mark", "start").unionByName(
-        windows.join(again.select("key"), "key").select(
-            "key", F.col("key").alias("piece"), "id", "mark", (F.col("piece_start") + F.col("at")).alias("start")))
-    hits = (places.join(owners, ["key", "piece"])
+    each = (some.groupBy("key", "piece").agg(F.min(F.struct("id", "mark", "start", "n")).alias("w"), F.max("id").alias("hi"))
+            .select("key", "piece", "hi", "w.*"))
+    taken = cut(_extract(docs, each, window).dropDuplicates(["key", "piece"]))
+    owners = cut(_owners(taken, window, most_pieces, shard_words, tuple(x for x in SHINGLES[1:] if x < window) + (window,)))
+    hits = (some.join(owners, ["key", "piece"])
             .select("id", "mark", "start", F.expr("filter(owners, o -> o.first < id)").alias("o")).where(F.size("o") > 0)
             .select("id", "mark", F.expr("transform(o, x -> struct(start + x.at AS start, "
-                                 f"start + x.at + x.n + {window - 1} AS stop))").alias("spans")))
+                                         f"start + x.at + x.n + {window - 1} AS stop))").alias("spans")))
     return hits.groupBy("id", "mark").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("spans"))
 
 
