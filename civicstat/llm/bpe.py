@@ -34,7 +34,7 @@ from civicstat.llm.common import fresh, prepare
 CHUNK = 32_768
 OVERLAP = 512
 #: Pieces that one worker keeps with their ids.
-CACHE = 1 << 19
+CACHE = 1 << 18
 #: Bytes above which a piece is merged by a heap.
 LONG_PIECE = 128
 
