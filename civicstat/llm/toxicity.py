@@ -17,6 +17,7 @@ scores that each half of the labelled rows gets from the other half's model.
 from __future__ import annotations
 
 import unicodedata
+import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -125,6 +126,12 @@ def log_ratios(tables: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
     return out
 
 
+@lru_cache(maxsize=3)
+def _unpacked(packed: bytes) -> np.ndarray:
+    """Once in each worker."""
+    return np.frombuffer(zlib.decompress(packed), np.int8)
+
+
 def count_grams(rows: DataFrame) -> DataFrame:
     """(label, half, gram, n) of ``rows`` (text, label, half)."""
     def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -195,8 +202,8 @@ def classify(docs: DataFrame, labels: DataFrame, half: Column) -> DataFrame:
             tables.append((g.astype(np.int64), np.bincount(at, n[own], len(g)).astype(np.float32)))
         return log_ratios(tables)
 
-    models = spark.sparkContext.broadcast(
-        [ratios(np.ones(len(gram), bool)), ratios(side == 1), ratios(side == 0)])  # all, for half 0, for half 1
+    models = spark.sparkContext.broadcast([zlib.compress(ratios(keep), 1) for keep in (
+        np.ones(len(gram), bool), side == 1, side == 0)])  # from all rows, for half 0, for half 1
     del seen, label, side, gram, n
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -204,7 +211,7 @@ def classify(docs: DataFrame, labels: DataFrame, half: Column) -> DataFrame:
             g = [grams(t) for t in b.column(1).to_pylist()]
             sizes = np.fromiter(map(len, g), np.int64, len(g))
             flat, starts = np.concatenate(g), np.cumsum(sizes) - sizes
-            raw = [np.add.reduceat(m[flat], starts, dtype=np.int64) / (sizes * STEPS) for m in models.value]
+            raw = [np.add.reduceat(_unpacked(m)[flat], starts, dtype=np.int64) / (sizes * STEPS) for m in models.value]
             yield pa.RecordBatch.from_arrays([b.column(0), *map(pa.array, raw)], ["doc_id", "raw", "raw0", "raw1"])
 
     rows = docs.select("doc_id", "text")
