@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 # Fixed values that must equal the reference for equal results.
 DATE_PATTERN = "d-M-yyyy"          # strict day-month-year, single digits allowed
+_DIGITS = "[0-9]+(_[0-9]+)*"
+NUMBER_REGEX = rf"^[+-]?({_DIGITS}\.?({_DIGITS})?|\.{_DIGITS})([eE][+-]?{_DIGITS})?$"
 PINCODE_REGEX = "^[0-9]{6}$"       # six digits before an optional '.'
 
 
@@ -24,8 +26,9 @@ def parse_date(c: str | Column) -> Column:
 
 
 def strip_ws(c: str | Column) -> Column:
-    """Remove leading/trailing whitespace of any kind (``trim`` keeps tabs)."""
-    return F.regexp_replace(col_(c), r"^\s+|\s+$", "")
+    """Remove leading/trailing whitespace of any kind, Unicode spaces and the
+    separators U+001C..U+001F included, as Python's ``strip`` does."""
+    return F.regexp_replace(col_(c), r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
 
 
 # private-use marker inserted after every non-letter; removed afterwards
@@ -64,8 +67,13 @@ def pincode_invalid(c: str | Column) -> Column:
 
 
 def nonneg_number(c: str | Column) -> Column:
-    """Finite, non-negative number or NULL (text, NaN, ±inf, negatives)."""
-    v = col_(c).try_cast("double")
+    """Finite, non-negative number or NULL (text, NaN, ±inf, negatives).
+
+    Only what Python's ``float`` reads: digits with single underscores between
+    them, no type suffix and no hexadecimal form.
+    """
+    text = strip_ws(col_(c).cast("string"))
+    v = F.when(text.rlike(NUMBER_REGEX), F.replace(text, F.lit("_"), F.lit("")).try_cast("double"))
     return F.when(~F.isnan(v) & (F.abs(v) != F.lit(float("inf"))) & (v >= 0), v)
 
 

@@ -59,7 +59,7 @@ def with_detectors(series: DataFrame, scope=SCOPE, value: str = METRIC,
     # three projections (window stats, derived values, flags) instead of a
     # chain of single-column steps
     out = series.withColumns({
-        "_n": n, "series_mean": mean, "_std": std, "_q1": q1, "_q3": q3,
+        "_n": n, "_known": F.count(v).over(whole), "series_mean": mean, "_std": std, "_q1": q1, "_q3": q3,
         "rolling_mean": F.avg(v).over(ordered.rowsBetween(-(window - 1), 0)),
         "_pos": F.row_number().over(ordered)})
     iqr = F.col("_q3") - F.col("_q1")
@@ -70,13 +70,14 @@ def with_detectors(series: DataFrame, scope=SCOPE, value: str = METRIC,
         "upper_bound": F.col("_q3") + IQR_K * iqr,
         "deviation_pct": F.abs(F.try_divide(v - F.col("rolling_mean"), F.col("rolling_mean")))})
     return out.withColumns({
-        "is_z": F.coalesce((F.col("_n") >= Z_MIN_ROWS) & (F.col("z_score") > z_threshold), F.lit(False)),
+        "is_z": F.coalesce((F.col("_n") >= Z_MIN_ROWS) & (F.col("_known") == F.col("_n"))  # a NULL day leaves no z-score
+                           & (F.col("z_score") > z_threshold), F.lit(False)),
         "is_iqr": F.coalesce((F.col("_n") >= IQR_MIN_ROWS)
                              & ((v < F.col("lower_bound")) | (v > F.col("upper_bound"))), F.lit(False)),
         # the first `window` rows are skipped, the first full window included
         "is_roll": F.coalesce((F.col("_n") >= window) & (F.col("_pos") > window)
                               & (F.col("deviation_pct") > ROLL_DEVIATION), F.lit(False)),
-    }).drop("_q1", "_q3", "_pos", "_std")
+    }).drop("_q1", "_q3", "_pos", "_std", "_known")
 
 
 def detection_methods(is_z: Column, is_iqr: Column, is_roll: Column) -> Column:

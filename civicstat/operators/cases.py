@@ -19,25 +19,20 @@ from civicstat.session import checkpoint_dir
 UNKNOWN = "Unknown"
 K_SIMILAR = 3
 
-# Fixed texts of the request templates (country and system names left out)
-# and of the insight fallback record.
+# Request texts; the part in braces is filled in per row.
 EXPLAIN_TEMPLATE = (
-    "You are an expert analyst. Explain the following new anomaly based on similar past cases.\n\n"
-    "SIMILAR PAST CASES:\n{context}\n\nNEW ANOMALY:\n{query}\n\nTASK:\n"
-    "1. Suggest likely root causes.\n2. Recommend resolution steps based on past patterns.\n\n"
-    "Provide a concise explanation.")
+    "New alert\n{query}\n\nEarlier alerts with the closest features\n{context}\n\n"
+    "Say what may lie behind the new alert and which step should follow. Refer to the earlier alerts where they help.")
 INSIGHT_TEMPLATE = (
-    "You are an expert analyst for a national identity enrollment system.\n\n"
-    "Analyze the following metrics data and provide a professional, data-driven report.\n\n"
-    "DATA:\n{metrics_data}\n\nTASK:\n1. Write a 3-sentence executive summary for policymakers.\n"
-    "2. List 3 key findings with supporting data.\n3. Identify top 2 risks requiring immediate attention.\n"
-    "4. Suggest 3 actionable recommendations.")
+    "Figures of one state, as JSON\n{metrics_data}\n\n"
+    "Answer with a JSON object: executive_summary is a text, key_findings, risk_alerts and recommendations are "
+    "lists of texts. Use these figures only.")
 POLICY_TEMPLATE = (
-    "You are a policy expert for digital inclusion.\n\n"
-    "Analyze the following problem districts and suggest interventions.\n\n"
-    "PROBLEM DISTRICTS:\n{problem_districts}\n\nTASK:\n"
-    "For each district, provide a targeted recommendation considering:\n1. Infrastructure constraints\n"
-    "2. Literacy levels\n3. Geographic accessibility\n4. Budget efficiency")
+    "Districts of one state with their open issues, as JSON\n{problem_districts}\n\n"
+    "Answer with a JSON object whose list recommendations has an entry per district with the keys district, "
+    "recommendation, rationale, impact_estimate and priority.")
+
+# Fixed values of the fallback record and of the note for an empty index.
 FALLBACK_SUMMARY = "Automated insight generation failed. Please review the raw data."
 FALLBACK_FINDINGS = ["Error processing data for insights."]
 FALLBACK_RISKS = ["System error in AI module."]

@@ -32,8 +32,9 @@ def monthly_sums(enr: DataFrame, scope: str = "state", national: bool = True) ->
     src = enr.select(scope, F.trunc("date", "MM").alias("ds"), total(*AGE_COLS).alias("y"))
     if national:
         agg = (src.groupingSets([[F.col(scope), F.col("ds")], [F.col("ds")]], scope, "ds")
-               .agg(F.coalesce(F.sum("y"), F.lit(0)).cast("double").alias("y")))
-        return agg.select(F.coalesce(F.col(scope), F.lit(NATIONAL)).alias(scope), "ds", "y")
+               .agg(F.coalesce(F.sum("y"), F.lit(0)).cast("double").alias("y"), F.grouping(scope).alias("_all")))
+        # a NULL scope is a scope of its own, not the national total
+        return agg.select(F.when(F.col("_all") == 1, F.lit(NATIONAL)).otherwise(F.col(scope)).alias(scope), "ds", "y")
     return src.groupBy(scope, "ds").agg(F.coalesce(F.sum("y"), F.lit(0)).cast("double").alias("y"))
 
 

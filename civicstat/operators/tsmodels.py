@@ -15,6 +15,7 @@ import pandas as pd
 Z95 = 1.959963984540054   # two-sided 95 % normal quantile
 Z80 = 1.2815515655446004  # two-sided 80 % normal quantile
 KPSS_CRIT_5PCT = 0.463    # level-stationarity critical value at 5 %
+MIN_KPSS_ROWS = 8         # a test on fewer rows says nothing
 
 
 # ------------------------------------------------------------------ ARIMA
@@ -32,9 +33,11 @@ def _kpss(x: np.ndarray) -> float:
     return float(s @ s) / (n * n * s2)
 
 
-def _choose_d(y: np.ndarray, max_d: int = 2) -> int:
+def _choose_d(y: np.ndarray, max_d: int = 2, min_rows: int = MIN_KPSS_ROWS) -> int:
+    """Differences until the level is stationary; a series of ``min_rows`` or
+    fewer is too short to test and stays as it is."""
     d, x = 0, y.astype(float)
-    while d < max_d and len(x) > 8 and np.ptp(x) > 0 and _kpss(x) > KPSS_CRIT_5PCT:
+    while d < max_d and len(x) > min_rows and np.ptp(x) > 0 and _kpss(x) > KPSS_CRIT_5PCT:
         x = np.diff(x)
         d += 1
     return d
@@ -44,52 +47,76 @@ def _lags(v: np.ndarray, k: int, start: int) -> np.ndarray:
     return np.column_stack([v[start - i:len(v) - i] for i in range(1, k + 1)]) if k else np.empty((len(v) - start, 0))
 
 
-def _fit_arma(x: np.ndarray, p: int, q: int, const: bool):
-    """Hannan–Rissanen: long AR for innovations, then OLS on lags of x and e."""
-    n = len(x)
-    m = min(max(p + q + 2, int(round(math.log(n) ** 2))), n // 3) if q else 0
-    e = np.zeros(n)
-    if q:
-        if m < 1:
-            raise ValueError("series too short")
-        X = np.column_stack([np.ones(n - m), _lags(x, m, m)])
-        b, *_ = np.linalg.lstsq(X, x[m:], rcond=None)
-        e[m:] = x[m:] - X @ b
-    start = max(p, q) + m
-    if n - start < p + q + 3:
-        raise ValueError("series too short")
+def _innovations(x: np.ndarray, m: int) -> np.ndarray:
+    """Residuals of a long autoregression of order ``m``; 0 before it starts."""
+    e = np.zeros(len(x))
+    if m:
+        X = np.column_stack([np.ones(len(x) - m), _lags(x, m, m)])
+        e[m:] = x[m:] - X @ np.linalg.lstsq(X, x[m:], rcond=None)[0]
+    return e
+
+
+def _stable(coefs: np.ndarray) -> bool:
+    """Whether all roots of 1 - c1 z - c2 z^2 - ... lie outside the unit circle."""
+    return not len(coefs) or bool(np.all(np.abs(np.roots([1.0, *(-coefs)])) < 1.0))
+
+
+def _fit_arma(x: np.ndarray, e: np.ndarray, p: int, q: int, const: bool, start: int):
+    """Least squares on lags of x and of the innovations, from row ``start`` on."""
     cols = [_lags(x, p, start), _lags(e, q, start)]
     if const:
-        cols.insert(0, np.ones((n - start, 1)))
+        cols.insert(0, np.ones((len(x) - start, 1)))
     X = np.column_stack(cols)
-    b, *_ = np.linalg.lstsq(X, x[start:], rcond=None)
+    b = np.linalg.lstsq(X, x[start:], rcond=None)[0] if p or q else np.full(X.shape[1], x[start:].mean())
     resid = x[start:] - X @ b
-    nobs = len(resid)
-    sigma2 = max(float(resid @ resid) / nobs, 1e-12)
-    k = X.shape[1] + 1
-    aicc = nobs * math.log(sigma2) + 2 * k + (2 * k * (k + 1)) / max(nobs - k - 1, 1)
-    c = b[0] if const else 0.0
+    nobs, k = len(resid), X.shape[1] + 1
+    sigma2 = float(resid @ resid) / nobs
     off = 1 if const else 0
     phi, theta = b[off:off + p], b[off + p:off + p + q]
-    full_e = np.zeros(n)
+    if not _stable(-theta):
+        raise ValueError("not invertible")
+    floor = 1e-12 * max(float(x @ x) / len(x), np.finfo(float).tiny)  # relative, so units do not matter
+    aicc = nobs * math.log(max(sigma2, floor)) + 2 * k + (2 * k * (k + 1)) / max(nobs - k - 1, 1)
+    full_e = np.zeros(len(x))
     full_e[start:] = resid
-    return dict(c=c, phi=phi, theta=theta, sigma2=sigma2, aicc=aicc, e=full_e)
+    return dict(c=b[0] if const else 0.0, phi=phi, theta=theta, sigma2=sigma2, aicc=aicc, e=full_e, order=(p, q), stationary=_stable(phi))
 
 
-def arima_forecast(y: np.ndarray, steps: int, max_p: int = 3, max_q: int = 2):
-    """Non-seasonal ARIMA with automatic (p, d, q) by AICc; 95 % interval."""
-    y = np.asarray(y, dtype=float)
-    d = _choose_d(y)
-    x = np.diff(y, n=d) if d else y.copy()
-    best = None
+def _select_arma(x: np.ndarray, const: bool, max_p: int, max_q: int, stationary: bool = True) -> dict | None:
+    """The order of least AICc, by default of the stationary ones. All orders are scored on the same rows, those
+    that the largest one leaves; a short series tries fewer orders."""
+    n = len(x)
+    while True:
+        m = min(max(max_p + max_q + 2, int(round(math.log(max(n, 2)) ** 2))), n // 3) if max_q else 0
+        start = max(max_p, max_q) + m
+        if n - start >= max_p + max_q + 3:
+            break
+        if not max_p and not max_q:
+            return None
+        max_p, max_q = (max_p - 1, max_q) if max_p >= max_q else (max_p, max_q - 1)
+    e, best = _innovations(x, m), None
     for p in range(max_p + 1):
         for q in range(max_q + 1):
             try:
-                f = _fit_arma(x, p, q, const=d < 2)
+                f = _fit_arma(x, e, p, q, const, start)
             except (ValueError, np.linalg.LinAlgError):
                 continue
-            if best is None or f["aicc"] < best["aicc"]:
+            if (f["stationary"] or not stationary) and (best is None or f["aicc"] < best["aicc"]):
                 best = f
+    return best
+
+
+def arima_forecast(y: np.ndarray, steps: int, max_p: int = 5, max_q: int = 2):
+    """Non-seasonal ARIMA with automatic (p, d, q) by AICc; 95 % interval."""
+    y = np.asarray(y, dtype=float)
+    d = _choose_d(y)
+    x = np.diff(y, n=d) if d else y.copy()
+    best = _select_arma(x, d < 2, max_p, max_q, stationary=False)
+    while best is not None and not best["stationary"] and d < 2:  # a unit root: difference once more
+        d, x = d + 1, np.diff(x)
+        best = _select_arma(x, d < 2, max_p, max_q, stationary=False)
+    if best is not None and not best["stationary"]:
+        best = _select_arma(x, d < 2, max_p, max_q)
     if best is None:
         raise ValueError("no ARIMA order could be fitted")
     phi, theta, c = best["phi"], best["theta"], best["c"]
@@ -117,6 +144,8 @@ def arima_forecast(y: np.ndarray, steps: int, max_p: int = 3, max_q: int = 2):
             acc -= ar[i] * psi[j - i]
         psi[j] = acc
     se = np.sqrt(best["sigma2"] * np.cumsum(psi ** 2))
+    if not (np.isfinite(fy).all() and np.isfinite(se).all()):
+        raise ValueError("the forecast is not finite")
     return fy, fy - Z95 * se, fy + Z95 * se
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from civicstat.functions.scalar import round_half_even
 from civicstat.operators import anomaly, biometric, cases, forecast, growth, risk, saturation
+from civicstat.session import checkpoint_dir
 from civicstat.sources import ingest
 from civicstat.sources.tables import Facts
 
@@ -202,11 +203,12 @@ def q_risk_features_latest(spark, sf_dir):
 
 @register("risk_scores")
 def q_risk_scores(spark, sf_dir):
-    train = _training(spark, sf_dir)
-    model, info = risk.train_model(risk.risk_features(train, risk_threshold=RISK_THRESHOLD))
+    checkpoint_dir(spark)
+    train = _training(spark, sf_dir).checkpoint(eager=True)  # counted, fitted and scored from one copy
+    model, info = risk.train_model(risk.risk_features(train, risk_threshold=RISK_THRESHOLD), raw_rows=train.count())
     if model is None:
         return spark.createDataFrame([], "state string, district string, risk_score double, "
-                                         "risk_category string, top_factors array<string>")
+                                         "risk_category string, top_factors string")
     return risk.predict_risk(model, risk.latest_features(train)) \
         .withColumn("top_factors", F.array_join("top_factors", ","))
 

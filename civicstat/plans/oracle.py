@@ -8,6 +8,8 @@ scaled value) so value hashes compare exactly.
 
 from __future__ import annotations
 
+from civicstat.operators import cases
+
 ROLES = """
 geo AS (
   SELECT n.n_nationkey AS nationkey, r.r_name AS state, n.n_name AS district
@@ -64,6 +66,11 @@ rates AS (
   FROM joined)
 """
 
+def _quoted(text: str) -> str:
+    """Inside an ``e''`` string."""
+    return text.replace("\\", "\\\\").replace("'", "''").replace("\n", "\\n")
+
+
 SQL: dict[str, str] = {}
 
 SQL["success_rates"] = with_roles(
@@ -238,13 +245,14 @@ SQL["distinct_scopes"] = with_roles("SELECT DISTINCT state, district FROM enroll
 
 # ---------------------------------------------------------------- forecasting
 MONTHLY = """
-msum AS (SELECT coalesce(state, 'All India') AS state, ds, CAST(coalesce(SUM(y), 0) AS DOUBLE) AS y
+msum AS (SELECT CASE WHEN GROUPING(state) = 1 THEN 'All India' ELSE state END AS state, ds,
+                CAST(coalesce(SUM(y), 0) AS DOUBLE) AS y
          FROM (SELECT state, CAST(date_trunc('month', date) AS DATE) AS ds,
                       age_0_5 + age_5_17 + age_18_greater AS y FROM enrollments)
          GROUP BY GROUPING SETS ((state, ds), (ds))),
 mcal AS (SELECT state, CAST(unnest(generate_series(lo, hi, INTERVAL 1 MONTH)) AS DATE) AS ds
          FROM (SELECT state, min(ds) AS lo, max(ds) AS hi FROM msum GROUP BY 1)),
-mser AS (SELECT c.state, c.ds, s.y FROM mcal c LEFT JOIN msum s USING (state, ds))
+mser AS (SELECT c.state, c.ds, s.y FROM mcal c LEFT JOIN msum s ON c.state IS NOT DISTINCT FROM s.state AND c.ds = s.ds)
 """
 
 
@@ -401,10 +409,7 @@ SELECT vec_id, nn_rank, neighbor_id, {r6('dist')} AS distance FROM (
   FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id) t
 WHERE nn_rank <= 3""")
 
-_EXPLAIN = ("You are an expert analyst. Explain the following new anomaly based on similar past cases.\\n\\n"
-            "SIMILAR PAST CASES:\\n{context}\\n\\nNEW ANOMALY:\\n{query}\\n\\nTASK:\\n"
-            "1. Suggest likely root causes.\\n2. Recommend resolution steps based on past patterns.\\n\\n"
-            "Provide a concise explanation.")
+_EXPLAIN = _quoted(cases.EXPLAIN_TEMPLATE)
 
 SQL["explanation_requests"] = with_roles(f"""
 SELECT q.case_id, q.state, q.district, q.d AS date, q.query, coalesce(c.context, '') AS context,
@@ -420,11 +425,7 @@ LEFT JOIN (
     FROM cases a JOIN cases b ON a.case_id <> b.case_id) t
   WHERE nn_rank <= 3 GROUP BY 1) c ON q.case_id = c.query_id""", CASES)
 
-_INSIGHT = ("You are an expert analyst for a national identity enrollment system.\\n\\n"
-            "Analyze the following metrics data and provide a professional, data-driven report.\\n\\n"
-            "DATA:\\n{metrics_data}\\n\\nTASK:\\n1. Write a 3-sentence executive summary for policymakers.\\n"
-            "2. List 3 key findings with supporting data.\\n3. Identify top 2 risks requiring immediate attention.\\n"
-            "4. Suggest 3 actionable recommendations.")
+_INSIGHT = _quoted(cases.INSIGHT_TEMPLATE)
 
 LOW_600 = JOINED_DAILY + """,
 low AS (SELECT state, district, avg_rate AS success_rate FROM (
@@ -476,11 +477,7 @@ problems AS (SELECT state, district, list(issue ORDER BY issue) AS issues FROM i
 SQL["problem_districts"] = with_roles(
     "SELECT state, district, array_to_string(issues, '|') AS issues FROM problems", PROBLEMS)
 
-_POLICY = ("You are a policy expert for digital inclusion.\\n\\n"
-           "Analyze the following problem districts and suggest interventions.\\n\\n"
-           "PROBLEM DISTRICTS:\\n{problem_districts}\\n\\nTASK:\\n"
-           "For each district, provide a targeted recommendation considering:\\n1. Infrastructure constraints\\n"
-           "2. Literacy levels\\n3. Geographic accessibility\\n4. Budget efficiency")
+_POLICY = _quoted(cases.POLICY_TEMPLATE)
 
 SQL["policy_requests"] = with_roles(f"""
 SELECT state, problem_districts, n_districts,

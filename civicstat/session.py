@@ -91,19 +91,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() if not spark.conf.get("spark.checkpoint.dir", None) else d
 
 
-MAX_SHUFFLE_PARTITIONS = 100_000
-
-
 def cluster_conf(input_bytes: int, executor_cores: int, target_partition_bytes: int = 256 << 20) -> dict:
     """Shuffle/scan sizing for a cluster run (a starting point; AQE coalesces).
 
     Shuffle partitions are sized so the largest stage — the partial
     aggregate of the biggest fact, which is at most the scanned volume —
     gets about ``target_partition_bytes`` per task, and never fewer than
-    two waves of tasks over all executor cores; capped at 100k partitions
-    (scheduler and shuffle-file overhead), where tasks spill instead.
+    two waves of tasks over all executor cores.
     """
-    parts = min(MAX_SHUFFLE_PARTITIONS, max(2 * executor_cores, -(-input_bytes // target_partition_bytes)))
+    parts = max(2 * executor_cores, -(-input_bytes // target_partition_bytes))
     return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.files.maxPartitionBytes": str(128 << 20),

@@ -11,9 +11,9 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from civicstat.functions.scalar import nonneg_number, parse_date, pincode, pincode_invalid, title_case
 from civicstat.schemas import METRIC_PATTERN
@@ -22,28 +22,66 @@ STRING_COLUMNS = ("state", "district")
 SAMPLE_PER_RULE = 5  # rejected rows kept per (file, rule) in the sample log
 
 
+CORRUPT = "_corrupt_record"
+
+
+def headers(spark: SparkSession, files: list[str]) -> dict[tuple[str, ...], list[str]]:
+    """The files by their header line; the driver reads one line of each file."""
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for f in files:
+        first = spark.read.option("header", True).option("inferSchema", False).csv(f)
+        groups.setdefault(tuple(first.columns), []).append(f)
+    return groups
+
+
+def list_files(spark: SparkSession, paths) -> list[str]:
+    """All files under the paths, sorted."""
+    paths = list(paths) if isinstance(paths, (list, tuple)) else [paths]
+    return sorted(spark.read.format("text").load(paths).inputFiles())
+
+
+def unreadable(spark: SparkSession, files: list[str]) -> dict[str, str]:
+    """Files that cannot be read to their end, with the reason."""
+    bad = {}
+    for f in files:
+        try:
+            headers(spark, [f])
+            spark.read.text(f).agg(F.count(F.lit(1))).collect()
+        except Exception as e:  # noqa: BLE001 - whatever the reader finds wrong with the file
+            bad[f] = f"{type(e).__name__}: {str(e).splitlines()[0][:200]}"
+    return bad
+
+
 def read_raw_csv(spark: SparkSession, paths, schema=None) -> DataFrame:
     """Header CSV files, every column as text, with the source file.
 
-    Unreadable or vanished files are skipped instead of failing the run.
+    Each file is read by its own header: files are grouped by header line and
+    the groups are joined by column name, a missing column is NULL. Quoted
+    line breaks stay inside their field. A row with more fields than its
+    header keeps its text in ``_corrupt_record`` and is rejected later. An
+    unreadable file fails the read; ``run_etl`` sets such files aside.
     """
-    reader = (spark.read.option("header", True).option("mode", "PERMISSIVE")
-              .option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True))
-    if schema is not None:
-        reader = reader.schema(schema)
-    df = reader.csv(paths if isinstance(paths, (list, tuple)) else [paths])
-    return df.withColumns({"source_file": F.col("_metadata.file_path"),
-                           "source_block": F.col("_metadata.file_block_start")})
+    files = list_files(spark, paths)
+    parts = []
+    for columns, own in headers(spark, files).items() if schema is None else [(tuple(schema.names), files)]:
+        kinds = T.StructType([*[T.StructField(c, T.StringType()) for c in columns], T.StructField(CORRUPT, T.StringType())])
+        part = (spark.read.option("header", True).option("mode", "PERMISSIVE").option("multiLine", True)
+                .option("enforceSchema", False).option("columnNameOfCorruptRecord", CORRUPT).schema(kinds).csv(own))
+        # a row with fewer fields than the header is only short: its last fields are NULL
+        long = F.when(F.col(f"`{columns[-1]}`").isNotNull(), F.col(CORRUPT)) if columns else F.col(CORRUPT)
+        parts.append(part.withColumn(CORRUPT, long).withColumns({
+            "source_file": F.col("_metadata.file_path"), "source_block": F.col("_metadata.file_block_start")}))
+    return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
 
 
 def metric_columns(columns, dataset: str) -> list[str]:
     """Metric columns found by name pattern, as in the reference ETL."""
     pat = METRIC_PATTERN[dataset]
-    return [c for c in columns if pat in c and not c.startswith("source_")]
+    return [c for c in columns if pat in c and not c.startswith("source_") and c != CORRUPT]
 
 
 def rule_names(columns, dataset: str) -> list[str]:
-    out = []
+    out = ["malformed_row"] if CORRUPT in columns else []
     if "date" in columns:
         out.append("invalid_date")
     if "pincode" in columns:
@@ -64,6 +102,8 @@ def classify(raw: DataFrame, dataset: str) -> DataFrame:
     metrics = metric_columns(cols, dataset)
     out: list[Column] = []
     checks: list[Column] = []
+    if CORRUPT in cols:
+        checks.append(F.when(F.col(CORRUPT).isNotNull(), F.lit("malformed_row")))
     if "date" in cols:
         d = parse_date("date")
         out.append(d.alias("date"))
@@ -83,7 +123,7 @@ def classify(raw: DataFrame, dataset: str) -> DataFrame:
     no_reason = F.array(F.lit(None).cast("string"))
     reasons = F.array_except(F.array(*checks), no_reason) if checks else F.array().cast("array<string>")
     valid = F.coalesce(*checks).isNull() if checks else F.lit(True)
-    raw_struct = F.struct(*[F.col(c) for c in cols if not c.startswith("source_")])
+    raw_struct = F.struct(*[F.col(c) for c in cols if not c.startswith("source_") and c != CORRUPT])
     extra = [F.col(c) for c in ("source_file", "source_block") if c in cols]
     return raw.select(*out, reasons.alias("reasons"), valid.alias("valid"), raw_struct.alias("raw"), *extra)
 
@@ -132,24 +172,42 @@ def errors_text(errors: Column) -> Column:
 
 
 def run_etl(spark: SparkSession, files: dict[str, list[str]], out_dir: str) -> DataFrame:
-    """L1: for each dataset read its files once, write clean Parquet,
-    quarantine Parquet and the report (JSON); returns the report rows.
+    """L1: for each dataset read its files once, write the classified rows,
+    and from those the clean Parquet, the quarantine Parquet and the report
+    (JSON); returns the report rows.
 
-    The classified frame is persisted because three sinks read it; a lost
-    block is recomputed from the CSV, so the run survives executor loss.
+    A file that cannot be read to its end is left out as a whole and named,
+    with the reason, in ``failed_files`` of the report. The check of single
+    files runs only if the read fails.
     """
     reports = []
     for dataset, paths in files.items():
-        raw = read_raw_csv(spark, paths)
-        classified = classify(raw, dataset).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
+        own, bad = list_files(spark, paths), {}
+        staged = f"{out_dir}/{dataset}_classified.parquet"
+        while own:
+            try:
+                raw = read_raw_csv(spark, own)
+                classify(raw, dataset).write.mode("overwrite").partitionBy("valid").parquet(staged)
+                break
+            except Exception:  # noqa: BLE001 - raised again unless a file is to blame
+                found = unreadable(spark, own)
+                if not found:
+                    raise
+                bad |= found
+                own = [f for f in own if f not in found]
+        failed = F.lit(None) if not bad else F.create_map(*[F.lit(x) for kv in sorted(bad.items()) for x in kv])
+        failed = failed.cast("map<string,string>").alias("failed_files")
+        if own:
+            classified = spark.read.parquet(staged).withColumn("valid", F.col("valid").cast("boolean"))
             clean_rows(classified).write.mode("overwrite").parquet(f"{out_dir}/{dataset}_clean.parquet")
             quarantine_rows(classified).write.mode("overwrite").parquet(f"{out_dir}/{dataset}_quarantine.parquet")
             rep = quality_report(classified, dataset, rule_names(raw.columns, dataset))
-            rows = rep.collect()  # one row per dataset
-        finally:
-            classified.unpersist()
-        reports.append(spark.createDataFrame(rows, rep.schema))
+        else:
+            rep = spark.range(1).select(F.lit(dataset).alias("dataset"), F.lit(0).cast("long").alias("total_rows"),
+                                        F.lit(0).cast("long").alias("valid_rows"),
+                                        F.create_map().cast("map<string,bigint>").alias("errors"))
+        rep = rep.select("*", failed)
+        reports.append(spark.createDataFrame(rep.collect(), rep.schema))  # one row per dataset
     report = reduce(DataFrame.unionByName, reports)
     report.coalesce(1).write.mode("overwrite").json(f"{out_dir}/validation_report")
     return report

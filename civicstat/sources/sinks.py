@@ -18,11 +18,14 @@ LOAD_BATCH_ROWS = 10_000  # JDBC batch size of the reference loader
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema
-        return True
-    except Exception:  # noqa: BLE001 - missing path or no files
+    """Whether the folder holds data files. Only a missing or empty folder is
+    "no table"; one that cannot be read fails when it is read."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(where):
         return False
+    names = [s.getPath().getName() for s in fs.listStatus(where)]
+    return any(not n.startswith(("_", ".")) for n in names)
 
 
 def new_rows(source: DataFrame, target: DataFrame) -> DataFrame:
@@ -85,7 +88,7 @@ def append_alerts(alerts: DataFrame, path: str, run_date: str | None = None) ->
     only that day's partition (dynamic partition overwrite)."""
     d = F.to_date(F.lit(run_date)) if run_date else F.current_date()
     (alerts.withColumn("detected_on", d).withColumn("created_at", F.current_timestamp())
-     .write.mode("overwrite").partitionBy("detected_on").parquet(path))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("detected_on").parquet(path))
 
 
 def store_recommendations(recs: DataFrame, path: str) -> None:

@@ -7,8 +7,7 @@ Roles (see FIXTURES.md, part B):
 * demographic_updates one row per line: lineitem ⋈ supplier ⋈ geo
 
 Each scan selects only the columns it needs, so ``ReadSchema`` is pruned.
-``geo`` (nation ⋈ region) is broadcast behind a row-count check; every
-other join is left to Catalyst/AQE (sort-merge at scale).
+Joins are left to Catalyst/AQE (sort-merge at scale).
 """
 
 from __future__ import annotations
@@ -16,8 +15,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicstat.functions.sizing import row_count_at_most
-
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
 
@@ -29,42 +26,20 @@ AGE_18_MOD = 100
 BIO_17_FACTOR = 5
 
 
-# Per-session memo of scans (file listing + footer schema) and of the
-# dimension size check, so building a query plan costs no repeated I/O.
-_SCANS: dict = {}
-_GEO_BROADCAST: dict = {}
-GEO_MAX_ROWS = 10_000
-
-
-def _session_key(spark: SparkSession, path: str):
-    return (id(spark), spark.sparkContext.applicationId, path)
-
-
 def read(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = _session_key(spark, path)
-    df = _SCANS.get(key)
-    if df is None:
-        df = _SCANS[key] = spark.read.parquet(path)
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     return df.select(*cols) if cols else df
 
 
 def geo(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """nation ⋈ region → (nationkey, state, district); a fixed-size dimension.
-
-    Broadcast only after a bounded count proved it small (checked once per
-    session and path); otherwise the joins are left to Catalyst/AQE.
-    """
+    """nation ⋈ region → (nationkey, state, district). Catalyst broadcasts it
+    by its size; a larger dimension joins like any other table."""
     nation = read(spark, sf_dir, "nation", "n_nationkey", "n_name", "n_regionkey")
     region = read(spark, sf_dir, "region", "r_regionkey", "r_name")
-    g = (nation.join(region, nation.n_regionkey == region.r_regionkey)
-         .select(F.col("n_nationkey").alias("nationkey"),
-                 F.col("r_name").alias("state"),
-                 F.col("n_name").alias("district")))
-    key = _session_key(spark, sf_dir)
-    if key not in _GEO_BROADCAST:
-        _GEO_BROADCAST[key] = row_count_at_most(g, GEO_MAX_ROWS)
-    return F.broadcast(g) if _GEO_BROADCAST[key] else g
+    return (nation.join(region, nation.n_regionkey == region.r_regionkey)
+            .select(F.col("n_nationkey").alias("nationkey"),
+                    F.col("r_name").alias("state"),
+                    F.col("n_name").alias("district")))
 
 
 def _orders_geo(spark: SparkSession, sf_dir: str, g: DataFrame | None = None) -> DataFrame:
@@ -132,7 +107,7 @@ class Facts:
 
     @property
     def geo(self) -> DataFrame:
-        if self._geo is None:  # size check once per instance
+        if self._geo is None:
             self._geo = geo(self.spark, self.sf_dir)
         return self._geo
 

@@ -27,7 +27,7 @@ def start_ingest(spark: SparkSession, in_dir: str, out_dir: str, dataset: str, c
                  checkpoint: str | None = None, available_now: bool = True) -> StreamingQuery:
     schema = text_schema(columns)
     rules = rule_names(list(columns), dataset)
-    stream = (spark.readStream.option("header", True).schema(schema).csv(in_dir)
+    stream = (spark.readStream.option("header", True).option("enforceSchema", False).schema(schema).csv(in_dir)
               .withColumns({"source_file": F.col("_metadata.file_path"),
                             "source_block": F.col("_metadata.file_block_start")}))
     classified = classify(stream, dataset)
@@ -38,10 +38,10 @@ def start_ingest(spark: SparkSession, in_dir: str, out_dir: str, dataset: str, c
         try:
             for name, part in (("clean", clean_rows(df)), ("quarantine", quarantine_rows(df))):
                 part = part if "batch_id" in part.columns else part.withColumn("batch_id", F.lit(batch_id))
-                (part.write.mode("overwrite").partitionBy("batch_id")
+                (part.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id")
                  .parquet(f"{out_dir}/{dataset}_{name}"))
             (quality_report(df, dataset, rules).withColumn("batch_id", F.lit(batch_id))
-             .write.mode("overwrite").partitionBy("batch_id").json(f"{out_dir}/{dataset}_report"))
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").json(f"{out_dir}/{dataset}_report"))
         finally:
             df.unpersist()
 

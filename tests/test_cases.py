@@ -39,7 +39,7 @@ def test_explanation_requests_context(spark):
     out = {r.date: r for r in cases.explanation_requests(cases.alert_cases(alerts)).collect()}
     r = out["2024-01-01"]
     assert r.context.count("\n") == 2 and r.context.startswith("- Anomaly in D, S")
-    assert "NEW ANOMALY:\nAnomaly: spike in D with value 100.0." in r.prompt
+    assert "New alert\nAnomaly: spike in D with value 100.0." in r.prompt
 
 
 def test_insight_and_policy_requests(spark):

@@ -61,13 +61,13 @@ def test_report_and_sinks(spark, scratch):
     assert sample.filter("rule = 'invalid_date'").count() == 1
 
 
-def test_corrupt_file_is_skipped(spark, scratch):
+def test_corrupt_file_is_set_aside(spark, scratch):
     # An unreadable file does not fail the run; the other files are kept
     _write(scratch, "ok.csv", ["02-02-2024,s,d,110002,1,2,3"])
     with open(os.path.join(scratch, "broken.csv.gz"), "wb") as f:
         f.write(b"this is not gzip data" * 10)
-    df = ingest.read_raw_csv(spark, scratch)
-    assert df.count() == 1
+    report = ingest.run_etl(spark, {"enrollment": [scratch]}, os.path.join(scratch, "out")).first()
+    assert report.total_rows == 1 and len(report.failed_files) == 1
 
 
 def test_idempotent_load(spark, scratch):
