@@ -7,7 +7,9 @@ compare value hashes exactly.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -16,8 +18,8 @@ from pyspark.sql import types as T
 from civicstat.functions.scalar import round_half_even
 from civicstat.operators import anomaly, biometric, cases, forecast, growth, risk, saturation
 from civicstat.session import checkpoint_dir
-from civicstat.sources import ingest
-from civicstat.sources.tables import Facts
+from civicstat.sources import ingest, sinks
+from civicstat.sources.tables import Facts, raw_exports
 
 # Registered low-performer threshold. Rates here are ratios of daily sums
 # (both facts pre-aggregated to the key grain, see operators/biometric.py),
@@ -244,6 +246,43 @@ def q_quarantine(spark, sf_dir):
     return q.select(F.to_json("raw").alias("raw"), F.array_join("reasons", ",").alias("reasons"))
 
 
+def _clean_raw(dataset: str):
+    def run(spark, sf_dir):
+        return ingest.clean_rows(ingest.classify(raw_exports(spark, sf_dir)[dataset], dataset))
+    return run
+
+
+for _dataset in ("enrollment", "biometric", "demographic"):
+    register(f"etl_clean_{_dataset}")(_clean_raw(_dataset))
+
+
+@register("etl_reports")
+def q_etl_reports(spark, sf_dir):
+    reports = [ingest.quality_report(ingest.classify(raw, name), name, ingest.rule_names(raw.columns, name))
+               for name, raw in raw_exports(spark, sf_dir).items()]
+    return reduce(DataFrame.unionByName, reports).withColumn("errors", ingest.errors_text("errors"))
+
+
+@register("etl_quarantine")
+def q_etl_quarantine(spark, sf_dir):
+    parts = [ingest.quarantine_rows(ingest.classify(raw, name)).select(
+        F.lit(name).alias("dataset"), F.to_json("raw").alias("raw"), F.array_join("reasons", ",").alias("reasons"))
+        for name, raw in raw_exports(spark, sf_dir).items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@register("dedupe_load")
+def q_dedupe_load(spark, sf_dir):
+    """The older enrollments are loaded first, then all: every row is there once."""
+    base = f"{checkpoint_dir(spark).rstrip('/')}/load-{uuid.uuid4().hex}"
+    enr = Facts(spark, sf_dir).enrollments
+    enr.where("date < DATE'1998-01-01'").write.parquet(f"{base}/older")
+    enr.write.parquet(f"{base}/all")
+    for part in ("older", "all"):
+        sinks.load_parquet(spark, f"{base}/{part}", f"{base}/target")
+    return spark.read.parquet(f"{base}/target")
+
+
 # ---------------------------------------------------------------- cases and text rows
 def _alerts(spark, sf_dir):
     return anomaly.anomaly_report(Facts(spark, sf_dir).enrollments)
@@ -307,6 +346,38 @@ def q_insight_parse(spark, sf_dir):
                     F.array_join("recommendations", "|").alias("recommendations"))
 
 
+def _responses(spark, sf_dir, record):
+    """A response text per district, made from its totals: a third plain JSON,
+    a third inside a code fence, a third cut off."""
+    totals = growth.scope_totals(Facts(spark, sf_dir).enrollments, ("state", "district"))
+    body = F.to_json(record)
+    kind = F.length("district") % 3
+    text = (F.when(kind == 0, body).when(kind == 1, F.concat(F.lit("```json\n"), body, F.lit("\n```")))
+            .otherwise(F.substring(body, F.lit(1), F.length(body) - 5)))
+    return totals.select("state", "district", text.alias("text"))
+
+
+@register("insight_responses")
+def q_insight_responses(spark, sf_dir):
+    record = F.struct(
+        F.concat(F.lit("Total "), F.col("total").cast("string")).alias("executive_summary"),
+        F.array("district", "state").alias("key_findings"), F.array(F.concat(F.lit("In "), F.col("state"))).alias("risk_alerts"),
+        F.array(F.lit("Visit"), F.lit("Report")).alias("recommendations"))
+    p = cases.parse_insights(_responses(spark, sf_dir, record))
+    return p.select("state", "district", "parsed_ok", "executive_summary",
+                    *[F.array_join(c, "|").alias(c) for c in ("key_findings", "risk_alerts", "recommendations")])
+
+
+@register("policy_explode")
+def q_policy_explode(spark, sf_dir):
+    def advice(what):
+        return F.struct(F.col("district"), F.lit(what).alias("recommendation"), F.col("state").alias("rationale"),
+                        F.col("total").cast("string").alias("impact_estimate"), F.lit("high").alias("priority"))
+    record = F.struct(F.array(advice("mobile unit"), advice("longer hours")).alias("recommendations"))
+    return cases.explode_policy(_responses(spark, sf_dir, record)).select(
+        "district", "recommendation", "rationale", "impact_estimate", "priority")
+
+
 @register("problem_districts")
 def q_problem_districts(spark, sf_dir):
     p = cases.problem_districts(_low(spark, sf_dir), _alerts(spark, sf_dir))

@@ -12,7 +12,7 @@ Joins are left to Catalyst/AQE (sort-merge at scale).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
@@ -146,3 +146,43 @@ def scan_sql(spark: SparkSession, view: str, state=None, district=None, start=No
     q = (f"SELECT date, state, district, age_0_5, age_5_17, age_18_greater FROM {view} "
          f"WHERE {' AND '.join(where)}")
     return spark.sql(q, args=args)
+
+
+def raw_exports(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The three datasets as text, with the values that offices would get
+    wrong left as the tables have them: account balances (some negative) as
+    the first metric, ISO dates on pending orders and finished lines, names
+    where the pincode belongs, and a priority text in a number column.
+    """
+    def text(c) -> Column:
+        return c.cast("string")
+
+    def day(c, iso) -> Column:
+        return F.when(iso, F.date_format(c, "yyyy-MM-dd")).otherwise(F.date_format(c, "dd-MM-yyyy"))
+
+    g = geo(spark, sf_dir)
+    cust = read(spark, sf_dir, "customer", "c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+    orders = (read(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
+              .join(cust, F.col("o_custkey") == F.col("c_custkey")).join(g, F.col("c_nationkey") == F.col("nationkey")))
+    home = [day(F.col("o_orderdate"), F.col("o_orderstatus") == "P").alias("date"), F.col("state"), F.col("district"),
+            F.when(F.col("c_mktsegment") == "HOUSEHOLD", F.col("c_name"))
+            .otherwise(text(F.lit(PINCODE_BASE) + F.col("c_custkey"))).alias("pincode")]
+    balance = text(F.floor("c_acctbal").cast("long"))
+    lines = read(spark, sf_dir, "lineitem", "l_orderkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_shipdate")
+    supp = read(spark, sf_dir, "supplier", "s_suppkey", "s_name", "s_nationkey", "s_acctbal")
+    shipped = (lines.join(supp, F.col("l_suppkey") == F.col("s_suppkey"))
+               .join(g, F.col("s_nationkey") == F.col("nationkey")))
+    return {
+        "enrollment": orders.select(
+            *home, balance.alias("age_0_5"),
+            F.when(F.col("o_orderpriority") == "4-NOT SPECIFIED", F.col("o_orderpriority"))
+            .otherwise(text(F.col("o_custkey") % AGE_5_17_MOD)).alias("age_5_17"),
+            text(F.col("o_orderkey") % AGE_18_MOD).alias("age_18_greater")),
+        "biometric": lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+            *home, balance.alias("bio_age_5_17"), text(F.col("l_linenumber") * BIO_17_FACTOR).alias("bio_age_17_")),
+        "demographic": shipped.select(
+            day(F.col("l_shipdate"), F.col("l_linestatus") == "F").alias("date"), "state", "district",
+            F.when(F.col("l_returnflag") == "R", F.col("s_name"))
+            .otherwise(text(F.lit(PINCODE_BASE) + F.col("s_suppkey"))).alias("pincode"),
+            text(F.floor("s_acctbal").cast("long")).alias("demo_age_5_17"), text(F.col("l_linenumber")).alias("demo_age_17_")),
+    }
