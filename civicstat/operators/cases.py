@@ -82,22 +82,25 @@ def alert_cases(alerts: DataFrame) -> DataFrame:
 
 
 def similar_cases(queries: DataFrame, index: DataFrame, k: int = K_SIMILAR, self_search: bool = False,
-                  query_id: str = "case_id", index_id: str = "case_id", vec: str = "vec") -> DataFrame:
+                  query_id: str = "case_id", index_id: str = "case_id", vec: str = "vec",
+                  before: str | None = None) -> DataFrame:
     """Q25: exact top-k nearest cases (see ``neighbors.nearest``)."""
-    return nearest(queries, index, k, query_id, index_id, vec, exclude_self=self_search)
+    return nearest(queries, index, k, query_id, index_id, vec, exclude_self=self_search, before=before)
 
 
-def explanation_requests(cases: DataFrame, k: int = K_SIMILAR) -> DataFrame:
-    """Q26: per case, its k most similar other cases as context + prompt text.
+def explanation_requests(cases: DataFrame, k: int = K_SIMILAR, index: DataFrame | None = None) -> DataFrame:
+    """Q26: per case, its k most similar past cases as context + prompt text.
 
-    The case table is read four times (queries, index, texts, output), so
-    it is checkpointed once to the shared checkpoint folder — the same role
-    as the reference's persisted case index.
+    ``index`` is the stored case index (``sinks.append_cases``); without one
+    the cases themselves are the index. Only cases of an earlier date count
+    as past. Each table is read several times, so it is checkpointed once to
+    the shared checkpoint folder.
     """
     checkpoint_dir(cases.sparkSession)
     cases = cases.checkpoint(eager=True)
-    nn = similar_cases(cases, cases, k, self_search=True)
-    texts = cases.select(F.col("case_id").alias("neighbor_id"), F.col("text").alias("_nt"))
+    index = cases if index is None else index.checkpoint(eager=True)
+    nn = similar_cases(cases, index, k, before="date")
+    texts = index.select(F.col("case_id").alias("neighbor_id"), F.col("text").alias("_nt"))
     ctx = (nn.join(texts, "neighbor_id")
            .groupBy("query_id")
            .agg(F.array_sort(F.collect_list(F.struct("nn_rank", "_nt"))).alias("_c"))

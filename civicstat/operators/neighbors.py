@@ -29,9 +29,10 @@ from civicstat.session import ship_package
 DEFAULT_TILE_ROWS = 32768
 QUERY_CHUNK = 256
 SPARE = 4  # extra fast-formula candidates re-checked exactly
-# candidates within this relative margin of the k-th distance are re-checked
-# with the exact formula, so float noise of the fast formula cannot drop a tie
-TIE_MARGIN = 1e-9
+# Candidates within the rounding error of the fast formula around the k-th
+# distance are re-checked with the exact one. The error grows with the squared
+# norms, so vectors are centred first and the margin is a multiple of those.
+TIE_MARGIN = 1e-13
 
 
 def _exact_rows(qb, iq, i_ids, cand_idx, valid):
@@ -41,7 +42,7 @@ def _exact_rows(qb, iq, i_ids, cand_idx, valid):
     return np.where(valid, exact, np.inf)
 
 
-def _top_k_block(q_ids, q_vecs, i_ids, i_vecs, k, exclude_self):
+def _top_k_block(q_ids, q_vecs, i_ids, i_vecs, k, exclude_self, q_at=None, i_at=None):
     """Top-k per query of one tile pair, vectorised per chunk of queries.
 
     The fast formula |q|² + |i|² − 2 q·i picks ``k + SPARE`` candidates;
@@ -53,22 +54,27 @@ def _top_k_block(q_ids, q_vecs, i_ids, i_vecs, k, exclude_self):
     if len(q_ids) == 0 or len(i_ids) == 0:
         return out_q, out_n, out_d
     iq = np.asarray(i_vecs, dtype=np.float64)
+    centre = iq.mean(axis=0)
+    iq = iq - centre
     i_norm = np.einsum("ij,ij->i", iq, iq)
     i_ids = np.asarray(i_ids)
     n_i = len(i_ids)
     for start in range(0, len(q_ids), QUERY_CHUNK):
-        qb = np.asarray(q_vecs[start:start + QUERY_CHUNK], dtype=np.float64)
+        qb = np.asarray(q_vecs[start:start + QUERY_CHUNK], dtype=np.float64) - centre
         qid = np.asarray(q_ids[start:start + QUERY_CHUNK])
-        d2 = np.einsum("ij,ij->i", qb, qb)[:, None] + i_norm[None, :] - 2.0 * qb @ iq.T
+        q_norm = np.einsum("ij,ij->i", qb, qb)
+        d2 = q_norm[:, None] + i_norm[None, :] - 2.0 * qb @ iq.T
         if exclude_self:
             d2[qid[:, None] == i_ids[None, :]] = np.inf
+        if q_at is not None:
+            d2[np.asarray(q_at[start:start + QUERY_CHUNK], str)[:, None] <= np.asarray(i_at, str)[None, :]] = np.inf
         m = min(n_i, k + SPARE)
         cand = np.argpartition(d2, m - 1, axis=1)[:, :m] if m < n_i else np.tile(np.arange(n_i), (len(qid), 1))
         cd2 = np.take_along_axis(d2, cand, axis=1)
         kth = np.sort(cd2, axis=1)[:, min(k, m) - 1]
-        limit = kth + TIE_MARGIN * np.maximum(np.abs(kth), 1.0) + 1e-12
+        limit = kth + TIE_MARGIN * iq.shape[1] * (q_norm + i_norm.max())
         # rows whose ties may reach beyond the m candidates
-        overflow = (m < n_i) & ((d2 <= limit[:, None]).sum(axis=1) > m)
+        overflow = (m < n_i) & np.isfinite(kth) & ((d2 <= limit[:, None]).sum(axis=1) > m)
         exact = _exact_rows(qb, iq, i_ids, cand, np.isfinite(cd2))
         ids = i_ids[cand]
         order = np.lexsort((ids, exact), axis=1)[:, :k]
@@ -92,21 +98,23 @@ def _top_k_block(q_ids, q_vecs, i_ids, i_vecs, k, exclude_self):
 
 def nearest(queries: DataFrame, index: DataFrame, k: int = 3, query_id: str = "id",
             index_id: str = "id", vec: str = "vec", exclude_self: bool = False,
-            tile_rows: int = DEFAULT_TILE_ROWS) -> DataFrame:
+            tile_rows: int = DEFAULT_TILE_ROWS, before: str | None = None) -> DataFrame:
     """Top-k index rows by Euclidean distance for every query row.
 
     Output: query_id, neighbor_id, distance, nn_rank (1 = nearest).
-    ``exclude_self`` drops pairs with equal ids (self-search).
+    ``exclude_self`` drops pairs with equal ids (self-search); with ``before``
+    (a text or date column of both sides) only index rows of a smaller value count.
     """
     nq = queries.count()
     ni = index.count()
     tq = max(1, math.ceil(nq / tile_rows))
     ti = max(1, math.ceil(ni / tile_rows))
     id_type = queries.schema[query_id].dataType
-    q = (queries.select(F.col(query_id).alias("qid"), F.col(vec).cast("array<double>").alias("v"))
+    at = F.col(before).cast("string") if before else F.lit("")
+    q = (queries.select(F.col(query_id).alias("qid"), F.col(vec).cast("array<double>").alias("v"), at.alias("at"))
          .withColumn("qt", F.pmod(F.xxhash64("qid"), F.lit(tq)))
          .withColumn("it", F.explode(F.sequence(F.lit(0), F.lit(ti - 1)))))
-    i = (index.select(F.col(index_id).alias("iid"), F.col(vec).cast("array<double>").alias("v"))
+    i = (index.select(F.col(index_id).alias("iid"), F.col(vec).cast("array<double>").alias("v"), at.alias("at"))
          .withColumn("it", F.pmod(F.xxhash64("iid"), F.lit(ti)))
          .withColumn("qt", F.explode(F.sequence(F.lit(0), F.lit(tq - 1)))))
     schema = T.StructType([T.StructField("query_id", id_type), T.StructField("neighbor_id", id_type),
@@ -114,7 +122,8 @@ def nearest(queries: DataFrame, index: DataFrame, k: int = 3, query_id: str = "i
 
     def block(qp, ip):
         qid, nid, dist = _top_k_block(qp["qid"].tolist(), list(qp["v"]), ip["iid"].tolist(),
-                                      list(ip["v"]), k, exclude_self)
+                                      list(ip["v"]), k, exclude_self,
+                                      *((qp["at"].tolist(), ip["at"].tolist()) if before else ()))
         return pd.DataFrame({"query_id": qid, "neighbor_id": nid, "distance": dist})
 
     ship_package(queries.sparkSession)

@@ -288,6 +288,13 @@ def _alerts(spark, sf_dir):
     return anomaly.anomaly_report(Facts(spark, sf_dir).enrollments)
 
 
+def _low_and_alerts(f: Facts):
+    """Both from the day table, so the facts are read once."""
+    enr, bio = f.daily
+    low = biometric.low_performers(biometric.success_rates(enr, bio), threshold=LOW_PERFORMER_THRESHOLD)
+    return low, anomaly.anomaly_report(enr)
+
+
 @register("case_text")
 def q_case_text(spark, sf_dir):
     c = cases.alert_cases(_alerts(spark, sf_dir))
@@ -308,23 +315,19 @@ def q_explanation_requests(spark, sf_dir):
     return cases.explanation_requests(cases.alert_cases(_alerts(spark, sf_dir)))
 
 
-def _low(spark, sf_dir):
-    f = Facts(spark, sf_dir)
-    return biometric.low_performers(biometric.success_rates(f.enrollments, f.biometric),
-                                    threshold=LOW_PERFORMER_THRESHOLD)
-
-
 @register("insight_requests")
 def q_insight_requests(spark, sf_dir):
     f = Facts(spark, sf_dir)
-    enr = growth.scope_totals(f.enrollments, ("state",)).withColumnRenamed("total", "total_enrollments")
-    g = growth.growth_rates(f.enrollments, scope=("state",), periods=["month"])
+    day, _ = f.daily
+    low, alerts = _low_and_alerts(f)
+    enr = growth.scope_totals(day, ("state",)).withColumnRenamed("total", "total_enrollments")
+    g = growth.growth_rates(day, scope=("state",), periods=["month"])
     latest = (g.withColumn("_rn", F.row_number().over(
         Window.partitionBy("state", "age_group").orderBy(F.desc("date")))).filter("_rn = 1")
         .groupBy("state").pivot("age_group", growth.AGE_COLS).agg(F.first("growth_rate_pct"))
         .select("state", *[F.col(c).alias(f"mom_growth_pct_{c}") for c in growth.AGE_COLS]))
-    low = _low(spark, sf_dir).groupBy("state").agg(F.count(F.lit(1)).alias("low_performing_districts"))
-    al = _alerts(spark, sf_dir).groupBy("state").agg(
+    low = low.groupBy("state").agg(F.count(F.lit(1)).alias("low_performing_districts"))
+    al = alerts.groupBy("state").agg(
         F.count(F.lit(1)).alias("anomaly_alerts"),
         F.count_if(F.col("anomaly_type") == "spike").alias("spikes"),
         F.count_if(F.col("anomaly_type") == "drop").alias("drops"))
@@ -380,10 +383,10 @@ def q_policy_explode(spark, sf_dir):
 
 @register("problem_districts")
 def q_problem_districts(spark, sf_dir):
-    p = cases.problem_districts(_low(spark, sf_dir), _alerts(spark, sf_dir))
+    p = cases.problem_districts(*_low_and_alerts(Facts(spark, sf_dir)))
     return p.withColumn("issues", F.array_join("issues", "|"))
 
 
 @register("policy_requests")
 def q_policy_requests(spark, sf_dir):
-    return cases.policy_requests(cases.problem_districts(_low(spark, sf_dir), _alerts(spark, sf_dir)))
+    return cases.policy_requests(cases.problem_districts(*_low_and_alerts(Facts(spark, sf_dir))))

@@ -496,7 +496,7 @@ LEFT JOIN (
   SELECT query_id, string_agg('- ' || text, e'\\n' ORDER BY nn_rank) AS context FROM (
     SELECT a.case_id AS query_id, b.text,
            row_number() OVER (PARTITION BY a.case_id ORDER BY list_distance(a.vec, b.vec), b.case_id) AS nn_rank
-    FROM cases a JOIN cases b ON a.case_id <> b.case_id) t
+    FROM cases a JOIN cases b ON b.d < a.d) t
   WHERE nn_rank <= 3 GROUP BY 1) c ON q.case_id = c.query_id""", CASES)
 
 _INSIGHT = _quoted(cases.INSIGHT_TEMPLATE)

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on: dates are DATE, so the session runs in UTC;
 # ANSI stays on, so operators use try_* functions where input can be bad.
@@ -91,6 +92,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() if not spark.conf.get("spark.checkpoint.dir", None) else d
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """``df`` written once as Parquet into the shared checkpoint folder and
+    read back, for a result that several branches of a query use. The files
+    go when the application ends."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def cluster_conf(input_bytes: int, executor_cores: int, target_partition_bytes: int = 256 << 20) -> dict:
     """Shuffle/scan sizing for a cluster run (a starting point; AQE coalesces).
 

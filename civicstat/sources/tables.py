@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from civicstat.session import materialize
+
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
 
@@ -50,9 +52,17 @@ def _orders_geo(spark: SparkSession, sf_dir: str, g: DataFrame | None = None) ->
             .join(g, F.col("c_nationkey") == F.col("nationkey")))
 
 
+# what enrollments_columns reads
+ORDER_COLUMNS = ("o_orderdate", "state", "district", "c_custkey", "o_totalprice", "o_custkey")
+
+
 def enrollments(spark: SparkSession, sf_dir: str, g: DataFrame | None = None) -> DataFrame:
-    o = _orders_geo(spark, sf_dir, g)
+    return enrollments_columns(_orders_geo(spark, sf_dir, g))
+
+
+def enrollments_columns(o: DataFrame, *keep: str) -> DataFrame:
     return o.select(
+        *keep,
         F.to_date("o_orderdate").alias("date"),
         "state", "district",
         (F.lit(PINCODE_BASE) + F.col("c_custkey")).cast("string").alias("pincode"),
@@ -98,12 +108,28 @@ def demographic_updates(spark: SparkSession, sf_dir: str, g: DataFrame | None =
             ))
 
 
+def daily_totals(spark: SparkSession, sf_dir: str, g: DataFrame | None = None) -> DataFrame:
+    """Enrollments and attempts summed to (date, state, district) in one pass
+    over orders and lines. A key has a row for each pattern of NULL age
+    columns, so that sums over it skip the same rows as sums over the fact."""
+    e = enrollments_columns(_orders_geo(spark, sf_dir, g).select("o_orderkey", *ORDER_COLUMNS), "o_orderkey")
+    li = (read(spark, sf_dir, "lineitem", "l_orderkey", "l_quantity", "l_linenumber")
+          .groupBy("l_orderkey")
+          .agg(F.sum(F.col("l_quantity").cast("int")).alias("bio_age_5_17"),
+               F.sum(F.col("l_linenumber") * BIO_17_FACTOR).alias("bio_age_17_")))
+    ages = ["age_0_5", "age_5_17", "age_18_greater"]
+    return (e.join(li, e["o_orderkey"] == li["l_orderkey"], "left")
+            .groupBy("date", "state", "district", *[F.col(c).isNull().alias(f"no_{c}") for c in ages])
+            .agg(*[F.sum(c).alias(c) for c in (*ages, "bio_age_5_17", "bio_age_17_")], F.count("l_orderkey").alias("attended"))
+            .drop(*[f"no_{c}" for c in ages]))
+
+
 class Facts:
     """Lazily built role DataFrames for one data directory."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
-        self._geo = None
+        self._geo = self._daily = None
 
     @property
     def geo(self) -> DataFrame:
@@ -119,6 +145,15 @@ class Facts:
     def biometric(self) -> DataFrame:
         return biometric_attempts(self.spark, self.sf_dir, self.geo)
 
+    @property
+    def daily(self) -> tuple[DataFrame, DataFrame]:
+        """(enrollments, attempts) at day grain, from one written table."""
+        if self._daily is None:
+            self._daily = materialize(daily_totals(self.spark, self.sf_dir, self.geo))
+        keys = ["date", "state", "district"]
+        return (self._daily.select(*keys, "age_0_5", "age_5_17", "age_18_greater"),
+                self._daily.where("attended > 0").select(*keys, "bio_age_5_17", "bio_age_17_"))
+
     @property
     def demographic(self) -> DataFrame:
         return demographic_updates(self.spark, self.sf_dir, self.geo)

@@ -37,9 +37,23 @@ def test_explanation_requests_context(spark):
         "date date, state string, district string, metric_name string, anomaly_value double, "
         "severity_score double, anomaly_type string, detection_methods array<string>")
     out = {r.date: r for r in cases.explanation_requests(cases.alert_cases(alerts)).collect()}
-    r = out["2024-01-01"]
+    r = out["2024-01-04"]
     assert r.context.count("\n") == 2 and r.context.startswith("- Anomaly in D, S")
-    assert "New alert\nAnomaly: spike in D with value 100.0." in r.prompt
+    assert "New alert\nAnomaly: spike in D with value 120.0." in r.prompt
+    # only earlier cases are past cases
+    assert out["2024-01-02"].context.count("\n") == 0 and out["2024-01-02"].note is None
+    assert out["2024-01-01"].context == "" and out["2024-01-01"].note == cases.NO_INDEX_MESSAGE
+
+
+def test_new_cases_search_a_stored_index(spark, scratch):
+    from civicstat.sources import sinks
+    schema = ("date date, state string, district string, metric_name string, anomaly_value double, "
+              "severity_score double, anomaly_type string, detection_methods array<string>")
+    rows = [(dt.date(2024, 1, d), "S", "D", "daily_enrollments", 100.0 + d, 5.0, "spike", ["iqr"]) for d in (1, 2, 3, 4)]
+    sinks.append_cases(cases.alert_cases(spark.createDataFrame(rows[:3], schema)), f"{scratch}/index")
+    out = cases.explanation_requests(cases.alert_cases(spark.createDataFrame(rows[3:], schema)),
+                                     index=spark.read.parquet(f"{scratch}/index")).collect()
+    assert len(out) == 1 and out[0].context.count("- Anomaly") == 3
 
 
 def test_insight_and_policy_requests(spark):
