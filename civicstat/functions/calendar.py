@@ -23,16 +23,6 @@ def period_end(start: Column, kind: str) -> Column:
     return F.date_sub(F.add_months(start, PERIOD_MONTHS[kind]), 1)
 
 
-def scope_calendar(bounds: DataFrame, keys: list[str], lo: str, hi: str,
-                   out: str, step: str) -> DataFrame:
-    """One row per (scope, step) from lo to hi inclusive.
-
-    ``step`` is a SQL interval literal such as ``'1 month'`` or ``'1 day'``.
-    """
-    seq = F.expr(f"sequence({lo}, {hi}, interval {step})")
-    return bounds.select(*keys, F.explode(seq).alias(out))
-
-
 def densify(agg: DataFrame, keys: list[str], time_col: str, step: str,
             fill: dict | None = None) -> DataFrame:
     """Fill the missing steps between each scope's first and last ``time_col``.

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from civicstat.functions.scalar import iso_date, optional_filter, round_half_even, total
+from civicstat.functions.scalar import optional_filter, round_half_even, total
 
 AGE_COLS = ["age_0_5", "age_5_17", "age_18_greater"]
 SCOPE = ("state", "district")
@@ -138,12 +138,8 @@ def distinct_scopes(enr: DataFrame, scope=SCOPE, limit: int | None = None) -> Da
 def daily_scan(enr: DataFrame, alerts_path: str, run_date: str | None = None, days: int = 90) -> DataFrame:
     """Q13: the report for every district in one job, appended to the alert
     table (S11, the run date's partition is replaced on re-run)."""
+    from civicstat.session import materialize
     from civicstat.sources.sinks import append_alerts
-    report = anomaly_report(enr, SCOPE, days)
+    report = materialize(anomaly_report(enr, SCOPE, days))  # written, returned and read again from one copy
     append_alerts(report, alerts_path, run_date)
     return report
-
-
-def alerts_for_table(report: DataFrame) -> DataFrame:
-    """Report rows in the alert-table shape with the date as text for export."""
-    return report.withColumn("date", iso_date("date"))

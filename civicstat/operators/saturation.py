@@ -64,17 +64,20 @@ def saturation(enr: DataFrame, state=None, district=None,
 
     One aggregate of the fact gives both the daily totals and the privacy
     gate (P14, Σ of the age columns per district, as a window over the
-    daily rows); then zero-fill, running sum and one fit per district.
+    daily rows; a district below it gets a row with an error text and no
+    figures); then zero-fill, running sum and one fit per district.
     """
     keys = ["state", "district"]
     enr = optional_filter(enr, state=state, district=district)
     daily = enr.groupBy(*keys, "date").agg(
         F.coalesce(F.sum(total(*growth.AGE_COLS)), F.lit(0)).cast("long").alias("daily_total"),
         reduce(lambda a, b: a + b, [F.coalesce(F.sum(c), F.lit(0)) for c in growth.AGE_COLS]).alias("_gate"))
-    daily = (daily.withColumn("_gate", F.sum("_gate").over(Window.partitionBy(*keys)))
-             .filter(F.col("_gate") >= min_count).drop("_gate"))
+    daily = daily.withColumn("_gate", F.sum("_gate").over(Window.partitionBy(*keys)))
+    hidden = (daily.filter(F.col("_gate") < min_count).select(*keys).distinct()
+              .withColumn("error", F.lit(f"suppressed: fewer than {min_count} enrollments")))
+    daily = daily.filter(F.col("_gate") >= min_count).drop("_gate")
     dense = densify(daily, keys, "date", "1 day", fill={"daily_total": 0})
     run = Window.partitionBy(*keys).orderBy("date").rowsBetween(Window.unboundedPreceding, 0)
     cum = dense.withColumn("cumulative_total", F.sum("daily_total").over(run))
     ship_package(enr.sparkSession)
-    return cum.groupBy(*keys).applyInPandas(_fit_group, SCHEMA)
+    return cum.groupBy(*keys).applyInPandas(_fit_group, SCHEMA).unionByName(hidden, allowMissingColumns=True)

@@ -131,3 +131,12 @@ def test_arima_order_does_not_depend_on_the_unit():
         ar[i] = 0.8 * ar[i - 1] + rng.normal()
     best = _select_arma(ar, True, 5, 2)
     assert best["order"][0] >= 1 and 0.5 < best["phi"].sum() < 1
+
+
+def test_small_districts_get_a_saturation_row_without_figures(spark):
+    from civicstat.operators.saturation import saturation
+    rows = [(f"2024-01-{d:02d}", "S", "small", 1, 1, 1) for d in range(1, 6)]
+    enr = spark.createDataFrame(rows, "date string, state string, district string, age_0_5 int, age_5_17 int, age_18_greater int") \
+        .withColumn("date", F.to_date("date"))
+    got = saturation(enr).collect()
+    assert [(r.district, r.current_penetration, r.error) for r in got] == [("small", None, "suppressed: fewer than 100 enrollments")]
