@@ -107,7 +107,9 @@ def nearest(queries: DataFrame, index: DataFrame, k: int = 3, query_id: str = "i
     """
     nq = queries.count()
     ni = index.count()
-    tq = max(1, math.ceil(nq / tile_rows))
+    # small inputs still make a group for every core
+    cores = queries.sparkSession.sparkContext.defaultParallelism
+    tq = max(1, math.ceil(nq / tile_rows), min(cores, math.ceil(nq / QUERY_CHUNK)))
     ti = max(1, math.ceil(ni / tile_rows))
     id_type = queries.schema[query_id].dataType
     at = F.col(before).cast("string") if before else F.lit("")
