@@ -5,13 +5,15 @@ four groups of accented letters and one of other letters; other scripts are
 spread over a to z. A symbol is predicted from up to four before it in its
 own word. Orders three to five have counts of the class; below them both
 classes back off to the same continuation counts, gathered from the distinct
-n-grams of both. A text's raw score is the mean over its symbols of the log
-likelihood ratio of the toxic and the ordinary model.
+n-grams of both. A text has two raw scores, both divided by its symbols: how
+much the toxic model's log likelihood gains on the ordinary model's where it is
+above it, and how much it loses where it is below. Toxic expressions show in
+the gain; the loss also measures how far the smaller class's model is trained.
 
 All labelled rows are counted. What reaches the driver and every worker is a
 table over all 32^5 possible five-grams, so its size does not depend on the
-data. A logistic curve turns raw scores into probabilities; it is fitted to
-scores that each half of the labelled rows gets from the other half's model.
+data. A logistic curve turns gain and loss into a probability; it is fitted to
+those that each half of the labelled rows gets from the other half's model.
 """
 
 from __future__ import annotations
@@ -37,8 +39,10 @@ DISCOUNT = 0.75
 #: Log ratios are kept in steps of 1 / STEPS, at most 127 steps from 0.
 STEPS = 8
 THRESHOLD = 0.7
-#: Raw scores are gathered in bins of this width to fit the curve.
+#: Gains and losses are gathered in bins of this width to fit the curve, in
+#: ``BINS`` bins each.
 BIN = 1 / 512
+BINS = 1024
 
 
 @lru_cache(maxsize=1)
@@ -159,23 +163,25 @@ def count_grams(rows: DataFrame) -> DataFrame:
             .groupBy("label", "half", "gram").agg(F.sum("n").alias("n")))
 
 
-def fit_curve(bins: np.ndarray, positive: np.ndarray, every: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of a logistic curve through binned counts (a weak ridge
-    keeps the slope finite when the classes separate)."""
-    scale = float(np.sqrt((every * bins ** 2).sum() / every.sum())) or 1.0
-    x = np.stack([bins / scale, np.ones(len(bins))], axis=1)
-    w = np.zeros(2)
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        slope = x.T @ (every * p - positive) + np.array([0.01, 0.0]) * w
-        curve = (x * (every * p * (1 - p))[:, None]).T @ x + np.diag([0.01, 1e-6])
-        step = np.linalg.solve(curve, slope)
-        w -= np.clip(step, -2, 2)
-    return float(w[0] / scale), float(w[1])
+def fit_curve(x: np.ndarray, positive: np.ndarray, every: np.ndarray) -> np.ndarray:
+    """Weights and offset of a logistic curve over the columns of ``x``, from
+    binned counts (a weak ridge keeps the weights finite when the classes
+    separate)."""
+    scale = np.sqrt((every[:, None] * x ** 2).sum(axis=0) / every.sum())
+    scale[scale == 0] = 1.0
+    z = np.concatenate([x / scale, np.ones((len(x), 1))], axis=1)
+    ridge = np.diag([0.01] * x.shape[1] + [1e-6])
+    w = np.zeros(z.shape[1])
+    for _ in range(60):
+        p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
+        slope = z.T @ (every * p - positive) + ridge @ w
+        curve = (z * (every * p * (1 - p))[:, None]).T @ z + ridge
+        w -= np.clip(np.linalg.solve(curve, slope), -2, 2)
+    return np.append(w[:-1] / scale, w[-1])
 
 
 def classify(docs: DataFrame, labels: DataFrame, half: Column) -> DataFrame:
-    """(doc_id, raw, score) of every row of ``docs`` (doc_id, text).
+    """(doc_id, gain, loss, score) of every row of ``docs`` (doc_id, text).
 
     ``labels``: (id, label), one row per id; ``half``: 0 or 1 from ``id``,
     which splits the labelled rows for the curve. Null and empty texts are one
@@ -192,7 +198,7 @@ def classify(docs: DataFrame, labels: DataFrame, half: Column) -> DataFrame:
     label, side, gram, n = (seen.column(i).to_numpy() for i in range(4))
     if not {0, 1} <= set(np.unique(label).tolist()):
         only = float(label.max()) if len(label) else 0.0
-        return docs.select("doc_id", F.lit(0.0).alias("raw"), F.lit(only).alias("score"))
+        return docs.select("doc_id", F.lit(0.0).alias("gain"), F.lit(0.0).alias("loss"), F.lit(only).alias("score"))
 
     def ratios(keep: np.ndarray) -> np.ndarray:
         tables = []
@@ -211,20 +217,30 @@ def classify(docs: DataFrame, labels: DataFrame, half: Column) -> DataFrame:
             g = [grams(t) for t in b.column(1).to_pylist()]
             sizes = np.fromiter(map(len, g), np.int64, len(g))
             flat, starts = np.concatenate(g), np.cumsum(sizes) - sizes
-            raw = [np.add.reduceat(_unpacked(m)[flat], starts, dtype=np.int64) / (sizes * STEPS) for m in models.value]
-            yield pa.RecordBatch.from_arrays([b.column(0), *map(pa.array, raw)], ["doc_id", "raw", "raw0", "raw1"])
+            raw = []
+            for m in models.value:
+                steps = _unpacked(m)[flat]
+                gain = np.add.reduceat(np.maximum(steps, 0), starts, dtype=np.int64)
+                loss = gain - np.add.reduceat(steps, starts, dtype=np.int64)
+                raw += [gain / (sizes * STEPS), loss / (sizes * STEPS)]
+            yield pa.RecordBatch.from_arrays([b.column(0), *map(pa.array, raw)], ["doc_id", *names])
 
     rows = docs.select("doc_id", "text")
-    schema = T.StructType([rows.schema["doc_id"], *[T.StructField(c, T.DoubleType()) for c in ("raw", "raw0", "raw1")]])
+    names = ["gain", "loss", "gain0", "loss0", "gain1", "loss1"]
+    schema = T.StructType([rows.schema["doc_id"], *[T.StructField(c, T.DoubleType()) for c in names]])
     scored = cut(rows.mapInArrow(run, schema))
-    other = F.when(F.col("half") == 0, F.col("raw0")).otherwise(F.col("raw1"))
+
+    def bin_of(name: str) -> Column:
+        other = F.when(F.col("half") == 0, F.col(f"{name}0")).otherwise(F.col(f"{name}1"))
+        return F.least(F.round(other / BIN).cast("int"), F.lit(BINS - 1))
+
     counts = (scored.join(known, scored["doc_id"] == known["id"])
-              .groupBy(F.round(other / BIN).cast("int").alias("bin"))
+              .groupBy(bin_of("gain").alias("gain"), bin_of("loss").alias("loss"))
               .agg(F.sum("label").alias("positive"), F.count("*").alias("every")).toArrow())
-    a, c = fit_curve(counts.column(0).to_numpy() * BIN, counts.column(1).to_numpy().astype(float),
-                     counts.column(2).to_numpy().astype(float))
-    score = 1 / (1 + F.exp(-(F.col("raw") * a + c)))
-    return scored.select("doc_id", "raw", score.alias("score"))
+    gain, loss, positive, every = (counts.column(i).to_numpy().astype(float) for i in range(4))
+    a, b, c = fit_curve(np.stack([gain, loss], axis=1) * BIN, positive, every).tolist()
+    score = 1 / (1 + F.exp(-(F.col("gain") * a + F.col("loss") * b + c)))
+    return scored.select("doc_id", "gain", "loss", score.alias("score"))
 
 
 def toxicity_digest(documents: DataFrame, labels: DataFrame) -> DataFrame:
