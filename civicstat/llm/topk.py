@@ -88,7 +88,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
         probes = (open_queries.select("query_id", "own", F.posexplode("own").alias("segment", "at"))
                   .withColumn("flip", flips)
                   .select("query_id", "own", "segment", F.col("at").bitwiseXOR(F.col("flip")).alias("value")))
-        met = (probes.join(index, ["segment", "value"])
+        # both sides grow with the data, and a plan cannot tell how many probes a query makes
+        met = (probes.hint("merge").join(index, ["segment", "value"])
                .select("query_id", "code", "least", _distance(F.col("own"), F.col("code")).cast("int").alias("distance"))
                .distinct())
         met = met if found is None else met.union(found).distinct()
@@ -96,7 +97,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
         best = F.row_number().over(Window.partitionBy("query_id").orderBy("distance", "least"))
         met = cut(met.withColumn("r", best).where(F.col("r") <= k + 1).drop("r"))
         covered = m * (radius + 1) - 1
-        ids = (met.join(entries, "code").select("query_id", "distance", F.explode("ids").alias("vec_id"))
+        ids = (met.hint("merge").join(entries, "code").select("query_id", "distance", F.explode("ids").alias("vec_id"))
                .where(F.col("vec_id") != F.col("query_id")))
         place = F.row_number().over(Window.partitionBy("query_id").orderBy("distance", "vec_id"))
         ranked = ids.withColumn("rank", place).where(F.col("rank") <= k)
