@@ -10,17 +10,22 @@ much the toxic model's log likelihood gains on the ordinary model's where it is
 above it, and how much it loses where it is below. Toxic expressions show in
 the gain; the loss also measures how far the smaller class's model is trained.
 
-All labelled rows are counted. What reaches the driver and every worker is a
-table over all 32^5 possible five-grams, so its size does not depend on the
-data. A logistic curve turns gain and loss into a probability; it is fitted to
-those that each half of the labelled rows gets from the other half's model.
+The letters tell misspelt words; what whole words and expressions tell, in any
+script, comes from the word trigrams of ``wordgrams``, whose tables grow with
+the labelled rows. A text gets the gain and the loss of each order from them.
+
+All labelled rows are counted. A logistic curve turns the gains and losses of
+letters and words into a probability. It is fitted to those that each half of
+the labelled rows gets from the other half's model, and no gain lowers the
+score and no loss raises it. Of the letters, a table over all 32^5 possible
+five-grams reaches the driver and every worker.
 """
 
 from __future__ import annotations
 
 import unicodedata
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -29,6 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from civicstat.llm import wordgrams
 from civicstat.llm.common import cut, one_label, prepare, remainder
 
 SYMBOLS = 32
@@ -39,10 +45,6 @@ DISCOUNT = 0.75
 #: Log ratios are kept in steps of 1 / STEPS, at most 127 steps from 0.
 STEPS = 8
 THRESHOLD = 0.7
-#: Gains and losses are gathered in bins of this width to fit the curve, in
-#: ``BINS`` bins each.
-BIN = 1 / 512
-BINS = 1024
 
 
 @lru_cache(maxsize=1)
@@ -163,25 +165,61 @@ def count_grams(rows: DataFrame) -> DataFrame:
             .groupBy("label", "half", "gram").agg(F.sum("n").alias("n")))
 
 
-def fit_curve(x: np.ndarray, positive: np.ndarray, every: np.ndarray) -> np.ndarray:
-    """Weights and offset of a logistic curve over the columns of ``x``, from
-    binned counts (a weak ridge keeps the weights finite when the classes
-    separate)."""
-    scale = np.sqrt((every[:, None] * x ** 2).sum(axis=0) / every.sum())
+def fit_curve(rows: DataFrame, names: list[str], signs: list[int]) -> np.ndarray:
+    """Weights and offset of a logistic curve over the columns ``names`` of
+    ``rows`` (label, names) by Newton's method (a weak ridge keeps the weights
+    finite when the classes separate). Each step adds up slopes and curvatures
+    in the tasks. A weight of the wrong sign becomes 0, so the score never
+    falls with a gain or rises with a loss."""
+    d = len(names)
+
+    def sums(of: Callable[[np.ndarray, np.ndarray], np.ndarray], n: int) -> np.ndarray:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            out = np.zeros(n)
+            for b in batches:
+                cols = [b.column(i).to_numpy().astype(float) for i in range(d + 1)]
+                out += of(np.stack([*cols[1:], np.ones(len(cols[0]))], axis=1), cols[0])
+            yield pa.RecordBatch.from_pydict({"i": pa.array(np.arange(n, dtype=np.int32)), "x": pa.array(out)})
+
+        total = np.zeros(n)
+        for r in rows.select("label", *names).mapInArrow(run, "i int, x double").groupBy("i").agg(F.sum("x").alias("x")).collect():
+            total[r.i] = r.x
+        return total
+
+    squares = sums(lambda x, _: (x ** 2).sum(axis=0), d + 1)
+    scale = np.sqrt(squares / max(squares[-1], 1))
     scale[scale == 0] = 1.0
-    z = np.concatenate([x / scale, np.ones((len(x), 1))], axis=1)
-    ridge = np.diag([0.01] * x.shape[1] + [1e-6])
-    w = np.zeros(z.shape[1])
-    for _ in range(60):
-        p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-        slope = z.T @ (every * p - positive) + ridge @ w
-        curve = (z * (every * p * (1 - p))[:, None]).T @ z + ridge
-        w -= np.clip(np.linalg.solve(curve, slope), -2, 2)
-    return np.append(w[:-1] / scale, w[-1])
+    ridge = np.diag([0.01] * d + [1e-6])
+    keep, w = np.ones(d + 1, bool), np.zeros(d + 1)
+    while True:
+        last, best, move = w, np.inf, np.zeros(d + 1)
+        for _ in range(60):
+            def at(x: np.ndarray, label: np.ndarray, w: np.ndarray = w) -> np.ndarray:
+                z = x / scale
+                p = 1 / (1 + np.exp(-np.clip(z @ w, -500, 500)))
+                return np.concatenate([[(np.logaddexp(0, z @ w) - label * (z @ w)).sum()], z.T @ (p - label),
+                                       ((z * (p * (1 - p))[:, None]).T @ z).ravel()])
+
+            got = sums(at, 1 + (d + 1) * (d + 2))
+            if (now := got[0] + w @ ridge @ w / 2) > best + 1e-9 * abs(best):
+                move = move / 2  # too far
+            else:
+                slope, curve = got[1:d + 2] + ridge @ w, got[d + 2:].reshape(d + 1, d + 1) + ridge
+                last, best, move = w, now, np.zeros(d + 1)
+                move[keep] = np.linalg.solve(curve[np.ix_(keep, keep)], slope[keep])
+            if np.abs(move).max() < 1e-3:
+                break
+            w = last - move
+        w = last
+        wrong = np.append(w[:-1] * signs < 0, False)
+        if not wrong.any():
+            return w / scale
+        keep &= ~wrong
+        w = np.where(keep, w, 0.0)
 
 
 def classify(docs: DataFrame, labels: DataFrame, half: Column) -> DataFrame:
-    """(doc_id, gain, loss, score) of every row of ``docs`` (doc_id, text).
+    """(doc_id, score) of every row of ``docs`` (doc_id, text).
 
     ``labels``: (id, label), one row per id; ``half``: 0 or 1 from ``id``,
     which splits the labelled rows for the curve. Null and empty texts are one
@@ -194,11 +232,12 @@ def classify(docs: DataFrame, labels: DataFrame, half: Column) -> DataFrame:
     known = labels.withColumn("half", half.cast("int"))
     # labels grow with the corpus: a shuffle at every size, never a broadcast
     own = docs.select("doc_id", "text")
-    seen = count_grams(own.join(known.hint("merge"), own["doc_id"] == known["id"]).select("text", "label", "half")).toArrow()
+    labelled = cut(own.join(known.hint("merge"), own["doc_id"] == known["id"]).select("text", "label", "half"))
+    seen = count_grams(labelled).toArrow()
     label, side, gram, n = (seen.column(i).to_numpy() for i in range(4))
     if not {0, 1} <= set(np.unique(label).tolist()):
         only = float(label.max()) if len(label) else 0.0
-        return docs.select("doc_id", F.lit(0.0).alias("gain"), F.lit(0.0).alias("loss"), F.lit(only).alias("score"))
+        return docs.select("doc_id", F.lit(only).alias("score"))
 
     def ratios(keep: np.ndarray) -> np.ndarray:
         tables = []
@@ -211,6 +250,7 @@ def classify(docs: DataFrame, labels: DataFrame, half: Column) -> DataFrame:
     models = spark.sparkContext.broadcast([zlib.compress(ratios(keep), 1) for keep in (
         np.ones(len(gram), bool), side == 1, side == 0)])  # from all rows, for half 0, for half 1
     del seen, label, side, gram, n
+    weights = cut(wordgrams.weigh(wordgrams.count_trigrams(labelled)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -223,24 +263,33 @@ def classify(docs: DataFrame, labels: DataFrame, half: Column) -> DataFrame:
                 gain = np.add.reduceat(np.maximum(steps, 0), starts, dtype=np.int64)
                 loss = gain - np.add.reduceat(steps, starts, dtype=np.int64)
                 raw += [gain / (sizes * STEPS), loss / (sizes * STEPS)]
-            yield pa.RecordBatch.from_arrays([b.column(0), *map(pa.array, raw)], ["doc_id", *names])
+            raw.append(np.fromiter((len(wordgrams.words(t)) + 1 for t in b.column(1).to_pylist()), np.float64, len(g)))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), b.column(3), *map(pa.array, raw)],
+                                             ["doc_id", "row", "half", *names, "words"])
 
-    rows = docs.select("doc_id", "text")
+    rows = docs.select("doc_id", "text", F.col("doc_id").alias("id")).withColumn("half", half.cast("int")).select(
+        "doc_id", "text", F.xxhash64("doc_id", "text").alias("row"), "half")
     names = ["gain", "loss", "gain0", "loss0", "gain1", "loss1"]
-    schema = T.StructType([rows.schema["doc_id"], *[T.StructField(c, T.DoubleType()) for c in names]])
-    scored = cut(rows.mapInArrow(run, schema))
-
-    def bin_of(name: str) -> Column:
-        other = F.when(F.col("half") == 0, F.col(f"{name}0")).otherwise(F.col(f"{name}1"))
-        return F.least(F.round(other / BIN).cast("int"), F.lit(BINS - 1))
-
-    counts = (scored.join(known, scored["doc_id"] == known["id"])
-              .groupBy(bin_of("gain").alias("gain"), bin_of("loss").alias("loss"))
-              .agg(F.sum("label").alias("positive"), F.count("*").alias("every")).toArrow())
-    gain, loss, positive, every = (counts.column(i).to_numpy().astype(float) for i in range(4))
-    a, b, c = fit_curve(np.stack([gain, loss], axis=1) * BIN, positive, every).tolist()
-    score = 1 / (1 + F.exp(-(F.col("gain") * a + F.col("loss") * b + c)))
-    return scored.select("doc_id", "gain", "loss", score.alias("score"))
+    schema = T.StructType([rows.schema["doc_id"], T.StructField("row", T.LongType()), T.StructField("half", T.IntegerType()),
+                           *[T.StructField(c, T.DoubleType()) for c in [*names, "words"]]])
+    letters = cut(rows.mapInArrow(run, schema))
+    # repeated rows add up under one number
+    copies = letters.groupBy("row").agg(F.count("*").alias("copies"))
+    parts = copies.join(wordgrams.sums(rows, weights), "row", "left")
+
+    def other(name: str) -> Column:
+        return F.when(F.col("half") == 0, F.col(f"{name}0")).otherwise(F.col(f"{name}1")).alias(f"{name}x")
+
+    def each(name: str) -> Column:
+        return (F.coalesce(name, F.lit(0.0)) / (F.col("copies") * F.col("words"))).alias(name)
+
+    scored = cut(letters.join(parts, "row").select(
+        "doc_id", "gain", "loss", other("gain"), other("loss"), *[each(f"{c}{x}") for c in wordgrams.PARTS for x in ("", "x")]))
+    used = ["gain", "loss", *wordgrams.PARTS]
+    fitted = cut(scored.join(known, scored["doc_id"] == known["id"]).select("label", *[F.col(f"{c}x").alias(c) for c in used]))
+    *w, c = fit_curve(fitted, used, [1, -1] * (len(used) // 2)).tolist()
+    score = 1 / (1 + F.exp(-(sum((F.col(x) * a for x, a in zip(used, w)), F.lit(c)))))
+    return scored.select("doc_id", score.alias("score"))
 
 
 def toxicity_digest(documents: DataFrame, labels: DataFrame) -> DataFrame:

@@ -96,3 +96,20 @@ def test_languages_of_odd_rows(spark, odd):
     assert all(0 <= r.score <= 1 for r in rows)
     assert {r.lang_pred for r in language.language_digest(odd.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
     assert language.language_digest(odd.limit(0)).count() == 0
+
+
+def test_expressions_of_ordinary_words_in_any_script(spark):
+    # both classes have the same words equally often, only their order differs
+    rng = np.random.default_rng(4)
+    rows, labels = [], []
+    for script, (a, b) in enumerate((("green", "paper"), ("зелёный", "бумага"), ("s4", "p9"))):
+        for k in range(60):
+            fill = [f"{chr(97 + script)}{x}" for x in rng.integers(0, 40, 12)]
+            pair, i = ([a, b] if k % 2 else [b, a]), len(rows)
+            rows.append((i, " ".join([*fill[:6], *pair, *fill[6:], *pair])))
+            labels.append((i, k % 2))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    known = spark.createDataFrame([x for x in labels if x[0] % 3], "id long, label int")
+    got = {r.doc_id: r.score for r in toxicity.classify(docs, known, F.floor(F.col("id") / 2) % 2).collect()}
+    held = [x for x in labels if x[0] % 3 == 0]
+    assert auc(np.array([got[i] for i, _ in held]), np.array([y for _, y in held])) > 0.95
