@@ -189,17 +189,21 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def groups(prints: DataFrame, max_bits: int = MAX_BITS, tile: int = TILE) -> DataFrame:
-    """(f, component_id) of every distinct fingerprint of ``prints`` (doc_id, f).
-
-    Fingerprints link at ``max_bits`` or fewer differing bits; component_id is
-    the smallest doc_id that links lead to, null only if all of them are null.
+    """(f, first, root, component_id) of every distinct fingerprint of ``prints``
+    (doc_id, f).
+
+    Fingerprints link at ``max_bits`` or fewer differing bits; first is the
+    smallest doc_id of a fingerprint, root the smallest fingerprint that links
+    lead to, and component_id the smallest doc_id of those, null only if all of
+    them are null. Components that do not link can share a component_id, but
+    never a root.
     """
     each = cut(prints.groupBy("f").agg(F.min("doc_id").alias("first")))
     found = components(links(each.select("f"), max_bits, tile))
     rooted = cut(each.join(found.withColumnRenamed("node", "f"), "f", "left")
                  .select("f", "first", F.coalesce("label", "f").alias("root")))
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    return rooted.join(least, "root").select("f", "component_id")
+    return rooted.join(least, "root").select("f", "first", "root", "component_id")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, tile: int = TILE) -> DataFrame:
@@ -216,14 +220,13 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
 
 def one_of_each(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """``docs`` (doc_id, text, any others) with one row of each component: the
-    one with the smallest doc_id, null last; of equal rows of that id and
-    fingerprint one stays."""
+    one with the smallest doc_id, null last, and of these the one with the
+    smallest fingerprint; of equal rows of that id and fingerprint one stays."""
     prints, name = with_fingerprints(docs, shingle)
     prints = cut(prints)
-    pairs = prints.select("doc_id", F.col(name).alias("f"))
-    keep = (pairs.join(groups(pairs, max_bits), "f").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-            .groupBy("component_id").agg(F.min("f").alias("f")))
-    one = prints.join(keep, prints["doc_id"].eqNullSafe(keep["component_id"]) & (prints[name] == keep["f"]), "left_semi")
+    found = groups(prints.select("doc_id", F.col(name).alias("f")), max_bits)
+    keep = found.groupBy("root").agg(F.min(F.struct(F.isnull("first"), "first", "f")).alias("k")).select("k.first", "k.f")
+    one = prints.join(keep, prints["doc_id"].eqNullSafe(keep["first"]) & (prints[name] == keep["f"]), "left_semi")
     return one.dropDuplicates(["doc_id", name]).drop(name)
 
 

@@ -85,6 +85,13 @@ def test_simhash_of_odd_rows(odd):
     assert simhash.near_duplicates(odd.limit(0)).count() == 0
 
 
+def test_components_of_one_id_all_leave_a_row(spark):
+    a, b, c, x, y = (" ".join(f"{k}{i * i}" for i in range(300)) for k in "abcxy")
+    rows = [(None, a), (None, b), (None, c), (4, x), (4, y), (9, y.upper()), (None, x)]
+    got = simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert Counter((r.doc_id, r.text) for r in got) == Counter(rows[:5])
+
+
 def test_more_parts_lose_no_link():
     assert [simhash.parts_to_agree(n, 4) for n in (10, 10 ** 6, 10 ** 9)] == [1, 2, 3]
     rng = np.random.default_rng(3)
