@@ -28,19 +28,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Writes ``df`` as Parquet into the shared checkpoint folder and reads it back.
-
-    Cuts the lineage: a lost executor costs no recomputation before this
-    point. The files go when the application ends.
-    """
+def written(df: DataFrame) -> tuple[DataFrame, str]:
+    """``df`` written as Parquet into the shared checkpoint folder and read
+    back, and the folder, which ``discard`` may delete before the end."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/cut-{uuid.uuid4().hex}"
     df.write.parquet(path)
     jvm = spark._jvm
     where = jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Writes ``df`` as Parquet into the shared checkpoint folder and reads it back.
+
+    Cuts the lineage: a lost executor costs no recomputation before this
+    point. The files go when the application ends.
+    """
+    return written(df)[0]
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Deletes a folder made by ``written`` that no frame in use reads."""
+    if path:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:

@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from civicstat.llm import bpe, chat, language, mixing, quality, rules, simhash, substrings, topk, toxicity
+from civicstat.llm import (bpe, chat, clusters, language, mixing, quality, rules, secrets, simhash, substrings, topk,
+                           toxicity, trie)
 from civicstat.llm.common import table
 
 
@@ -34,6 +35,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": _on("documents", mixing.mix_digest),
     "op9_exact_top_k": _on("embeddings", topk.topk_digest),
     "op10_byte_bpe": _on("documents", _bpe),
+    "op11_secret_scan": _on("documents", secrets.secrets_digest),
+    "op12_centroid_clustering": _on("embeddings", clusters.cluster_digest),
+    "op13_prefix_trie": _on("conversations", trie.trie_digest),
 }
 
 SQL: dict[str, str] = {
@@ -41,4 +45,6 @@ SQL: dict[str, str] = {
     "op6_quality_rules": rules.SQL,
     "op8_mixing": mixing.SQL,
     "op9_exact_top_k": topk.SQL,
+    "op12_centroid_clustering": clusters.SQL,
+    "op13_prefix_trie": trie.SQL,
 }
