@@ -68,6 +68,8 @@ LENGTHS = (20, 24, 32, 48, 96)
 PER_CELL = 5
 MOST_CELLS = 16
 LEVEL = 0.05
+#: Bytes of text that are looked at together.
+SLICE = 1 << 20
 #: p-values are counted in steps of 1 / STEPS of a power of ten.
 STEPS, MOST_STEP = 10, 300
 
@@ -168,10 +170,20 @@ def battery(symbols: np.ndarray, sizes: np.ndarray) -> Battery:
     return Battery(encoding, chi, by_runs, serial)
 
 
-def _batch(texts: pa.Array) -> tuple[pa.Array, pa.Array]:
-    """Base spans and candidates of each text of a batch."""
+def _slices(texts: pa.Array) -> Iterator[pa.Array]:
+    """Runs of texts of about SLICE bytes; a longer text is alone."""
     texts = texts.fill_null("").cast(pa.large_string())
     at = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    first = 0
+    while first < len(texts):
+        after = max(first + 1, int(np.searchsorted(at, at[first] + SLICE, side="right")) - 1)
+        yield texts[first:after]
+        first = after
+
+
+def _spans(texts: pa.Array) -> tuple[pa.Array, pa.Array]:
+    """Base spans and candidates of each text."""
+    at = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
     data = texts.buffers()[2]
     whole = np.frombuffer(data, np.uint8)[at[0]:at[-1]] if data is not None else np.zeros(0, np.uint8)
     at = at - at[0]
@@ -261,7 +273,10 @@ def scan(docs: DataFrame, level: float = LEVEL) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), *_batch(b.column(1))], ["doc_id", "base", "more"])
+            done = 0
+            for texts in _slices(b.column(1)):
+                yield pa.RecordBatch.from_arrays([b.column(0)[done:done + len(texts)], *_spans(texts)], ["doc_id", "base", "more"])
+                done += len(texts)
 
     found = cut(rows.mapInArrow(run, T.StructType([rows.schema["doc_id"], *T.StructType.fromDDL(_FOUND).fields])))
     tokens = found.select(F.explode("more").alias("t")).select("t.*")
