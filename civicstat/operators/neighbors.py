@@ -1,43 +1,56 @@
-"""Exact k-nearest-neighbour search without a cross join.
-
-Queries and index rows are hashed into ``tq`` and ``ti`` tiles. Each
-(query tile, index tile) pair is one cogroup: the query rows of the tile
-are replicated to every index tile and vice versa, so a group holds at
-most ``tile_rows`` rows of each side no matter how large the tables are
-(replication factor ceil(n / tile_rows), e.g. 62× for 2M vectors).
-Inside a group numpy computes the distance block and keeps only the k
-best per query (ties broken by neighbour id); the final top-k per query
-is a ``row_number() <= k`` over at most ``ti · k`` candidates. No pair
-ever becomes a row, and the result is exact.
+"""Exact k-nearest-neighbour search that visits few cells of an index.
+
+The index is cut into cells around pivots, a bounded sample of its vectors: a
+vector belongs to its nearest pivot and keeps its distance to it. A large cell
+is cut into rings by that distance, and a ring that is still large (many equal
+distances) into parts by id, so a unit of the index holds about ``tile_rows``
+vectors at any size. With d the distance of a query to a pivot, no vector of a
+ring from r to R is nearer than max(r - d, d - R): the triangle inequality.
+
+A query first visits the one unit that promises the nearest vectors, which
+bounds the distance of its k-th neighbour. Then it visits units in growing
+rounds of cells, nearest bound first, and only those whose bound is not above
+the k-th distance so far; it is done when no unit is left. Visits are rows,
+pairs never are: a unit and the queries that visit it meet in one group, many
+queries of a unit in several, and numpy keeps the k best of each query.
+
+An index can be stored, partitioned by cell, and new rows added to it; a search
+then reads the cells that are visited. An index of one unit needs one round.
 """
 
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from civicstat.session import ship_package
+from civicstat.session import materialize, ship_package
 
-# Tile size trades replication for memory: each side is copied
-# ceil(n / tile_rows) times, and a group holds tile_rows vectors per side
-# plus a QUERY_CHUNK × tile_rows distance block (256 × 32768 doubles = 64 MiB).
+# Vectors of a unit of the index, and queries of a group: a group holds at most
+# about tile_rows vectors of each side plus a QUERY_CHUNK x tile_rows distance
+# block (256 x 32768 doubles = 64 MiB).
 DEFAULT_TILE_ROWS = 32768
+MOST_PIVOTS = 1024
 QUERY_CHUNK = 256
+GROW = 4   # each round looks at so many times the cells of the one before
 SPARE = 4  # extra fast-formula candidates re-checked exactly
 # Candidates within the rounding error of the fast formula around the k-th
 # distance are re-checked with the exact one. The error grows with the squared
 # norms, so vectors are centred first and the margin is a multiple of those.
 TIE_MARGIN = 1e-13
+# Bounds are widened by this share of the distances they come from.
+SLACK = 1e-9
 
 
-def _exact_rows(qb, iq, i_ids, cand_idx, valid):
-    """Exact distances of candidate columns, invalid ones → inf."""
-    diff = iq[cand_idx] - qb[:, None, :]
+def _exact_rows(q_raw, i_raw, cand_idx, valid):
+    """Exact distances of candidate columns, invalid ones → inf. They come from
+    the vectors as they are, so equal vectors tie in whatever unit they lie."""
+    diff = i_raw[cand_idx] - q_raw[:, None, :]
     exact = np.sqrt(np.einsum("qmd,qmd->qm", diff, diff))
     return np.where(valid, exact, np.inf)
 
@@ -53,14 +66,15 @@ def _top_k_block(q_ids, q_vecs, i_ids, i_vecs, k, exclude_self, q_at=None, i_at=
     out_q, out_n, out_d = [], [], []
     if len(q_ids) == 0 or len(i_ids) == 0:
         return out_q, out_n, out_d
-    iq = np.asarray(i_vecs, dtype=np.float64)
-    centre = iq.mean(axis=0)
-    iq = iq - centre
+    i_raw = np.asarray(i_vecs, dtype=np.float64)
+    centre = i_raw.mean(axis=0)
+    iq = i_raw - centre
     i_norm = np.einsum("ij,ij->i", iq, iq)
     i_ids = np.asarray(i_ids)
     n_i = len(i_ids)
     for start in range(0, len(q_ids), QUERY_CHUNK):
-        qb = np.asarray(q_vecs[start:start + QUERY_CHUNK], dtype=np.float64) - centre
+        q_raw = np.asarray(q_vecs[start:start + QUERY_CHUNK], dtype=np.float64)
+        qb = q_raw - centre
         qid = np.asarray(q_ids[start:start + QUERY_CHUNK])
         q_norm = np.einsum("ij,ij->i", qb, qb)
         d2 = q_norm[:, None] + i_norm[None, :] - 2.0 * qb @ iq.T
@@ -75,7 +89,7 @@ def _top_k_block(q_ids, q_vecs, i_ids, i_vecs, k, exclude_self, q_at=None, i_at=
         limit = kth + TIE_MARGIN * iq.shape[1] * (q_norm + i_norm.max())
         # rows whose ties may reach beyond the m candidates
         overflow = (m < n_i) & np.isfinite(kth) & ((d2 <= limit[:, None]).sum(axis=1) > m)
-        exact = _exact_rows(qb, iq, i_ids, cand, np.isfinite(cd2))
+        exact = _exact_rows(q_raw, i_raw, cand, np.isfinite(cd2))
         ids = i_ids[cand]
         order = np.lexsort((ids, exact), axis=1)[:, :k]
         nid = np.take_along_axis(ids, order, axis=1)
@@ -87,7 +101,7 @@ def _top_k_block(q_ids, q_vecs, i_ids, i_vecs, k, exclude_self, q_at=None, i_at=
         out_d.extend(dist[keep].tolist())
         for r in np.flatnonzero(overflow):  # rare: ties beyond the spare candidates
             c = np.flatnonzero(d2[r] <= limit[r])
-            e = _exact_rows(qb[r:r + 1], iq, i_ids, c[None, :], np.isfinite(d2[r, c])[None, :])[0]
+            e = _exact_rows(q_raw[r:r + 1], i_raw, c[None, :], np.isfinite(d2[r, c])[None, :])[0]
             o = np.lexsort((i_ids[c], e))[:k]
             o = o[np.isfinite(e[o])]
             out_q.extend([qid[r]] * len(o))
@@ -96,40 +110,222 @@ def _top_k_block(q_ids, q_vecs, i_ids, i_vecs, k, exclude_self, q_at=None, i_at=
     return out_q, out_n, out_d
 
 
-def nearest(queries: DataFrame, index: DataFrame, k: int = 3, query_id: str = "id",
-            index_id: str = "id", vec: str = "vec", exclude_self: bool = False,
-            tile_rows: int = DEFAULT_TILE_ROWS, before: str | None = None) -> DataFrame:
-    """Top-k index rows by Euclidean distance for every query row.
+def _to_pivots(v: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    return np.stack([np.sqrt(((v - p) ** 2).sum(axis=1)) for p in pivots], axis=1)
 
-    Output: query_id, neighbor_id, distance, nn_rank (1 = nearest).
-    ``exclude_self`` drops pairs with equal ids (self-search); with ``before``
-    (a text or date column of both sides) only index rows of a smaller value count.
-    """
-    nq = queries.count()
-    ni = index.count()
-    # small inputs still make a group for every core
-    cores = queries.sparkSession.sparkContext.defaultParallelism
-    tq = max(1, math.ceil(nq / tile_rows), min(cores, math.ceil(nq / QUERY_CHUNK)))
-    ti = max(1, math.ceil(ni / tile_rows))
-    id_type = queries.schema[query_id].dataType
+
+def _vectors(column) -> np.ndarray:
+    return np.array([np.asarray(x, float) for x in column])
+
+
+@dataclass
+class CellIndex:
+    """Rows (cell, r, iid, v, at) and the pivots of the cells."""
+
+    rows: DataFrame
+    pivots: np.ndarray
+
+    @staticmethod
+    def build(index: DataFrame, index_id: str = "id", vec: str = "vec", before: str | None = None,
+              tile_rows: int = DEFAULT_TILE_ROWS) -> CellIndex:
+        """Pivots are the vectors with the smallest hashes of their ids, one for
+        every ``tile_rows`` / 4 rows and MOST_PIVOTS at most. Rows without a vector are in
+        no cell."""
+        rows = _columns(index, index_id, vec, before)
+        n = rows.count()
+        some = max(1, min(MOST_PIVOTS, math.ceil(4 * n / tile_rows))) if n > tile_rows else 1
+        found = rows.orderBy(F.xxhash64("iid"), "iid").limit(some).select("v").collect() if some > 1 else []
+        # one cell needs no pivot to tell it from others
+        if not found:
+            return CellIndex.around(rows, np.zeros((1, 0)))
+        cells = CellIndex.around(rows, _vectors([r["v"] for r in found]))
+        return CellIndex(materialize(cells.rows), cells.pivots)
+
+    @staticmethod
+    def around(rows: DataFrame, pivots: np.ndarray) -> CellIndex:
+        """The cells of rows (iid, v, at) around given pivots."""
+        if len(pivots) == 1:
+            return CellIndex(rows.select(F.lit(0).alias("cell"), F.lit(0.0).alias("r"), "iid", "v", "at"), pivots)
+
+        def assign(batches):
+            for b in batches:
+                if len(b):
+                    d = _to_pivots(_vectors(b["v"]), pivots)
+                    cell = d.argmin(axis=1)
+                    yield b.assign(cell=cell.astype(np.int32), r=d[np.arange(len(b)), cell])[["cell", "r", "iid", "v", "at"]]
+
+        ship_package(rows.sparkSession)
+        schema = T.StructType([T.StructField("cell", T.IntegerType()), T.StructField("r", T.DoubleType()),
+                               *[rows.schema[c] for c in ("iid", "v", "at")]])
+        return CellIndex(rows.mapInPandas(assign, schema), pivots)
+
+    def write(self, path: str) -> None:
+        """The rows by cell, in order of their distance, and the pivots."""
+        pivots = self.rows.sparkSession.createDataFrame(
+            [(i, [float(x) for x in p]) for i, p in enumerate(self.pivots)], "cell int, v array<double>")
+        pivots.coalesce(1).write.mode("overwrite").parquet(f"{path}/pivots")
+        _write_cells(self.rows, f"{path}/rows", "overwrite")
+
+    @staticmethod
+    def read(spark: SparkSession, path: str) -> CellIndex:
+        found = spark.read.parquet(f"{path}/pivots").orderBy("cell").collect()  # MOST_PIVOTS rows at most
+        return CellIndex(spark.read.parquet(f"{path}/rows").select("cell", "r", "iid", "v", "at"), _vectors([r["v"] for r in found]))
+
+    @staticmethod
+    def append(spark: SparkSession, path: str, index: DataFrame, index_id: str = "id", vec: str = "vec",
+               before: str | None = None) -> None:
+        """Adds the rows whose ids the index lacks, so adding rows twice adds
+        them once. Only ids of the cells they fall into are read."""
+        old = CellIndex.read(spark, path)
+        new = materialize(CellIndex.around(_columns(index, index_id, vec, before), old.pivots).rows)
+        cells = [r["cell"] for r in new.select("cell").distinct().collect()]
+        known = old.rows.where(F.col("cell").isin(cells)).select("iid")
+        fresh = materialize(new.join(known, new["iid"].eqNullSafe(known["iid"]), "left_anti").dropDuplicates(["iid"]))
+        _write_cells(fresh, f"{path}/rows", "append")
+
+
+def _write_cells(rows: DataFrame, path: str, mode: str) -> None:
+    (rows.repartitionByRange("cell", "r").sortWithinPartitions("cell", "r")
+     .write.mode(mode).partitionBy("cell").parquet(path))
+
+
+def _columns(df: DataFrame, row_id: str, vec: str, before: str | None, name: str = "iid") -> DataFrame:
     at = F.col(before).cast("string") if before else F.lit("")
-    q = (queries.select(F.col(query_id).alias("qid"), F.col(vec).cast("array<double>").alias("v"), at.alias("at"))
-         .withColumn("qt", F.pmod(F.xxhash64("qid"), F.lit(tq)))
-         .withColumn("it", F.explode(F.sequence(F.lit(0), F.lit(ti - 1)))))
-    i = (index.select(F.col(index_id).alias("iid"), F.col(vec).cast("array<double>").alias("v"), at.alias("at"))
-         .withColumn("it", F.pmod(F.xxhash64("iid"), F.lit(ti)))
-         .withColumn("qt", F.explode(F.sequence(F.lit(0), F.lit(tq - 1)))))
-    schema = T.StructType([T.StructField("query_id", id_type), T.StructField("neighbor_id", id_type),
+    return (df.select(F.col(row_id).alias(name), F.col(vec).cast("array<double>").alias("v"), at.alias("at"))
+            .where("v IS NOT NULL AND at IS NOT NULL"))
+
+
+def _units(rows: DataFrame, tile_rows: int) -> tuple[DataFrame, DataFrame]:
+    """Rows with their unit, and one row for each unit: cell, unit, low and
+    high (the ring), n, since (its earliest ``at``)."""
+    size = rows.groupBy("cell").agg(F.count("*").alias("n"))
+    big = size.where(F.col("n") > tile_rows)
+    cut = F.sequence(F.lit(1), F.ceil(F.col("n") / tile_rows) - 1)
+    # upper ends of the rings but the last, about tile_rows apart
+    ends = (rows.join(big, "cell").groupBy("cell", "n").agg(F.percentile_approx("r", F.lit([i / 64 for i in range(1, 64)]), 10000).alias("q"))
+            .select("cell", F.array_distinct(F.transform(cut, lambda i: F.element_at("q", F.greatest(F.lit(1), F.least(
+                F.lit(63), F.rint(i * 64 * tile_rows / F.col("n")).cast("int")))))).alias("ends")))
+    ring = F.coalesce(F.size(F.filter("ends", lambda e: e < F.col("r"))), F.lit(0))
+    rows = rows.join(ends, "cell", "left").withColumn("ring", F.when(F.col("ends").isNull(), 0).otherwise(ring)).drop("ends")
+    parts = (rows.groupBy("cell", "ring").agg(F.count("*").alias("in_ring"))
+             .select("cell", "ring", F.ceil(F.col("in_ring") / tile_rows).cast("int").alias("parts")))
+    unit = F.concat_ws("-", "cell", "ring", F.pmod(F.xxhash64("iid"), "parts"))
+    rows = rows.join(parts, ["cell", "ring"]).select("cell", unit.alias("unit"), "r", "iid", "v", "at")
+    units = rows.groupBy("cell", "unit").agg(F.min("r").alias("low"), F.max("r").alias("high"), F.count("*").alias("n"), F.min("at").alias("since"))
+    return rows, units
+
+
+def _visited(rows: DataFrame, visits: DataFrame, k: int, exclude_self: bool, ordered: bool, tile_rows: int, id_type) -> DataFrame:
+    """(query_id, neighbor_id, distance): the k nearest of each visit (unit,
+    qid, v, at). Queries of a unit are dealt to as many groups as their number
+    needs, and the unit's rows go to each."""
+    cores = visits.sparkSession.sparkContext.defaultParallelism
+    # small inputs still make a group for every core
+    deal = F.ceil(F.greatest(F.col("m") / tile_rows, F.least(F.lit(cores), F.col("m") / QUERY_CHUNK))).cast("int")
+    asked = visits.groupBy("unit").agg(F.count("*").alias("m")).select("unit", deal.alias("groups"))
+    q = (visits.join(asked, "unit").withColumn("part", F.pmod(F.xxhash64("qid"), "groups").cast("int"))
+         .select("unit", "part", "qid", "v", "at"))
+    i = (rows.join(asked, "unit").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)))
+         .select("unit", "part", "iid", "v", "at"))
+    schema = T.StructType([T.StructField("query_id", id_type), T.StructField("neighbor_id", rows.schema["iid"].dataType),
                            T.StructField("distance", T.DoubleType())])
 
     def block(qp, ip):
-        qid, nid, dist = _top_k_block(qp["qid"].tolist(), list(qp["v"]), ip["iid"].tolist(),
-                                      list(ip["v"]), k, exclude_self,
-                                      *((qp["at"].tolist(), ip["at"].tolist()) if before else ()))
+        qid, nid, dist = _top_k_block(qp["qid"].tolist(), list(qp["v"]), ip["iid"].tolist(), list(ip["v"]), k, exclude_self,
+                                      *((qp["at"].tolist(), ip["at"].tolist()) if ordered else ()))
         return pd.DataFrame({"query_id": qid, "neighbor_id": nid, "distance": dist})
 
-    ship_package(queries.sparkSession)
-    cand = q.groupBy("qt", "it").cogroup(i.groupBy("qt", "it")).applyInPandas(block, schema)
+    ship_package(visits.sparkSession)
+    return q.groupBy("unit", "part").cogroup(i.groupBy("unit", "part")).applyInPandas(block, schema)
+
+
+def _best(found: DataFrame, k: int) -> DataFrame:
     w = Window.partitionBy("query_id").orderBy("distance", "neighbor_id")
-    return (cand.withColumn("nn_rank", F.row_number().over(w))
-            .filter(F.col("nn_rank") <= k))
+    return found.withColumn("nn_rank", F.row_number().over(w)).filter(F.col("nn_rank") <= k)
+
+
+def _cells_of(queries: DataFrame, index: CellIndex, spans: list, first: int, last: int) -> DataFrame:
+    """The cells number ``first`` to ``last`` of each open query (qid, v, at,
+    best) in order of their bounds, as far as the bounds are not above its
+    ``best``; with the distance to the pivot."""
+    pivots = index.pivots
+    cell, low, high = (np.array([s[c] for s in spans]) for c in ("cell", "low", "high"))
+
+    def run(batches):
+        for b in batches:
+            if not len(b):
+                continue
+            d = _to_pivots(_vectors(b["v"]), pivots)[:, cell]
+            bound = np.maximum(np.maximum(low - d, d - high) - SLACK * (d + high), 0)
+            order = np.lexsort((d, bound), axis=1)[:, first:last]
+            near = np.take_along_axis(bound, order, 1) <= b["best"].to_numpy()[:, None]
+            q, j = np.nonzero(near)
+            out = b.iloc[q][["qid", "v", "at", "best", "done"]].copy()
+            out["cell"], out["d"] = cell[order[q, j]].astype(np.int32), d[q, order[q, j]]
+            yield out
+
+    schema = T.StructType([*[queries.schema[c] for c in ("qid", "v", "at", "best", "done")],
+                           T.StructField("cell", T.IntegerType()), T.StructField("d", T.DoubleType())])
+    return queries.select("qid", "v", "at", "best", "done").mapInPandas(run, schema)
+
+
+def search(queries: DataFrame, index: CellIndex, k: int = 3, query_id: str = "id", vec: str = "vec", exclude_self: bool = False,
+           before: str | None = None, tile_rows: int = DEFAULT_TILE_ROWS, compared: list[int] | None = None) -> DataFrame:
+    """Top-k index rows by Euclidean distance for every row of ``queries``:
+    query_id, neighbor_id, distance, nn_rank (1 = nearest), ties to the smaller
+    id. ``exclude_self`` drops pairs with equal ids; with ``before`` only index
+    rows of a smaller value count. ``compared`` gets the number of pairs that
+    each round compares.
+    """
+    asked = _columns(queries, query_id, vec, before, "qid")
+    id_type = queries.schema[query_id].dataType
+
+    def block(rows: DataFrame, visits: DataFrame) -> DataFrame:
+        return _visited(rows, visits, k, exclude_self, before is not None, tile_rows, id_type)
+
+    if len(index.pivots) == 1 and (n := index.rows.count()) <= tile_rows:
+        if compared is not None:
+            compared.append(n * asked.count())
+        return _best(block(index.rows.withColumn("unit", F.lit("all")), asked.withColumn("unit", F.lit("all"))), k)
+
+    rows, units = _units(index.rows, tile_rows)
+    units = materialize(units)
+    # one row for each cell: MOST_PIVOTS at most
+    spans = units.groupBy("cell").agg(F.min("low").alias("low"), F.max("high").alias("high")).collect()
+    state = asked.withColumns({"best": F.lit(float("inf")), "done": F.lit("")})
+    found, first, last = None, 0, 1
+    while first < len(spans):
+        bound = F.greatest(F.col("low") - F.col("d"), F.col("d") - F.col("high")) - SLACK * (F.col("d") + F.col("high"))
+        near = (_cells_of(state, index, spans, first, last).join(units, "cell").withColumn("bound", bound)
+                .where((F.col("bound") <= F.col("best")) & (F.col("unit") != F.col("done"))))
+        if before:
+            near = near.where(F.col("since") < F.col("at"))
+        if found is None:
+            # the most promising unit alone bounds the k-th distance
+            nth = Window.partitionBy("qid").orderBy(F.greatest("bound", F.lit(0.0)), F.desc("n"), "unit")
+            near = near.withColumn("nth", F.row_number().over(nth)).where("nth = 1").drop("nth")
+        visits = materialize(near.select("qid", "v", "at", "unit", "n"))
+        if compared is not None:
+            compared.append(visits.agg(F.sum("n")).head()[0] or 0)
+        cells = [r["cell"] for r in visits.select(F.split("unit", "-")[0].cast("int").alias("cell")).distinct().collect()]
+        new = block(rows.where(F.col("cell").isin(cells)), visits.drop("n"))
+        initial = found is None
+        found = materialize(_best(new if initial else found.drop("nn_rank").unionByName(new), k))
+        kth = found.where(F.col("nn_rank") == k).select(F.col("query_id").alias("qid"), F.col("distance").alias("best"))
+        state = state.drop("best").join(kth, "qid", "left").withColumn("best", F.coalesce("best", F.lit(float("inf"))))
+        if initial:
+            # the rest of the first cell is still to be visited
+            state = state.drop("done").join(visits.select("qid", F.col("unit").alias("done")), "qid", "left").withColumn(
+                "done", F.coalesce("done", F.lit("")))
+        else:
+            first, last = last, min(len(spans), last * GROW)
+        state = materialize(state.select("qid", "v", "at", "best", "done"))
+    return found if found is not None else _best(block(index.rows.withColumn("unit", F.lit("all")), asked.withColumn("unit", F.lit("all"))), k)
+
+
+def nearest(queries: DataFrame, index: DataFrame, k: int = 3, query_id: str = "id",
+            index_id: str = "id", vec: str = "vec", exclude_self: bool = False,
+            tile_rows: int = DEFAULT_TILE_ROWS, before: str | None = None, compared: list[int] | None = None) -> DataFrame:
+    """``search`` in an index built for this one use."""
+    return search(queries, CellIndex.build(index, index_id, vec, before, tile_rows), k, query_id, vec, exclude_self, before,
+                  tile_rows, compared)
