@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 
 # Fixed values that must equal the reference for equal results.
 DATE_PATTERN = "d-M-yyyy"          # strict day-month-year, single digits allowed
-_DIGITS = "[0-9]+(_[0-9]+)*"
-NUMBER_REGEX = rf"^[+-]?({_DIGITS}\.?({_DIGITS})?|\.{_DIGITS})([eE][+-]?{_DIGITS})?$"
-PINCODE_REGEX = "^[0-9]{6}$"       # six digits before an optional '.'
+_DIGITS = "[0-9]+(?:_[0-9]+)*"
+_SPACES = r"[\s\x1c-\x1f]*"
+NUMBER_REGEX = rf"(?U)^{_SPACES}([+-]?(?:{_DIGITS}\.?(?:{_DIGITS})?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?){_SPACES}$"
+PINCODE_REGEX = r"(?s)^([0-9]{6})(?:\..*)?$"  # six digits before an optional '.'
 
 
 def col_(c: str | Column) -> Column:
@@ -25,10 +26,22 @@ def parse_date(c: str | Column) -> Column:
     return F.try_to_date(col_(c), DATE_PATTERN)
 
 
+def _tidy(c: Column) -> Column:
+    """Whether the first and the last character are printable ASCII, so that
+    there is nothing to strip."""
+    return F.ascii(c).between(33, 126) & F.ascii(F.substring(c, -1, 1)).between(33, 126)
+
+
+_ENDS = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+_NOT_PLAIN = r"(?U)^[\s\x1c-\x1f]|[\s\x1c-\x1f]$|[^\p{L} ]\p{L}"
+
+
 def strip_ws(c: str | Column) -> Column:
     """Remove leading/trailing whitespace of any kind, Unicode spaces and the
-    separators U+001C..U+001F included, as Python's ``strip`` does."""
-    return F.regexp_replace(col_(c), r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
+    separators U+001C..U+001F included, as Python's ``strip`` does. The regular
+    expression runs only on texts whose ends may need it."""
+    c = col_(c)
+    return F.when(_tidy(c), c).otherwise(F.regexp_replace(c, _ENDS, ""))
 
 
 # private-use marker inserted after every non-letter; removed afterwards
@@ -45,12 +58,12 @@ def title_case(c: str | Column) -> Column:
     inserted spaces are removed again: three built-in string functions,
     all inside whole-stage codegen.
     """
-    s = F.lower(strip_ws(c))
-    marked = F.regexp_replace(s, r"(\P{L})", "$1" + _MARK + " ")
+    c = col_(c)
+    marked = F.regexp_replace(F.lower(F.regexp_replace(c, _ENDS, "")), r"(\P{L})", "$1" + _MARK + " ")
     slow = F.regexp_replace(F.initcap(marked), _MARK + " ", "")
-    # initcap alone is already right unless a letter follows a character
-    # that is neither a letter nor a space (one regex find instead of a replace)
-    return F.when(s.rlike(r"[^\p{L} ]\p{L}"), slow).otherwise(F.initcap(s))
+    # initcap alone is already right unless there is something to strip or a
+    # letter follows a character that is neither a letter nor a space
+    return F.when(c.rlike(_NOT_PLAIN), slow).otherwise(F.initcap(c))
 
 
 def pincode(c: str | Column) -> Column:
@@ -58,23 +71,43 @@ def pincode(c: str | Column) -> Column:
 
     NULL input stays NULL and is not counted as invalid (see ``pincode_invalid``).
     """
-    head = F.split_part(col_(c).cast("string"), F.lit("."), F.lit(1))
-    return F.when(head.rlike(PINCODE_REGEX), head.cast("int"))
+    return F.regexp_extract(col_(c).cast("string"), PINCODE_REGEX, 1).try_cast("int")
 
 
 def pincode_invalid(c: str | Column) -> Column:
     return col_(c).isNotNull() & pincode(c).isNull()
 
 
-def nonneg_number(c: str | Column) -> Column:
-    """Finite, non-negative number or NULL (text, NaN, ±inf, negatives).
+def number(c: str | Column) -> Column:
+    """What Python's ``float`` reads from a text, else NULL: digits with single
+    underscores between them, no type suffix and no hexadecimal form; infinite
+    values and NaN written as words are NULL.
 
-    Only what Python's ``float`` reads: digits with single underscores between
-    them, no type suffix and no hexadecimal form.
+    A text without letters and without spaces around it needs no pattern: the
+    engine's own cast reads the same numbers from it. The pattern decides on
+    the rest.
     """
-    text = strip_ws(col_(c).cast("string"))
-    v = F.when(text.rlike(NUMBER_REGEX), F.replace(text, F.lit("_"), F.lit("")).try_cast("double"))
-    return F.when(~F.isnan(v) & (F.abs(v) != F.lit(float("inf"))) & (v >= 0), v)
+    raw = col_(c).cast("string")
+    strict = F.replace(F.regexp_extract(raw, NUMBER_REGEX, 1), F.lit("_"), F.lit("")).try_cast("double")
+    return F.coalesce(F.when(_tidy(raw) & (F.lower(raw) == F.upper(raw)), raw.try_cast("double")), strict)
+
+
+def is_nonneg(v: str | Column) -> Column:
+    """Whether a number is there, finite and at least 0. It names ``v`` once, so
+    that a filter, which the optimizer copies below the parsing step, parses
+    once: the root of any other number times 0 is not a number."""
+    return F.coalesce(F.sqrt(col_(v)) * 0 <= 0, F.lit(False))
+
+
+def nonneg(v: str | Column) -> Column:
+    """The finite numbers of at least 0; others are NULL (NaN is above all)."""
+    v = col_(v)
+    return F.when((v >= 0) & (v < F.lit(float("inf"))), v)
+
+
+def nonneg_number(c: str | Column) -> Column:
+    """Finite, non-negative number or NULL (text, NaN, ±inf, negatives)."""
+    return nonneg(number(c))
 
 
 def round_half_even(c: str | Column, digits: int = 0) -> Column:

@@ -20,6 +20,9 @@ BASE_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # the JVM compiles no method above 8000 bytes; long projections (the ETL's
+    # parsing rules) are split by operator rather than interpreted as one
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

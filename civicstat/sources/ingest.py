@@ -9,13 +9,17 @@ once per run.
 
 from __future__ import annotations
 
+import csv
+import re
+from collections import Counter
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from civicstat.functions.scalar import nonneg_number, parse_date, pincode, pincode_invalid, title_case
+from civicstat.functions.scalar import is_nonneg, nonneg, number, parse_date, pincode, title_case
 from civicstat.schemas import METRIC_PATTERN
 
 STRING_COLUMNS = ("state", "district")
@@ -25,55 +29,110 @@ SAMPLE_PER_RULE = 5  # rejected rows kept per (file, rule) in the sample log
 CORRUPT = "_corrupt_record"
 
 
-def headers(spark: SparkSession, files: list[str]) -> dict[tuple[str, ...], list[str]]:
-    """The files by their header line; the driver reads one line of each file."""
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for f in files:
-        first = spark.read.option("header", True).option("inferSchema", False).csv(f)
-        groups.setdefault(tuple(first.columns), []).append(f)
-    return groups
+def plain_path(path: str) -> str:
+    """A file's path as readers take it: Spark's columns and lists have it
+    URL-encoded, and local ones with one or three slashes."""
+    return re.sub("^file:/+", "file:/", unquote(path))
 
 
 def list_files(spark: SparkSession, paths) -> list[str]:
     """All files under the paths, sorted."""
     paths = list(paths) if isinstance(paths, (list, tuple)) else [paths]
-    return sorted(spark.read.format("text").load(paths).inputFiles())
+    return sorted(map(plain_path, spark.read.format("text").load(paths).inputFiles()))
 
 
-def unreadable(spark: SparkSession, files: list[str]) -> dict[str, str]:
-    """Files that cannot be read to their end, with the reason."""
-    bad = {}
-    for f in files:
-        try:
-            headers(spark, [f])
-            spark.read.text(f).agg(F.count(F.lit(1))).collect()
-        except Exception as e:  # noqa: BLE001 - whatever the reader finds wrong with the file
-            bad[f] = f"{type(e).__name__}: {str(e).splitlines()[0][:200]}"
-    return bad
+def survey_files(spark: SparkSession, files: list[str]) -> DataFrame:
+    """One row per file that has a line: source_file, header (its first line)
+    and quoted_breaks, whether a quoted field may span lines.
 
+    All files are looked at in one job, large ones in several tasks. A field
+    that spans lines leaves an odd number of quotes in the line where it opens;
+    lines with an escaped quote are taken for such ones too, to be safe.
+    """
+    lines = spark.read.text(files).select(
+        "value", F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("nth"))
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    tricky = (quotes % 2 == 1) | F.col("value").contains('\\"')
+    return lines.groupBy("source_file").agg(F.min_by("value", F.struct("block", "nth")).alias("header"),
+                                            F.max(tricky).alias("quoted_breaks"))
+
+
+def column_names(header: str) -> tuple[str, ...]:
+    """The names in a header line; an empty one is called by its position, a
+    repeated one gets its position appended."""
+    names = next(csv.reader([header.lstrip("\ufeff")]), [])
+    often = Counter(n.lower() for n in names)
+    return tuple(f"_c{i}" if not n else f"{n}{i}" if often[n.lower()] > 1 else n for i, n in enumerate(names))
+
+
+def file_groups(spark: SparkSession, files: list[str]) -> dict[tuple[tuple[str, ...], bool], list[str]]:
+    """The files by their column names and by whether fields may span lines.
+    The driver gets a line of each file. Empty files are in no group."""
+    groups: dict[tuple[tuple[str, ...], bool], list[str]] = {}
+    for r in sorted(survey_files(spark, files).collect(), key=lambda r: r["source_file"]):
+        file = plain_path(r["source_file"])
+        # a header that may itself span lines is left to the CSV reader
+        open_header = r["quoted_breaks"] and (r["header"].count('"') % 2 or '\\"' in r["header"])
+        names = (tuple(spark.read.option("header", True).option("multiLine", True).csv(file).columns)
+                 if open_header else column_names(r["header"]))
+        groups.setdefault((names, r["quoted_breaks"]), []).append(file)
+    return groups
 
-def read_raw_csv(spark: SparkSession, paths, schema=None) -> DataFrame:
-    """Header CSV files, every column as text, with the source file.
 
-    Each file is read by its own header: files are grouped by header line and
-    the groups are joined by column name, a missing column is NULL. Quoted
-    line breaks stay inside their field. A row with more fields than its
-    header keeps its text in ``_corrupt_record`` and is rejected later. An
-    unreadable file fails the read; ``run_etl`` sets such files aside.
+def unreadable(spark: SparkSession, files: list[str]) -> dict[str, str]:
+    """Files that cannot be read to their end, with the reason: the list is
+    halved until the broken files are alone, so a few among many take few jobs."""
+    try:
+        spark.read.text(files).agg(F.count(F.lit(1))).collect()
+        return {}
+    except Exception as e:  # noqa: BLE001 - whatever the reader finds wrong with the file
+        if len(files) == 1:
+            return {files[0]: f"{type(e).__name__}: {str(e).splitlines()[0][:200]}"}
+    half = len(files) // 2
+    return unreadable(spark, files[:half]) | unreadable(spark, files[half:])
+
+
+def read_raw_csv(spark: SparkSession, paths, salvage: bool = False) -> DataFrame:
+    """Header CSV files, every column as text, with the source file
+    and the offset of the block that a row was read from.
+
+    Each file is read by its own header: files are grouped by header and the
+    groups are joined by column name, a missing column is NULL. Large files are
+    split among tasks; only files in which a quoted field spans lines are read
+    whole by one task each. A row with more fields than its header keeps its
+    text in ``_corrupt_record`` and is rejected later. An unreadable file fails
+    the read (``run_etl`` sets such files aside); with ``salvage`` the lines
+    before the break are read, each as a row. Without a file that has a header: no row, no column.
     """
     files = list_files(spark, paths)
     parts = []
-    for columns, own in headers(spark, files).items() if schema is None else [(tuple(schema.names), files)]:
+    if salvage:  # not even their first lines may be read without care
+        names = {f: c for f in files if (c := _salvaged_header(spark, f))}
+        groups = {}
+        for f, c in names.items():
+            groups.setdefault((c, False), []).append(f)
+    else:
+        groups = file_groups(spark, files) if files else {}
+    for (columns, whole), own in groups.items():
         kinds = T.StructType([*[T.StructField(c, T.StringType()) for c in columns], T.StructField(CORRUPT, T.StringType())])
-        part = (spark.read.option("header", True).option("mode", "PERMISSIVE").option("multiLine", True)
-                .option("enforceSchema", False).option("columnNameOfCorruptRecord", CORRUPT).schema(kinds).csv(own))
+        part = (spark.read.option("header", True).option("mode", "PERMISSIVE").option("multiLine", whole)
+                .option("enforceSchema", True).option("ignoreCorruptFiles", salvage)
+                .option("columnNameOfCorruptRecord", CORRUPT).schema(kinds).csv(own))
         # a row with fewer fields than the header is only short: its last fields are NULL
         long = F.when(F.col(f"`{columns[-1]}`").isNotNull(), F.col(CORRUPT)) if columns else F.col(CORRUPT)
         parts.append(part.withColumn(CORRUPT, long).withColumns({
             "source_file": F.col("_metadata.file_path"), "source_block": F.col("_metadata.file_block_start")}))
+    if not parts:
+        return spark.createDataFrame([], f"{CORRUPT} string, source_file string, source_block long")
     return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
 
 
+def _salvaged_header(spark: SparkSession, file: str) -> tuple[str, ...]:
+    first = spark.read.option("ignoreCorruptFiles", True).text(file).limit(1).collect()
+    return column_names(first[0]["value"]) if first else ()
+
+
 def metric_columns(columns, dataset: str) -> list[str]:
     """Metric columns found by name pattern, as in the reference ETL."""
     pat = METRIC_PATTERN[dataset]
@@ -100,24 +159,27 @@ def classify(raw: DataFrame, dataset: str) -> DataFrame:
     """
     cols = raw.columns
     metrics = metric_columns(cols, dataset)
+    # every text is parsed once, in a step of its own: the rules and the output
+    # both read its result, so the optimizer keeps the steps apart
+    parse = {"date": parse_date, "pincode": pincode, **{c: title_case for c in STRING_COLUMNS}, **{m: number for m in metrics}}
+    parsed = {c: F.col(f"_p_{c}") for c in parse if c in cols}
+    raw = raw.withColumns({f"_p_{c}": parse[c](c) for c in parsed})
     out: list[Column] = []
     checks: list[Column] = []
     if CORRUPT in cols:
         checks.append(F.when(F.col(CORRUPT).isNotNull(), F.lit("malformed_row")))
     if "date" in cols:
-        d = parse_date("date")
-        out.append(d.alias("date"))
-        checks.append(F.when(d.isNull(), F.lit("invalid_date")))
+        out.append(parsed["date"].alias("date"))
+        checks.append(F.when(parsed["date"].isNull(), F.lit("invalid_date")))
     for c in STRING_COLUMNS:
         if c in cols:
-            out.append(title_case(c).alias(c))
+            out.append(parsed[c].alias(c))
     if "pincode" in cols:
-        out.append(pincode("pincode").alias("pincode"))
-        checks.append(F.when(pincode_invalid("pincode"), F.lit("invalid_pincode")))
+        out.append(parsed["pincode"].alias("pincode"))
+        checks.append(F.when(F.col("pincode").isNotNull() & parsed["pincode"].isNull(), F.lit("invalid_pincode")))
     for m in metrics:
-        v = nonneg_number(m)
-        out.append(v.alias(m))
-        checks.append(F.when(v.isNull(), F.lit(f"invalid_numeric_{m}")))
+        out.append(nonneg(parsed[m]).alias(m))
+        checks.append(F.when(~is_nonneg(parsed[m]), F.lit(f"invalid_numeric_{m}")))
     # array_except drops the NULL entries without a lambda (stays in codegen);
     # ``valid`` is the same test as an empty array, cheap enough to filter on
     no_reason = F.array(F.lit(None).cast("string"))
@@ -171,37 +233,59 @@ def errors_text(errors: Column) -> Column:
     return F.array_join(F.transform(entries, lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))), ";")
 
 
-def run_etl(spark: SparkSession, files: dict[str, list[str]], out_dir: str) -> DataFrame:
+def stage_files(spark: SparkSession, dataset: str, files: list[str], staged: str,
+                salvage: bool = False) -> tuple[DataFrame | None, list[str], dict[str, str]]:
+    """Reads the files once and writes their classified rows to ``staged``:
+    (the rows read back, the rules, the unreadable files with the reason).
+
+    The check of single files runs only if the read fails. Without a readable
+    row the first is None.
+    """
+    own, bad = list(files), {}
+    while own:
+        try:
+            raw = read_raw_csv(spark, own)
+            classify(raw, dataset).write.mode("overwrite").partitionBy("valid").parquet(staged)
+            break
+        except Exception:  # noqa: BLE001 - raised again unless a file is to blame
+            found = unreadable(spark, own)
+            if not found:
+                raise
+            bad |= found
+            own = [f for f in own if f not in found]
+    rules = rule_names(raw.columns, dataset) if own else []
+    kinds = classify(raw, dataset).schema if own else None
+    if bad and salvage:
+        rest = read_raw_csv(spark, sorted(bad), salvage=True)
+        if rest.columns[:1] != [CORRUPT]:
+            extra = classify(rest, dataset)
+            extra.write.mode("append" if own else "overwrite").partitionBy("valid").parquet(staged)
+            rules = list(dict.fromkeys([*rules, *rule_names(rest.columns, dataset)]))
+            kinds = extra.schema if kinds is None else kinds
+    if kinds is None:
+        return None, rules, bad
+    back = spark.read.option("mergeSchema", bool(bad and salvage)).parquet(staged)
+    return back.withColumn("valid", F.col("valid").cast("boolean")), rules, bad
+
+
+def run_etl(spark: SparkSession, files: dict[str, list[str]], out_dir: str, salvage: bool = False) -> DataFrame:
     """L1: for each dataset read its files once, write the classified rows,
     and from those the clean Parquet, the quarantine Parquet and the report
     (JSON); returns the report rows.
 
-    A file that cannot be read to its end is left out as a whole and named,
-    with the reason, in ``failed_files`` of the report. The check of single
-    files runs only if the read fails.
+    A file that cannot be read to its end is named, with the reason, in
+    ``failed_files`` of the report and left out as a whole; with ``salvage``
+    its rows before the break count.
     """
     reports = []
     for dataset, paths in files.items():
-        own, bad = list_files(spark, paths), {}
-        staged = f"{out_dir}/{dataset}_classified.parquet"
-        while own:
-            try:
-                raw = read_raw_csv(spark, own)
-                classify(raw, dataset).write.mode("overwrite").partitionBy("valid").parquet(staged)
-                break
-            except Exception:  # noqa: BLE001 - raised again unless a file is to blame
-                found = unreadable(spark, own)
-                if not found:
-                    raise
-                bad |= found
-                own = [f for f in own if f not in found]
+        classified, rules, bad = stage_files(spark, dataset, list_files(spark, paths), f"{out_dir}/{dataset}_classified.parquet", salvage)
         failed = F.lit(None) if not bad else F.create_map(*[F.lit(x) for kv in sorted(bad.items()) for x in kv])
         failed = failed.cast("map<string,string>").alias("failed_files")
-        if own:
-            classified = spark.read.parquet(staged).withColumn("valid", F.col("valid").cast("boolean"))
+        if classified is not None:
             clean_rows(classified).write.mode("overwrite").parquet(f"{out_dir}/{dataset}_clean.parquet")
             quarantine_rows(classified).write.mode("overwrite").parquet(f"{out_dir}/{dataset}_quarantine.parquet")
-            rep = quality_report(classified, dataset, rule_names(raw.columns, dataset))
+            rep = quality_report(classified, dataset, rules)
         else:
             rep = spark.range(1).select(F.lit(dataset).alias("dataset"), F.lit(0).cast("long").alias("total_rows"),
                                         F.lit(0).cast("long").alias("valid_rows"),

@@ -125,3 +125,84 @@ def test_fact_layout_and_recommendations(spark, scratch):
     out = sinks.list_recommendations(spark, rp).collect()
     assert {r.district for r in out} == {"A", "B"}
     assert all(r.state == "Unknown" and r.issue_type == "Combined Issues" for r in out)
+
+
+def test_plain_files_split_and_keep_their_block(spark, scratch):
+    # Only files with quoted line breaks are read whole
+    lines = [f"0{1 + i % 9}-02-2024,s,d,1100{i % 90 + 10},{i},1,1" for i in range(20_000)]
+    _write(scratch, "plain.csv", lines)
+    with open(os.path.join(scratch, "breaks.csv"), "w") as f:
+        f.write(HEADER + "\n" + "".join(f'01-02-2024,"two\nlines {i}",d,110001,{i},1,1\n' for i in range(300)))
+    was = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100k")
+    try:
+        files = {r.source_file.rsplit("/", 1)[1]: r for r in ingest.survey_files(spark, ingest.list_files(spark, scratch)).collect()}
+        assert not files["plain.csv"].quoted_breaks and files["breaks.csv"].quoted_breaks
+        assert {r.header for r in files.values()} == {HEADER}
+        raw = ingest.read_raw_csv(spark, scratch)
+        rows = raw.selectExpr("age_0_5", "state", "source_block", "split(source_file, '/')[size(split(source_file, '/')) - 1] AS f").collect()
+        partitions = raw.rdd.getNumPartitions()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", was)
+    plain = [r for r in rows if r.f == "plain.csv"]
+    assert sorted(int(r.age_0_5) for r in plain) == list(range(20_000))
+    assert len({r.source_block for r in plain}) >= 5 and partitions >= 6
+    broken = [r for r in rows if r.f == "breaks.csv"]
+    assert sorted(r.state for r in broken) == sorted(f"two\nlines {i}" for i in range(300))
+
+
+def test_names_of_columns():
+    assert ingest.column_names('a,"b,c",,a, d') == ("a0", "b,c", "_c2", "a3", " d")
+    assert ingest.column_names("﻿date") == ("date",)
+
+
+def test_rows_before_the_break_can_be_kept(spark, scratch):
+    import gzip
+    _write(os.path.join(scratch, "in"), "a.csv", ["02-02-2024,s,d,110002,1,2,3"])
+    data = gzip.compress((HEADER + "\n" + "".join(f"02-02-2024,s,d,110002,{i * i % 9973},2,{i}\n" for i in range(50_000))).encode())
+    for name, part in (("b.csv.gz", data[:len(data) // 2]), ("c.csv.gz", b"no gzip at all")):
+        with open(os.path.join(scratch, "in", name), "wb") as f:
+            f.write(part)
+    out = os.path.join(scratch, "out")
+    report = ingest.run_etl(spark, {"enrollment": [os.path.join(scratch, "in")]}, out, salvage=True).head()
+    assert {k.rsplit("/", 1)[1] for k in report.failed_files} == {"b.csv.gz", "c.csv.gz"}
+    assert 1000 < report.total_rows < 50_000
+    kept = spark.read.parquet(f"{out}/enrollment_clean.parquet")
+    assert kept.count() == report.valid_rows and kept.where("age_18_greater = 0").count() == 1
+
+
+def test_stream_and_batch_agree_file_by_file(spark, scratch):
+    # A row too long, another order of columns, a broken file, the same content again
+    from civicstat.streaming.ingest import read_ledger
+    inbox, out, ck = (os.path.join(scratch, x) for x in ("inbox", "out", "ck"))
+
+    def run():
+        start_ingest(spark, inbox, out, "enrollment", checkpoint=ck).awaitTermination(180)
+        return {r.file.rsplit("/", 1)[1]: (r.status, r.total_rows, r.valid_rows) for r in read_ledger(spark, out, "enrollment").collect()}
+
+    _write(inbox, "a.csv", ["02-02-2024,s,d,110002,1,2,3", "02-02-2024,s,d,110002,1,2,3,9"])
+    with open(os.path.join(inbox, "b.csv"), "w") as f:
+        f.write("age_0_5,district,state,date,pincode,age_5_17,age_18_greater\n7,d,s,03-02-2024,110002,2,3\n")
+    with open(os.path.join(inbox, "c.csv.gz"), "wb") as f:
+        f.write(b"no gzip at all")
+    first = run()
+    assert first == {"a.csv": ("processed", 2, 1), "b.csv": ("processed", 1, 1), "c.csv.gz": ("failed", 0, 0)}
+    _write(inbox, "again.csv", ["02-02-2024,s,d,110002,1,2,3", "02-02-2024,s,d,110002,1,2,3,9"])
+    _write(inbox, "new one.csv", ["04-02-2024,s,d,110002,1,2,3"])
+    second = run()
+    assert second["again.csv"] == ("duplicate", 0, 0) and second["new one.csv"] == ("processed", 1, 1)
+    clean = spark.read.parquet(f"{out}/enrollment_clean")
+    assert sorted((str(r.date), r.age_0_5) for r in clean.collect()) == [("2024-02-02", 1.0), ("2024-02-03", 7.0), ("2024-02-04", 1.0)]
+    assert [r.reasons for r in spark.read.parquet(f"{out}/enrollment_quarantine").collect()] == [["malformed_row"]]
+    batch = ingest.run_etl(spark, {"enrollment": [f"{inbox}/a.csv", f"{inbox}/b.csv", f"{inbox}/new one.csv"]}, os.path.join(scratch, "batch"))
+    assert (batch.head().total_rows, batch.head().valid_rows) == (4, 3)
+
+
+def test_replayed_batch_replaces_itself(spark, scratch):
+    from civicstat.streaming.ingest import ingest_files, read_ledger
+    _write(scratch, "a.csv", ["02-02-2024,s,d,110002,1,2,3"])
+    out, file = os.path.join(scratch, "out"), f"file:{scratch}/a.csv"
+    for batch_id in (0, 0, 1):
+        ingest_files(spark, [file], out, "enrollment", batch_id, os.path.join(scratch, f"staged{batch_id}"))
+    assert spark.read.parquet(f"{out}/enrollment_clean").count() == 1
+    assert sorted((r.batch_id, r.status) for r in read_ledger(spark, out, "enrollment").collect()) == [(0, "processed"), (1, "duplicate")]
