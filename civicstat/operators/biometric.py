@@ -32,9 +32,21 @@ def joined_daily(enr: DataFrame, bio: DataFrame, state=None, district=None) -> D
     return e.join(b, on=KEYS, how="inner")
 
 
+def joined_from_days(days: DataFrame, state=None, district=None) -> DataFrame:
+    """J1 from a day table that already has both facts side by side
+    (``sources.tables.daily_totals``): no join, days without an attempt go."""
+    days = optional_filter(days, state=state, district=district)
+    sums = [F.sum(c).alias(c) for c in ("age_5_17", "age_18_greater", "bio_age_5_17", "bio_age_17_", "attended")]
+    return days.groupBy(*KEYS).agg(*sums).where("attended > 0").drop("attended")
+
+
 def success_rates(enr: DataFrame, bio: DataFrame, state=None, district=None) -> DataFrame:
     """Q5: attempts / enrollments × 100 per group, zero enrollments → 0, 1 decimal."""
-    j = joined_daily(enr, bio, state, district)
+    return daily_rates(joined_daily(enr, bio, state, district))
+
+
+def daily_rates(j: DataFrame) -> DataFrame:
+    """The rates of joined days."""
 
     def rate(num, den):
         # zero → NULL before dividing, NULL result → 0
@@ -69,7 +81,10 @@ def low_performers(rates: DataFrame, threshold: float = 60.0, state=None) -> Dat
 
 def repeat_attempts(enr: DataFrame, bio: DataFrame, min_rate: float = 2.0) -> DataFrame:
     """Q7: attempts / enrollments > 2 per group; zero enrollments → 0."""
-    j = joined_daily(enr, bio)
+    return daily_repeats(joined_daily(enr, bio), min_rate)
+
+
+def daily_repeats(j: DataFrame, min_rate: float = 2.0) -> DataFrame:
     attempts = F.col("bio_age_5_17") + F.col("bio_age_17_")
     enrolled = F.col("age_5_17") + F.col("age_18_greater")
     rr = pct_ratio(attempts, enrolled, scale=1.0)

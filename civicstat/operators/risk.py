@@ -43,7 +43,20 @@ def training_set(enr: DataFrame, bio: DataFrame, demo: DataFrame) -> DataFrame:
     e = enr.groupBy(*KEYS).agg(F.sum(F.col("age_5_17") + F.col("age_18_greater")).alias("e"))
     b = bio.groupBy(*KEYS).agg(F.sum(F.col("bio_age_5_17") + F.col("bio_age_17_")).alias("b"))
     d = demo.groupBy(*KEYS).agg(F.sum(F.col("demo_age_5_17") + F.col("demo_age_17_")).alias("d"))
-    j = e.join(b, KEYS, "left").join(d, KEYS, "left")
+    return monthly(e.join(b, KEYS, "left").join(d, KEYS, "left"))
+
+
+def training_set_from_days(days: DataFrame, demo: DataFrame) -> DataFrame:
+    """Q19 from a day table that has enrollments and attempts side by side
+    (``sources.tables.daily_totals``)."""
+    eb = days.groupBy(*KEYS).agg(F.sum(F.col("age_5_17") + F.col("age_18_greater")).alias("e"),
+                                 F.sum(F.col("bio_age_5_17") + F.col("bio_age_17_")).alias("b"))
+    d = demo.groupBy(*KEYS).agg(F.sum(F.col("demo_age_5_17") + F.col("demo_age_17_")).alias("d"))
+    return monthly(eb.join(d, KEYS, "left"))
+
+
+def monthly(j: DataFrame) -> DataFrame:
+    """Days of the three facts (e, b, d) summed to months."""
     return j.groupBy(F.trunc("date", "MM").alias("month"), "state", "district").agg(
         F.sum("e").alias("enrollments"), F.sum("b").alias("biometric_attempts"),
         F.sum("d").alias("demo_updates"))

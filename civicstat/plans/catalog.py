@@ -51,21 +51,18 @@ def stable(df: DataFrame, digits: int = 6, keep: tuple[str, ...] = ()) -> DataFr
 
 @register("success_rates")
 def q_success_rates(spark, sf_dir):
-    f = Facts(spark, sf_dir)
-    return biometric.success_rates(f.enrollments, f.biometric)
+    return biometric.daily_rates(biometric.joined_from_days(Facts(spark, sf_dir).days))
 
 
 @register("low_performers")
 def q_low_performers(spark, sf_dir):
-    f = Facts(spark, sf_dir)
-    rates = biometric.success_rates(f.enrollments, f.biometric)
+    rates = biometric.daily_rates(biometric.joined_from_days(Facts(spark, sf_dir).days))
     return stable(biometric.low_performers(rates, threshold=LOW_PERFORMER_THRESHOLD))
 
 
 @register("repeat_attempts")
 def q_repeat_attempts(spark, sf_dir):
-    f = Facts(spark, sf_dir)
-    return biometric.repeat_attempts(f.enrollments, f.biometric)
+    return biometric.daily_repeats(biometric.joined_from_days(Facts(spark, sf_dir).days))
 
 
 @register("enrollments_base")
@@ -185,7 +182,7 @@ RISK_THRESHOLD = 250.0
 
 def _training(spark, sf_dir):
     f = Facts(spark, sf_dir)
-    return risk.training_set(f.enrollments, f.biometric, f.demographic)
+    return risk.training_set_from_days(f.days, f.demographic)
 
 
 @register("training_set")

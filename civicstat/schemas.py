@@ -81,3 +81,15 @@ METRIC_PATTERN = {
     "demographic": "demo_age",
     "enrollment": "age",
 }
+
+# The input tables. Reading them by a known schema needs no job over their footers.
+INPUT_TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, "
+              "o_orderpriority string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
+                "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+}

@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from civicstat.schemas import INPUT_TABLES
 from civicstat.session import materialize
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
@@ -29,7 +30,8 @@ BIO_17_FACTOR = 5
 
 
 def read(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    reader = spark.read.schema(INPUT_TABLES[name]) if name in INPUT_TABLES else spark.read
+    df = reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     return df.select(*cols) if cols else df
 
 
@@ -129,7 +131,7 @@ class Facts:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
-        self._geo = self._daily = None
+        self._geo = self._daily = self._days = None
 
     @property
     def geo(self) -> DataFrame:
@@ -145,11 +147,18 @@ class Facts:
     def biometric(self) -> DataFrame:
         return biometric_attempts(self.spark, self.sf_dir, self.geo)
 
+    @property
+    def days(self) -> DataFrame:
+        """Enrollments and attempts at day grain, from one pass over orders."""
+        if self._days is None:
+            self._days = daily_totals(self.spark, self.sf_dir, self.geo)
+        return self._days
+
     @property
     def daily(self) -> tuple[DataFrame, DataFrame]:
         """(enrollments, attempts) at day grain, from one written table."""
         if self._daily is None:
-            self._daily = materialize(daily_totals(self.spark, self.sf_dir, self.geo))
+            self._daily = materialize(self.days)
         keys = ["date", "state", "district"]
         return (self._daily.select(*keys, "age_0_5", "age_5_17", "age_18_greater"),
                 self._daily.where("attended > 0").select(*keys, "bio_age_5_17", "bio_age_17_"))
