@@ -31,6 +31,26 @@ def test_hostile_turns_survive(spark):
     assert "ends with <<|im_end|>" in out[0].formatted and "a<|im_end|<|im_end|>" in out[0].formatted
 
 
+def test_loss_is_read_by_the_mask(spark):
+    rows = [(1, i, r, t) for i, (r, t) in enumerate((r, t) for r in ("user", "assistant") for t in HARD)]
+    rows += [(2, 0, "user", "x"), (3, 0, "assistant", "é😀<|im_end|>")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    out = chat.format_chat(df)
+    want = {c: "".join(t or "" for k, _, r, t in rows if k == c and r == "assistant") for c in (1, 2, 3)}
+    assert {r.conv_id: r.x for r in out.select("conv_id", chat.loss_text(F.col("formatted"), F.col("spans")).alias("x")).collect()} == want
+    # a shifted span shows
+    off = F.transform("spans", lambda s: F.struct((s["start"] - 1).alias("start"), s["length"].alias("length")))
+    assert {r.conv_id: r.x for r in out.select("conv_id", chat.loss_text(F.col("formatted"), off).alias("x")).collect()} != want
+
+
+def test_a_very_long_conversation(spark):
+    rows = spark.range(3000).selectExpr("7L AS conv_id", "id AS turn", "IF(id % 2 = 0, 'user', 'assistant') AS role",
+                                        "concat(repeat('é <|im_end|> ', 20), id) AS text")
+    got = {r.conv_id: r for r in chat.chat_digest(rows).collect()}[7]
+    text = "".join("é <|im_end|> " * 20 + str(i) for i in range(1, 3000, 2))
+    assert (got.n_turns, got.loss_chars, got.loss_sha256) == (3000, len(text), sha(text.encode()))
+
+
 def test_ties_nulls_and_no_turns(spark):
     schema = "conv_id long, turn long, role string, text string"
     rows = [(None, 1, "user", "a"), (None, None, "user", "b"), (2, 1, "user", "z"), (2, 1, "assistant", "y"), (2, 1, "user", "z")]
