@@ -30,6 +30,8 @@ from civicstat.llm.common import prepare, remainder
 
 #: Bound of the training sample, in documents of each language.
 DOCS_PER_LANGUAGE = 150
+#: Languages that are learned: those with the most documents.
+MOST_LANGUAGES = 500
 #: Weights are kept by hashed feature.
 BUCKETS = 1 << 16
 #: Words that occur so often in one language's sample are in the lexicon.
@@ -249,19 +251,38 @@ def predict(model: Model | None, texts: list[str | None]) -> tuple[list[str], np
     return [model.labels[i] if i >= 0 else UNKNOWN for i in best.tolist()], score
 
 
-def training_sample(docs: DataFrame, per_language: int = DOCS_PER_LANGUAGE) -> DataFrame:
-    """(text, lang) of at most ``per_language`` rows of ``docs`` (doc_id, text,
-    lang) for each language: those with the smallest hashes of ids."""
-    by = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"))
-    return (docs.where("text IS NOT NULL AND lang IS NOT NULL").withColumn("nth", F.row_number().over(by))
-            .where(F.col("nth") <= per_language).select("text", "lang"))
+def training_sample(docs: DataFrame, per_language: int = DOCS_PER_LANGUAGE, most: int = MOST_LANGUAGES) -> DataFrame:
+    """(text, lang) of at most ``per_language`` documents of ``docs`` (doc_id,
+    text, lang) for each of the ``most`` languages with the most rows: those
+    with the smallest hashes of ids.
+
+    Ids are chosen before any text is moved. The counts say below which hash
+    three times as many ids as needed are expected; only those are ranked. A
+    language with few rows has all of them ranked.
+    """
+    known = docs.where("text IS NOT NULL AND lang IS NOT NULL AND doc_id IS NOT NULL")
+    top = known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(most)
+    share = F.least(F.lit(1.0), F.lit(3.0 * per_language) / F.col("n"))
+    below = F.when(share < 1, (share * 2.0 ** 64 - 2.0 ** 63).cast("long")).otherwise(F.lit((1 << 63) - 1))
+    top = top.select(F.col("lang").alias("of"), below.alias("below"))
+    h = F.xxhash64("doc_id")
+    # ``most`` rows
+    ids = (known.select("lang", "doc_id", h.alias("h")).join(F.broadcast(top), (F.col("lang") == F.col("of")) & (F.col("h") <= F.col("below")))
+           .groupBy("lang", "h", "doc_id").agg(F.lit(1).alias("one")))
+    by = Window.partitionBy("lang").orderBy("h", "doc_id")
+    chosen = (ids.withColumn("nth", F.row_number().over(by)).where(F.col("nth") <= per_language)
+              .select(F.col("lang").alias("of"), F.col("doc_id").alias("id")))
+    # ``most`` * ``per_language`` rows; one text for each id and language
+    texts = known.join(F.broadcast(chosen), (F.col("lang") == F.col("of")) & (F.col("doc_id") == F.col("id")))
+    return texts.groupBy("of", "id").agg(F.min("text").alias("text")).select("text", F.col("of").alias("lang"))
 
 
 def identify(docs: DataFrame, model: Model | None) -> DataFrame:
     """(doc_id, lang_pred, score) of every row of ``docs`` (doc_id, text).
 
     Null texts and texts without a letter are ``und`` with score 0, and so is
-    every text without a model. Ties go to the first label by code point;
+    every text without a model. Very long texts are worked through in blocks as
+    a whole. Ties go to the first label by code point;
     repeated rows get equal results; other columns are ignored; an empty table
     gives no row.
     """
