@@ -9,8 +9,9 @@ the rest, so a source misses its target by half a document at most.
 
 The order within a source is not found by sorting a source in one task. Keys
 are cut into ``bins`` by a fixed increasing function; sizes are summed by
-(source, bin), which collapses a hot source before the shuffle; only the
-documents of the one bin where the budget ends are sorted.
+(source, bin), which collapses a hot source before the shuffle; the bin where
+the budget ends is cut again in the same way, and once more; only the few
+documents of the last bin are sorted.
 """
 
 from __future__ import annotations
@@ -24,18 +25,23 @@ from civicstat.llm.common import WORD, cut, fresh
 SOURCE_WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MOST_EPOCHS = 2
-BINS = 4096
+#: Bins of a level and levels: a bin of the last one is 2 ** -36 of all keys.
+BINS, LEVELS = 4096, 3
 
 
 def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def _weight(chars: Column, size: Column) -> Column:
+    mean = chars.cast("double") / F.greatest(size, F.lit(1)).cast("double")
+    return F.lit(1.0) + F.least(F.coalesce(mean, F.lit(0.0)), F.lit(10.0)) / 10.0
+
+
 def quality_weight(text: Column, size: Column) -> Column:
     """Between 1 and 2, growing with the code points a word takes up to ten:
     strings of single marks and digits weigh less than prose. Empty texts weigh 1."""
-    chars = F.length(text).cast("double") / F.greatest(size, F.lit(1)).cast("double")
-    return F.lit(1.0) + F.least(F.coalesce(chars, F.lit(0.0)), F.lit(10.0)) / 10.0
+    return _weight(F.length(text), size)
 
 
 def exponential_key(doc_id: Column, weight: Column) -> Column:
@@ -45,8 +51,14 @@ def exponential_key(doc_id: Column, weight: Column) -> Column:
     return -F.log(u) / weight
 
 
-def _bin(key: Column, bins: int) -> Column:
-    return F.least(F.floor((1.0 - F.exp(-key)) * bins), F.lit(bins - 1)).cast("int")
+def _bins(key: Column, bins: int) -> list[Column]:
+    """The bin of a key on each level: a level cuts each bin of the one before."""
+    at, out = F.least(1.0 - F.exp(-key), F.lit(1 - 2.0 ** -53)), []
+    for _ in range(LEVELS):
+        at = at * bins
+        out.append(F.floor(at).cast("int"))
+        at = at - F.floor(at)
+    return out
 
 
 def source_targets(sizes: DataFrame, share: float = SHARE, weights: tuple = SOURCE_WEIGHTS,
@@ -80,59 +92,91 @@ def source_targets(sizes: DataFrame, share: float = SHARE, weights: tuple = SOUR
     return s.select("source", "source_size", "weight", target.alias("target"))
 
 
-def mix(docs: DataFrame, size: Column | None = None, weight: Column | None = None,
-        share: float = SHARE, weights: tuple = SOURCE_WEIGHTS, bins: int = BINS) -> tuple[DataFrame, str]:
+def cut_points(sizes: DataFrame, share: float = SHARE, weights: tuple = SOURCE_WEIGHTS, bins: int = BINS) -> DataFrame:
+    """Where the budget of each source ends, from ``sizes`` (source, size, key):
+    of, source_size, target, epochs, rest, edges (the bin of each level) and
+    start (the sizes before the last of these bins).
+
+    A level sums sizes by (source, bin) inside the bin where the level before
+    ended, so after the last one the bin holds a row or two of any source.
+    """
+    levels = [f"b{i}" for i in range(LEVELS)]
+    rows = sizes.withColumns(dict(zip(levels, _bins(F.col("key"), bins))))
+    plan = None
+    for i, level in enumerate(levels):
+        inside = rows
+        if plan is not None:
+            own = plan.select("of", *[F.col(f"edges.{x}").alias(f"e{x}") for x in levels[:i]])
+            inside = rows.join(own, rows["source"].eqNullSafe(own["of"])).where(
+                " AND ".join(f"{x} = e{x}" for x in levels[:i]))
+        sums = cut(inside.groupBy(F.col("source").alias("source"), F.col(level).alias("bin")).agg(F.sum("size").alias("words")))
+        if plan is None:
+            targets = source_targets(sums.groupBy("source").agg(F.sum("words").alias("source_size")), share, weights)
+            whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("int")
+            plan = targets.select(F.col("source").alias("of"), "source_size", "target", whole.alias("epochs"),
+                                  (F.col("target") - whole * F.col("source_size")).alias("rest"),
+                                  F.struct().alias("edges"), F.lit(0).cast("long").alias("start"))
+        run = Window.partitionBy("source").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+        before = sums.withColumn("before", F.coalesce(F.sum("words").over(run), F.lit(0)))
+        # the last bin that begins below the rest is where the budget ends
+        edge = (before.join(plan, before["source"].eqNullSafe(plan["of"])).where(F.col("start") + F.col("before") < F.col("rest"))
+                .groupBy("source").agg(F.max(F.struct("bin", "before")).alias("edge")))
+        names = levels[:i]
+        plan = cut(plan.join(edge, plan["of"].eqNullSafe(edge["source"]), "left").select(
+            "of", "source_size", "target", "epochs", "rest",
+            F.struct(*[F.col(f"edges.{x}").alias(x) for x in names], F.coalesce("edge.bin", F.lit(-1)).alias(level)).alias("edges"),
+            (F.col("start") + F.coalesce("edge.before", F.lit(0))).alias("start")))
+    return plan
+
+
+def mix(docs: DataFrame, size: Column | None = None, weight: Column | None = None, share: float = SHARE,
+        weights: tuple = SOURCE_WEIGHTS, bins: int = BINS, key: Column | None = None) -> tuple[DataFrame, str]:
     """``docs`` (doc_id, text, source, any others) with a struct column of
     size, source_size, target and copies: how often the mix takes each row.
 
     Returns the frame and the name of the struct column, which avoids any
-    column ``docs`` has. Null texts have size 0; a null source is a source; a
-    null doc_id is sampled under one fixed key. Equal keys go by doc_id;
-    rows that are equal in id share one key and one is taken before the
-    other. Empty texts take nothing. An empty table gives no row.
+    column ``docs`` has. Null texts have size 0; very long texts count with all
+    their words; a null source is a source; a null doc_id is sampled under one
+    fixed key. Equal keys go by doc_id; rows that are equal in id share one key
+    and one is taken before the other (if the budget ends among them, one task
+    orders them). Empty texts take nothing. An empty table gives no row.
+
+    Texts are read twice: once for sizes and keys, which are written without
+    the text, and once for the result. ``size`` and ``key`` may be columns that
+    ``docs`` already has.
     """
     size = word_count(F.col("text")) if size is None else size
-    z, key, b, out = fresh(docs, "size", "key", "bin", "mix")
+    z, k, *levels = fresh(docs, "size", "key", *[f"bin{i}" for i in range(LEVELS)])
     rows = docs.withColumn(z, size)
-    weight = quality_weight(F.col("text"), F.col(z)) if weight is None else weight
-    rows = rows.withColumn(key, exponential_key(F.col("doc_id"), weight)).withColumn(b, _bin(F.col(key), bins))
-
-    sums = cut(rows.groupBy(F.col("source").alias("source"), F.col(b).alias("bin")).agg(F.sum(z).alias("words")))
-    targets = source_targets(sums.groupBy("source").agg(F.sum("words").alias("source_size")), share, weights)
-    whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
-    targets = (targets.withColumn("epochs", whole.cast("int"))
-               .withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size")))
-    run = Window.partitionBy("source").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-    bin_start = sums.withColumn("start", F.coalesce(F.sum("words").over(run), F.lit(0)))
-    # the last bin that begins below the rest is where the budget ends
-    edge = (bin_start.alias("s").join(targets.alias("t"), F.col("s.source").eqNullSafe(F.col("t.source")))
-            .where(F.col("start") < F.col("rest"))
-            .groupBy(F.col("t.source").alias("source"))
-            .agg(F.max(F.struct("bin", "start")).alias("edge")))
-    plan = cut(targets.alias("t").join(edge.alias("e"), F.col("t.source").eqNullSafe(F.col("e.source")), "left")
-               .select(F.col("t.source").alias("of"), "source_size", "target", "epochs", "rest",
-                       F.coalesce("edge.bin", F.lit(-1)).alias("edge"),
-                       F.coalesce("edge.start", F.lit(0)).alias("start")))
-
-    plan_name, take = fresh(rows, "plan", "take")
+    if key is None:
+        weight = quality_weight(F.col("text"), F.col(z)) if weight is None else weight
+        key = exponential_key(F.col("doc_id"), weight)
+    rows = rows.withColumn(k, key)
+    plan = cut_points(cut(rows.select("source", F.col(z).alias("size"), F.col(k).alias("key"))), share, weights, bins)
+
+    plan_name, take, out = fresh(rows, "plan", "take", "mix")
     plan = plan.select(F.col("of").alias(plan_name + "_of"), F.struct(*[c for c in plan.columns if c != "of"]).alias(plan_name))
-    joined = rows.join(plan, rows["source"].eqNullSafe(plan[plan_name + "_of"])).drop(plan_name + "_of")
+    joined = rows.withColumns(dict(zip(levels, _bins(F.col(k), bins))))
+    joined = joined.join(plan, joined["source"].eqNullSafe(plan[plan_name + "_of"])).drop(plan_name + "_of")
     p = F.col(plan_name)
-    clear = joined.where(F.col(b) != p["edge"]).withColumn(take, (F.col(b) < p["edge"]).cast("int"))
-    order = (Window.partitionBy("source").orderBy(key, "doc_id")
+    here, edge = F.struct(*levels), F.struct(*[p["edges"][f"b{i}"] for i in range(LEVELS)])
+    clear = joined.where(here != edge).withColumn(take, (here < edge).cast("int"))
+    order = (Window.partitionBy("source").orderBy(k, "doc_id")
              .rowsBetween(Window.unboundedPreceding, -1))
     before = F.coalesce(F.sum(z).over(order), F.lit(0)) + p["start"]
-    last = joined.where(F.col(b) == p["edge"])
+    last = joined.where(here == edge)
     last = last.withColumn(take, (before + F.col(z) / 2 < p["rest"]).cast("int"))
     both = clear.unionByName(last)
-    p = F.col(plan_name)
     found = F.struct(F.col(z).alias("size"), p["source_size"].alias("source_size"), p["target"].alias("target"),
                      (p["epochs"] + F.col(take)).alias("copies"))
     return both.select(*[F.col(f"`{c}`") for c in docs.columns], found.alias(out)), out
 
 
 def mix_digest(documents: DataFrame) -> DataFrame:
-    mixed, m = mix(documents.select("doc_id", "text", "source"))
+    # sizes and keys once, without the texts
+    slim = cut(documents.select("doc_id", "source", word_count(F.col("text")).alias("size"), F.length("text").alias("chars"))
+               .select("doc_id", "source", "size", exponential_key(F.col("doc_id"), _weight(F.col("chars"), F.col("size"))).alias("key")))
+    mixed, m = mix(slim, size=F.col("size"), key=F.col("key"))
     m = F.col(m)
     return mixed.select("doc_id", m["size"].alias("size"), m["source_size"].alias("source_size"),
                         m["target"].alias("target"), (m["size"] * m["copies"]).cast("long").alias("taken"))
