@@ -115,6 +115,18 @@ def anomaly_report(enr: DataFrame, scope=SCOPE, days: int = 90, state=None,
                     "detection_methods"))
 
 
+def report_details(enr: DataFrame, scope=SCOPE, days: int = 90) -> DataFrame:
+    """The confirmed days with what each method found, NULL where it did
+    not flag the day."""
+    scope = list(scope)
+    d = with_detectors(anomaly_series(enr, scope, days), scope)
+    found = {"is_z": ["z_score"], "is_iqr": ["lower_bound", "upper_bound"], "is_roll": ["rolling_mean", "deviation_pct"]}
+    details = [F.when(F.col(flag), F.col(c)).alias(c) for flag, cols in found.items() for c in cols]
+    flags = [F.col(f) for f in found]
+    return d.filter(n_methods(*flags) >= 2).select(
+        "date", *scope, F.col(METRIC).alias("value"), detection_methods(*flags).alias("methods"), *details)
+
+
 def flagged(enr: DataFrame, method: str, scope=SCOPE, days: int = 90) -> DataFrame:
     """Rows one detector flags, with that detector's details."""
     scope = list(scope)

@@ -12,9 +12,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from civicstat.functions.scalar import iso_date
-from civicstat.operators.neighbors import nearest
+from civicstat.operators.neighbors import CellIndex, nearest, search
 from civicstat.schemas import INSIGHT_RECORD, POLICY_RESPONSE
-from civicstat.session import checkpoint_dir
+from civicstat.session import checkpoint_dir, materialize
+from civicstat.sources.sinks import table_exists
 
 UNKNOWN = "Unknown"
 K_SIMILAR = 3
@@ -91,27 +92,57 @@ def similar_cases(queries: DataFrame, index: DataFrame, k: int = K_SIMILAR, self
 def explanation_requests(cases: DataFrame, k: int = K_SIMILAR, index: DataFrame | None = None) -> DataFrame:
     """Q26: per case, its k most similar past cases as context + prompt text.
 
-    ``index`` is the stored case index (``sinks.append_cases``); without one
-    the cases themselves are the index. Only cases of an earlier date count
-    as past. Each table is read several times, so it is checkpointed once to
-    the shared checkpoint folder.
+    ``index`` is a table of earlier cases; without one the cases themselves are
+    the index. Only cases of an earlier date count as past. Each table is read
+    several times, so it is checkpointed once to the shared checkpoint folder.
     """
     checkpoint_dir(cases.sparkSession)
     cases = cases.checkpoint(eager=True)
     index = cases if index is None else index.checkpoint(eager=True)
-    nn = similar_cases(cases, index, k, before="date")
-    texts = index.select(F.col("case_id").alias("neighbor_id"), F.col("text").alias("_nt"))
-    ctx = (nn.join(texts, "neighbor_id")
-           .groupBy("query_id")
-           .agg(F.array_sort(F.collect_list(F.struct("nn_rank", "_nt"))).alias("_c"))
-           .select(F.col("query_id").alias("case_id"),
-                   F.array_join(F.transform("_c", lambda x: F.concat(F.lit("- "), x["_nt"])), "\n")
-                   .alias("context")))
+    return _requests(cases, similar_cases(cases, index, k, before="date"), index)
+
+
+def store_cases(cases: DataFrame, path: str) -> None:
+    """Adds cases to the stored index: their texts and, by cell, their
+    vectors. A case that is there already is not added again."""
+    spark = cases.sparkSession
+    cases = materialize(cases)
+    if not table_exists(spark, f"{path}/cells/pivots"):
+        CellIndex.build(cases, "case_id", before="date").write(f"{path}/cells")
+    else:
+        CellIndex.append(spark, f"{path}/cells", cases, "case_id", before="date")
+    if table_exists(spark, f"{path}/texts"):
+        # written once more: the rows to add are fixed before the table changes
+        cases = materialize(cases.join(spark.read.parquet(f"{path}/texts").select("case_id"), "case_id", "left_anti"))
+    cases.drop("vec").write.mode("append").parquet(f"{path}/texts")
+
+
+def explain_new_cases(cases: DataFrame, path: str, k: int = K_SIMILAR) -> DataFrame:
+    """Q26 against the stored index, with the list ``similar_cases`` of the
+    cases found. A search reads the vectors of the cells it visits."""
+    spark = cases.sparkSession
+    cases = materialize(cases)
+    if not table_exists(spark, f"{path}/texts"):
+        none = cases.limit(0).select(F.col("case_id").alias("query_id"), F.col("case_id").alias("neighbor_id"), F.lit(1).alias("nn_rank"))
+        return _requests(cases, none, cases.limit(0), listed=True)
+    nn = materialize(search(cases, CellIndex.read(spark, f"{path}/cells"), k, "case_id", before="date"))
+    return _requests(cases, nn, spark.read.parquet(f"{path}/texts"), listed=True)
+
+
+def _requests(cases: DataFrame, nn: DataFrame, texts: DataFrame, listed: bool = False) -> DataFrame:
+    texts = texts.select(F.col("case_id").alias("neighbor_id"), F.col("text").alias("_nt"))
+    found = (nn.join(texts, "neighbor_id").groupBy("query_id")
+             .agg(F.array_sort(F.collect_list(F.struct("nn_rank", "_nt", "neighbor_id"))).alias("_c")))
+    ctx = found.select(F.col("query_id").alias("case_id"),
+                       F.array_join(F.transform("_c", lambda x: F.concat(F.lit("- "), x["_nt"])), "\n").alias("context"),
+                       *([F.transform("_c", lambda x: x["neighbor_id"]).alias("similar_cases")] if listed else []))
     q = cases.select("case_id", "state", "district", "date", query_text(cases).alias("query"))
     out = q.join(ctx, "case_id", "left").withColumns({
         # no similar case (empty index): the reference's message, empty context
         "note": F.when(F.col("context").isNull(), F.lit(NO_INDEX_MESSAGE)),
         "context": F.coalesce("context", F.lit(""))})
+    if listed:
+        out = out.withColumn("similar_cases", F.coalesce("similar_cases", F.array().cast("array<string>")))
     prompt = F.replace(F.replace(F.lit(EXPLAIN_TEMPLATE), F.lit("{context}"), F.col("context")),
                        F.lit("{query}"), F.col("query"))
     return out.withColumn("prompt", prompt)

@@ -41,6 +41,18 @@ def privacy_gate(enr: DataFrame, scope=(), min_count: int = DEFAULT_MIN_COUNT) -
     return t.withColumn("status", F.when(F.col("total") >= min_count, "compliant").otherwise("suppressed"))
 
 
+# Fixed texts of suppressed scopes.
+SUPPRESSED = "Insufficient data for analysis (DPDP Suppression)"
+SUPPRESSED_SEASONS = "Insufficient data (DPDP)"
+
+
+def with_suppressed(rows: DataFrame, enr: DataFrame, scope, min_count: int = DEFAULT_MIN_COUNT, text: str = SUPPRESSED) -> DataFrame:
+    """Rows of an operator with one more for every scope that its privacy gate
+    leaves out: no figures, the reason in ``error`` (NULL on the others)."""
+    gone = privacy_gate(enr, scope, min_count).where("status = 'suppressed'").select(*scope, F.lit(text).alias("error"))
+    return rows.withColumn("error", F.lit(None).cast("string")).unionByName(gone, allowMissingColumns=True)
+
+
 def _compliant(agg: DataFrame, scope, min_count: int) -> DataFrame:
     """Keep scopes of an aggregate whose grand total reaches min_count."""
     if not min_count:

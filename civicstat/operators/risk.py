@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import math
 import time
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
@@ -18,7 +19,7 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from civicstat.functions.scalar import optional_filter, round_half_even
@@ -35,6 +36,10 @@ DEFAULT_RISK_THRESHOLD = 60.0
 MIN_TRAIN_ROWS = 50
 SEED = 42
 HIGH_CUT, MEDIUM_CUT = 0.7, 0.4
+# Fixed texts.
+INSUFFICIENT = "Insufficient data for training."
+NOT_TRAINED = "Model not trained yet."
+NO_DATA = "No data for district"
 ROWS_PER_PARTITION = 200_000
 
 
@@ -96,17 +101,66 @@ def latest_features(train: DataFrame) -> DataFrame:
     return f.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
-def _hash_split(df: DataFrame, test_fraction: float = 0.2, folds: int = 3) -> DataFrame:
-    """M2/M7: deterministic hold-out and CV folds from a hash of the row keys.
+def split_hash() -> Column:
+    """60 bits of the digest of a row's keys, which any engine computes alike."""
+    key = F.concat_ws("|", F.coalesce("state", F.lit("")), F.coalesce("district", F.lit("")), F.date_format("month", "yyyy-MM-dd"))
+    return F.conv(F.substring(F.md5(key.cast("binary")), 1, 15), 16, 10).cast("long")
 
-    Each row decides its own split, so no class or fold is ever gathered
-    into one task; within each class the split is stratified in
-    expectation (the hash is independent of the label).
+
+def rank_cuts(rows: DataFrame, ranks: dict[int, list[int]], bits: int = 12, total: int = 60) -> dict[int, list[int]]:
+    """For each class of ``rows`` (label, h) the hashes below which exactly the
+    asked numbers of rows lie (repeated hashes stay on one side).
+
+    Rows are counted by the highest bits of their hash; a bin in which a cut
+    falls is counted again by the next bits, and so on. The driver gets at most
+    2 ** bits counts for each cut and level.
+    """
+    open_ = {(c, i): (0, r) for c, rs in ranks.items() for i, r in enumerate(rs)}  # prefix, rank inside it
+    for level in range(0, total, bits):
+        left = total - level - bits
+        wanted = sorted({(c, p) for (c, _), (p, _) in open_.items()})
+        inside = F.lit(False)
+        for c, p in wanted:
+            inside = inside | ((F.col("label") == c) & (F.shiftright("h", left + bits) == p))
+        counts: dict[tuple[int, int], list[tuple[int, int]]] = {}
+        for r in (rows.where(inside).groupBy("label", F.shiftright("h", left).alias("bin")).count().collect()):
+            counts.setdefault((int(r["label"]), r["bin"] >> bits), []).append((r["bin"], r["count"]))
+        for at, (prefix, rank) in open_.items():
+            here, past = (prefix + 1) << bits, 0
+            for bin_, n in sorted(counts.get((at[0], prefix), [])):
+                if past + n > rank:
+                    here = bin_
+                    break
+                past += n
+            open_[at] = (here, rank - past)
+    return {c: [open_[c, i][0] for i in range(len(rs))] for c, rs in ranks.items()}
+
+
+def stratified_split(rows: DataFrame, label: str = "label", test_fraction: float = 0.2, folds: int = 3) -> DataFrame | None:
+    """M2/M7: ``rows`` (state, district, month, label, any others) with is_test
+    and fold (1 to ``folds``; 0 for the hold-out): within each class the rows
+    with the smallest hashes are the hold-out, the rest is dealt to folds in
+    equal numbers, to within one row. No class is gathered or sorted anywhere.
+    None if a class is too small for a row in the hold-out and every fold.
     """
-    buckets = int(round(1 / test_fraction))
-    h1 = F.pmod(F.xxhash64("state", "district", "month", F.lit(SEED)), F.lit(buckets))
-    h2 = F.pmod(F.xxhash64("state", "district", "month", F.lit(SEED + 1)), F.lit(folds))
-    return df.withColumn("is_test", h1 == buckets - 1).withColumn("fold", h2.cast("int"))
+    hashed = rows.withColumn("_h", split_hash())
+    keyed = hashed.select(F.col(label).cast("int").alias("label"), F.col("_h").alias("h"))
+    sizes = {r["label"]: r["count"] for r in keyed.groupBy("label").count().collect()}
+    ranks = {}
+    for c, n in sizes.items():
+        test = max(1, int(round(n * test_fraction)))
+        rest = n - test
+        if rest < folds:
+            return None
+        ranks[c] = [test + rest * i // folds for i in range(folds)]
+    # one row for each class
+    cuts = rank_cuts(keyed, ranks)
+    fold = F.lit(None).cast("int")
+    for c, edges in cuts.items():
+        # the number of cuts at or below the row's hash
+        own = reduce(lambda a, b: a + b, [(F.col("_h") >= e).cast("int") for e in edges])
+        fold = F.when(F.col(label) == c, own).otherwise(fold)
+    return hashed.withColumn("fold", fold).withColumn("is_test", F.col("fold") == 0).drop("_h")
 
 
 def _pipeline(clf) -> Pipeline:
@@ -130,15 +184,18 @@ def train_model(features: DataFrame, parallelism: int = 4, raw_rows: int | None
                                F.countDistinct("label").alias("classes")).first()
     # the gate counts raw training rows; features lose the last months of each district
     if (stats["n"] if raw_rows is None else raw_rows) < MIN_TRAIN_ROWS or stats["classes"] < 2:
-        return None, {"error": "Insufficient data for training."}
+        return None, {"error": INSUFFICIENT}
     # Cut the lineage once (CV reads the table 2 × 4 × 3 times) and size the
     # partitions to the row count: every boosting iteration is a job, and
     # empty or tiny partitions only add scheduling work.
     parts = max(1, math.ceil(stats["n"] / ROWS_PER_PARTITION))
     keys = ["state", "district", "month"]
     data = data.repartition(parts, *keys).sortWithinPartitions(*keys).checkpoint(eager=True)
-    split = _hash_split(data)
-    train = split.filter(~F.col("is_test"))
+    split = stratified_split(data)
+    if split is None:
+        return None, {"error": INSUFFICIENT}
+    # the cross-validator counts folds from 0
+    train = split.filter(~F.col("is_test")).withColumn("fold", F.col("fold") - 1)
     test = split.filter(F.col("is_test"))
     evaluator = MulticlassClassificationEvaluator(metricName="fMeasureByLabel", metricLabel=1.0,
                                                   labelCol="label", predictionCol="prediction")
@@ -182,6 +239,20 @@ def predict_risk(model: PipelineModel, latest: DataFrame, state=None, district=N
             .withColumn("top_factors", factors))
 
 
+def risk_rows(model: PipelineModel | None, latest: DataFrame, asked: DataFrame) -> DataFrame:
+    """Q23 for a list of districts: a row for every row of ``asked`` (state,
+    district) with the score, or with ``error`` and no score: there is no model,
+    or no data of that district."""
+    asked = asked.select("state", "district").distinct()
+    if model is None:
+        return asked.select("state", "district", F.lit(None).cast("double").alias("risk_score"), F.lit(None).cast("string").alias("risk_category"),
+                            F.lit(None).cast("array<string>").alias("top_factors"), F.lit(NOT_TRAINED).alias("error"))
+    scored = predict_risk(model, latest).withColumnsRenamed({"state": "_s", "district": "_d"})
+    same = F.col("state").eqNullSafe(F.col("_s")) & F.col("district").eqNullSafe(F.col("_d"))
+    return asked.join(scored, same, "left").drop("_s", "_d").withColumn(
+        "error", F.when(F.col("risk_score").isNull(), F.lit(NO_DATA)))
+
+
 def save_model(model: PipelineModel, path: str) -> None:
     """Persist the fitted pipeline (overwrite)."""
     model.write().overwrite().save(path)

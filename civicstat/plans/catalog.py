@@ -16,10 +16,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from civicstat.functions.scalar import round_half_even
-from civicstat.operators import anomaly, biometric, cases, forecast, growth, risk, saturation
-from civicstat.session import checkpoint_dir
+from civicstat.operators import anomaly, biometric, cases, forecast, growth, rawjoin, risk, saturation
+from civicstat.schemas import CONSTRAINED
+from civicstat.session import checkpoint_dir, materialize
 from civicstat.sources import ingest, sinks
-from civicstat.sources.tables import Facts, raw_exports
+from civicstat.sources.tables import Facts, biometric_lines, raw_exports
 
 # Registered low-performer threshold. Rates here are ratios of daily sums
 # (both facts pre-aggregated to the key grain, see operators/biometric.py),
@@ -103,6 +104,25 @@ def q_privacy_gate(spark, sf_dir):
     return growth.privacy_gate(Facts(spark, sf_dir).enrollments, scope=("state", "district"))
 
 
+PINCODE_SCOPE = ("state", "district", "pincode")
+# Some pincodes of every scale factor have fewer enrollments, most have more.
+PINCODE_MIN = 500
+
+
+@register("privacy_gate_pincode")
+def q_privacy_gate_pincode(spark, sf_dir):
+    """Pincodes on both sides of the threshold."""
+    return growth.privacy_gate(Facts(spark, sf_dir).enrollments, scope=PINCODE_SCOPE, min_count=PINCODE_MIN)
+
+
+@register("growth_pincode_yearly")
+def q_growth_pincode_yearly(spark, sf_dir):
+    """Growth of every pincode, with a row for each that is suppressed."""
+    enr = Facts(spark, sf_dir).enrollments
+    rows = growth.growth_rates(enr, scope=PINCODE_SCOPE, periods=["year"], min_count=PINCODE_MIN)
+    return growth.with_suppressed(rows, enr, PINCODE_SCOPE, PINCODE_MIN)
+
+
 @register("daily_cumulative")
 def q_daily_cumulative(spark, sf_dir):
     return growth.daily_cumulative(Facts(spark, sf_dir).enrollments)
@@ -135,6 +155,11 @@ def q_anomaly_report(spark, sf_dir):
     return rep.withColumn("detection_methods", F.array_join("detection_methods", ","))
 
 
+@register("anomaly_details")
+def q_anomaly_details(spark, sf_dir):
+    return stable(anomaly.report_details(Facts(spark, sf_dir).enrollments)).withColumn("methods", F.array_join("methods", ","))
+
+
 @register("distinct_scopes")
 def q_distinct_scopes(spark, sf_dir):
     return anomaly.distinct_scopes(Facts(spark, sf_dir).enrollments)
@@ -178,6 +203,8 @@ def q_forecast_backtest(spark, sf_dir):
 # rows at sf0.001 / 0.01 / 0.1 (one class: no model can be trained). 250
 # splits the labels about evenly at every scale.
 RISK_THRESHOLD = 250.0
+# Means of pair rates on the driver tables have medians of 133 to 166.
+RAW_JOIN_THRESHOLD = 160.0
 
 
 def _training(spark, sf_dir):
@@ -200,6 +227,30 @@ def q_risk_features_latest(spark, sf_dir):
     return stable(risk.latest_features(_training(spark, sf_dir)))
 
 
+@register("low_performers_raw_join")
+def q_low_performers_raw_join(spark, sf_dir):
+    """Means over all pairs of raw rows (threshold of their own size)."""
+    g = Facts(spark, sf_dir)
+    return stable(rawjoin.low_performers(g.enrollments, biometric_lines(spark, sf_dir, g.geo), RAW_JOIN_THRESHOLD))
+
+
+@register("training_set_raw_join")
+def q_training_set_raw_join(spark, sf_dir):
+    f = Facts(spark, sf_dir)
+    t = rawjoin.training_set(f.enrollments, biometric_lines(spark, sf_dir, f.geo), f.demographic)
+    return t.select("month", "state", "district", *[F.col(c).cast("long").alias(c) for c in ("enrollments", "biometric_attempts", "demo_updates")])
+
+
+@register("risk_split")
+def q_risk_split(spark, sf_dir):
+    """The exact hold-out and folds of the labelled months."""
+    rows = risk.risk_features(_training(spark, sf_dir), risk_threshold=RISK_THRESHOLD).select("state", "district", "month", "is_high_risk")
+    split = risk.stratified_split(materialize(rows), "is_high_risk")
+    if split is None:
+        return rows.withColumns({"fold": F.lit(None).cast("int"), "is_test": F.lit(None).cast("boolean")}).limit(0)
+    return split
+
+
 @register("risk_scores")
 def q_risk_scores(spark, sf_dir):
     checkpoint_dir(spark)
@@ -280,6 +331,41 @@ def q_dedupe_load(spark, sf_dir):
     return spark.read.parquet(f"{base}/target")
 
 
+@register("ledger_load")
+def q_ledger_load(spark, sf_dir):
+    """Two loads with constraints: households without a district or with a
+    negative balance are errors, rows loaded before are skipped."""
+    base = f"{checkpoint_dir(spark).rstrip('/')}/ledger-{uuid.uuid4().hex}"
+    raw = raw_exports(spark, sf_dir)["enrollment"]
+    rows = raw.select(
+        F.try_to_date("date", "dd-MM-yyyy").alias("date"), "state", "district", "pincode",
+        F.col("age_0_5").try_cast("int").alias("age_0_5"), F.col("age_5_17").try_cast("int").alias("age_5_17"),
+        F.col("age_18_greater").try_cast("int").alias("age_18_greater"))
+    rows.where("date < DATE'1996-01-01'").write.parquet(f"{base}/older")
+    rows.write.parquet(f"{base}/all")
+    out = []
+    for load in ("older", "all"):
+        s = sinks.load_with_ledger(spark, f"{base}/{load}", f"{base}/target", load, CONSTRAINED["enrollment"], batches=4)
+        out.append(s.select(F.lit(load).alias("load"), "total_rows", "inserted", "errors", "status"))
+    there = sinks.loaded_rows(spark, f"{base}/target").agg(F.count("*").alias("total_rows"))
+    out.append(there.select(F.lit("target").alias("load"), "total_rows", F.col("total_rows").alias("inserted"),
+                            F.lit(0).cast("long").alias("errors"), F.lit("Completed").alias("status")))
+    return reduce(DataFrame.unionByName, out)
+
+
+@register("etl_csv_files")
+def q_etl_csv_files(spark, sf_dir):
+    """The enrollment exports written as CSV files, quoted line breaks in the
+    districts of one state, and read back through the whole ETL."""
+    base = f"{checkpoint_dir(spark).rstrip('/')}/csv-{uuid.uuid4().hex}"
+    raw = raw_exports(spark, sf_dir)["enrollment"]
+    for name, rows in (("plain", raw.where("state <> 'ASIA'")),
+                       ("breaks", raw.where("state = 'ASIA'").withColumn("district", F.concat("district", F.lit("\nzone"))))):
+        rows.write.option("header", True).csv(f"{base}/{name}")
+    ingest.run_etl(spark, {"enrollment": [f"{base}/plain", f"{base}/breaks"]}, f"{base}/out")
+    return spark.read.parquet(f"{base}/out/enrollment_clean.parquet")
+
+
 # ---------------------------------------------------------------- cases and text rows
 def _alerts(spark, sf_dir):
     return anomaly.anomaly_report(Facts(spark, sf_dir).enrollments)
@@ -312,6 +398,21 @@ def q_explanation_requests(spark, sf_dir):
     return cases.explanation_requests(cases.alert_cases(_alerts(spark, sf_dir)))
 
 
+@register("new_cases_against_index")
+def q_new_cases_against_index(spark, sf_dir):
+    """Alerts of the last 30 days against the index of the earlier ones, which
+    is stored in two overlapping parts."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/index-{uuid.uuid4().hex}"
+    c = materialize(cases.alert_cases(_alerts(spark, sf_dir)))
+    day = F.to_date("date")
+    last = c.agg(F.max(day).alias("d")).head()["d"]
+    old = c.where(F.date_add(day, 30) <= F.lit(last))
+    cases.store_cases(old.where(F.date_add(day, 60) <= F.lit(last)), path)
+    cases.store_cases(old, path)
+    found = cases.explain_new_cases(c.where(F.date_add(day, 30) > F.lit(last)), path)
+    return found.select("case_id", F.array_join("similar_cases", ",").alias("similar_cases"), "context", "note")
+
+
 @register("insight_requests")
 def q_insight_requests(spark, sf_dir):
     f = Facts(spark, sf_dir)

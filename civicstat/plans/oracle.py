@@ -172,7 +172,7 @@ WHERE gate >= 100 AND overall <> 0 AND n > 0""")
 
 SQL["privacy_gate"] = with_roles("""
 SELECT state, district, CAST(total AS BIGINT) AS total,
-       CASE WHEN total >= 100 THEN 'compliant' ELSE 'suppressed' END AS status
+       CASE WHEN total >= 500 THEN 'compliant' ELSE 'suppressed' END AS status
 FROM (SELECT state, district, coalesce(SUM(age_0_5), 0) + coalesce(SUM(age_5_17), 0)
              + coalesce(SUM(age_18_greater), 0) AS total FROM enrollments GROUP BY 1, 2) t""")
 
@@ -559,3 +559,86 @@ SELECT state, problem_districts, n_districts,
   SELECT state, to_json(list({{'district': district, 'state': state, 'issues': issues}} ORDER BY district))::VARCHAR
            AS problem_districts, count(*) AS n_districts
   FROM problems GROUP BY 1) t""", PROBLEMS)
+
+# ---------------------------------------------------------------- raw joins, split, loads, stored index
+SQL["low_performers_raw_join"] = with_roles(f"""
+SELECT state, district, {r6('avg_rate')} AS success_rate, {r6('160.0 - avg_rate')} AS gap, {r6('(160.0 - avg_rate) * 10')} AS priority_score
+FROM (SELECT state, district,
+        (avg(round_even(coalesce(bio_age_5_17 / nullif(age_5_17, 0) * 100, 0.0) * 10, 0) / 10)
+         + avg(round_even(coalesce(bio_age_17_ / nullif(age_18_greater, 0) * 100, 0.0) * 10, 0) / 10)) / 2 AS avg_rate
+      FROM enrollments JOIN biometric USING (date, state, district) GROUP BY 1, 2)
+WHERE avg_rate < 160.0""")
+
+SQL["training_set_raw_join"] = with_roles("""
+SELECT CAST(date_trunc('month', e.date) AS DATE) AS month, e.state, e.district,
+  CAST(SUM(e.age_5_17 + e.age_18_greater) AS BIGINT) AS enrollments,
+  CAST(SUM(b.bio_age_5_17 + b.bio_age_17_) AS BIGINT) AS biometric_attempts,
+  CAST(SUM(d.demo_age_5_17 + d.demo_age_17_) AS BIGINT) AS demo_updates
+FROM enrollments e
+LEFT JOIN biometric b ON e.date = b.date AND e.state = b.state AND e.district = b.district
+LEFT JOIN demographic d ON e.date = d.date AND e.state = d.state AND e.district = d.district
+GROUP BY ALL""")
+
+SQL["risk_split"] = with_roles("""
+SELECT state, district, month, is_high_risk,
+  CAST((rk >= test) AS INTEGER) + CAST((rk >= test + rest // 3) AS INTEGER) + CAST((rk >= test + rest * 2 // 3) AS INTEGER) AS fold,
+  rk < test AS is_test
+FROM (SELECT *, n - test AS rest FROM (
+  SELECT *, CAST(greatest(1, round(n * 0.2)) AS BIGINT) AS test FROM (
+    SELECT *, count(*) OVER (PARTITION BY is_high_risk) AS n, row_number() OVER (PARTITION BY is_high_risk ORDER BY h) - 1 AS rk FROM (
+      SELECT state, district, month, CAST(target_rate < 250.0 AS INTEGER) AS is_high_risk,
+        CAST('0x' || substr(md5(state || '|' || district || '|' || strftime(month, '%Y-%m-%d')), 1, 15) AS BIGINT) AS h
+      FROM feat WHERE target_rate IS NOT NULL))))""", TRAINING)
+
+SQL["anomaly_details"] = with_roles(f"""
+SELECT date, state, district, daily_enrollments AS value,
+  concat_ws(',', CASE WHEN is_z THEN 'z_score' END, CASE WHEN is_iqr THEN 'iqr' END, CASE WHEN is_roll THEN 'rolling_deviation' END) AS methods,
+  CASE WHEN is_z THEN {r6('z_score')} END AS z_score,
+  CASE WHEN is_iqr THEN {r6('lower_bound')} END AS lower_bound, CASE WHEN is_iqr THEN {r6('upper_bound')} END AS upper_bound,
+  CASE WHEN is_roll THEN {r6('rolling_mean')} END AS rolling_mean, CASE WHEN is_roll THEN {r6('deviation_pct')} END AS deviation_pct
+FROM flags WHERE CAST(is_z AS INTEGER) + CAST(is_iqr AS INTEGER) + CAST(is_roll AS INTEGER) >= 2""", ANOMALY)
+
+_PIN_TOTALS = """
+pins AS (SELECT state, district, pincode,
+           CAST(coalesce(SUM(age_0_5), 0) + coalesce(SUM(age_5_17), 0) + coalesce(SUM(age_18_greater), 0) AS BIGINT) AS total
+         FROM enrollments GROUP BY ALL)"""
+
+SQL["privacy_gate_pincode"] = with_roles("""
+SELECT state, district, pincode, total, CASE WHEN total >= 500 THEN 'compliant' ELSE 'suppressed' END AS status FROM pins""", _PIN_TOTALS)
+
+_PIN_GROWTH = growth_sql(["year"], scope=("state", "district", "pincode"), min_count=500)
+SQL["growth_pincode_yearly"] = f"""
+SELECT *, NULL AS error FROM ({_PIN_GROWTH}) g
+UNION ALL BY NAME
+SELECT state, district, pincode, 'Insufficient data for analysis (DPDP Suppression)' AS error
+FROM (WITH {ROLES}, {_PIN_TOTALS} SELECT * FROM pins) p WHERE total < 500"""
+
+_TYPED = """
+typed AS (SELECT try_strptime(date, '%d-%m-%Y')::DATE AS date, state, district, pincode, TRY_CAST(age_0_5 AS INTEGER) AS a,
+            TRY_CAST(age_5_17 AS INTEGER) AS b, TRY_CAST(age_18_greater AS INTEGER) AS c FROM raw_enrollment),
+checked AS (SELECT *, date IS NULL OR state IS NULL OR district IS NULL OR coalesce(a < 0, false) OR coalesce(b < 0, false)
+              OR coalesce(c < 0, false) AS bad FROM typed)"""
+
+SQL["ledger_load"] = with_roles("""
+SELECT 'older' AS load, count(*) AS total_rows, count(*) FILTER (WHERE NOT bad) AS inserted, count(*) FILTER (WHERE bad) AS errors, 'Completed' AS status
+FROM checked WHERE date < DATE '1996-01-01'
+UNION ALL
+SELECT 'all', count(*), count(*) FILTER (WHERE NOT bad AND NOT coalesce(date < DATE '1996-01-01', false)), count(*) FILTER (WHERE bad), 'Completed' FROM checked
+UNION ALL
+SELECT 'target', count(*) FILTER (WHERE NOT bad), count(*) FILTER (WHERE NOT bad), 0, 'Completed' FROM checked""",
+                                _export_ctes("enrollment") + "," + _TYPED)
+
+SQL["etl_csv_files"] = SQL["etl_clean_enrollment"].replace(
+    "p_district AS district", "CASE WHEN p_state = 'Asia' THEN p_district || chr(10) || 'Zone' ELSE p_district END AS district")
+
+SQL["new_cases_against_index"] = with_roles("""
+SELECT q.case_id, coalesce(c.ids, '') AS similar_cases, coalesce(c.context, '') AS context,
+       CASE WHEN c.context IS NULL THEN 'No knowledge base available yet. Please index historical anomalies.' END AS note
+FROM (SELECT case_id FROM cases, newest WHERE CAST(d AS DATE) + 30 > top) q
+LEFT JOIN (
+  SELECT query_id, string_agg('- ' || text, e'\\n' ORDER BY nn_rank) AS context, string_agg(near_id, ',' ORDER BY nn_rank) AS ids FROM (
+    SELECT a.case_id AS query_id, b.case_id AS near_id, b.text,
+           row_number() OVER (PARTITION BY a.case_id ORDER BY list_distance(a.vec, b.vec), b.case_id) AS nn_rank
+    FROM cases a JOIN cases b ON b.d < a.d JOIN newest ON CAST(a.d AS DATE) + 30 > top AND CAST(b.d AS DATE) + 30 <= top) t
+  WHERE nn_rank <= 3 GROUP BY 1) c ON q.case_id = c.query_id""", CASES.rstrip() + """,
+newest AS (SELECT max(CAST(d AS DATE)) AS top FROM cases)""")

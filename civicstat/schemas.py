@@ -93,3 +93,20 @@ INPUT_TABLES = {
     "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
                 "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
 }
+
+
+def constrained(schema: T.StructType, not_null=(), not_negative=()) -> T.StructType:
+    """The schema with constraints kept in the metadata of its fields."""
+    fields = []
+    for f in schema.fields:
+        rules = [r for r, names in (("not_null", not_null), ("not_negative", not_negative)) if f.name in names]
+        fields.append(T.StructField(f.name, f.dataType, f.nullable, {**f.metadata, "rules": rules}))
+    return T.StructType(fields)
+
+
+_FACT = ("date", "state", "district")
+CONSTRAINED = {
+    "enrollment": constrained(ENROLLMENTS, _FACT, ("age_0_5", "age_5_17", "age_18_greater")),
+    "biometric": constrained(BIOMETRIC, _FACT, ("bio_age_5_17", "bio_age_17_")),
+    "demographic": constrained(DEMOGRAPHIC, _FACT, ("demo_age_5_17", "demo_age_17_")),
+}

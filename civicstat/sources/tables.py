@@ -95,6 +95,15 @@ def biometric_attempts(spark: SparkSession, sf_dir: str, g: DataFrame | None = N
     )
 
 
+def biometric_lines(spark: SparkSession, sf_dir: str, g: DataFrame | None = None) -> DataFrame:
+    """Line grain, for figures that count raw rows."""
+    li = read(spark, sf_dir, "lineitem", "l_orderkey", "l_quantity", "l_linenumber")
+    o = _orders_geo(spark, sf_dir, g).select("o_orderkey", "o_orderdate", "state", "district")
+    return li.join(o, li.l_orderkey == o.o_orderkey).select(
+        F.to_date("o_orderdate").alias("date"), "state", "district", F.col("l_quantity").cast("int").alias("bio_age_5_17"),
+        (F.col("l_linenumber") * BIO_17_FACTOR).cast("int").alias("bio_age_17_"))
+
+
 def demographic_updates(spark: SparkSession, sf_dir: str, g: DataFrame | None = None) -> DataFrame:
     li = read(spark, sf_dir, "lineitem", "l_suppkey", "l_quantity", "l_linenumber", "l_shipdate")
     supp = read(spark, sf_dir, "supplier", "s_suppkey", "s_nationkey")

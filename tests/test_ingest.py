@@ -206,3 +206,43 @@ def test_replayed_batch_replaces_itself(spark, scratch):
         ingest_files(spark, [file], out, "enrollment", batch_id, os.path.join(scratch, f"staged{batch_id}"))
     assert spark.read.parquet(f"{out}/enrollment_clean").count() == 1
     assert sorted((r.batch_id, r.status) for r in read_ledger(spark, out, "enrollment").collect()) == [(0, "processed"), (1, "duplicate")]
+
+
+def test_broken_load_continues(spark, scratch, monkeypatch):
+    from pyspark.sql import types as T
+
+    from civicstat.schemas import constrained
+    schema = constrained(T.StructType([T.StructField("id", T.LongType()), T.StructField("n", T.IntegerType())]), ["id"], ["n"])
+    rows = [(i % 90, i % 7 - 1) for i in range(200)] + [(None, 1)]
+    spark.createDataFrame(rows, schema).write.parquet(f"{scratch}/src")
+    bad = sum(1 for i, n in rows if i is None or n < 0)
+    load, calls = sinks._load_batch, []
+
+    def breaks(*args):
+        calls.append(args[-1])
+        out = load(*args)
+        if len(calls) == 3:
+            raise RuntimeError("lost")  # written, not entered
+        return out
+
+    monkeypatch.setattr(sinks, "_load_batch", breaks)
+    try:
+        sinks.load_with_ledger(spark, f"{scratch}/src", f"{scratch}/t", "one", schema, batches=5)
+    except RuntimeError:
+        pass
+    done = sinks.load_with_ledger(spark, f"{scratch}/src", f"{scratch}/t", "one", schema, batches=5).head()
+    assert calls == [0, 1, 2, 2, 3, 4]
+    assert (done.total_rows, done.errors) == (201, bad)
+    assert sorted(map(tuple, sinks.loaded_rows(spark, f"{scratch}/t").collect())) == sorted(r for r in rows if r[0] is not None and r[1] >= 0)
+    again = sinks.load_with_ledger(spark, f"{scratch}/src", f"{scratch}/t", "two", schema, batches=5).head()
+    assert (again.inserted, again.errors) == (0, bad)
+    broken = spark.read.parquet(f"{scratch}/t/rejected/load=one")
+    assert {tuple(r.broken) for r in broken.collect()} == {("id_not_null",), ("n_not_negative",)}
+
+
+def test_repeated_recommendations_of_a_day_replace_themselves(spark, scratch):
+    recs = spark.createDataFrame([("A", "r", "q", "i", "High")], "district string, recommendation string, rationale string, "
+                                                                 "impact_estimate string, priority string")
+    for day in ("2024-01-01", "2024-01-01", "2024-01-02"):
+        sinks.store_recommendations(recs, f"{scratch}/recs", day)
+    assert sinks.list_recommendations(spark, f"{scratch}/recs").count() == 2

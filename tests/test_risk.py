@@ -61,3 +61,42 @@ def test_insufficient_data(spark, history):
     small = history.limit(20)
     model, info = risk.train_model(risk.risk_features(small))
     assert model is None and "Insufficient" in info["error"]
+
+
+def test_split_is_exact_in_every_class(spark):
+    import datetime as dt
+    rows = [(f"S{i % 3}", f"D{i}", dt.date(2024, 1 + i % 12, 1), int(i < 4)) for i in range(100)]
+    df = spark.createDataFrame(rows, "state string, district string, month date, label int")
+    got = risk.stratified_split(df).groupBy("label", "fold", "is_test").count().collect()
+    # 4 positives: one in the hold-out and one in each fold
+    assert {(r.label, r.fold, r.is_test): r["count"] for r in got} == {
+        (1, 0, True): 1, (1, 1, False): 1, (1, 2, False): 1, (1, 3, False): 1,
+        (0, 0, True): 19, (0, 1, False): 25, (0, 2, False): 26, (0, 3, False): 26}
+    assert risk.stratified_split(df.where("label = 0 OR district IN ('D0', 'D1', 'D2')")) is None
+    again = {(r.district, r.fold) for r in risk.stratified_split(df.repartition(7)).collect()}
+    assert again == {(r.district, r.fold) for r in risk.stratified_split(df).collect()}
+
+
+def test_rank_cuts_refine_bins_that_hold_many_hashes(spark):
+    # all hashes share their first 48 bits but for a few
+    hashes = [(1 << 50) + i for i in range(500)] + [1, 2, (1 << 59) + 5]
+    df = spark.createDataFrame([(0, h) for h in hashes], "label int, h long")
+    ordered = sorted(hashes)
+    ranks = [1, 2, 250, 501, 502, 503]
+    cuts = risk.rank_cuts(df, {0: ranks})[0]
+    for rank, cut in zip(ranks, cuts):
+        assert sum(h < cut for h in hashes) == rank and (rank == 503 or cut == ordered[rank])
+
+
+def test_asked_districts_without_model_or_data(spark):
+    asked = spark.createDataFrame([("S", "D"), ("S", "none"), ("S", "D")], "state string, district string")
+    rows = risk.risk_rows(None, None, asked).collect()
+    assert {(r.district, r.risk_score, r.error) for r in rows} == {("D", None, risk.NOT_TRAINED), ("none", None, risk.NOT_TRAINED)}
+
+
+def test_known_and_unknown_districts(spark, history):
+    model, _ = risk.train_model(risk.risk_features(history))
+    asked = spark.createDataFrame([("S1", "S1-D0"), ("S1", "nowhere")], "state string, district string")
+    rows = {r.district: r for r in risk.risk_rows(model, risk.latest_features(history), asked).collect()}
+    assert rows["S1-D0"].error is None and 0 <= rows["S1-D0"].risk_score <= 1
+    assert rows["nowhere"].error == risk.NO_DATA and rows["nowhere"].risk_score is None
