@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from civicstat.functions.scalar import round_half_even
-from civicstat.operators import anomaly, biometric, cases, forecast, growth, rawjoin, risk, saturation
+from civicstat.operators import anomaly, biometric, cases, daytable, forecast, growth, rawjoin, risk, saturation
 from civicstat.schemas import CONSTRAINED
 from civicstat.session import checkpoint_dir, materialize
 from civicstat.sources import ingest, sinks
@@ -155,6 +155,22 @@ def q_anomaly_report(spark, sf_dir):
     return rep.withColumn("detection_methods", F.array_join("detection_methods", ","))
 
 
+@register("anomaly_incremental")
+def q_anomaly_incremental(spark, sf_dir):
+    """The report from the day table: all but the last 40 days are loaded first,
+    then these, and only their months are summed again."""
+    base = f"{checkpoint_dir(spark).rstrip('/')}/days-{uuid.uuid4().hex}"
+    enr = materialize(Facts(spark, sf_dir).enrollments)
+    last = enr.agg(F.max("date").alias("d")).head()["d"]
+    late = F.date_add("date", 40) > F.lit(last)
+    daytable.append_rows(enr.where(~late), f"{base}/fact")
+    daytable.refresh_days(spark, f"{base}/fact", f"{base}/days")
+    months = daytable.append_rows(enr.where(late), f"{base}/fact")
+    daytable.refresh_days(spark, f"{base}/fact", f"{base}/days", months)
+    rep = anomaly.anomaly_report(daytable.read_days(spark, f"{base}/days"))
+    return rep.withColumn("detection_methods", F.array_join("detection_methods", ","))
+
+
 @register("anomaly_details")
 def q_anomaly_details(spark, sf_dir):
     return stable(anomaly.report_details(Facts(spark, sf_dir).enrollments)).withColumn("methods", F.array_join("methods", ","))
@@ -341,6 +357,7 @@ def q_ledger_load(spark, sf_dir):
         F.try_to_date("date", "dd-MM-yyyy").alias("date"), "state", "district", "pincode",
         F.col("age_0_5").try_cast("int").alias("age_0_5"), F.col("age_5_17").try_cast("int").alias("age_5_17"),
         F.col("age_18_greater").try_cast("int").alias("age_18_greater"))
+    rows = materialize(rows)
     rows.where("date < DATE'1996-01-01'").write.parquet(f"{base}/older")
     rows.write.parquet(f"{base}/all")
     out = []

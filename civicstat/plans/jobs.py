@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from civicstat.operators import anomaly, biometric, cases, risk
-from civicstat.session import apply_conf
+from civicstat.session import apply_conf, materialize
 from civicstat.sources.tables import Facts
 
 
@@ -20,8 +20,9 @@ def nightly(spark: SparkSession, sf_dir: str, out_dir: str, run_date: str,
             risk_threshold: float = risk.DEFAULT_RISK_THRESHOLD) -> dict:
     apply_conf(spark)
     f = Facts(spark, sf_dir)
-    alerts = anomaly.daily_scan(f.enrollments, f"{out_dir}/anomaly_alerts", run_date)
-    train = risk.training_set(f.enrollments, f.biometric, f.demographic)
+    enr, _ = f.daily  # both facts are read once, into the day table
+    alerts = anomaly.daily_scan(enr, f"{out_dir}/anomaly_alerts", run_date)
+    train = materialize(risk.training_set_from_days(f.days, f.demographic))
     model, info = risk.train_model(risk.risk_features(train, risk_threshold=risk_threshold))
     if model is not None:
         risk.save_model(model, f"{out_dir}/risk_model")
@@ -35,7 +36,8 @@ def weekly_policy(spark: SparkSession, sf_dir: str, out_dir: str, run_date: str,
                   threshold: float = 60.0) -> int:
     apply_conf(spark)
     f = Facts(spark, sf_dir)
-    low = biometric.low_performers(biometric.success_rates(f.enrollments, f.biometric), threshold)
-    req = cases.policy_requests(cases.problem_districts(low, anomaly.anomaly_report(f.enrollments)))
+    enr, bio = f.daily
+    low = biometric.low_performers(biometric.success_rates(enr, bio), threshold)
+    req = cases.policy_requests(cases.problem_districts(low, anomaly.anomaly_report(enr)))
     req.write.mode("overwrite").json(f"{out_dir}/policy_requests/run_date={run_date}")
     return spark.read.json(f"{out_dir}/policy_requests/run_date={run_date}").count()

@@ -158,7 +158,10 @@ class Facts:
 
     @property
     def days(self) -> DataFrame:
-        """Enrollments and attempts at day grain, from one pass over orders."""
+        """Enrollments and attempts at day grain, from one pass over orders
+        (or from the written table, if there is one)."""
+        if self._daily is not None:
+            return self._daily
         if self._days is None:
             self._days = daily_totals(self.spark, self.sf_dir, self.geo)
         return self._days
