@@ -100,3 +100,12 @@ def test_known_and_unknown_districts(spark, history):
     rows = {r.district: r for r in risk.risk_rows(model, risk.latest_features(history), asked).collect()}
     assert rows["S1-D0"].error is None and 0 <= rows["S1-D0"].risk_score <= 1
     assert rows["nowhere"].error == risk.NO_DATA and rows["nowhere"].risk_score is None
+
+
+def test_first_rounds_of_a_longer_fit_are_the_shorter_fit(spark, history):
+    f = risk.risk_features(history).select(*risk.FEATURES, risk.F.col("is_high_risk").cast("double").alias("label"))
+    ready = risk._preparation().fit(f).transform(f).select("label", "features").coalesce(1).cache()
+    long, short = (risk._boosted(n, 0.1).fit(ready) for n in (12, 5))
+    cut = risk.first_rounds(long, 5)
+    a, b = ([tuple(r.probability) for r in m.transform(ready).collect()] for m in (cut, short))
+    assert a == b and a != [tuple(r.probability) for r in long.transform(ready).collect()]
