@@ -14,7 +14,8 @@ from civicstat.llm import bpe, common, mixing, rules, simhash, substrings
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that no rule rejects."""
+    """Documents that no rule rejects. Null and empty texts go (too short);
+    repeated rows share a verdict; an empty table stays empty."""
     found, verdict = rules.screen(docs)
     return found.where(F.col(f"{verdict}.kept")).select(*docs.columns)
 
@@ -38,7 +39,9 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them."""
+    """Documents as often as the mix takes them: null sources are a source,
+    null ids share one key, empty texts take nothing and go unless a whole
+    epoch of their source is taken; an empty table stays empty."""
     mixed, m = mixing.mix(docs)
     each, = common.fresh(mixed, "epoch")
     return (mixed.where(F.col(f"{m}.copies") > 0)
@@ -46,7 +49,8 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Counts and digests of the ids and of the decoded bytes."""
+    """Counts and digests of the ids and of the decoded bytes, row by row; null
+    and empty texts have no ids; an empty table stays empty."""
     return bpe.bpe_digest(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
