@@ -141,8 +141,10 @@ def classify(docs: DataFrame, labels: DataFrame, shrink: float = SHRINK) -> Data
     """(doc_id, score) of every row of ``docs`` (doc_id, text); ``labels`` has (id, label).
 
     Null and empty texts have the statistics of no words and get a score like
-    any other. Repeated rows get equal scores; other columns are ignored. If
-    one label is missing all scores are that of the other (1.0 without any
+    any other; very long texts are measured whole. Repeated rows get equal
+    scores, and equal scores of different texts stand as they are; ids with
+    contradicting labels are to be left out of ``labels``. Other columns are
+    ignored. If one label is missing all scores are that of the other (1.0 without any
     label). An empty table gives no row.
     """
     stats = cut(with_statistics(docs))

@@ -210,8 +210,9 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
     """(doc_id, f, component_id) of every row of ``docs`` (doc_id, text).
 
     Null and empty texts have fingerprint 0, which links like any other.
-    Repeated rows stay and share a component; other columns are ignored; an
-    empty table gives no row.
+    Very long texts are hashed whole, one at a time; a bit set in exactly half
+    of the hashes is 0. Repeated rows stay and share a component; other columns
+    are ignored; an empty table gives no row.
     """
     prints, name = with_fingerprints(docs.select("doc_id", "text"), shingle)
     prints = cut(prints.select("doc_id", F.col(name).alias("f")))
@@ -221,7 +222,9 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
 def one_of_each(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """``docs`` (doc_id, text, any others) with one row of each component: the
     one with the smallest doc_id, null last, and of these the one with the
-    smallest fingerprint; of equal rows of that id and fingerprint one stays."""
+    smallest fingerprint; of equal rows of that id and fingerprint one stays.
+    Null and empty texts are one component, which leaves a row like any other.
+    An empty table gives no row."""
     prints, name = with_fingerprints(docs, shingle)
     prints = cut(prints)
     found = groups(prints.select("doc_id", F.col(name).alias("f")), max_bits)

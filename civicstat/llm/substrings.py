@@ -247,8 +247,10 @@ def dedup(docs: DataFrame, window: int = WINDOW, most_pieces: int = MOST_PIECES,
     Returns the frame and the struct's name, which avoids any column ``docs``
     has. A word goes if it lies in a window whose words also start in a
     document of smaller id; a null id counts as larger than all others and
-    equal ids as one document. Null and empty texts have no words; texts
-    shorter than a window lose none. An empty table gives no row.
+    equal ids as one document. Ids are whole numbers; text that does not read
+    as one raises. Null and empty texts have no words; texts shorter than a
+    window lose none; very long texts are cut into pieces, and all their windows
+    count. An empty table gives no row.
     """
     prepare(docs.sparkSession)
     out, own, mark, spans = fresh(docs, "dedup", "own_id", "mark", "spans")

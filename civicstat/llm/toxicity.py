@@ -223,8 +223,9 @@ def classify(docs: DataFrame, labels: DataFrame, half: Column) -> DataFrame:
 
     ``labels``: (id, label), one row per id; ``half``: 0 or 1 from ``id``,
     which splits the labelled rows for the curve. Null and empty texts are one
-    boundary and score like any other text; repeated rows get equal scores;
-    other columns are ignored. If a label is missing all scores are that of
+    boundary and score like any other text; very long texts count with all their
+    n-grams; repeated rows get equal scores, and ties stand as they are; other
+    columns are ignored. If a label is missing all scores are that of
     the other one (0.0 without any). An empty table gives no row.
     """
     spark = docs.sparkSession
