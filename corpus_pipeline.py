@@ -40,8 +40,8 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them: null sources are a source,
-    null ids share one key, empty texts take nothing and go unless a whole
-    epoch of their source is taken; an empty table stays empty."""
+    null ids share one key, empty texts count no words and stay as often as
+    their key says; an empty table stays empty."""
     mixed, m = mixing.mix(docs)
     each, = common.fresh(mixed, "epoch")
     return (mixed.where(F.col(f"{m}.copies") > 0)
