@@ -29,12 +29,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from civicstat.llm.common import fresh, prepare
+from civicstat.llm.common import fresh, prepare, small_batches
 
 CHUNK = 32_768
 OVERLAP = 512
 #: Pieces that one worker keeps with their ids.
 CACHE = 1 << 18
+#: Bytes of text whose pieces are held at once.
+SLICE = 1 << 20
 #: Bytes above which a piece is merged by a heap.
 LONG_PIECE = 128
 
@@ -283,7 +285,7 @@ def encode(docs: DataFrame, path: str, pattern: str, chunk: int = CHUNK, overlap
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path, pattern)
-        for batch in batches:
+        for batch in small_batches(batches, at, SLICE):
             stitched = batch.column(width).to_pylist() if batch.num_columns > width else [None] * batch.num_rows
             pieces = [
                 _cut_at(t, stitch(c, t, [(x["start"], x["stop"], x["ends"]) for x in parts])) if parts
