@@ -268,20 +268,26 @@ def _chunk_bounds(texts: DataFrame, path: str, pattern: str, chunk: int, overlap
     return found.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("start", "stop", "ends"))).alias("chunks"))
 
 
-def encode(docs: DataFrame, path: str, pattern: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> tuple[DataFrame, str]:
-    """``docs`` (text, any others) with an array<int> column of ids.
-
-    Returns the frame and the column's name, which avoids any column ``docs``
-    has. ``path`` is a rank file that driver and executors can read. Null and
-    empty texts have no ids. Repeated rows stay; copies of one long text are
-    pre-tokenised once. An empty table gives no row.
-    """
+def _bytes_of(c: Codec, lists: pa.Array) -> pa.Array:
+    """The bytes of each list of ids, joined; a null list has none."""
+    data, sizes = c.decode(lists.flatten().to_numpy(zero_copy_only=False))
+    upto = np.concatenate([[0], np.cumsum(sizes)])
+    counts = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    ends = upto[np.concatenate([[0], np.cumsum(counts)])].astype(np.int32)
+    return pa.BinaryArray.from_buffers(pa.binary(), len(lists), [None, pa.py_buffer(ends), pa.py_buffer(data)])
+
+
+def _encoded(docs: DataFrame, path: str, pattern: str, chunk: int, overlap: int, keep: list[str], out: list[str]) -> DataFrame:
+    """The columns ``keep`` of ``docs`` with the ids of its texts and, if ``out``
+    has a second name, the bytes that the ids decode to, from one worker."""
     if not 0 < 2 * overlap <= chunk:
         raise ValueError("chunks must be longer than two overlaps")
     prepare(docs.sparkSession)
-    out, key, chunks = fresh(docs, "ids", "text_key", "chunks")
+    key, chunks = fresh(docs, "text_key", "chunks")
     at, width = docs.columns.index("text"), len(docs.columns)
-    schema = T.StructType([*docs.schema.fields, T.StructField(out, T.ArrayType(T.IntegerType()))])
+    kept = [docs.columns.index(c) for c in keep]
+    schema = T.StructType([*[docs.schema[c] for c in keep],
+                           *[T.StructField(c, t) for c, t in zip(out, (T.ArrayType(T.IntegerType()), T.BinaryType()))]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path, pattern)
@@ -292,14 +298,36 @@ def encode(docs: DataFrame, path: str, pattern: str, chunk: int = CHUNK, overlap
                 else c.pattern.findall(t or "") for t, parts in zip(batch.column(at).to_pylist(), stitched)]
             ids, counts = c.encode(pieces)
             lists = pa.ListArray.from_arrays(_offsets(counts), pa.array(ids))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:width], lists], [f.name for f in schema.fields])
+            found = [lists, _bytes_of(c, lists)] if len(out) > 1 else [lists]
+            yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in kept], *found], schema.names)
 
     long = F.coalesce(F.length("text"), F.lit(0)) > chunk
     keyed = docs.where(long).withColumn(key, F.unhex(F.sha2(F.col("text").cast("binary"), 256)))
     texts = keyed.groupBy(F.col(key).alias("key")).agg(F.first("text").alias("text"))
     bounds = _chunk_bounds(texts, path, pattern, chunk, overlap).withColumnsRenamed({"key": key, "chunks": chunks})
     joined = keyed.join(bounds, key).drop(key)
-    return docs.where(~long).mapInArrow(run, schema).unionByName(joined.mapInArrow(run, schema)), out
+    return docs.where(~long).mapInArrow(run, schema).unionByName(joined.mapInArrow(run, schema))
+
+
+def encode(docs: DataFrame, path: str, pattern: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> tuple[DataFrame, str]:
+    """``docs`` (text, any others) with an array<int> column of ids.
+
+    Returns the frame and the column's name, which avoids any column ``docs``
+    has. ``path`` is a rank file that driver and executors can read. Null and
+    empty texts have no ids. Repeated rows stay; copies of one long text are
+    pre-tokenised once. An empty table gives no row.
+    """
+    out = fresh(docs, "ids")
+    return _encoded(docs, path, pattern, chunk, overlap, docs.columns, out), out[0]
+
+
+def round_trip(docs: DataFrame, path: str, pattern: str, chunk: int = CHUNK,
+               overlap: int = OVERLAP) -> tuple[DataFrame, str, str]:
+    """``encode`` and ``decode`` by one worker for each task instead of two:
+    ``docs`` without its texts, with a column of ids and one of the bytes that
+    the ids decode to."""
+    ids, raw = out = fresh(docs, "ids", "decoded")
+    return _encoded(docs, path, pattern, chunk, overlap, [c for c in docs.columns if c != "text"], out), ids, raw
 
 
 def decode(encoded: DataFrame, ids: str, path: str, pattern: str) -> tuple[DataFrame, str]:
@@ -310,20 +338,14 @@ def decode(encoded: DataFrame, ids: str, path: str, pattern: str) -> tuple[DataF
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path, pattern)
         for batch in batches:
-            lists = batch.column(at)
-            data, sizes = c.decode(lists.flatten().to_numpy(zero_copy_only=False))
-            upto = np.concatenate([[0], np.cumsum(sizes)])
-            counts = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
-            ends = upto[np.concatenate([[0], np.cumsum(counts)])].astype(np.int32)
-            raw = pa.BinaryArray.from_buffers(pa.binary(), len(lists), [None, pa.py_buffer(ends), pa.py_buffer(data)])
+            raw = _bytes_of(c, batch.column(at))
             yield pa.RecordBatch.from_arrays([*batch.columns, raw], [*batch.schema.names, out])
 
     return encoded.mapInArrow(run, T.StructType([*encoded.schema.fields, T.StructField(out, T.BinaryType())])), out
 
 
 def bpe_digest(documents: DataFrame, path: str, pattern: str) -> DataFrame:
-    encoded, ids = encode(documents.select("doc_id", "text"), path, pattern)
-    both, raw = decode(encoded.drop("text"), ids, path, pattern)
+    both, ids, raw = round_trip(documents.select("doc_id", "text"), path, pattern)
     return both.select(
         "doc_id", F.size(ids).cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(" ", F.col(ids).cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),

@@ -51,6 +51,18 @@ def test_bpe_equals_the_library(odd, chunk, overlap):
     assert bpe.encode(docs.limit(0), brute.VOCABULARY, public_tokenizers.PATTERN)[0].count() == 0
 
 
+def test_one_worker_encodes_and_decodes(odd):
+    import public_tokenizers
+    docs = odd.drop("ids", "decoded")
+    both, ids, raw = bpe.round_trip(docs, brute.VOCABULARY, public_tokenizers.PATTERN, 64, 8)
+    assert both.columns == [*[c for c in docs.columns if c != "text"], ids, raw]
+    got = sorted((str(r.doc_id), list(r[ids]), bytes(r[raw])) for r in both.collect())
+    assert got == sorted((str(r.doc_id), brute.TOKENIZER.encode_ordinary(r.text or ""), (r.text or "").encode()) for r in docs.collect())
+    # short texts, parts of long texts, long texts: no second worker for each task
+    plan = bpe.bpe_digest(docs, brute.VOCABULARY, public_tokenizers.PATTERN)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 3
+
+
 def test_stitching_resynchronises():
     import public_tokenizers
     c, rng = bpe.codec(brute.VOCABULARY, public_tokenizers.PATTERN), random.Random(1)
