@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 # Fixed values that must equal the reference for equal results.
 DATE_PATTERN = "d-M-yyyy"          # strict day-month-year, single digits allowed
+ENDS_IN_YEAR = "[0-9]{4}$"
 _DIGITS = "[0-9]+(?:_[0-9]+)*"
 _SPACES = r"[\s\x1c-\x1f]*"
 NUMBER_REGEX = rf"(?U)^{_SPACES}([+-]?(?:{_DIGITS}\.?(?:{_DIGITS})?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?){_SPACES}$"
@@ -22,8 +23,13 @@ def col_(c: str | Column) -> Column:
 
 
 def parse_date(c: str | Column) -> Column:
-    """Day-month-year text to DATE; anything else becomes NULL."""
-    return F.try_to_date(col_(c), DATE_PATTERN)
+    """Day-month-year text to DATE; anything else becomes NULL.
+
+    The parser throws and catches an exception for every text it rejects. The
+    pattern's year has at least four digits and ends the text, so texts without
+    them (ISO dates, empty ones) are NULL before it.
+    """
+    return F.when(col_(c).rlike(ENDS_IN_YEAR), F.try_to_date(col_(c), DATE_PATTERN))
 
 
 def _tidy(c: Column) -> Column:
@@ -88,7 +94,9 @@ def number(c: str | Column) -> Column:
     the rest.
     """
     raw = col_(c).cast("string")
-    strict = F.replace(F.regexp_extract(raw, NUMBER_REGEX, 1), F.lit("_"), F.lit("")).try_cast("double")
+    # no match is an empty text, for which the cast would throw and catch an exception
+    found = F.nullif(F.regexp_extract(raw, NUMBER_REGEX, 1), F.lit(""))
+    strict = F.replace(found, F.lit("_"), F.lit("")).try_cast("double")
     return F.coalesce(F.when(_tidy(raw) & (F.lower(raw) == F.upper(raw)), raw.try_cast("double")), strict)
 
 

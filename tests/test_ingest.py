@@ -246,3 +246,19 @@ def test_repeated_recommendations_of_a_day_replace_themselves(spark, scratch):
     for day in ("2024-01-01", "2024-01-01", "2024-01-02"):
         sinks.store_recommendations(recs, f"{scratch}/recs", day)
     assert sinks.list_recommendations(spark, f"{scratch}/recs").count() == 2
+
+
+def test_texts_without_a_year_do_not_reach_the_date_parser(spark):
+    from pyspark.sql import functions as F
+
+    from civicstat.functions import scalar
+    texts = ["1-2-2024", "01-02-2024", "31-02-2024", "2024-01-01", "01-02-24", "1-2-12024", "1-2-+12024", "1-2--0044", " 1-2-2024",
+             "1-2-2024 ", "1-2-2024\n", "", "x", "1234", "0001-02-2024", "1-2-0000", "\u0661-\u0662-\u0662\u0660\u0662\u0664", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = df.select("t", scalar.parse_date("t").cast("string").alias("d"),
+                    F.try_to_date("t", scalar.DATE_PATTERN).cast("string").alias("plain"))
+    rows = got.collect()
+    assert [r.d for r in rows] == [r.plain for r in rows] and sum(r.d is not None for r in rows) >= 2
+    # each exception of the parser costs more than the rest of the row
+    assert scalar.ENDS_IN_YEAR in df.select(scalar.parse_date("t"))._jdf.queryExecution().optimizedPlan().toString()
+    assert [r[0] for r in df.limit(18).select(scalar.number("t")).collect()].count(None) == len(texts) - 1
