@@ -12,7 +12,9 @@ bounds the distance of its k-th neighbour. Then it visits units in growing
 rounds of cells, nearest bound first, and only those whose bound is not above
 the k-th distance so far; it is done when no unit is left. Visits are rows,
 pairs never are: a unit and the queries that visit it meet in one group, many
-queries of a unit in several, and numpy keeps the k best of each query.
+queries of a unit in several, and numpy keeps the k best of each query. Cells of
+one unit that are near each other share a bin, and a query travels once to a bin
+with the list of the cells it visits there, not once to each cell.
 
 An index can be stored, partitioned by cell, and new rows added to it; a search
 then reads the cells that are visited. An index of one unit needs one round.
@@ -31,10 +33,11 @@ from pyspark.sql import types as T
 
 from civicstat.session import materialize, ship_package
 
-# Vectors of a unit of the index, and queries of a group: a group holds at most
-# about tile_rows vectors of each side plus a QUERY_CHUNK x tile_rows distance
-# block (256 x 32768 doubles = 64 MiB).
+# Vectors of a unit of the index. A group holds at most about BIN times as many
+# of each side plus a QUERY_CHUNK x tile_rows distance block (256 x 32768
+# doubles = 64 MiB).
 DEFAULT_TILE_ROWS = 32768
+BIN = 2
 MOST_PIVOTS = 1024
 QUERY_CHUNK = 256
 GROW = 4   # each round looks at so many times the cells of the one before
@@ -185,13 +188,17 @@ class CellIndex:
 
 
 def _write_cells(rows: DataFrame, path: str, mode: str) -> None:
+    rows = rows.withColumn("v", F.col("v").cast("array<double>"))
     (rows.repartitionByRange("cell", "r").sortWithinPartitions("cell", "r")
      .write.mode(mode).partitionBy("cell").parquet(path))
 
 
 def _columns(df: DataFrame, row_id: str, vec: str, before: str | None, name: str = "iid") -> DataFrame:
     at = F.col(before).cast("string") if before else F.lit("")
-    return (df.select(F.col(row_id).alias(name), F.col(vec).cast("array<double>").alias("v"), at.alias("at"))
+    # single precision travels as it is; numpy computes in double
+    single = isinstance(df.schema[vec].dataType, T.ArrayType) and isinstance(df.schema[vec].dataType.elementType, T.FloatType)
+    v = F.col(vec) if single else F.col(vec).cast("array<double>")
+    return (df.select(F.col(row_id).alias(name), v.alias("v"), at.alias("at"))
             .where("v IS NOT NULL AND at IS NOT NULL"))
 
 
@@ -206,35 +213,65 @@ def _units(rows: DataFrame, tile_rows: int) -> tuple[DataFrame, DataFrame]:
             .select("cell", F.array_distinct(F.transform(cut, lambda i: F.element_at("q", F.greatest(F.lit(1), F.least(
                 F.lit(63), F.rint(i * 64 * tile_rows / F.col("n")).cast("int")))))).alias("ends")))
     ring = F.coalesce(F.size(F.filter("ends", lambda e: e < F.col("r"))), F.lit(0))
-    rows = rows.join(ends, "cell", "left").withColumn("ring", F.when(F.col("ends").isNull(), 0).otherwise(ring)).drop("ends")
+    # ends has a row for a cell at most, parts one for a ring
+    rows = rows.join(F.broadcast(ends), "cell", "left").withColumn("ring", F.when(F.col("ends").isNull(), 0).otherwise(ring)).drop("ends")
     parts = (rows.groupBy("cell", "ring").agg(F.count("*").alias("in_ring"))
              .select("cell", "ring", F.ceil(F.col("in_ring") / tile_rows).cast("int").alias("parts")))
     unit = F.concat_ws("-", "cell", "ring", F.pmod(F.xxhash64("iid"), "parts"))
-    rows = rows.join(parts, ["cell", "ring"]).select("cell", unit.alias("unit"), "r", "iid", "v", "at")
+    rows = rows.join(F.broadcast(parts), ["cell", "ring"]).select("cell", unit.alias("unit"), "r", "iid", "v", "at")
     units = rows.groupBy("cell", "unit").agg(F.min("r").alias("low"), F.max("r").alias("high"), F.count("*").alias("n"), F.min("at").alias("since"))
     return rows, units
 
 
-def _visited(rows: DataFrame, visits: DataFrame, k: int, exclude_self: bool, ordered: bool, tile_rows: int, id_type) -> DataFrame:
+def _bins(pivots: np.ndarray, spans: list, size: int) -> np.ndarray:
+    """The bin of each of the cells ``spans``: neighbours with about ``size`` rows
+    in all; -1 for cells of several units, which are visited by the unit."""
+    p = pivots[[s["cell"] for s in spans]]
+    out, left = np.full(len(spans), -1), np.array([s["units"] == 1 for s in spans])
+    at, used, number = 0, 0, -1
+    while left.any():
+        at = int(np.where(left, ((p - p[at]) ** 2).sum(axis=1), np.inf).argmin())
+        left[at] = False
+        if number < 0 or used + spans[at]["n"] > size:
+            number, used = number + 1, 0
+        out[at], used = number, used + spans[at]["n"]
+    return out
+
+
+def _visited(rows: DataFrame, visits: DataFrame, k: int, exclude_self: bool, ordered: bool, tile_rows: int, id_type,
+             places: int = 1) -> DataFrame:
     """(query_id, neighbor_id, distance): the k nearest of each visit (unit,
-    qid, v, at). Queries of a unit are dealt to as many groups as their number
+    qid, v, at, cells) to one of ``places`` units or bins, of a bin in the
+    ``cells`` named. Queries of a unit are dealt to as many groups as their number
     needs, and the unit's rows go to each."""
     cores = visits.sparkSession.sparkContext.defaultParallelism
     # small inputs still make a group for every core
-    deal = F.ceil(F.greatest(F.col("m") / tile_rows, F.least(F.lit(cores), F.col("m") / QUERY_CHUNK))).cast("int")
+    deal = F.ceil(F.greatest(F.col("m") / (BIN * tile_rows), F.least(F.lit(cores / places), F.col("m") / QUERY_CHUNK))).cast("int")
     asked = visits.groupBy("unit").agg(F.count("*").alias("m")).select("unit", deal.alias("groups"))
     q = (visits.join(asked, "unit").withColumn("part", F.pmod(F.xxhash64("qid"), "groups").cast("int"))
-         .select("unit", "part", "qid", "v", "at"))
+         .select("unit", "part", "qid", "v", "at", "cells"))
     i = (rows.join(asked, "unit").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)))
-         .select("unit", "part", "iid", "v", "at"))
+         .select("unit", "part", "iid", "v", "at", "cell"))
     schema = T.StructType([T.StructField("query_id", id_type), T.StructField("neighbor_id", rows.schema["iid"].dataType),
                            T.StructField("distance", T.DoubleType())])
 
-    def block(qp, ip):
+    def near(qp, ip):
         qid, nid, dist = _top_k_block(qp["qid"].tolist(), list(qp["v"]), ip["iid"].tolist(), list(ip["v"]), k, exclude_self,
                                       *((qp["at"].tolist(), ip["at"].tolist()) if ordered else ()))
         return pd.DataFrame({"query_id": qid, "neighbor_id": nid, "distance": dist})
 
+    def block(qp, ip):
+        if not len(qp) or qp["cells"].iloc[0] is None:
+            return near(qp, ip)
+        at = np.repeat(np.arange(len(qp)), [len(c) for c in qp["cells"]])
+        cell = np.concatenate(list(qp["cells"]))
+        found = [near(qp.iloc[at[cell == c]], own) for c, own in ip.groupby("cell") if (cell == c).any()]
+        if len(found) < 2:
+            return found[0] if found else near(qp.iloc[:0], ip)
+        # the k best of each query in all cells of the bin
+        return (pd.concat([f for f in found if len(f)] or found[:1]).sort_values(["distance", "neighbor_id"])
+                .groupby("query_id", sort=False, dropna=False).head(k))
+
     ship_package(visits.sparkSession)
     return q.groupBy("unit", "part").cogroup(i.groupBy("unit", "part")).applyInPandas(block, schema)
 
@@ -244,12 +281,17 @@ def _best(found: DataFrame, k: int) -> DataFrame:
     return found.withColumn("nn_rank", F.row_number().over(w)).filter(F.col("nn_rank") <= k)
 
 
-def _cells_of(queries: DataFrame, index: CellIndex, spans: list, first: int, last: int) -> DataFrame:
+def _cells_of(queries: DataFrame, index: CellIndex, spans: list, bins: np.ndarray, ordered: bool, first: int, last: int) -> DataFrame:
     """The cells number ``first`` to ``last`` of each open query (qid, v, at,
-    best) in order of their bounds, as far as the bounds are not above its
-    ``best``; with the distance to the pivot."""
+    best, done) in order of their bounds, as far as the bounds are not above its
+    ``best``. Cells in bins make a row for each bin: its name as the unit, the
+    list of the cells and their number of rows; others one for each cell, with
+    the distance to the pivot."""
     pivots = index.pivots
-    cell, low, high = (np.array([s[c] for s in spans]) for c in ("cell", "low", "high"))
+    cell, low, high, n = (np.array([s[c] for s in spans]) for c in ("cell", "low", "high", "n"))
+    since = np.array([s["since"] for s in spans], object)
+    unit = np.array([f"{c}-0-0" for c in cell], object)
+    names = ["qid", "v", "at", "best", "done", "cell", "d", "unit", "cells", "n"]
 
     def run(batches):
         for b in batches:
@@ -260,12 +302,31 @@ def _cells_of(queries: DataFrame, index: CellIndex, spans: list, first: int, las
             order = np.lexsort((d, bound), axis=1)[:, first:last]
             near = np.take_along_axis(bound, order, 1) <= b["best"].to_numpy()[:, None]
             q, j = np.nonzero(near)
-            out = b.iloc[q][["qid", "v", "at", "best", "done"]].copy()
-            out["cell"], out["d"] = cell[order[q, j]].astype(np.int32), d[q, order[q, j]]
-            yield out
+            c = order[q, j]
+            done, at = b["done"].to_numpy(object)[q], b["at"].to_numpy(object)[q]
+            open_ = (bins[c] < 0) | (unit[c] != done)
+            if ordered:
+                open_ &= (bins[c] < 0) | (since[c] < at).astype(bool)
+            q, c = q[open_], c[open_]
+            alone = bins[c] < 0
+            out = b.iloc[q[alone]][["qid", "v", "at", "best", "done"]].copy()
+            out["cell"], out["d"], out["n"] = cell[c[alone]].astype(np.int32), d[q[alone], c[alone]], 0
+            out["unit"] = out["cells"] = pd.Series([None] * len(out), out.index, object)
+            yield out[names]
+            q, c = q[~alone], c[~alone]
+            by = np.lexsort((bins[c], q))
+            q, c = q[by], c[by]
+            new = np.flatnonzero(np.r_[True, (q[1:] != q[:-1]) | (bins[c[1:]] != bins[c[:-1]])]) if len(q) else np.zeros(0, int)
+            out = b.iloc[q[new]][["qid", "v", "at", "best", "done"]].copy()
+            out["cell"], out["d"] = np.int32(-1), 0.0
+            out["n"] = np.add.reduceat(n[c], new) if len(new) else 0
+            out["unit"] = pd.Series([f"bin-{x}" for x in bins[c[new]]], out.index, object)
+            out["cells"] = pd.Series([cell[x].tolist() for x in np.split(c, new[1:])] if len(new) else [], out.index, object)
+            yield out[names]
 
     schema = T.StructType([*[queries.schema[c] for c in ("qid", "v", "at", "best", "done")],
-                           T.StructField("cell", T.IntegerType()), T.StructField("d", T.DoubleType())])
+                           T.StructField("cell", T.IntegerType()), T.StructField("d", T.DoubleType()), T.StructField("unit", T.StringType()),
+                           T.StructField("cells", T.ArrayType(T.IntegerType())), T.StructField("n", T.LongType())])
     return queries.select("qid", "v", "at", "best", "done").mapInPandas(run, schema)
 
 
@@ -280,47 +341,64 @@ def search(queries: DataFrame, index: CellIndex, k: int = 3, query_id: str = "id
     asked = _columns(queries, query_id, vec, before, "qid")
     id_type = queries.schema[query_id].dataType
 
-    def block(rows: DataFrame, visits: DataFrame) -> DataFrame:
-        return _visited(rows, visits, k, exclude_self, before is not None, tile_rows, id_type)
+    def block(rows: DataFrame, visits: DataFrame, places: int = 1) -> DataFrame:
+        return _visited(rows, visits, k, exclude_self, before is not None, tile_rows, id_type, places)
 
+    whole = F.lit(None).cast("array<int>").alias("cells")
     if len(index.pivots) == 1 and (n := index.rows.count()) <= tile_rows:
         if compared is not None:
             compared.append(n * asked.count())
-        return _best(block(index.rows.withColumn("unit", F.lit("all")), asked.withColumn("unit", F.lit("all"))), k)
+        return _best(block(index.rows.withColumn("unit", F.lit("all")), asked.select("*", F.lit("all").alias("unit"), whole)), k)
 
     rows, units = _units(index.rows, tile_rows)
     units = materialize(units)
     # one row for each cell: MOST_PIVOTS at most
-    spans = units.groupBy("cell").agg(F.min("low").alias("low"), F.max("high").alias("high")).collect()
+    spans = units.groupBy("cell").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("n"),
+                                      F.count("*").alias("units"), F.min("since").alias("since")).collect()
+    bins = _bins(index.pivots, spans, BIN * tile_rows)
+    bin_of = dict(zip([s["cell"] for s in spans], bins.tolist()))
+    several = [c for c, x in bin_of.items() if x < 0]
+    bin_ = F.element_at(F.array(*[F.lit(bin_of.get(c, -1)) for c in range(len(index.pivots))]), F.col("cell") + 1)
+    rows = rows.withColumn("unit", F.when(bin_ >= 0, F.concat(F.lit("bin-"), bin_)).otherwise(F.col("unit")))
+    big = units.where(F.col("cell").isin(several)).withColumnsRenamed({"unit": "one", "n": "in_one"})
     state = asked.withColumns({"best": F.lit(float("inf")), "done": F.lit("")})
     found, first, last = None, 0, 1
     while first < len(spans):
-        bound = F.greatest(F.col("low") - F.col("d"), F.col("d") - F.col("high")) - SLACK * (F.col("d") + F.col("high"))
-        near = (_cells_of(state, index, spans, first, last).join(units, "cell").withColumn("bound", bound)
-                .where((F.col("bound") <= F.col("best")) & (F.col("unit") != F.col("done"))))
-        if before:
-            near = near.where(F.col("since") < F.col("at"))
-        if found is None:
-            # the most promising unit alone bounds the k-th distance
-            nth = Window.partitionBy("qid").orderBy(F.greatest("bound", F.lit(0.0)), F.desc("n"), "unit")
-            near = near.withColumn("nth", F.row_number().over(nth)).where("nth = 1").drop("nth")
-        visits = materialize(near.select("qid", "v", "at", "unit", "n"))
+        near = _cells_of(state, index, spans, bins, before is not None, first, last)
+        if several:
+            bound = F.greatest(F.col("low") - F.col("d"), F.col("d") - F.col("high")) - SLACK * (F.col("d") + F.col("high"))
+            visit = (bound <= F.col("best")) & (F.col("one") != F.col("done"))
+            if before:
+                visit = visit & (F.col("since") < F.col("at"))
+            near = (near.join(big, "cell", "left").where(F.col("unit").isNotNull() | visit).withColumn("bound", bound)
+                    .withColumns({"unit": F.coalesce("unit", "one"), "n": F.coalesce("in_one", "n")}))
+            if found is None:
+                # the most promising unit alone bounds the k-th distance
+                nth = Window.partitionBy("qid").orderBy(F.greatest("bound", F.lit(0.0)), F.desc("n"), "unit")
+                near = near.withColumn("nth", F.row_number().over(nth)).where("nth = 1").drop("nth")
+        visits = materialize(near.select("qid", "v", "at", "unit", "cells", "n"))
+        pairs, places = visits.agg(F.sum("n"), F.count_distinct("unit")).head()
         if compared is not None:
-            compared.append(visits.agg(F.sum("n")).head()[0] or 0)
-        cells = [r["cell"] for r in visits.select(F.split("unit", "-")[0].cast("int").alias("cell")).distinct().collect()]
-        new = block(rows.where(F.col("cell").isin(cells)), visits.drop("n"))
+            compared.append(pairs or 0)
+        own = F.coalesce("cells", F.array(F.split("unit", "-")[0].try_cast("int")))
+        cells = [r["cell"] for r in visits.select(F.explode(own).alias("cell")).distinct().collect()]
+        new = block(rows.where(F.col("cell").isin(cells)), visits.drop("n"), max(places, 1))
         initial = found is None
         found = materialize(_best(new if initial else found.drop("nn_rank").unionByName(new), k))
         kth = found.where(F.col("nn_rank") == k).select(F.col("query_id").alias("qid"), F.col("distance").alias("best"))
         state = state.drop("best").join(kth, "qid", "left").withColumn("best", F.coalesce("best", F.lit(float("inf"))))
         if initial:
-            # the rest of the first cell is still to be visited
-            state = state.drop("done").join(visits.select("qid", F.col("unit").alias("done")), "qid", "left").withColumn(
+            # the rest of the first cell is still to be visited, if it has several units
+            done = F.coalesce(F.concat(F.col("cells")[0].cast("string"), F.lit("-0-0")), F.col("unit"))
+            state = state.drop("done").join(visits.select("qid", done.alias("done")), "qid", "left").withColumn(
                 "done", F.coalesce("done", F.lit("")))
+            if not several:
+                first, last = 1, min(len(spans), GROW)
         else:
             first, last = last, min(len(spans), last * GROW)
         state = materialize(state.select("qid", "v", "at", "best", "done"))
-    return found if found is not None else _best(block(index.rows.withColumn("unit", F.lit("all")), asked.withColumn("unit", F.lit("all"))), k)
+    return found if found is not None else _best(
+        block(index.rows.withColumn("unit", F.lit("all")), asked.select("*", F.lit("all").alias("unit"), whole)), k)
 
 
 def nearest(queries: DataFrame, index: DataFrame, k: int = 3, query_id: str = "id",

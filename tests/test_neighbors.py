@@ -54,6 +54,27 @@ def test_few_pairs_are_compared(spark):
     assert sum(compared) < 0.25 * len(vecs) ** 2
 
 
+def test_queries_travel_once_to_a_bin_of_cells(spark, monkeypatch):
+    # no bound holds here, so every query visits every cell
+    from civicstat.operators import neighbors
+    vecs = np.random.default_rng(8).normal(size=(600, 24)).astype(np.float32).astype(float)
+    df = frame(spark, vecs).selectExpr("id", "cast(vec as array<float>) vec", "day")
+    sent, kinds, visited = [], set(), neighbors._visited
+
+    def counted(rows, visits, *args):
+        sent.append(visits.count())
+        kinds.update((rows.schema["v"].dataType.elementType.typeName(), visits.schema["v"].dataType.elementType.typeName()))
+        return visited(rows, visits, *args)
+
+    monkeypatch.setattr(neighbors, "_visited", counted)
+    compared = []
+    got = ranked(nearest(df, df, k=3, exclude_self=True, tile_rows=32, compared=compared).collect())
+    assert got == plain(vecs, 3, lambda q, i: q != i)
+    cells = 4 * len(vecs) / 32
+    assert sum(compared) > 0.9 * len(vecs) ** 2 and sum(sent) < 0.5 * len(vecs) * cells
+    assert kinds == {"float"}
+
+
 def test_stored_index_takes_new_rows_once(spark, scratch):
     vecs = clustered(240)
     ids = np.arange(len(vecs))
