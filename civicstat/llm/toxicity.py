@@ -34,8 +34,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from civicstat.llm import wordgrams
-from civicstat.llm.common import cut, one_label, prepare, remainder
+from civicstat.llm import gramblocks, wordgrams
+from civicstat.llm.common import brief_files, cut, discard, one_label, prepare, remainder, written
 
 SYMBOLS = 32
 ORDER = 5
@@ -228,12 +228,17 @@ def classify(docs: DataFrame, labels: DataFrame, half: Column) -> DataFrame:
     columns are ignored. If a label is missing all scores are that of
     the other one (0.0 without any). An empty table gives no row.
     """
+    prepare(docs.sparkSession)
+    with brief_files(docs.sparkSession):
+        return _classify(docs, labels, half)
+
+
+def _classify(docs: DataFrame, labels: DataFrame, half: Column) -> DataFrame:
     spark = docs.sparkSession
-    prepare(spark)
     known = labels.withColumn("half", half.cast("int"))
     # labels grow with the corpus: a shuffle at every size, never a broadcast
     own = docs.select("doc_id", "text")
-    labelled = cut(own.join(known.hint("merge"), own["doc_id"] == known["id"]).select("text", "label", "half"))
+    labelled, labelled_path = written(own.join(known.hint("merge"), own["doc_id"] == known["id"]).select("text", "label", "half"))
     seen = count_grams(labelled).toArrow()
     label, side, gram, n = (seen.column(i).to_numpy() for i in range(4))
     if not {0, 1} <= set(np.unique(label).tolist()):
@@ -251,7 +256,9 @@ def classify(docs: DataFrame, labels: DataFrame, half: Column) -> DataFrame:
     models = spark.sparkContext.broadcast([zlib.compress(ratios(keep), 1) for keep in (
         np.ones(len(gram), bool), side == 1, side == 0)])  # from all rows, for half 0, for half 1
     del seen, label, side, gram, n
-    weights = cut(wordgrams.weigh(wordgrams.count_trigrams(labelled)))
+    text_bytes = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    model = gramblocks.learn(labelled, text_bytes)
+    discard(spark, labelled_path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -276,7 +283,7 @@ def classify(docs: DataFrame, labels: DataFrame, half: Column) -> DataFrame:
     letters = cut(rows.mapInArrow(run, schema))
     # repeated rows add up under one number
     copies = letters.groupBy("row").agg(F.count("*").alias("copies"))
-    parts = copies.join(wordgrams.sums(rows, weights), "row", "left")
+    parts = copies.join(gramblocks.sums(rows, model), "row", "left")
 
     def other(name: str) -> Column:
         return F.when(F.col("half") == 0, F.col(f"{name}0")).otherwise(F.col(f"{name}1")).alias(f"{name}x")
@@ -286,6 +293,7 @@ def classify(docs: DataFrame, labels: DataFrame, half: Column) -> DataFrame:
 
     scored = cut(letters.join(parts, "row").select(
         "doc_id", "gain", "loss", other("gain"), other("loss"), *[each(f"{c}{x}") for c in wordgrams.PARTS for x in ("", "x")]))
+    model.drop()
     used = ["gain", "loss", *wordgrams.PARTS]
     fitted = cut(scored.join(known, scored["doc_id"] == known["id"]).select("label", *[F.col(f"{c}x").alias(c) for c in used]))
     *w, c = fit_curve(fitted, used, [1, -1] * (len(used) // 2)).tolist()

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from civicstat.llm import wordgrams
+from civicstat.llm import gramblocks, wordgrams
 
 D = wordgrams.DISCOUNT
 
@@ -90,3 +90,30 @@ def test_sums_of_documents(spark, rows):
                 for kind, sign in (("more", 1), ("less", -1)):
                     want = sum(max(sign * x, 0.0) for x in own)
                     assert (got[row][f"{kind}{size}{suffix}"] if row in got else 0.0) == pytest.approx(want, abs=1e-9)
+
+
+def test_blocks_give_the_sums_of_rows(spark, rows):
+    df = spark.createDataFrame(rows, "text string, label int, half int").repartition(3)
+    weights = wordgrams.weigh(wordgrams.count_trigrams(df))
+    texts = ["a b b c", "b зло a b", "nothing known here", "", None, *[t for t, _, _ in rows[:8]], "a b b c"]
+    docs = spark.createDataFrame([(i % 13 * 7 - 5, i % 2, t) for i, t in enumerate(texts)], "row long, half int, text string").repartition(2)
+    want = {r.row: r for r in wordgrams.sums(docs, weights).collect()}
+    for size in (0, 3 * gramblocks.BUCKET_BYTES):  # one bucket and three
+        model = gramblocks.learn(df, size)
+        got = {r.row: r for r in gramblocks.sums(docs, model).collect()}
+        model.drop()
+        assert len(got) == len({i % 13 for i in range(len(texts))})
+        for row, r in got.items():
+            for c in wordgrams.PARTS:
+                for x in ("", "x"):
+                    assert r[c + x] == pytest.approx(want[row][c + x] if row in want else 0.0, abs=1e-9)
+
+
+def test_blocks_of_a_tiny_chunk_and_no_labels(spark, rows):
+    a, b = (np.array(x, np.uint64) for x in ([3, 2**63, 2**64 - 1], []))
+    got = gramblocks.unpack(gramblocks.pack(gramblocks._steps(a), b, np.arange(6).reshape(2, 3)))
+    assert gramblocks._summed(got[0]).tolist() == a.tolist() and got[1].size == 0 and got[2].tolist() == [[0, 1, 2], [3, 4, 5]]
+    docs = spark.createDataFrame([(1, 0, "a b"), (2, None, None)], "row long, half int, text string")
+    model = gramblocks.learn(spark.createDataFrame(rows[:1], "text string, label int, half int").limit(0), 10)
+    assert {r.row: sum(r[c] for c in wordgrams.PARTS) for r in gramblocks.sums(docs, model).collect()} == {1: 0.0, 2: 0.0}
+    model.drop()
