@@ -27,14 +27,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from civicstat.llm.common import cut, discard, written
-from civicstat.llm.wordgrams import DISCOUNT, MODELS, PARTS, keys, trigrams
+from civicstat.llm.wordgrams import DISCOUNT, MODELS, PARTS, hashes, keys, trigrams
 from civicstat.session import checkpoint_dir
 
-#: Bytes of text for one bucket, and parts that labelled rows and documents are taken in.
+#: Bytes of text for one bucket, and parts that labelled rows and documents are
+#: taken in; more parts need less disk and more time.
 BUCKET_BYTES = 32 << 20
 SLICES = 8
+DOC_SLICES = 10
 #: Words held at once by a task.
 CHUNK_WORDS = 500_000
+BEGIN, END = trigrams(None)[0][0], int(trigrams(None)[2][0])
 GRAMS, WORDS, TOTALS, ASKED, TEXTS = range(5)
 #: Columns of a word: kinds before it, in either class, kinds after it, trigrams around it.
 _N1, _B, _K2, _T2 = slice(0, 6), slice(6, 9), slice(9, 15), slice(15, 21)
@@ -71,7 +74,8 @@ def _summed(x: np.ndarray) -> np.ndarray:
 
 
 def _bucket(key: np.ndarray, n: int) -> np.ndarray:
-    return ((key >> np.uint64(33)) % np.uint64(n)).astype(np.int32)
+    """Ranges of hashes, so what is sorted by hash is sorted by bucket."""
+    return (((key >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)).astype(np.int32)
 
 
 def _slice(key: np.ndarray) -> np.ndarray:
@@ -103,33 +107,67 @@ def _four(at: np.ndarray, group: np.ndarray, n: np.ndarray | None, size: int) ->
     return np.bincount(at * 4 + group, n, size * 4).astype(np.int64).reshape(size, 4)
 
 
+def _small(x: np.ndarray) -> np.ndarray:
+    """The same counts in the fewest bytes; most are small."""
+    return x.astype(np.min_scalar_type(int(x.max()))) if x.size else x.astype(np.uint8)
+
+
 def _gathered(sorted_at: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
     return np.stack([np.bincount(sorted_at, c, size) for c in values.T], axis=1).astype(np.int64)
 
 
-def _chunks(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[tuple[list[pa.RecordBatch], list, np.ndarray]]:
-    """Batches and the word trigrams of their texts, about CHUNK_WORDS at a time."""
-    held, found, n = [], [], 0
-    for b in batches:
-        for k in range(b.num_rows):
-            found.append(trigrams(b.column(text)[k].as_py()))
-            n += len(found[-1][0])
-            held.append(b.slice(k, 1))
-            if n >= CHUNK_WORDS:
-                yield held, found, n
-                held, found, n = [], [], 0
-    if held:
-        yield held, found, n
-
-
-def _ask_model(rows: DataFrame, part: int, n_buckets: int) -> DataFrame:
-    """Blocks of the distinct trigrams of ``rows`` (text, label, half) whose
-    first or last two words are in the part."""
+def _chunks(batches: Iterator[tuple]) -> Iterator[tuple[np.ndarray, ...]]:
+    """Of (two columns, texts): both columns, words in each text with the end,
+    distinct words and the number of each word, about CHUNK_WORDS at a time."""
+    firsts, seconds, lengths, found = [], [], [], []
+
+    def chunk() -> tuple[np.ndarray, ...]:
+        words, ids = np.unique(np.array(found, np.uint64), return_inverse=True)
+        out = np.array(firsts), np.array(seconds), np.array(lengths, np.int64), words, ids.astype(np.int32)
+        for x in (firsts, seconds, lengths, found):
+            x.clear()
+        return out
+
+    for a, b, texts in batches:
+        for k, text in enumerate(texts.to_pylist()):
+            own = hashes(text)
+            found += own
+            found.append(END)
+            lengths.append(len(own) + 1)
+            firsts.append(a[k])
+            seconds.append(None if b is None else b[k])
+            if len(found) >= CHUNK_WORDS:
+                yield chunk()
+    if lengths:
+        yield chunk()
+
+
+def _contexts(ids: np.ndarray, lengths: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First, second and third word of the trigram that ends at each word."""
+    at = np.arange(len(ids))
+    since = at - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    w = words[ids]
+    v, u = (np.where(since >= k, w[np.maximum(at - k, 0)], BEGIN) for k in (1, 2))
+    return u, v, w
+
+
+def encode(rows: DataFrame) -> DataFrame:
+    """Blocks of the words of ``rows`` (text, label, half), in order."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for held, found, _ in _chunks(batches, 0):
-            u, v, w = (np.concatenate(x) for x in zip(*found))
-            group = np.fromiter((b.column(1)[0].as_py() * 2 + b.column(2)[0].as_py() for b in held), np.int64, len(held))
-            group = np.repeat(group, [len(x[0]) for x in found])
+        for group, _, lengths, words, ids in _chunks(([b.column(1).to_numpy() * 2 + b.column(2).to_numpy(), None, b.column(0)] for b in batches)):
+            yield _rows([(0, TEXTS, 0, pack(group.astype(np.uint8), lengths, ids, _steps(words)))])
+
+    return rows.mapInArrow(run, SCHEMA)
+
+
+def _ask_model(encoded: DataFrame, part: int, n_buckets: int) -> DataFrame:
+    """Blocks of the distinct trigrams of texts whose first or last two words
+    are in the part."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for data in (x for b in batches for x in b.column(0).to_pylist()):
+            group, lengths, ids, words = unpack(data)
+            u, v, w = _contexts(ids, lengths, _summed(words))
+            group = np.repeat(group.astype(np.int64), lengths)
             before = keys(v, u, v)[1]
             after, three = keys(u, v, w)[1:]
             out = []
@@ -152,7 +190,7 @@ def _ask_model(rows: DataFrame, part: int, n_buckets: int) -> DataFrame:
                     v[g[s]], w[g[s]], np.diff(np.append(s, len(g))), three[g], group[g].astype(np.uint8))))
             yield _rows(out)
 
-    return rows.mapInArrow(run, SCHEMA)
+    return encoded.select("data").mapInArrow(run, SCHEMA)
 
 
 def _count(n_buckets: int):
@@ -188,7 +226,7 @@ def _count(n_buckets: int):
         counts[np.searchsorted(two, after), 6:] = kinds
         order = np.argsort(three)
         home = group.column("bucket")[0].as_py()
-        out = [(home, GRAMS, 0, pack(_steps(three[order]), four[order].T, _steps(two), counts.T))]
+        out = [(home, GRAMS, 0, pack(_steps(three[order]), _small(four[order].T), _steps(two), _small(counts.T)))]
         words, at = np.unique(np.concatenate([v, w]), return_inverse=True)
         first, last = at[:len(v)], at[len(v):]
         some = (kinds > 0).astype(np.int64)
@@ -196,7 +234,7 @@ def _count(n_buckets: int):
                                _gathered(first, some, len(words)), _gathered(first, kinds, len(words))], axis=1)
         to = _bucket(words, n_buckets)
         for k in np.unique(to).tolist():
-            out.append((k, WORDS, 0, pack(_steps(words[to == k]), sums[to == k].T)))
+            out.append((k, WORDS, 0, pack(_steps(words[to == k]), _small(sums[to == k].T))))
         return pa.Table.from_batches([_rows(out)])
 
     return run
@@ -209,7 +247,7 @@ def _count_words(group: pa.Table) -> pa.Table:
     n, b = sums[:, _N1], sums[:, _B]
     totals = np.concatenate([(n > 0).sum(axis=0), n.sum(axis=0), b.sum(axis=0), (b > 0).sum(axis=0)]).astype(np.int64)
     home = group.column("bucket")[0].as_py()
-    return pa.Table.from_batches([_rows([(home, WORDS, 0, pack(_steps(words), sums.T)), (home, TOTALS, 0, pack(totals))])])
+    return pa.Table.from_batches([_rows([(home, WORDS, 0, pack(_steps(words), _small(sums.T))), (home, TOTALS, 0, pack(totals))])])
 
 
 class Model:
@@ -229,12 +267,12 @@ class Model:
         discard(self.spark, self.path)
 
 
-def learn(rows: DataFrame, text_bytes: int) -> Model:
-    """Counts of all word grams of ``rows`` (text, label, half)."""
-    model = Model(rows.sparkSession, max(1, -(-text_bytes // BUCKET_BYTES)))
+def learn(encoded: DataFrame, text_bytes: int) -> Model:
+    """Counts of all word grams of texts that ``encode`` gave."""
+    model = Model(encoded.sparkSession, max(1, -(-text_bytes // BUCKET_BYTES)))
     words, paths = [], []
     for part in range(SLICES):
-        found, path = written(_ask_model(rows, part, model.n_buckets).groupBy("bucket").applyInArrow(_count(model.n_buckets), SCHEMA))
+        found, path = written(_ask_model(encoded, part, model.n_buckets).groupBy("bucket").applyInArrow(_count(model.n_buckets), SCHEMA))
         model.add(found.where(F.col("kind") == GRAMS))
         own, own_path = written(found.where(F.col("kind") == WORDS))
         discard(model.spark, path)
@@ -253,38 +291,37 @@ def learn(rows: DataFrame, text_bytes: int) -> Model:
     return model
 
 
-def _distinct(ids: np.ndarray, lengths: np.ndarray, words: np.ndarray) -> tuple:
-    """Of a chunk's texts (numbers into ``words``, without the two boundaries
-    before): hashes and places of the distinct words, pairs and trigrams."""
-    begin = trigrams(None)[0][:1]
-    vocabulary = np.union1d(words, begin)
-    ends = np.cumsum(lengths)
-    at = np.arange(len(ids))
-    since = at - np.repeat(ends - lengths, lengths)
-    w = words[ids]
-    v, u = (np.where(since >= k, w[np.maximum(at - k, 0)], begin) for k in (1, 2))
-    one, two, three = keys(u, v, w)
-    before = keys(u, u, v)[1]
-    pairs, place = np.unique(np.concatenate([before, two]), return_inverse=True)
-    trios, first, trio = np.unique(three, return_index=True, return_inverse=True)
-    return u, v, w, vocabulary, before, pairs, place, trios, first, trio
+def _distinct(ids: np.ndarray, lengths: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Of a chunk's texts: its words with the boundary before texts; distinct
+    word pairs, where the pair that begins and the one that ends each trigram
+    are among them and where each pair ends; distinct trigrams, which is at
+    each word and where each ends."""
+    u, v, w = _contexts(ids, lengths, words)
+    _, two, three = keys(u, v, w)
+    # the pair before is the one that ended a word earlier, two boundaries at the first
+    start = BEGIN.reshape(1)
+    pairs, place = np.unique(np.append(two, keys(start, start, start)[1]), return_inverse=True)
+    place = place.astype(np.int32)
+    before = np.append(place[-1:], place[:-2])
+    before[np.cumsum(lengths) - lengths] = place[-1]
+    pair_at = np.full(len(pairs), -1)
+    pair_at[place[:-1]] = np.arange(len(ids))
+    trios, trio = np.unique(three, return_inverse=True)
+    trio_at = np.empty(len(trios), np.int64)
+    trio_at[trio] = np.arange(len(ids))
+    return np.union1d(words, start), pairs, before, place[:-1], pair_at, trios, trio, trio_at
 
 
 def _ask(docs: DataFrame, n_buckets: int) -> DataFrame:
     """Blocks of chunks of ``docs`` (row, half, text): their words, and for each bucket their distinct grams there."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base = TaskContext.get().partitionId() << 32
-        for k, (held, found, _) in enumerate(_chunks(batches, 2)):
+        own = ([b.column(0).to_numpy(), b.column(1).fill_null(0).to_numpy(), b.column(2)] for b in batches)
+        for k, (row, half, lengths, words, ids) in enumerate(_chunks(own)):
             chunk = base + k
-            lengths = np.fromiter((len(f[2]) for f in found), np.int64, len(found))
-            words, ids = np.unique(np.concatenate([f[2] for f in found]), return_inverse=True)
-            del found
-            ids = ids.astype(np.int32)
-            row = np.fromiter((b.column(0)[0].as_py() for b in held), np.int64, len(held))
-            half = np.fromiter((b.column(1)[0].as_py() or 0 for b in held), np.int8, len(held))
-            _, _, _, vocabulary, before, pairs, _, trios, first, _ = _distinct(ids, lengths, words)
-            asked = _asked(vocabulary, pairs, trios, before[first], n_buckets)
-            out = [(chunk % n_buckets, TEXTS, chunk, pack(row, half, lengths, ids, _steps(words)))]
+            vocabulary, pairs, before, _, _, trios, _, trio_at = _distinct(ids, lengths, words)
+            asked = _asked(vocabulary, pairs, trios, pairs[before[trio_at]], n_buckets)
+            out = [(chunk % n_buckets, TEXTS, chunk, pack(row, half.astype(np.int8), lengths, ids, _steps(words)))]
             for b in range(n_buckets):
                 if any(len(x) for x, _ in (a[b] for a in asked)):
                     out.append((b, ASKED, chunk, pack(*[_steps(a[b][0]) for a in asked])))
@@ -299,7 +336,7 @@ def _asked(words: np.ndarray, pairs: np.ndarray, trios: np.ndarray, before: np.n
     out = []
     for x, home in ((words, words), (pairs, pairs), (trios, before)):
         where = _bucket(home, n_buckets)
-        order = np.argsort(where, kind="stable")
+        order = np.argsort(where, kind="stable") if x is not home else np.arange(len(x))
         ends = np.searchsorted(where[order], np.arange(n_buckets + 1))
         out.append([(x[order[a:b]], order[a:b]) for a, b in zip(ends, ends[1:])])
     return out
@@ -314,13 +351,10 @@ def _answer(model: pa.Table, asked: pa.Table) -> pa.Table:
     for parts, x, y in ((words, 0, 1), (grams, 2, 3), (grams, 0, 1)):
         if parts:
             key = np.concatenate([_summed(p[x]) for p in parts])
-            order = np.argsort(key)
-            # most counts are small
-            value = np.concatenate([p[y].T for p in parts])
-            value = value[order].astype(np.uint16 if not value.size or value.max() < 1 << 16 else np.int64)
-            tables.append((key[order], value))
+            order = np.argsort(key, kind="stable")  # sorted runs
+            tables.append((key[order], np.concatenate([p[y].T for p in parts])[order]))
         else:
-            tables.append((np.zeros(0, np.uint64), np.zeros((0, (21, 12, 4)[len(tables)]), np.int64)))
+            tables.append((np.zeros(0, np.uint64), np.zeros((0, (21, 12, 4)[len(tables)]), np.uint8)))
     for bucket, kind, chunk, data in zip(*(asked.column(c).to_pylist() for c in ("bucket", "kind", "chunk", "data"))) if asked.num_rows else ():
         if kind == TEXTS:
             out.append((bucket, kind, chunk, data))
@@ -355,9 +389,9 @@ def _sum(n_buckets: int, totals: np.ndarray):
         kinds, datas = group.column("kind").to_pylist(), group.column("data").to_pylist()
         row, half, lengths, ids, words = unpack(datas[kinds.index(TEXTS)])
         words = _summed(words)
-        u, v, w, vocabulary, before, pairs, place, trios, first, trio = _distinct(ids, lengths, words)
-        asked = _asked(vocabulary, pairs, trios, before[first], n_buckets)
-        counts = [np.zeros((len(x), c), np.int64) for x, c in ((vocabulary, 21), (pairs, 12), (trios, 4))]
+        vocabulary, pairs, before, place, pair_at, trios, trio, trio_at = _distinct(ids, lengths, words)
+        asked = _asked(vocabulary, pairs, trios, pairs[before[trio_at]], n_buckets)
+        counts = [np.zeros((len(x), c), np.int32) for x, c in ((vocabulary, 21), (pairs, 12), (trios, 4))]
         for bucket, kind, data in zip(group.column("bucket").to_pylist(), kinds, datas):
             if kind == ASKED:
                 reply = unpack(data)
@@ -369,39 +403,42 @@ def _sum(n_buckets: int, totals: np.ndarray):
         q = np.maximum(np.tile(base, 2), 1e-12)
         more = _more(one[:, _N1], k0, q)
         d1, p1 = _weight(more), _chance(more, k0, t0, q)
-        # pairs: a pair of two boundaries is no gram and has no count
-        n = len(ids)
-        where = np.zeros(len(pairs), np.int64)
-        where[place[:n]] = np.arange(n)
-        where[place[n:]] = np.arange(n) + n
-        a = np.searchsorted(vocabulary, np.concatenate([u, v])[where])
-        b = np.searchsorted(vocabulary, np.concatenate([v, w])[where])
-        more = _more(two[:, 6:], one[a, _K2], p1[b])
-        d2, p2 = _weight(more), _chance(more, one[a, _K2], one[a, _T2], p1[b])
-        # trigrams
-        d3 = _weight(_more(_six(three), two[place[:n][first], :6], p2[place[n:][first]]))
-        starts = np.cumsum(lengths) - lengths
+        # grams without a count weigh nothing; two boundaries are no gram
+        start = np.cumsum(lengths) - lengths
+        last = np.searchsorted(vocabulary, words)[ids]
+        second = np.append(last[:1], last[:-1])
+        second[start] = np.searchsorted(vocabulary, BEGIN)
+        use = np.flatnonzero(two[:, 6:].any(axis=1) & (pair_at >= 0))
+        a, b = second[pair_at[use]], last[pair_at[use]]
+        more = _more(two[use, 6:], one[a, _K2], p1[b])
+        d2, p2 = np.zeros((len(pairs), MODELS)), np.zeros((len(pairs), 6))
+        d2[use], p2[use] = _weight(more), _chance(more, one[a, _K2], one[a, _T2], p1[b])
+        use = np.flatnonzero(three.any(axis=1))
+        d3 = np.zeros((len(trios), MODELS))
+        d3[use] = _weight(_more(_six(three[use]), two[before[trio_at[use]], :6], p2[place[trio_at[use]]]))
         side = np.repeat(np.where(half == 0, 1, 2), lengths)
-        out = {"row": pa.array(row)}
+        out = {"row": pa.array(row), "words": pa.array(lengths.astype(np.float64))}
         for suffix, model in (("", 0), ("x", side)):
-            for size, (d, at) in enumerate(((d1, np.searchsorted(vocabulary, w)), (d2, place[n:]), (d3, trio)), 1):
-                x = d[at, model]
+            for size, (d, at) in enumerate(((d1, last), (d2, place), (d3, trio)), 1):
+                x = d.ravel()[at * MODELS + model]
                 for kind, sign in (("more", 1), ("less", -1)):
-                    out[f"{kind}{size}{suffix}"] = pa.array(np.add.reduceat(np.maximum(x * sign, 0.0), starts))
+                    out[f"{kind}{size}{suffix}"] = pa.array(np.add.reduceat(np.maximum(x * sign, 0.0), start))
         return pa.table(out)
 
     return run
 
 
 def sums(docs: DataFrame, model: Model) -> DataFrame:
-    """(row, PARTS, PARTS with an x) of ``docs`` (row, half, text), like ``wordgrams.sums``; rows without a known gram have zeros."""
+    """(row, words, PARTS, PARTS with an x) of ``docs`` (row, half, text), like
+    ``wordgrams.sums``; rows without a known gram have zeros. Words count the
+    end of each text."""
     names = [*PARTS, *[f"{c}x" for c in PARTS]]
-    schema = "row bigint, " + ", ".join(f"{c} double" for c in names)
+    schema = "row bigint, words double, " + ", ".join(f"{c} double" for c in names)
     every = None
-    for part in range(SLICES):
-        own = docs.where(F.pmod("row", F.lit(SLICES)) == part)
+    for part in range(DOC_SLICES):
+        own = docs.where(F.pmod("row", F.lit(DOC_SLICES)) == part)
         known = model.spark.table(model.name).groupBy("bucket")
         answers = known.cogroup(_ask(own, model.n_buckets).groupBy("bucket")).applyInArrow(_answer, SCHEMA)
         found = cut(answers.groupBy("chunk").applyInArrow(_sum(model.n_buckets, model.totals), schema))
         every = found if every is None else every.union(found)
-    return every.groupBy("row").agg(*[F.sum(c).alias(c) for c in names])
+    return every.groupBy("row").agg(*[F.sum(c).alias(c) for c in ["words", *names]])

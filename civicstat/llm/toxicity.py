@@ -45,6 +45,8 @@ DISCOUNT = 0.75
 #: Log ratios are kept in steps of 1 / STEPS, at most 127 steps from 0.
 STEPS = 8
 THRESHOLD = 0.7
+#: Five-grams that a task holds before it counts them.
+HELD_GRAMS = 4_000_000
 
 
 @lru_cache(maxsize=1)
@@ -140,26 +142,27 @@ def _unpacked(packed: bytes) -> np.ndarray:
 
 def count_grams(rows: DataFrame) -> DataFrame:
     """(label, half, gram, n) of ``rows`` (text, label, half)."""
-    def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[np.ndarray, np.ndarray]]:
-        if len(parts) < 2:
-            return parts
-        g, at = np.unique(np.concatenate([g for g, _ in parts]), return_inverse=True)
-        return [(g, np.bincount(at, np.concatenate([n for _, n in parts]), len(g)).astype(np.int64))]
+    size = SYMBOLS ** ORDER
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: list[list[tuple[np.ndarray, np.ndarray]]] = [[], [], [], []]
+        known, counts = np.zeros(0, np.int32), np.zeros(0, np.int64)
+        held: list[np.ndarray] = []
+
+        def merged() -> tuple[np.ndarray, np.ndarray]:
+            g, n = np.unique(np.concatenate([np.zeros(0, np.int32), *held]), return_counts=True)
+            held.clear()
+            every, at = np.unique(np.concatenate([known, g]), return_inverse=True)
+            return every, np.bincount(at, np.concatenate([counts, n]), len(every)).astype(np.int64)
+
         for b in batches:
-            texts = b.column(0).to_pylist()
-            group = (b.column(1).to_numpy() * 2 + b.column(2).to_numpy()).tolist()
-            for k in range(4):
-                own = [grams(t) for t, g in zip(texts, group) if g == k]
-                if own:
-                    sums[k] = merged([*sums[k], np.unique(np.concatenate(own), return_counts=True)])
-        for k, parts in enumerate(sums):
-            for g, n in parts:
-                yield pa.RecordBatch.from_pydict({
-                    "label": pa.array(np.full(len(g), k // 2, np.int32)), "half": pa.array(np.full(len(g), k % 2, np.int32)),
-                    "gram": pa.array(g.astype(np.int32)), "n": pa.array(n.astype(np.int64))})
+            group = (b.column(1).to_numpy() * 2 + b.column(2).to_numpy()).astype(np.int32)
+            held += [grams(t) + g * np.int32(size) for t, g in zip(b.column(0).to_pylist(), group)]
+            if sum(map(len, held)) >= HELD_GRAMS:
+                known, counts = merged()
+        known, counts = merged()
+        yield pa.RecordBatch.from_pydict({
+            "label": pa.array(known // (2 * size)), "half": pa.array(known // size % 2),
+            "gram": pa.array(known % size), "n": pa.array(counts)})
 
     return (rows.mapInArrow(run, "label int, half int, gram int, n bigint")
             .groupBy("label", "half", "gram").agg(F.sum("n").alias("n")))
@@ -239,7 +242,9 @@ def _classify(docs: DataFrame, labels: DataFrame, half: Column) -> DataFrame:
     # labels grow with the corpus: a shuffle at every size, never a broadcast
     own = docs.select("doc_id", "text")
     labelled, labelled_path = written(own.join(known.hint("merge"), own["doc_id"] == known["id"]).select("text", "label", "half"))
-    seen = count_grams(labelled).toArrow()
+    counted, counted_path = written(count_grams(labelled))
+    seen = counted.toArrow()
+    discard(spark, counted_path)
     label, side, gram, n = (seen.column(i).to_numpy() for i in range(4))
     if not {0, 1} <= set(np.unique(label).tolist()):
         only = float(label.max()) if len(label) else 0.0
@@ -257,8 +262,10 @@ def _classify(docs: DataFrame, labels: DataFrame, half: Column) -> DataFrame:
         np.ones(len(gram), bool), side == 1, side == 0)])  # from all rows, for half 0, for half 1
     del seen, label, side, gram, n
     text_bytes = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    model = gramblocks.learn(labelled, text_bytes)
+    encoded, encoded_path = written(gramblocks.encode(labelled))
     discard(spark, labelled_path)
+    model = gramblocks.learn(encoded, text_bytes)
+    discard(spark, encoded_path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -271,25 +278,23 @@ def _classify(docs: DataFrame, labels: DataFrame, half: Column) -> DataFrame:
                 gain = np.add.reduceat(np.maximum(steps, 0), starts, dtype=np.int64)
                 loss = gain - np.add.reduceat(steps, starts, dtype=np.int64)
                 raw += [gain / (sizes * STEPS), loss / (sizes * STEPS)]
-            raw.append(np.fromiter((len(wordgrams.words(t)) + 1 for t in b.column(1).to_pylist()), np.float64, len(g)))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), b.column(3), *map(pa.array, raw)],
-                                             ["doc_id", "row", "half", *names, "words"])
+                                             ["doc_id", "row", "half", *names])
 
     rows = docs.select("doc_id", "text", F.col("doc_id").alias("id")).withColumn("half", half.cast("int")).select(
         "doc_id", "text", F.xxhash64("doc_id", "text").alias("row"), "half")
     names = ["gain", "loss", "gain0", "loss0", "gain1", "loss1"]
     schema = T.StructType([rows.schema["doc_id"], T.StructField("row", T.LongType()), T.StructField("half", T.IntegerType()),
-                           *[T.StructField(c, T.DoubleType()) for c in [*names, "words"]]])
+                           *[T.StructField(c, T.DoubleType()) for c in names]])
     letters = cut(rows.mapInArrow(run, schema))
-    # repeated rows add up under one number
-    copies = letters.groupBy("row").agg(F.count("*").alias("copies"))
-    parts = copies.join(gramblocks.sums(rows, model), "row", "left")
+    # repeated rows add up under one number, their words too
+    parts = gramblocks.sums(rows, model)
 
     def other(name: str) -> Column:
         return F.when(F.col("half") == 0, F.col(f"{name}0")).otherwise(F.col(f"{name}1")).alias(f"{name}x")
 
     def each(name: str) -> Column:
-        return (F.coalesce(name, F.lit(0.0)) / (F.col("copies") * F.col("words"))).alias(name)
+        return (F.col(name) / F.col("words")).alias(name)
 
     scored = cut(letters.join(parts, "row").select(
         "doc_id", "gain", "loss", other("gain"), other("loss"), *[each(f"{c}{x}") for c in wordgrams.PARTS for x in ("", "x")]))

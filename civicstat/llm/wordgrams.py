@@ -43,19 +43,37 @@ _PARTS = re.compile(f"[{_ALONE}]|[^{_ALONE}]+")
 _BEGIN, _END = (np.uint64(xxhash.xxh3_64_intdigest(x)) for x in (b"\0begin", b"\0end"))
 
 
+def _words_of(token: str) -> list[str]:
+    w = token.strip(_EDGE) or token
+    return [w] if w.isascii() else _PARTS.findall(w)
+
+
 def words(text: str | None) -> list[str]:
-    out = []
-    for w in (text or "").casefold().split():
-        w = w.strip(_EDGE) or w
-        out += [w] if w.isascii() else _PARTS.findall(w)
+    return [w for token in (text or "").casefold().split() for w in _words_of(token)]
+
+
+#: Hashes of tokens met by this process; emptied when it has so many.
+_HASHES: dict[str, tuple[int, ...]] = {}
+_MOST_HASHES = 200_000
+
+
+def hashes(text: str | None) -> list[int]:
+    """Of the words of a text."""
+    out: list[int] = []
+    for token in (text or "").casefold().split():
+        own = _HASHES.get(token)
+        if own is None:
+            if len(_HASHES) >= _MOST_HASHES:
+                _HASHES.clear()
+            own = _HASHES[token] = tuple(xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")) for w in _words_of(token))
+        out += own
     return out
 
 
 def trigrams(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """First, second and third word of the trigram that ends at each word of a
     text and at its end."""
-    own = [xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")) for w in words(text)]
-    s = np.concatenate([[_BEGIN, _BEGIN], np.array(own, np.uint64), [_END]])
+    s = np.concatenate([[_BEGIN, _BEGIN], np.array(hashes(text), np.uint64), [_END]])
     return s[:-2], s[1:-1], s[2:]
 
 

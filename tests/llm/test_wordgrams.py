@@ -99,7 +99,7 @@ def test_blocks_give_the_sums_of_rows(spark, rows):
     docs = spark.createDataFrame([(i % 13 * 7 - 5, i % 2, t) for i, t in enumerate(texts)], "row long, half int, text string").repartition(2)
     want = {r.row: r for r in wordgrams.sums(docs, weights).collect()}
     for size in (0, 3 * gramblocks.BUCKET_BYTES):  # one bucket and three
-        model = gramblocks.learn(df, size)
+        model = gramblocks.learn(gramblocks.encode(df), size)
         got = {r.row: r for r in gramblocks.sums(docs, model).collect()}
         model.drop()
         assert len(got) == len({i % 13 for i in range(len(texts))})
@@ -114,6 +114,6 @@ def test_blocks_of_a_tiny_chunk_and_no_labels(spark, rows):
     got = gramblocks.unpack(gramblocks.pack(gramblocks._steps(a), b, np.arange(6).reshape(2, 3)))
     assert gramblocks._summed(got[0]).tolist() == a.tolist() and got[1].size == 0 and got[2].tolist() == [[0, 1, 2], [3, 4, 5]]
     docs = spark.createDataFrame([(1, 0, "a b"), (2, None, None)], "row long, half int, text string")
-    model = gramblocks.learn(spark.createDataFrame(rows[:1], "text string, label int, half int").limit(0), 10)
+    model = gramblocks.learn(gramblocks.encode(spark.createDataFrame(rows[:1], "text string, label int, half int").limit(0)), 10)
     assert {r.row: sum(r[c] for c in wordgrams.PARTS) for r in gramblocks.sums(docs, model).collect()} == {1: 0.0, 2: 0.0}
     model.drop()
