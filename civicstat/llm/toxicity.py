@@ -46,7 +46,7 @@ DISCOUNT = 0.75
 STEPS = 8
 THRESHOLD = 0.7
 #: Five-grams that a task holds before it counts them.
-HELD_GRAMS = 4_000_000
+HELD_GRAMS = 2_000_000
 
 
 @lru_cache(maxsize=1)
@@ -142,27 +142,27 @@ def _unpacked(packed: bytes) -> np.ndarray:
 
 def count_grams(rows: DataFrame) -> DataFrame:
     """(label, half, gram, n) of ``rows`` (text, label, half)."""
-    size = SYMBOLS ** ORDER
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, counts = np.zeros(0, np.int32), np.zeros(0, np.int64)
-        held: list[np.ndarray] = []
+        known = [(np.zeros(0, np.int32), np.zeros(0, np.int64))] * 4
+        held: list[list[np.ndarray]] = [[], [], [], []]
 
-        def merged() -> tuple[np.ndarray, np.ndarray]:
-            g, n = np.unique(np.concatenate([np.zeros(0, np.int32), *held]), return_counts=True)
-            held.clear()
-            every, at = np.unique(np.concatenate([known, g]), return_inverse=True)
-            return every, np.bincount(at, np.concatenate([counts, n]), len(every)).astype(np.int64)
+        def merge() -> None:
+            for k, own in enumerate(held):
+                g, n = np.unique(np.concatenate([np.zeros(0, np.int32), *own]), return_counts=True)
+                own.clear()
+                every, at = np.unique(np.concatenate([known[k][0], g]), return_inverse=True)
+                known[k] = every, np.bincount(at, np.concatenate([known[k][1], n]), len(every)).astype(np.int64)
 
         for b in batches:
-            group = (b.column(1).to_numpy() * 2 + b.column(2).to_numpy()).astype(np.int32)
-            held += [grams(t) + g * np.int32(size) for t, g in zip(b.column(0).to_pylist(), group)]
-            if sum(map(len, held)) >= HELD_GRAMS:
-                known, counts = merged()
-        known, counts = merged()
-        yield pa.RecordBatch.from_pydict({
-            "label": pa.array(known // (2 * size)), "half": pa.array(known // size % 2),
-            "gram": pa.array(known % size), "n": pa.array(counts)})
+            for t, k in zip(b.column(0).to_pylist(), (b.column(1).to_numpy() * 2 + b.column(2).to_numpy()).tolist()):
+                held[k].append(grams(t))
+            if sum(len(g) for own in held for g in own) >= HELD_GRAMS:
+                merge()
+        merge()
+        for k, (g, n) in enumerate(known):
+            yield pa.RecordBatch.from_pydict({
+                "label": pa.array(np.full(len(g), k // 2, np.int32)), "half": pa.array(np.full(len(g), k % 2, np.int32)),
+                "gram": pa.array(g), "n": pa.array(n)})
 
     return (rows.mapInArrow(run, "label int, half int, gram int, n bigint")
             .groupBy("label", "half", "gram").agg(F.sum("n").alias("n")))
@@ -286,9 +286,10 @@ def _classify(docs: DataFrame, labels: DataFrame, half: Column) -> DataFrame:
     names = ["gain", "loss", "gain0", "loss0", "gain1", "loss1"]
     schema = T.StructType([rows.schema["doc_id"], T.StructField("row", T.LongType()), T.StructField("half", T.IntegerType()),
                            *[T.StructField(c, T.DoubleType()) for c in names]])
-    letters = cut(rows.mapInArrow(run, schema))
     # repeated rows add up under one number, their words too
-    parts = gramblocks.sums(rows, model)
+    parts = cut(gramblocks.sums(rows, model))
+    model.drop()
+    letters = cut(rows.mapInArrow(run, schema))
 
     def other(name: str) -> Column:
         return F.when(F.col("half") == 0, F.col(f"{name}0")).otherwise(F.col(f"{name}1")).alias(f"{name}x")
@@ -298,7 +299,6 @@ def _classify(docs: DataFrame, labels: DataFrame, half: Column) -> DataFrame:
 
     scored = cut(letters.join(parts, "row").select(
         "doc_id", "gain", "loss", other("gain"), other("loss"), *[each(f"{c}{x}") for c in wordgrams.PARTS for x in ("", "x")]))
-    model.drop()
     used = ["gain", "loss", *wordgrams.PARTS]
     fitted = cut(scored.join(known, scored["doc_id"] == known["id"]).select("label", *[F.col(f"{c}x").alias(c) for c in used]))
     *w, c = fit_curve(fitted, used, [1, -1] * (len(used) // 2)).tolist()

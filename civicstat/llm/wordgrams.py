@@ -54,7 +54,7 @@ def words(text: str | None) -> list[str]:
 
 #: Hashes of tokens met by this process; emptied when it has so many.
 _HASHES: dict[str, tuple[int, ...]] = {}
-_MOST_HASHES = 200_000
+_MOST_HASHES = 50_000
 
 
 def hashes(text: str | None) -> list[int]:
