@@ -1,7 +1,13 @@
+import os
+import threading
 from collections import Counter
+from contextlib import contextmanager
 
 import brute
 import corpus_pipeline
+import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 from civicstat.llm import common, rules, topk
 
 SF = "/root/testdata/sf0.001"
@@ -27,6 +33,109 @@ def test_segments_grow_with_the_index():
     assert [topk.segment_bits(n) for n in (0, 1000, 10 ** 6, 10 ** 12)] == [8, 10, 20, 30]
 
 
+def vectors_at(path, x, ids):
+    offsets = np.arange(0, x.size + 1, x.shape[1], dtype=np.int32)
+    pq.write_table(pa.table({"vec_id": ids, "embedding": pa.ListArray.from_arrays(offsets, pa.array(x.ravel()))}), path)
+    return str(path)
+
+
+def nearest(x, ids, q, k):
+    off = ((x > 0) != (x[q] > 0)).sum(axis=1)
+    return sorted((int(d), int(i)) for d, i in zip(off, ids) if i != ids[q])[:k]
+
+
+@contextmanager
+def disk_peak(spark):
+    """Most bytes of shuffle and spill files at a time, beyond those there before."""
+    dirs = [d.getPath() for d in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    peak, over = {"bytes": 0}, threading.Event()
+
+    def used():
+        total = 0
+        for d in dirs:
+            for base, _, files in os.walk(d):
+                for f in files:
+                    try:
+                        total += os.path.getsize(os.path.join(base, f))
+                    except OSError:
+                        pass
+        return total
+
+    before = used()
+
+    def watch():
+        while not over.wait(0.05):
+            peak["bytes"] = max(peak["bytes"], used() - before)
+
+    t = threading.Thread(target=watch)
+    t.start()
+    try:
+        yield peak
+    finally:
+        over.set()
+        t.join()
+
+
+def test_top_k_disk_stays_below_the_input(spark, tmp_path):
+    # full segments of 14 bits leave one of a single bit, which half of all codes share
+    n, dims = 1 << 14, 43
+    x, ids = np.random.default_rng(5).standard_normal((n, dims)).astype(np.float32), np.arange(n)
+    path = vectors_at(tmp_path / "v.parquet", x, ids)
+    df = spark.read.parquet(path)
+    with disk_peak(spark) as peak:
+        got = {}
+        for r in topk.top_k(df, df.where("vec_id % 100 = 0"), 10).collect():
+            got.setdefault(r.query_id, []).append((r["rank"], r.distance, r.vec_id))
+    assert set(got) == set(range(0, n, 100))
+    for q in range(0, n, 100):
+        assert sorted(got[q]) == [(i + 1, *p) for i, p in enumerate(nearest(x, ids, q, 10))]
+    assert peak["bytes"] < 4 * os.path.getsize(path)
+
+
+def test_top_k_in_many_cells(spark, tmp_path, monkeypatch):
+    """Small cells, crowded tiles, codes of two words with a segment across
+    them, small packs, and copies."""
+    for name, size in (("CELL", 64), ("QUERIES", 16), ("ENTRIES", 200)):
+        monkeypatch.setattr(topk, name, size)
+    r = np.random.default_rng(6)
+    x = r.standard_normal((3000, 70)).astype(np.float32)
+    x[:, :4] = 1  # a segment whose high bits are the same everywhere
+    x[1000:1400] = x[1000]
+    x[1400:1800] = np.where(r.random((400, 70)) < 0.03, -1, 1) * x[1000]
+    ids = r.permutation(3000) - 1500
+    df = spark.read.parquet(vectors_at(tmp_path / "v.parquet", x, ids))
+    for kind in ("long", "string"):
+        some = df.selectExpr(f"CAST(vec_id AS {kind}) AS vec_id", "embedding")
+        got = {}
+        for row in topk.top_k(some, some.where("vec_id % 50 = 0"), 5).collect():
+            got.setdefault(int(row.query_id), []).append((row["rank"], row.distance, row.vec_id))
+        names = ids if kind == "long" else np.array([str(i) for i in ids])
+        for q in np.flatnonzero(ids % 50 == 0):
+            off = ((x > 0) != (x[q] > 0)).sum(axis=1)
+            near = sorted((int(d), i) for d, i in zip(off, names.tolist()) if i != names[q])[:5]
+            assert sorted(got[ids[q]]) == [(i + 1, *p) for i, p in enumerate(near)]
+
+
+def test_a_task_holds_few_codes_at_once(monkeypatch):
+    r = np.random.default_rng(7)
+    words = r.integers(0, 1 << 12, (4000, 1)).astype(np.uint64)
+    plan = topk.layout(12, 4000)
+    plan.tiles = [(np.arange(1 << b), np.arange(1 << b) + (s << 9), np.ones(1 << b, int)) for s, b in enumerate(plan.bits)]
+    assert (plan.m, plan.ends) == (1, [0, 12])
+    own = words[plan.values(words, 0) >> plan.low(0) == 5]
+    cell = topk.Cell(plan, 5, topk.pack(own[np.argsort(own[:, 0])], np.arange(len(own)), np.ones(len(own), np.int32)))
+    asked, bound = words[:50], np.full(50, 12, np.int32)
+    got = []
+    for held in (1, 100, 1 << 20):
+        monkeypatch.setattr(topk, "HELD", held)
+        got.append(sorted(tuple(x.values()) for b in cell.search(asked, bound, 3, 4) for x in b.to_pylist()))
+    assert got[0] == got[1] == got[2]
+    for q in asked:
+        met = [int(d) for d in np.bitwise_count(own[:, 0] ^ q[0]) if d == 3]
+        found = [x for x in got[0] if x[0] == int(q[0]).to_bytes(8, "big")]
+        assert len(found) >= min(4, len(met)) and all(x[2] == 3 for x in found)
+
+
 def test_pipeline_stage_by_stage(spark):
     docs = common.table(spark, SF, "documents")
     columns, before = docs.columns, {r.doc_id: r for r in docs.collect()}
